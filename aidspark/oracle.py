@@ -187,6 +187,104 @@ SELECT car, titolo_misura, des_tipo_misura, des_autorita, autorita_concedente, d
 FROM measures WHERE car IS NOT NULL""")
 
 
+# ---------------------------------------------------------------- Q0-Q10
+# Parameters of the registered analyst queries, shared with aidspark.queries.
+from aidspark.queries import Q_TERM, Q_YEAR  # noqa: E402
+_MEAN_RAW = f"CAST({tot()} AS DOUBLE) / NULLIF(COUNT({E}), 0)"
+_HAS_CUP = "cup != '' AND cup != 'n.d.'"
+_NO_CUP = "cup = '' OR cup = 'n.d.'"
+
+ANALYSIS = {
+    "q_total_by_region": _q(WITH_CLEAN, f"""
+SELECT regione_beneficiario, {rtot()} AS totale FROM clean GROUP BY regione_beneficiario"""),
+    "q_region_year": _q(WITH_RAW, f"""
+SELECT anno, regione_beneficiario, {rtot()} AS totale_erogato, COUNT(DISTINCT {CF}) AS n_imprese
+FROM raw GROUP BY anno, regione_beneficiario"""),
+    "q_procedure_trend": _q(WITH_RAW, f"""
+SELECT anno, procedimento, {rtot()} AS totale, COUNT(DISTINCT {CF}) AS n_beneficiari
+FROM raw GROUP BY anno, procedimento"""),
+    "q_find_company": _q(WITH_RAW, f"""
+SELECT denominazione_beneficiario, {CF}, data_concessione, soggetto_concedente, titolo_misura,
+       {rd(E, 2)} AS importo, procedimento, regione_beneficiario
+FROM raw WHERE contains(denominazione_beneficiario, '{Q_TERM}')"""),
+    "q_top_grantors": _q(WITH_RAW, f"""
+SELECT soggetto_concedente, {rtot()} AS totale_erogato, COUNT(*) AS n_aiuti,
+       COUNT(DISTINCT {CF}) AS n_imprese
+FROM raw WHERE anno = {Q_YEAR} GROUP BY soggetto_concedente
+ORDER BY totale_erogato DESC, soggetto_concedente LIMIT 10"""),
+    "q_top_sectors": _q(WITH_RAW, f"""
+SELECT settore_attivita, COUNT(DISTINCT {CF}) AS n_imprese, {rtot()} AS totale,
+       {rd(_MEAN_RAW, 2)} AS importo_medio
+FROM raw WHERE settore_attivita != '' AND {E} IS NOT NULL GROUP BY settore_attivita
+ORDER BY totale DESC, settore_attivita LIMIT 20"""),
+    "q_per_capita": _q(WITH_RAW, f""",
+a AS (SELECT regione_beneficiario, {rtot()} AS totale_aiuti FROM raw WHERE anno = {Q_YEAR}
+      GROUP BY regione_beneficiario),
+p AS (SELECT regione, CAST(SUM(popolazione) AS BIGINT) AS residenti FROM ({S.POPULATION_SQL}) x
+      GROUP BY regione)
+SELECT a.regione_beneficiario, a.totale_aiuti, p.residenti,
+       {rd('a.totale_aiuti / p.residenti', 2)} AS aiuto_procapite
+FROM a JOIN p ON a.regione_beneficiario = p.regione"""),
+    "q_cumulation": _q(WITH_RAW, f"""
+SELECT {CF}, denominazione_beneficiario, COUNT(DISTINCT titolo_misura) AS n_misure_distinte,
+       {rtot()} AS totale_complessivo
+FROM raw WHERE anno = {Q_YEAR} GROUP BY {CF}, denominazione_beneficiario
+HAVING COUNT(DISTINCT titolo_misura) > 5"""),
+    "q_monthly_trend": _q(WITH_RAW, f"""
+SELECT anno, mese, COUNT(*) AS n_aiuti, {rtot()} AS totale_mensile FROM raw GROUP BY anno, mese"""),
+    "q_instrument_share": _q(WITH_RAW, f"""
+SELECT strumento, COUNT(*) AS n, {rtot()} AS totale, {rd(_MEAN_RAW, 2)} AS importo_medio,
+       {pct(tot(), f"SUM({tot()}) OVER ()", 1)} AS percentuale
+FROM raw WHERE strumento != '' GROUP BY strumento"""),
+    "q_cup_traceability": _q(WITH_RAW, f"""
+SELECT anno,
+       CAST(SUM(CASE WHEN {_HAS_CUP} THEN 1 ELSE 0 END) AS BIGINT) AS con_cup,
+       CAST(SUM(CASE WHEN {_NO_CUP} THEN 1 ELSE 0 END) AS BIGINT) AS senza_cup,
+       CAST(ROUND(SUM(CASE WHEN {_HAS_CUP} THEN CAST({E} AS DECIMAL(18,2)) ELSE 0 END), 0) AS DOUBLE)
+         AS importo_con_cup,
+       CAST(ROUND(SUM(CASE WHEN {_NO_CUP} THEN CAST({E} AS DECIMAL(18,2)) ELSE 0 END), 0) AS DOUBLE)
+         AS importo_senza_cup
+FROM raw GROUP BY anno"""),
+}
+
+# ---------------------------------------------------------------- J1-J5
+WITH_CLEAN_MEASURES = f"{WITH_CLEAN},\nmeasures AS ({S.MEASURE_RAW_SQL})"
+JOINS = {
+    "join_aid_measure": _q(WITH_CLEAN_MEASURES, f""",
+a AS (SELECT car, COUNT(*) AS aiuti, {tot()} AS erog FROM clean WHERE car != '' GROUP BY car),
+m AS (SELECT car, COUNT(*) OVER (PARTITION BY car) AS n_finestre, titolo_misura, data_inizio_misura,
+             CAST({_P} AS DECIMAL(18,2)) + CAST({_A} AS DECIMAL(18,2)) AS plafond,
+             ROW_NUMBER() OVER (PARTITION BY car ORDER BY data_inizio_misura DESC) AS rn
+      FROM measures WHERE car IS NOT NULL AND car != '')
+SELECT a.car, a.aiuti, CAST(ROUND(a.erog, 0) AS DOUBLE) AS erogato_esl, m.titolo_misura,
+       m.data_inizio_misura, m.n_finestre, CAST(ROUND(m.plafond, 0) AS DOUBLE) AS plafond_eur,
+       {pct('a.erog', 'm.plafond', 2)} AS quota_erogata_pct
+FROM a LEFT JOIN (SELECT * FROM m WHERE rn = 1) m ON a.car = m.car"""),
+    "join_by_fiscal_code": _q(WITH_CLEAN, f""",
+a AS (SELECT upper(trim({CF})) AS codice_fiscale, COUNT(*) AS aiuti, {tot()} AS t FROM clean
+      WHERE upper(trim({CF})) != '' GROUP BY upper(trim({CF}))),
+e AS (SELECT upper(trim(codice_fiscale)) AS codice_fiscale, COUNT(*) AS n_record_entita
+      FROM ({S.ENTITIES_SQL}) x WHERE upper(trim(codice_fiscale)) != '' GROUP BY upper(trim(codice_fiscale)))
+SELECT a.codice_fiscale, a.aiuti, CAST(ROUND(a.t, 0) AS DOUBLE) AS totale_esl, e.n_record_entita
+FROM a JOIN e ON a.codice_fiscale = e.codice_fiscale"""),
+    "join_by_cup_bridge": _q(WITH_CLEAN, f""",
+br AS (SELECT DISTINCT cup, comune FROM ({S.CUP_BRIDGE_SQL}) x WHERE cup NOT IN ('', 'n.d.')),
+pc AS (SELECT cup, COUNT(*) AS n, {tot()} AS t FROM clean
+       WHERE cup IS NOT NULL AND cup NOT IN ('', 'n.d.') GROUP BY cup)
+SELECT comune, COUNT(*) AS n_progetti, CAST(SUM(n) AS BIGINT) AS aiuti,
+       CAST(ROUND(SUM(t), 0) AS DOUBLE) AS totale_esl
+FROM pc JOIN br ON pc.cup = br.cup GROUP BY comune"""),
+    "join_by_region": _q(WITH_CLEAN, f""",
+t AS (SELECT DISTINCT regione, macro_area FROM ({S.TERRITORY_SQL}) x),
+a AS (SELECT regione_beneficiario AS regione, COUNT(*) AS aiuti, {tot()} AS s FROM clean
+      WHERE regione_beneficiario != 'ND' GROUP BY regione_beneficiario)
+SELECT t.macro_area, a.regione, a.aiuti, CAST(ROUND(a.s, 0) AS DOUBLE) AS totale_esl
+FROM a JOIN t ON a.regione = t.regione"""),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = dict(MARTS)
+    out.update(ANALYSIS)
+    out.update(JOINS)
     return out

@@ -10,7 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from aidspark.operators import analysis as A
 from aidspark.operators import clean as C
+from aidspark.operators import joins as J
 from aidspark.operators import marts as M
 from aidspark.session import prepare
 from aidspark.sources import standin as S
@@ -26,6 +28,15 @@ def _measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.clean_measure(S.measure_raw(prepare(spark), sf_dir))
 
 
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.aid_raw(prepare(spark), sf_dir)
+
+
+# Parameters of the analyst queries; the oracle uses the same values.
+Q_YEAR = 1998
+Q_TERM = "#00000012"
+
+
 def _aid_mart(fn) -> Query:
     return lambda spark, sf_dir: fn(_clean(spark, sf_dir))
 
@@ -43,4 +54,21 @@ def registry() -> dict[str, Query]:
         q[name] = _aid_mart(fn)
     for name, fn in M.MEASURE_MARTS.items():
         q[name] = _measure_mart(fn)
+    q.update({
+        "q_total_by_region": lambda sp, d: A.q_total_by_region(_clean(sp, d)),
+        "q_region_year": lambda sp, d: A.q_region_year(_raw(sp, d)),
+        "q_procedure_trend": lambda sp, d: A.q_procedure_trend(_raw(sp, d)),
+        "q_find_company": lambda sp, d: A.q_find_company(_raw(sp, d), Q_TERM),
+        "q_top_grantors": lambda sp, d: A.q_top_grantors(_raw(sp, d), Q_YEAR),
+        "q_top_sectors": lambda sp, d: A.q_top_sectors(_raw(sp, d)),
+        "q_per_capita": lambda sp, d: A.q_per_capita(_raw(sp, d), S.population(sp, d), Q_YEAR),
+        "q_cumulation": lambda sp, d: A.q_cumulation(_raw(sp, d), Q_YEAR),
+        "q_monthly_trend": lambda sp, d: A.q_monthly_trend(_raw(sp, d)),
+        "q_instrument_share": lambda sp, d: A.q_instrument_share(_raw(sp, d)),
+        "q_cup_traceability": lambda sp, d: A.q_cup_traceability(_raw(sp, d)),
+        "join_aid_measure": lambda sp, d: J.join_aid_measure(_clean(sp, d), _measures(sp, d)),
+        "join_by_fiscal_code": lambda sp, d: J.join_by_fiscal_code(_clean(sp, d), S.entities(sp, d)),
+        "join_by_cup_bridge": lambda sp, d: J.join_by_cup_bridge(_clean(sp, d), S.cup_bridge(sp, d)),
+        "join_by_region": lambda sp, d: J.join_by_region(_clean(sp, d), S.territory(sp, d)),
+    })
     return q
