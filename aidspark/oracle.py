@@ -283,8 +283,31 @@ FROM a JOIN t ON a.regione = t.regione"""),
 }
 
 
+# ---------------------------------------------------------------- XML ingest
+from aidspark.queries import FILE_YEARS  # noqa: E402
+from aidspark.schemas import MEASURE_COLUMNS  # noqa: E402
+from aidspark.sources import xml_standin as XS  # noqa: E402
+
+_AID_OUT = ", ".join(AID_COLUMNS)
+INGEST = {
+    "ingest_aid_xml": f"SELECT {_AID_OUT} FROM ({XS.AID_XML_FLAT_SQL}) t WHERE anno != 0",
+    "flatten_aid": f"SELECT {_AID_OUT} FROM ({XS.AID_XML_FLAT_SQL}) t",
+    "reject_invalid_year": f"SELECT {_AID_OUT} FROM ({XS.AID_XML_FLAT_SQL}) t WHERE anno = 0",
+    "quarantine_malformed": f"""SELECT fonte, CAST(SUM(1 - bad) AS BIGINT) AS record_ok,
+       CAST(SUM(bad) AS BIGINT) AS record_scartati FROM ({XS.AID_XML_RECORDS_SQL}) t GROUP BY fonte""",
+    "select_files_by_year": f"""SELECT {_AID_OUT} FROM ({XS.AID_XML_FLAT_SQL}) t
+WHERE anno != 0 AND _file_year BETWEEN {FILE_YEARS[0]} AND {FILE_YEARS[1]}""",
+    "ingest_measure_xml": f"SELECT * FROM ({S.MEASURE_RAW_SQL}) t WHERE anno != 0",
+    "flatten_measure": f"SELECT * FROM ({S.MEASURE_RAW_SQL}) t",
+    "conform_schema": "SELECT " + ", ".join(
+        "CAST(NULL AS VARCHAR) AS link_aiuto" if c == "link_aiuto" else c for c in MEASURE_COLUMNS)
+        + f" FROM ({S.MEASURE_RAW_SQL}) t",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = dict(MARTS)
+    out.update(INGEST)
     out.update(ANALYSIS)
     out.update(JOINS)
     return out

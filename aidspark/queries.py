@@ -14,8 +14,14 @@ from aidspark.operators import analysis as A
 from aidspark.operators import clean as C
 from aidspark.operators import joins as J
 from aidspark.operators import marts as M
-from aidspark.session import prepare
+from pyspark.sql import functions as F
+
+from aidspark.operators import flatten as FL
+from aidspark.schemas import AID_SCHEMA, MEASURE_SCHEMA
+from aidspark.session import prepare, scratch_dir
 from aidspark.sources import standin as S
+from aidspark.sources import xml as X
+from aidspark.sources import xml_standin as XS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +43,36 @@ Q_YEAR = 1998
 Q_TERM = "#00000012"
 
 
+# Year range of the file-selection query.
+FILE_YEARS = (1996, 1997)
+
+
+def _aid_xml(spark: SparkSession, sf_dir: str) -> str:
+    """Write the generated aid dump to a fresh shared scratch folder."""
+    return XS.write_aid_xml(prepare(spark), sf_dir, scratch_dir(spark, "aid-xml"))
+
+
+def _measure_xml(spark: SparkSession, sf_dir: str) -> str:
+    return XS.write_measure_xml(prepare(spark), sf_dir, scratch_dir(spark, "measure-xml"))
+
+
+def ingest_aid(spark: SparkSession, path: str, years=None) -> DataFrame:
+    """S1 end to end: scan, repair, parse, flatten, drop year 0, conform."""
+    flat = FL.flatten_aid(X.read_aid_xml(spark, path, years=years))
+    good, _rejected = FL.reject_invalid_year(flat)
+    return C.conform_schema(good, AID_SCHEMA)
+
+
+def ingest_measures(spark: SparkSession, path: str) -> DataFrame:
+    """S2 end to end."""
+    good, _rejected = FL.reject_invalid_year(FL.flatten_measure(X.read_measure_xml(spark, path)))
+    return C.conform_schema(good, MEASURE_SCHEMA)
+
+
+def _source_month(path_col="_file"):
+    return F.regexp_extract(F.col(path_col), r"OpenData_Aiuti_\d{4}_\d{2}", 0)
+
+
 def _aid_mart(fn) -> Query:
     return lambda spark, sf_dir: fn(_clean(spark, sf_dir))
 
@@ -71,4 +107,20 @@ def registry() -> dict[str, Query]:
         "join_by_cup_bridge": lambda sp, d: J.join_by_cup_bridge(_clean(sp, d), S.cup_bridge(sp, d)),
         "join_by_region": lambda sp, d: J.join_by_region(_clean(sp, d), S.territory(sp, d)),
     })
+    q.update({
+        "ingest_aid_xml": lambda sp, d: ingest_aid(sp, _aid_xml(sp, d)),
+        "flatten_aid": lambda sp, d: C.conform_schema(
+            FL.flatten_aid(X.read_aid_xml(sp, _aid_xml(sp, d))), AID_SCHEMA),
+        "reject_invalid_year": lambda sp, d: C.conform_schema(
+            FL.reject_invalid_year(FL.flatten_aid(X.read_aid_xml(sp, _aid_xml(sp, d))))[1], AID_SCHEMA),
+        "quarantine_malformed": lambda sp, d: X.parse_counts(
+            X.read_aid_xml(sp, _aid_xml(sp, d)), source=_source_month()),
+        "select_files_by_year": lambda sp, d: ingest_aid(sp, _aid_xml(sp, d), years=FILE_YEARS),
+        "ingest_measure_xml": lambda sp, d: ingest_measures(sp, _measure_xml(sp, d)),
+        "flatten_measure": lambda sp, d: C.conform_schema(
+            FL.flatten_measure(X.read_measure_xml(sp, _measure_xml(sp, d))), MEASURE_SCHEMA),
+        "conform_schema": lambda sp, d: C.conform_schema(
+            FL.flatten_measure(X.read_measure_xml(sp, _measure_xml(sp, d)))
+            .drop("link_aiuto").withColumn("extra", F.lit(1)), MEASURE_SCHEMA),
+    })
     return q

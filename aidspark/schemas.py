@@ -103,23 +103,28 @@ MEASURE_SCHEMA = StructType(
 MEASURE_COLUMNS = [f.name for f in MEASURE_SCHEMA]
 
 
+# Every leaf is read as an array of text: numbers and dates are parsed by our
+# expressions (so the missing/bad-value rules are ours, not the XML reader's),
+# and when a tag repeats the first occurrence wins, as in the source parser.
+LEAF = ArrayType(StringType())
+
+
 def _text_struct(tags):
-    # Every leaf is read as text; numbers and dates are parsed by expressions
-    # so that the missing/bad-value rules are ours, not the XML reader's.
-    return StructType([StructField(t, StringType()) for t in tags])
+    return StructType([StructField(t, LEAF) for t in tags])
 
 
 # Parse schema for one <AIUTO> record. Containers are arrays so that repeated
 # containers and repeated children are all kept.
 INSTRUMENT_XML = _text_struct([t for t, _ in INSTRUMENT_TEXT_FIELDS + INSTRUMENT_AMOUNT_FIELDS])
 COMPONENT_XML = StructType(
-    [StructField(t, StringType()) for t, _ in COMPONENT_FIELDS]
+    [StructField(t, LEAF) for t, _ in COMPONENT_FIELDS]
     + [StructField("STRUMENTI_AIUTO", ArrayType(StructType([
         StructField("STRUMENTO_AIUTO", ArrayType(INSTRUMENT_XML))])))]
 )
 AID_XML_SCHEMA = StructType(
-    [StructField(t, StringType()) for t, _ in GRANT_FIELDS]
+    [StructField(t, LEAF) for t, _ in GRANT_FIELDS]
     + [StructField("COMPONENTI_AIUTO", ArrayType(StructType([
         StructField("COMPONENTE_AIUTO", ArrayType(COMPONENT_XML))])))]
 )
 MEASURE_XML_SCHEMA = _text_struct([t for t, _n, _k in MEASURE_FIELDS])
+CORRUPT_COL = "_corrupt_record"
