@@ -305,9 +305,46 @@ WHERE anno != 0 AND _file_year BETWEEN {FILE_YEARS[0]} AND {FILE_YEARS[1]}""",
 }
 
 
+# ---------------------------------------------------------------- value functions
+from aidspark.sources import text_standin as TS  # noqa: E402
+
+# RE2 has no look-ahead: consume the following character and put it back.
+_WS = r"[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+_INT_RE = "[+-]?[0-9](_?[0-9])*"
+_FLOAT_RE = r"[+-]?(([0-9](_?[0-9])*(\.([0-9](_?[0-9])*)?)?)|(\.[0-9](_?[0-9])*))([eE][+-]?[0-9](_?[0-9])*)?"
+
+
+def _norm_sql(x: str) -> str:
+    return f"COALESCE(trim(regexp_replace({x}, '{_WS}', ' ', 'g')), '')"
+
+
+def _vals(kind: str, outs: str) -> str:
+    return f"WITH v AS ({TS.text_values_sql(kind)})\nSELECT l_orderkey, l_linenumber, testo, {outs} FROM v"
+
+
+_AMT = f"replace({_norm_sql('testo')}, ',', '.')"
+_P0, _P1 = "trim(split_part(testo, '-', 1))", "trim(split_part(testo, '-', 2))"
+_YM_OK = (f"(testo != '' AND regexp_full_match({_P0}, '{_INT_RE}') AND "
+          f"(len(string_split(testo, '-')) < 2 OR regexp_full_match({_P1}, '{_INT_RE}')))")
+VALUES = {
+    "scrub_control_chars": _vals("control", r"regexp_replace(testo, '[\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g') AS pulito"),
+    "repair_truncated_tags": _vals("tag", "regexp_replace(regexp_replace(testo, "
+                                   "'BASE_GIURIDICA_NAZ([^A-Z_]|$)', 'BASE_GIURIDICA_NAZIONALE\\1', 'g'), "
+                                   "'IMPORTO_NOMIN([^A-Z_]|$)', 'IMPORTO_NOMINALE\\1', 'g') AS pulito"),
+    "normalize_text": _vals("space", f"{_norm_sql('testo')} AS pulito"),
+    "parse_amount": _vals("amount", f"CASE WHEN {_AMT} != '' AND (regexp_full_match({_AMT}, '{_FLOAT_RE}') "
+                                    f"OR regexp_full_match(lower({_AMT}), '[+-]?(nan|inf|infinity)')) "
+                                    f"THEN TRY_CAST(replace({_AMT}, '_', '') AS DOUBLE) END AS importo"),
+    "year_month": _vals("date", f"CASE WHEN {_YM_OK} THEN CAST(replace({_P0}, '_', '') AS INT) ELSE 0 END AS anno, "
+                                f"CASE WHEN {_YM_OK} AND len(string_split(testo, '-')) >= 2 "
+                                f"THEN CAST(replace({_P1}, '_', '') AS INT) ELSE 0 END AS mese"),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = dict(MARTS)
     out.update(INGEST)
+    out.update(VALUES)
     out.update(ANALYSIS)
     out.update(JOINS)
     return out

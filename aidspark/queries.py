@@ -21,7 +21,9 @@ from aidspark.schemas import AID_SCHEMA, MEASURE_SCHEMA
 from aidspark.session import prepare, scratch_dir
 from aidspark.sources import standin as S
 from aidspark.sources import xml as X
+from aidspark.sources import text_standin as TS
 from aidspark.sources import xml_standin as XS
+from aidspark.functions import text as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,4 +125,20 @@ def registry() -> dict[str, Query]:
             FL.flatten_measure(X.read_measure_xml(sp, _measure_xml(sp, d)))
             .drop("link_aiuto").withColumn("extra", F.lit(1)), MEASURE_SCHEMA),
     })
+    def values(kind, *outs):
+        def run(sp, d):
+            t = TS.text_values(prepare(sp), d, kind)
+            return t.select("l_orderkey", "l_linenumber", "testo", *[fn(F.col("testo")).alias(n) for n, fn in outs])
+        return run
+
+    def ym(i):
+        return lambda c: T.year_month(c)[i]
+
+    q.update({
+        "scrub_control_chars": values("control", ("pulito", T.scrub_control_chars)),
+        "repair_truncated_tags": values("tag", ("pulito", T.repair_truncated_tags)),
+        "normalize_text": values("space", ("pulito", T.normalize_text)),
+        "parse_amount": values("amount", ("importo", T.parse_amount)),
+        "year_month": values("date", ("anno", ym(0)), ("mese", ym(1))),
+    })
     return q
