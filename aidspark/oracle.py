@@ -341,10 +341,49 @@ VALUES = {
 }
 
 
+# ---------------------------------------------------------------- storage
+from aidspark.queries import (OVERWRITE_YEARS, READ_YEAR, REBUILD_YEARS,  # noqa: E402
+                              UPSERT_FROM_YEAR)
+from aidspark.operators.marts import AID_MARTS  # noqa: E402
+
+
+def _dedup_sql(where: str = "TRUE", cols: str = _AID_OUT) -> str:
+    return (f"SELECT {cols} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY cor, id_componente, "
+            f"cod_strumento ORDER BY {S.ARRIVAL_DESC_SQL}) AS rn FROM ({S.AID_RAW_ARRIVAL_SQL}) a "
+            f"WHERE {where}) d WHERE rn = 1")
+
+
+def _with_col(col: str, expr: str) -> str:
+    return ", ".join(f"{expr} AS {c}" if c == col else c for c in AID_COLUMNS)
+
+
+_YRS = ", ".join(str(y) for y in OVERWRITE_YEARS)
+STORAGE = {
+    "dedup_keep_last": _dedup_sql(),
+    "write_year_overwrite": f"""SELECT {_AID_OUT} FROM ({S.AID_RAW_SQL}) r WHERE anno NOT IN ({_YRS})
+UNION ALL {_dedup_sql(f"anno IN ({_YRS})")}""",
+    "upsert_append": f"""{_dedup_sql(f"anno < {UPSERT_FROM_YEAR}")}
+UNION ALL {_dedup_sql(f"anno >= {UPSERT_FROM_YEAR}",
+                      _with_col("soggetto_concedente", "soggetto_concedente || ' (agg.)'"))}""",
+    "rebuild_years": f"""SELECT {_with_col("soggetto_concedente", "soggetto_concedente || ' (vecchio)'")}
+FROM ({S.AID_RAW_SQL}) r WHERE anno NOT BETWEEN {REBUILD_YEARS[0]} AND {REBUILD_YEARS[1]}
+UNION ALL SELECT {_AID_OUT} FROM ({XS.AID_XML_FLAT_SQL}) t
+WHERE anno BETWEEN {REBUILD_YEARS[0]} AND {REBUILD_YEARS[1]}""",
+    "rebuild_measures": f"SELECT * FROM ({S.MEASURE_RAW_SQL}) t WHERE anno != 0",
+    "read_year": f"SELECT * FROM ({S.AID_RAW_SQL}) r WHERE anno = {READ_YEAR}",
+    "read_all_years": f"""SELECT *, CASE WHEN anno >= {UPSERT_FROM_YEAR} THEN 'lotto2' END AS fonte
+FROM ({S.AID_RAW_SQL}) r""",
+    "publish_layers": "\nUNION ALL\n".join(
+        [f"SELECT 'clean' AS layer, 'rna_aiuti_stato' AS tabella, COUNT(*) AS righe FROM ({MARTS['clean_aid']}) t"]
+        + [f"SELECT 'mart', '{n}', COUNT(*) FROM ({MARTS[n]}) t" for n in AID_MARTS]),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = dict(MARTS)
     out.update(INGEST)
     out.update(VALUES)
+    out.update(STORAGE)
     out.update(ANALYSIS)
     out.update(JOINS)
     return out

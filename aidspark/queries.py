@@ -14,10 +14,12 @@ from aidspark.operators import analysis as A
 from aidspark.operators import clean as C
 from aidspark.operators import joins as J
 from aidspark.operators import marts as M
+from aidspark.operators.dedup import dedup_keep_last
+from aidspark.plans import storage as ST
 from pyspark.sql import functions as F
 
 from aidspark.operators import flatten as FL
-from aidspark.schemas import AID_SCHEMA, MEASURE_SCHEMA
+from aidspark.schemas import AID_DEDUP_KEY, AID_SCHEMA, MEASURE_SCHEMA
 from aidspark.session import prepare, scratch_dir
 from aidspark.sources import standin as S
 from aidspark.sources import xml as X
@@ -75,6 +77,82 @@ def _source_month(path_col="_file"):
     return F.regexp_extract(F.col(path_col), r"OpenData_Aiuti_\d{4}_\d{2}", 0)
 
 
+# Years of the storage queries.
+OVERWRITE_YEARS = (1997, 1998)
+UPSERT_FROM_YEAR = 1998
+REBUILD_YEARS = (1996, 1997)
+READ_YEAR = 1997
+
+
+def _arrived(spark, sf_dir):
+    return S.aid_raw(prepare(spark), sf_dir, with_arrival=True)
+
+
+def q_dedup_keep_last(spark, sf_dir):
+    return dedup_keep_last(_arrived(spark, sf_dir), AID_DEDUP_KEY, "_arrival")
+
+
+def q_write_year_overwrite(spark, sf_dir):
+    """Write all years without dedup, then replace two years with deduped
+    rows from a batch that also carries other years (strays, not written)."""
+    base = scratch_dir(spark, "layer-raw")
+    raw = _arrived(spark, sf_dir)
+    ST.write_year_overwrite(raw, base)
+    ST.write_year_overwrite(raw, base, years=OVERWRITE_YEARS, dedup=True)
+    return ST.read_all_years(spark, base)
+
+
+def q_upsert_append(spark, sf_dir):
+    """Load years up to 1998 (deduped), then upsert a changed batch of years
+    from 1998 on: 1998 keys exist in both batches and the new rows win."""
+    base = scratch_dir(spark, "layer-upsert")
+    raw = _arrived(spark, sf_dir)
+    ST.write_year_overwrite(raw.where(F.col("anno") <= UPSERT_FROM_YEAR), base, dedup=True)
+    new = (raw.where(F.col("anno") >= UPSERT_FROM_YEAR)
+           .withColumn("soggetto_concedente", F.concat("soggetto_concedente", F.lit(" (agg.)"))))
+    ST.upsert_append(spark, new, base)
+    return ST.read_all_years(spark, base)
+
+
+def q_rebuild_years(spark, sf_dir):
+    """Rebuild two years from the XML dump over an existing table."""
+    base = scratch_dir(spark, "layer-rebuild")
+    old = S.aid_raw(prepare(spark), sf_dir).withColumn(
+        "soggetto_concedente", F.concat("soggetto_concedente", F.lit(" (vecchio)")))
+    ST.write_year_overwrite(old, base)
+    ST.rebuild_years(spark, _aid_xml(spark, sf_dir), base, *REBUILD_YEARS)
+    return ST.read_all_years(spark, base)
+
+
+def q_rebuild_measures(spark, sf_dir):
+    path = scratch_dir(spark, "measures")
+    ST.rebuild_measures(spark, _measure_xml(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+def q_read_year(spark, sf_dir):
+    base = scratch_dir(spark, "layer-read")
+    ST.write_year_overwrite(S.aid_raw(prepare(spark), sf_dir), base)
+    return ST.read_year(spark, base, READ_YEAR)
+
+
+def q_read_all_years(spark, sf_dir):
+    """Two loads with different columns, read back united by name."""
+    base = scratch_dir(spark, "layer-merge")
+    raw = S.aid_raw(prepare(spark), sf_dir)
+    ST._write_years(raw.where(F.col("anno") < UPSERT_FROM_YEAR), base)
+    ST._write_years(raw.where(F.col("anno") >= UPSERT_FROM_YEAR).withColumn("fonte", F.lit("lotto2")), base)
+    return ST.read_all_years(spark, base)
+
+
+def q_publish_layers(spark, sf_dir):
+    clean = _clean(spark, sf_dir)
+    marts = {name: fn(clean) for name, fn in M.AID_MARTS.items()}
+    root = scratch_dir(spark, "publish")
+    return ST.publish_layers(spark, root, "rna_aiuti_stato", "tutti",
+                             {"clean": {"rna_aiuti_stato": clean}, "mart": marts})
+
+
 def _aid_mart(fn) -> Query:
     return lambda spark, sf_dir: fn(_clean(spark, sf_dir))
 
@@ -125,6 +203,17 @@ def registry() -> dict[str, Query]:
             FL.flatten_measure(X.read_measure_xml(sp, _measure_xml(sp, d)))
             .drop("link_aiuto").withColumn("extra", F.lit(1)), MEASURE_SCHEMA),
     })
+    q.update({
+        "dedup_keep_last": q_dedup_keep_last,
+        "write_year_overwrite": q_write_year_overwrite,
+        "upsert_append": q_upsert_append,
+        "rebuild_years": q_rebuild_years,
+        "rebuild_measures": q_rebuild_measures,
+        "read_year": q_read_year,
+        "read_all_years": q_read_all_years,
+        "publish_layers": q_publish_layers,
+    })
+
     def values(kind, *outs):
         def run(sp, d):
             t = TS.text_values(prepare(sp), d, kind)

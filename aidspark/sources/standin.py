@@ -43,6 +43,11 @@ def _case(col, pairs, other):
     return expr.otherwise(F.lit(other))
 
 
+# Total order over line items standing in for file order (keep-last tests).
+ARRIVAL_COLS = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
+                "l_discount", "l_tax"]
+
+
 def aid_raw(spark: SparkSession, sf_dir: str, with_arrival: bool = False) -> DataFrame:
     """Raw aid layer stand-in: 31 columns, grain = one instrument row.
 
@@ -99,7 +104,7 @@ def aid_raw(spark: SparkSession, sf_dir: str, with_arrival: bool = False) -> Dat
     }
     out = [cols[k].alias(k) for k in AID_COLUMNS]
     if with_arrival:
-        out.append(F.struct("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice").alias("_arrival"))
+        out.append(F.struct(*ARRIVAL_COLS).alias("_arrival"))
     return j.select(*out)
 
 
@@ -231,8 +236,10 @@ AID_FROM_SQL = """
 
 AID_RAW_SQL = f"SELECT {AID_COLS_SQL}{AID_FROM_SQL}"
 # With the arrival order as plain columns (for keep-last oracles).
-AID_RAW_ARRIVAL_SQL = (f"SELECT {AID_COLS_SQL}, l.l_shipdate AS _a1, l.l_partkey AS _a2, "
-                       f"l.l_suppkey AS _a3, l.l_extendedprice AS _a4{AID_FROM_SQL}")
+AID_RAW_ARRIVAL_SQL = (f"SELECT {AID_COLS_SQL}, "
+                       + ", ".join(f"l.{c} AS _a{i}" for i, c in enumerate(ARRIVAL_COLS))
+                       + AID_FROM_SQL)
+ARRIVAL_DESC_SQL = ", ".join(f"_a{i} DESC" for i in range(len(ARRIVAL_COLS)))
 
 
 def _measure_window_sql(shift: int, end_sql: str, where: str = "") -> str:
