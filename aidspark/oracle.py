@@ -379,11 +379,83 @@ FROM ({S.AID_RAW_SQL}) r""",
 }
 
 
+# ---------------------------------------------------------------- quality and catalog
+from aidspark.operators import quality as QR  # noqa: E402
+from aidspark.queries import INDEX_FROM_YEAR, REGISTERED_AID_MARTS, STANDIN_COVERAGE  # noqa: E402
+
+_MEAS = f"({S.MEASURE_RAW_SQL})"
+
+
+def _min_rows(name: str, body: str, n: int) -> str:
+    return (f"SELECT '{name}' AS tabella, COUNT(*) AS righe, CAST({n} AS BIGINT) AS minimo, "
+            f"COUNT(*) >= {n} AS esito FROM ({body}) t")
+
+
+def _not_null(name: str, body: str, cols) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS tabella, '{c}' AS colonna, CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) "
+        f"AS nulli, SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) = 0 AS esito FROM ({body}) t" for c in cols)
+
+
+def _manifest(body: str, origin: str | None = None) -> str:
+    first, last, last_m = STANDIN_COVERAGE
+    exp = f"(CASE WHEN anno < {first} OR anno > {last} THEN 0 WHEN anno = {last} THEN {last_m} ELSE 12 END)"
+    months = "list_distinct(list(mese) FILTER (WHERE mese BETWEEN 1 AND 12))"
+    tag = f", '{origin}' AS origine" if origin else ""
+    return f"""SELECT anno, COUNT(*) AS righe, array_to_string(list_sort({months}), ',') AS mesi,
+       CAST(len({months}) AS BIGINT) AS n_mesi, {exp} AS mesi_attesi,
+       CASE WHEN {exp} = 0 THEN CAST(0 AS DOUBLE)
+            ELSE least(CAST(1 AS DOUBLE), round_even(len({months}) / {exp}, 2)) END AS completezza{tag}
+FROM ({body}) t GROUP BY anno"""
+
+
+_CLEAN_SQL = MARTS["clean_aid"]
+_RAW_SQL = f"{WITH_RAW} SELECT * FROM raw"
+_CLEAN_NN = QR.AID_CLEAN_RULES["not_null"]
+_CLEAN_MIN = QR.AID_CLEAN_RULES["min_rows"]
+_CLEAN_PASSED = " + ".join([f"CASE WHEN COUNT(*) >= {_CLEAN_MIN} THEN 1 ELSE 0 END"] + [
+    f"CASE WHEN SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) = 0 THEN 1 ELSE 0 END" for c in _CLEAN_NN])
+_MART_COUNTS = " + ".join(f"(SELECT COUNT(*) FROM ({MARTS[fn]}) t)" for fn in REGISTERED_AID_MARTS.values())
+_OBJ = MARTS["mart_per_obiettivo"]
+
+
+def _signal(layer, rows, checks, passed):
+    return (f"SELECT '{layer}' AS layer, CAST({rows} AS BIGINT) AS righe, CAST({checks} AS BIGINT) AS controlli, "
+            f"CAST({passed} AS BIGINT) AS superati, CASE WHEN {checks} = 0 THEN 100 ELSE "
+            f"CAST(floor(({passed}) * 100.0 / {checks}) AS INTEGER) END AS punteggio_qualita, "
+            f"CASE WHEN ({passed}) = {checks} THEN 'SUCCESS' ELSE 'WARNING' END AS stato")
+
+
+QUALITY = {
+    "dq_min_rows": "\nUNION ALL\n".join(
+        [_min_rows("rna_aiuti_stato.clean", _CLEAN_SQL, _CLEAN_MIN),
+         _min_rows("rna_misure.clean", f"SELECT * FROM {_MEAS} m", QR.MEASURE_CLEAN_RULES["min_rows"]),
+         _min_rows("mart_aiuti_per_obiettivo", _OBJ, 10)]
+        + [_min_rows(n, MARTS[n], QR.MEASURE_MART_RULES[n]["min_rows"]) for n in
+           ("mart_misure_per_tipo", "mart_misure_attive", "mart_top_misure")]),
+    "dq_not_null": _not_null("rna_aiuti_stato.clean", _CLEAN_SQL, _CLEAN_NN) + "\nUNION ALL\n"
+                   + _not_null("rna_misure.clean", f"SELECT * FROM {_MEAS} m", QR.MEASURE_CLEAN_RULES["not_null"]),
+    "dq_primary_key": f"""SELECT cor, id_componente, cod_strumento, COUNT(*) AS occorrenze FROM ({_RAW_SQL}) t
+GROUP BY cor, id_componente, cod_strumento HAVING COUNT(*) > 1""",
+    "run_signal": "\nUNION ALL\n".join([
+        f"SELECT * FROM ({_signal('raw', f'(SELECT COUNT(*) FROM ({_RAW_SQL}) t)', 0, 0)})",
+        f"SELECT * FROM ({_signal('clean', 'COUNT(*)', 1 + len(_CLEAN_NN), _CLEAN_PASSED)} FROM ({_CLEAN_SQL}) t)",
+        f"SELECT * FROM ({_signal('mart', _MART_COUNTS, 3, f'(SELECT CASE WHEN COUNT(*) >= 10 THEN 1 ELSE 0 END FROM ({_OBJ}) o) + 2')})",
+    ]),
+    "manifest_by_year": _manifest(_RAW_SQL),
+    "manifest_index": _manifest(_dedup_sql(f"anno >= {INDEX_FROM_YEAR}"), "corrente") + "\nUNION ALL\n"
+                      + f"SELECT * FROM ({_manifest(_RAW_SQL, 'precedente')}) p WHERE anno < {INDEX_FROM_YEAR}",
+    "manifest_measures": f"SELECT COUNT(*) AS righe, CAST(20 AS BIGINT) AS campi FROM {_MEAS} m",
+    "file_summary": f"SELECT anno, COUNT(*) AS righe FROM ({_RAW_SQL}) t GROUP BY ROLLUP (anno)",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = dict(MARTS)
     out.update(INGEST)
     out.update(VALUES)
     out.update(STORAGE)
+    out.update(QUALITY)
     out.update(ANALYSIS)
     out.update(JOINS)
     return out

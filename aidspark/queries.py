@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from aidspark.operators import analysis as A
 from aidspark.operators import clean as C
 from aidspark.operators import joins as J
+from aidspark.operators import catalog as CT
 from aidspark.operators import marts as M
+from aidspark.operators import quality as Q
 from aidspark.operators.dedup import dedup_keep_last
 from aidspark.plans import storage as ST
 from pyspark.sql import functions as F
@@ -153,6 +155,80 @@ def q_publish_layers(spark, sf_dir):
                              {"clean": {"rna_aiuti_stato": clean}, "mart": marts})
 
 
+# Publication window of the stand-in register (first year, last year, months
+# published in the last year), used by the manifests.
+STANDIN_COVERAGE = (1995, 2001, 8)
+INDEX_FROM_YEAR = 1998
+# Register names of the marts the aid configuration publishes.
+REGISTERED_AID_MARTS = {
+    "mart_aiuti_per_regione": "mart_per_regione",
+    "mart_aiuti_per_procedimento": "mart_per_procedimento",
+    "mart_aiuti_top_beneficiari": "mart_top_beneficiari",
+    "mart_aiuti_per_obiettivo": "mart_per_obiettivo",
+    "mart_aiuti_per_strumento": "mart_per_strumento",
+    "mart_aiuti_tipo_beneficiario": "mart_tipo_beneficiario",
+    "mart_aiuti_settore_regione": "mart_settore_regione",
+}
+
+
+def q_dq_min_rows(spark, sf_dir):
+    clean, meas = _clean(spark, sf_dir), _measures(spark, sf_dir)
+    checks = [Q.dq_min_rows(clean, Q.AID_CLEAN_RULES["min_rows"], "rna_aiuti_stato.clean"),
+              Q.dq_min_rows(meas, Q.MEASURE_CLEAN_RULES["min_rows"], "rna_misure.clean"),
+              Q.dq_min_rows(M.mart_per_obiettivo(clean),
+                            Q.AID_MART_RULES["mart_aiuti_per_obiettivo"]["min_rows"], "mart_aiuti_per_obiettivo")]
+    for name, fn in M.MEASURE_MARTS.items():
+        checks.append(Q.dq_min_rows(fn(meas), Q.MEASURE_MART_RULES[name]["min_rows"], name))
+    out = checks[0]
+    for c in checks[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+def q_dq_not_null(spark, sf_dir):
+    return Q.dq_not_null(_clean(spark, sf_dir), Q.AID_CLEAN_RULES["not_null"], "rna_aiuti_stato.clean") \
+        .unionByName(Q.dq_not_null(_measures(spark, sf_dir), Q.MEASURE_CLEAN_RULES["not_null"], "rna_misure.clean"))
+
+
+def q_dq_primary_key(spark, sf_dir):
+    return Q.dq_primary_key(_raw(spark, sf_dir), AID_DEDUP_KEY)
+
+
+def q_run_signal(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    clean = C.clean_aid(raw)
+    marts = {reg: getattr(M, fn)(clean) for reg, fn in REGISTERED_AID_MARTS.items()}
+    mart_rows = None
+    for m in marts.values():
+        one = m.select(F.lit(1).alias("x"))
+        mart_rows = one if mart_rows is None else mart_rows.unionByName(one)
+    clean_gates = Q.dq_min_rows(clean, Q.AID_CLEAN_RULES["min_rows"], "clean").select("esito").unionByName(
+        Q.dq_not_null(clean, Q.AID_CLEAN_RULES["not_null"], "clean").select("esito"))
+    mart_gates = Q.dq_min_rows(marts["mart_aiuti_per_obiettivo"], 10, "m").select("esito").unionByName(
+        Q.dq_required_tables(spark, list(marts), Q.AID_REQUIRED_MARTS).select(F.col("presente").alias("esito")))
+    return Q.run_signal({"raw": raw, "clean": clean, "mart": mart_rows},
+                        {"clean": clean_gates, "mart": mart_gates})
+
+
+def q_manifest_by_year(spark, sf_dir):
+    return CT.manifest_by_year(_raw(spark, sf_dir), STANDIN_COVERAGE)
+
+
+def q_manifest_index(spark, sf_dir):
+    """Previous index from the raw layer; the current run re-loads the years
+    from INDEX_FROM_YEAR deduplicated; earlier years are carried over."""
+    previous = CT.manifest_by_year(_raw(spark, sf_dir), STANDIN_COVERAGE)
+    current_rows = dedup_keep_last(_arrived(spark, sf_dir).where(F.col("anno") >= INDEX_FROM_YEAR),
+                                   AID_DEDUP_KEY, "_arrival")
+    return CT.manifest_index(CT.manifest_by_year(current_rows, STANDIN_COVERAGE), previous)
+
+
+def q_file_summary(spark, sf_dir):
+    base = scratch_dir(spark, "layer-files")
+    ST.write_year_overwrite(_raw(spark, sf_dir), base)
+    return CT.file_summary(spark, base).select("anno", "righe")
+
+
 def _aid_mart(fn) -> Query:
     return lambda spark, sf_dir: fn(_clean(spark, sf_dir))
 
@@ -212,6 +288,14 @@ def registry() -> dict[str, Query]:
         "read_year": q_read_year,
         "read_all_years": q_read_all_years,
         "publish_layers": q_publish_layers,
+        "dq_min_rows": q_dq_min_rows,
+        "dq_not_null": q_dq_not_null,
+        "dq_primary_key": q_dq_primary_key,
+        "run_signal": q_run_signal,
+        "manifest_by_year": q_manifest_by_year,
+        "manifest_index": q_manifest_index,
+        "manifest_measures": lambda sp, d: CT.manifest_measures(_measures(sp, d)),
+        "file_summary": q_file_summary,
     })
 
     def values(kind, *outs):
