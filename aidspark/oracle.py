@@ -450,12 +450,21 @@ GROUP BY cor, id_componente, cod_strumento HAVING COUNT(*) > 1""",
 }
 
 
+_ARR_DESC = ", ".join(f"_a{i} DESC" for i in range(len(S.ARRIVAL_COLS)))
+STREAMING = {
+    "incremental_load": f"""SELECT {_AID_OUT} FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY cor, id_componente, cod_strumento ORDER BY {_ARR_DESC}) AS rn
+  FROM ({XS.AID_XML_ARRIVAL_SQL}) t) d WHERE rn = 1""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = dict(MARTS)
     out.update(INGEST)
     out.update(VALUES)
     out.update(STORAGE)
     out.update(QUALITY)
+    out.update(STREAMING)
     out.update(ANALYSIS)
     out.update(JOINS)
     return out

@@ -229,6 +229,25 @@ def q_file_summary(spark, sf_dir):
     return CT.file_summary(spark, base).select("anno", "righe")
 
 
+DROP_SPLIT_YEAR = 1998
+
+
+def q_incremental_load(spark, sf_dir):
+    """Two monthly drops land in the inbox; each availableNow run merges only
+    the files it has not seen (keep-last by key within and across drops)."""
+    from aidspark.streaming.incremental import incremental_load
+    spark = prepare(spark)
+    inbox, ckpt = scratch_dir(spark, "inbox"), scratch_dir(spark, "stream-ckpt")
+    table = scratch_dir(spark, "layer-stream")
+    recs = XS.aid_xml_records(spark, sf_dir, with_arrival=True)
+    year = F.substring(F.col("f"), 16, 4).cast("int")
+    XS.write_records(recs.where(year < DROP_SPLIT_YEAR), f"{inbox}/drop1", ordered=True)
+    incremental_load(spark, inbox, table, ckpt)
+    XS.write_records(recs.where(year >= DROP_SPLIT_YEAR), f"{inbox}/drop2", ordered=True)
+    incremental_load(spark, inbox, table, ckpt)
+    return spark.read.parquet(table)
+
+
 def _aid_mart(fn) -> Query:
     return lambda spark, sf_dir: fn(_clean(spark, sf_dir))
 
@@ -296,6 +315,7 @@ def registry() -> dict[str, Query]:
         "manifest_index": q_manifest_index,
         "manifest_measures": lambda sp, d: CT.manifest_measures(_measures(sp, d)),
         "file_summary": q_file_summary,
+        "incremental_load": q_incremental_load,
     })
 
     def values(kind, *outs):

@@ -37,14 +37,22 @@ def record_text(spark: SparkSession, path: str | list[str], tag: str,
               .option("recursiveFileLookup", "true"))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    raw = reader.text(path)
-    chunks = raw.select(F.col("_metadata.file_path").alias("_file"),
-                        F.col("_metadata.file_block_start").alias("_block"),
-                        F.monotonically_increasing_id().alias("_seq"),
-                        F.col("value"))
-    # From the record's open tag (optionally prefixed, optionally with
-    # attributes) to the end of the chunk; the header before the first record
-    # and the trailer after the last are dropped.
+    return to_records(with_position(reader.text(path)), tag)
+
+
+def with_position(raw: DataFrame) -> DataFrame:
+    """File path, split offset and in-split sequence of each text chunk.
+    Must be applied right after the scan (before any shuffle)."""
+    return raw.select(F.col("_metadata.file_path").alias("_file"),
+                      F.col("_metadata.file_block_start").alias("_block"),
+                      F.monotonically_increasing_id().alias("_seq"), F.col("value"))
+
+
+def to_records(chunks: DataFrame, tag: str) -> DataFrame:
+    """Cut each chunk (text up to a close tag) to its record. From the record's
+    open tag (optionally prefixed, optionally with attributes) to the end of
+    the chunk; the header before the first record and the trailer after the
+    last are dropped. Namespace prefixes are removed from tag names."""
     body = F.regexp_extract(F.col("value"), rf"(?s)(<(?:[A-Za-z_][\w.\-]*:)?{tag}(?:\s[^>]*)?>.*)$", 1)
     rec = F.concat(F.regexp_replace(body, _PREFIX, "<$1"), F.lit(f"</{tag}>"))
     return chunks.where(body != "").select("_file", "_block", "_seq", rec.alias("record"))

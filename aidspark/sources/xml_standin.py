@@ -51,9 +51,10 @@ def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey))
 
 
-def aid_xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(f, value): target file stem and one ``<AIUTO>`` record text."""
-    a = S.aid_raw(spark, sf_dir)
+def aid_xml_records(spark: SparkSession, sf_dir: str, with_arrival: bool = False) -> DataFrame:
+    """(f, value): target file stem and one ``<AIUTO>`` record text; with
+    ``_arrival`` (the stand-in row order) when asked."""
+    a = S.aid_raw(spark, sf_dir, with_arrival=with_arrival)
     line = F.col("id_componente")
     grant_cols = {col: F.col(col) for _t, col in GRANT_FIELDS}
     name = F.col("denominazione_beneficiario")
@@ -90,7 +91,8 @@ def aid_xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(line == MALFORMED_LINE, F.lit("<NOTE>unclosed")).otherwise(F.lit("")),
         F.lit("</AIUTO>"))
     stem = F.format_string("OpenData_Aiuti_%04d_%02d", F.col("anno"), F.col("mese"))
-    lines = a.select(stem.alias("f"), record.alias("value"))
+    extra = ["_arrival"] if with_arrival else []
+    lines = a.select(stem.alias("f"), record.alias("value"), *extra)
 
     orph = _orphans(spark, sf_dir)
     date = F.col("o_orderdate").cast("date").cast("string")
@@ -106,7 +108,19 @@ def aid_xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                        *[_elem(tag, ogrant[col]) for tag, col in GRANT_FIELDS if col in ogrant],
                        F.lit("</AIUTO>"))
     ostem = F.format_string("OpenData_Aiuti_%04d_%02d", F.year("o_orderdate"), F.month("o_orderdate"))
-    return lines.unionByName(orph.select(ostem.alias("f"), orecord.alias("value")))
+    oextra = [F.lit(None).cast(a.schema["_arrival"].dataType).alias("_arrival")] if with_arrival else []
+    return lines.unionByName(orph.select(ostem.alias("f"), orecord.alias("value"), *oextra))
+
+
+def write_records(records: DataFrame, out_dir: str, ordered: bool = False) -> str:
+    """Write (f, value[, _arrival]) rows as text, one folder per stem. With
+    ``ordered``, records are range-partitioned and sorted by (stem, arrival),
+    so part-file name order and position inside a file follow arrival order."""
+    if ordered:
+        records = (records.repartitionByRange("f", "_arrival")
+                   .sortWithinPartitions("f", "_arrival"))
+    records.select("f", "value").write.mode("overwrite").partitionBy("f").text(out_dir)
+    return out_dir
 
 
 def write_aid_xml(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
@@ -181,6 +195,16 @@ SELECT {_orphan_twin_cols()}
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)"""
 
+# Well-formed, dated rows with the stand-in arrival order (NULL for orphans).
+AID_XML_ARRIVAL_SQL = f"""
+SELECT {_aid_twin_cols()}, {", ".join(f"_a{i}" for i in range(len(S.ARRIVAL_COLS)))}
+FROM ({S.AID_RAW_ARRIVAL_SQL}) a WHERE id_componente != '{MALFORMED_LINE}' AND anno != 0
+UNION ALL
+SELECT * EXCLUDE (_file_year, _file_month), {", ".join(f"NULL AS _a{i}" for i in range(len(S.ARRIVAL_COLS)))}
+FROM ({"SELECT " + _orphan_twin_cols()}
+      FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+      WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)) x WHERE anno != 0"""
+
 # Every record written, with its file and whether it is malformed.
 AID_XML_RECORDS_SQL = f"""
 SELECT printf('OpenData_Aiuti_%04d_%02d', anno, mese) AS fonte,
