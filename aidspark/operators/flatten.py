@@ -30,16 +30,29 @@ def _children(container: Column, child: str) -> Column:
     return F.flatten(F.transform(kept, lambda x: x[child]))
 
 
-def flatten_aid(parsed: DataFrame, keep_corrupt: bool = False) -> DataFrame:
-    """Parsed ``<AIUTO>`` records -> 31-column rows plus ``_arrival``.
+STATUS = "_stato"
+# --- fixed values: row status of an ingest ------------------------------------
+OK, YEAR_ZERO, CORRUPT, EMPTY = "ok", "anno_zero", "corrotto", "vuoto"
+
+
+def _status(present: Column, corrupt: Column, year: Column) -> Column:
+    return (F.when(~present, F.lit(EMPTY)).when(corrupt.isNotNull(), F.lit(CORRUPT))
+            .when(year == 0, F.lit(YEAR_ZERO)).otherwise(F.lit(OK)))
+
+
+def flatten_aid(parsed: DataFrame) -> DataFrame:
+    """Parsed ``<AIUTO>`` records -> 31-column rows plus ``_arrival``,
+    ``_stato`` and the corrupt text.
 
     ``_arrival`` = (file, split offset, record order, component position,
     instrument position): the row's position in the source, used for keep-last
-    dedup. Grant fields are projected before exploding, so each output row
-    copies flat columns, not the nested record."""
-    good = parsed if keep_corrupt else parsed.where(F.col(f"r.{CORRUPT_COL}").isNull())
-    grant = good.select(
-        "_file", "_block", "_seq", F.col(f"r.{CORRUPT_COL}").alias(CORRUPT_COL),
+    dedup. ``_stato`` is ok / anno_zero / corrotto / vuoto; nothing is
+    filtered, so a writer can split the statuses in the same pass. Grant
+    fields are projected before exploding, so each output row copies flat
+    columns, not the nested record."""
+    grant = parsed.select(
+        "_file", "_block", "_seq", F.col("r").isNotNull().alias("_present"),
+        F.col(f"r.{CORRUPT_COL}").alias(CORRUPT_COL),
         *[_text("r", tag).alias(col) for tag, col in GRANT_FIELDS],
         F.posexplode_outer(_children(F.col("r.COMPONENTI_AIUTO"), "COMPONENTE_AIUTO")).alias("_ci", "c"))
     comp = grant.select(
@@ -52,15 +65,16 @@ def flatten_aid(parsed: DataFrame, keep_corrupt: bool = False) -> DataFrame:
         *[_text("s", tag).alias(col) for tag, col in INSTRUMENT_TEXT_FIELDS],
         *[parse_amount(F.get(F.col(f"s.{tag}"), 0)).alias(col) for tag, col in INSTRUMENT_AMOUNT_FIELDS],
         y.alias("anno"), m.alias("mese"))
-    extra = [CORRUPT_COL, "_file"] if keep_corrupt else []
     return inst.select(*AID_COLUMNS,
-                       F.struct("_file", "_block", "_seq", "_ci", "_ii").alias(ARRIVAL), *extra)
+                       F.struct("_file", "_block", "_seq", "_ci", "_ii").alias(ARRIVAL),
+                       _status(F.col("_present"), F.col(CORRUPT_COL), F.col("anno")).alias(STATUS),
+                       CORRUPT_COL, "_file")
 
 
 def flatten_measure(parsed: DataFrame) -> DataFrame:
-    """Parsed ``<MISURA>`` records -> 20-column rows (one per measure).
-    Year and month come from the first 10 characters of the start date."""
-    good = parsed.where(F.col(f"r.{CORRUPT_COL}").isNull())
+    """Parsed ``<MISURA>`` records -> 20-column rows (one per measure) plus
+    ``_arrival`` and ``_stato``. Year and month come from the first 10
+    characters of the start date."""
     cols = {}
     for tag, col, kind in MEASURE_FIELDS:
         first = F.get(F.col(f"r.{tag}"), 0)
@@ -68,12 +82,20 @@ def flatten_measure(parsed: DataFrame) -> DataFrame:
     start = cols["data_inizio_misura"]
     y, m = year_month(F.substring(start, 1, 10))
     cols["anno"], cols["mese"] = y, m
-    return good.select(*[cols[c].alias(c) for c in MEASURE_COLUMNS],
-                       F.struct("_file", "_block", "_seq").alias(ARRIVAL))
+    flat = parsed.select(*[cols[c].alias(c) for c in MEASURE_COLUMNS],
+                         F.struct("_file", "_block", "_seq").alias(ARRIVAL),
+                         F.col("r").isNotNull().alias("_present"), F.col(f"r.{CORRUPT_COL}").alias(CORRUPT_COL))
+    return flat.select(*MEASURE_COLUMNS, ARRIVAL,
+                       _status(F.col("_present"), F.col(CORRUPT_COL), F.col("anno")).alias(STATUS))
+
+
+def good_rows(flat: DataFrame) -> DataFrame:
+    """Rows of well-formed records with a year (lazy filter; prefer splitting
+    a written staging table, see ``plans.storage.stage_xml``)."""
+    return flat.where(F.col(STATUS) == OK)
 
 
 def reject_invalid_year(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows with a year, rows with year 0). Both are lazy filters of the
-    same input; write them in one job by partitioning on validity if needed."""
+    """(rows with a year, rows with year 0), as lazy filters."""
     ok = F.col("anno") != 0
     return rows.where(ok), rows.where(~ok)

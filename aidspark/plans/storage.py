@@ -23,7 +23,8 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from aidspark.operators.clean import conform_schema
 from aidspark.operators.dedup import dedup_keep_last
-from aidspark.operators.flatten import ARRIVAL, flatten_aid, flatten_measure
+from aidspark.operators.flatten import (ARRIVAL, CORRUPT, OK, STATUS, YEAR_ZERO, flatten_aid,
+                                       flatten_measure)
 from aidspark.schemas import AID_DEDUP_KEY, AID_SCHEMA, CORRUPT_COL, MEASURE_SCHEMA
 from aidspark.session import scratch_dir
 from aidspark.sources import xml as X
@@ -101,46 +102,77 @@ def upsert_append(spark: SparkSession, new: DataFrame, path: str, dedup: bool =
     _write_years(spark.read.parquet(staging), path)
 
 
+def stage_xml(flat: DataFrame, path: str) -> str:
+    """Write flattened ingest rows once, partitioned by status and year.
+
+    Good rows, year-0 rejects (S14) and quarantined records (S15) come out of a
+    single parse: they are partitions of one write, not filters of the parse
+    (a filter would be pushed below ``from_xml`` and parse twice). The staged
+    copy also cuts the lineage: downstream steps re-read files, not XML."""
+    flat.write.mode("overwrite").option("compression", "zstd").partitionBy(STATUS, "anno").parquet(path)
+    return path
+
+
+def staged(spark: SparkSession, path: str, *statuses: str) -> DataFrame:
+    """Rows of the given statuses from a staged ingest (partition-pruned)."""
+    return spark.read.parquet(path).where(F.col(STATUS).isin(list(statuses))).drop(STATUS)
+
+
+def ingest_aid(spark: SparkSession, xml_path, staging: str, glob: str | None = None,
+               years: tuple[int, int] | None = None, statuses=(OK,)) -> DataFrame:
+    """S1 end to end: scan, repair, parse, flatten, stage; returns the rows of
+    the given statuses (default: good rows), 31 columns plus ``_arrival``."""
+    stage_xml(flatten_aid(X.read_aid_xml(spark, xml_path, glob=glob, years=years)), staging)
+    return staged(spark, staging, *statuses)
+
+
+def ingest_measures(spark: SparkSession, xml_path, staging: str, glob: str | None = None,
+                    statuses=(OK,)) -> DataFrame:
+    """S2 end to end (measures have no year partition in the final table, but
+    the staging split is the same)."""
+    stage_xml(flatten_measure(X.read_measure_xml(spark, xml_path, glob)), staging)
+    return staged(spark, staging, *statuses)
+
+
 @dataclass
 class RebuildOutputs:
     table: str
-    strays: str
-    rejected: str
-    quarantine: str
+    staging: str
 
 
 def rebuild_years(spark: SparkSession, xml_path: str, path: str, first_year: int, last_year: int,
                   glob: str | None = None) -> RebuildOutputs:
     """K5: rebuild a year range from the XML dump, without dedup.
 
-    One parse of the input: the flattened records (including corrupt ones) are
-    staged once in the shared scratch folder, which also cuts the lineage; the
-    year table, strays (valid years outside the range), year-0 rejects and
-    quarantined records are then written from the staged copy."""
-    parsed = X.read_aid_xml(spark, xml_path, glob=glob, years=(first_year, last_year))
-    staged_path = scratch_dir(spark, "rebuild-staging")
-    flatten_aid(parsed, keep_corrupt=True).write.mode("overwrite").parquet(staged_path)
-    staged = spark.read.parquet(staged_path)
-    good = staged.where(F.col(CORRUPT_COL).isNull())
-    in_range = F.col("anno").between(first_year, last_year)
-    out = RebuildOutputs(path, scratch_dir(spark, "strays"), scratch_dir(spark, "rejected"),
-                         scratch_dir(spark, "quarantine"))
-    _write_years(conform_schema(good.where(in_range), AID_SCHEMA), path)
-    conform_schema(good.where(~in_range & (F.col("anno") != 0)), AID_SCHEMA) \
-        .write.mode("overwrite").parquet(out.strays)
-    conform_schema(good.where(F.col("anno") == 0), AID_SCHEMA).write.mode("overwrite").parquet(out.rejected)
-    (staged.where(F.col(CORRUPT_COL).isNotNull())
-     .select("_file", F.col(CORRUPT_COL).alias("record"))
-     .write.mode("overwrite").parquet(out.quarantine))
-    return out
+    Only files named for the range are read. One parse: the flattened rows are
+    staged once in the shared scratch folder; the year table is then written
+    from the staged good rows of the target years. Strays (valid years
+    outside the range), year-0 rejects and quarantined records stay in the
+    staging table, partitioned by status and year, for inspection."""
+    stage = scratch_dir(spark, "rebuild-staging")
+    stage_xml(flatten_aid(X.read_aid_xml(spark, xml_path, glob=glob, years=(first_year, last_year))), stage)
+    good = staged(spark, stage, OK)
+    _write_years(conform_schema(good.where(F.col("anno").between(first_year, last_year)), AID_SCHEMA), path)
+    return RebuildOutputs(path, stage)
+
+
+def strays(spark: SparkSession, out: RebuildOutputs, first_year: int, last_year: int) -> DataFrame:
+    return staged(spark, out.staging, OK).where(~F.col("anno").between(first_year, last_year))
+
+
+def rejected(spark: SparkSession, staging: str) -> DataFrame:
+    return staged(spark, staging, YEAR_ZERO)
+
+
+def quarantined(spark: SparkSession, staging: str) -> DataFrame:
+    return staged(spark, staging, CORRUPT).select("_file", F.col(CORRUPT_COL).alias("record"))
 
 
 def rebuild_measures(spark: SparkSession, xml_path: str, path: str, glob: str | None = None) -> str:
     """K6: the cumulative measure table, rebuilt from all measure files (one
     unpartitioned table; rows without a start year are dropped)."""
-    m = flatten_measure(X.read_measure_xml(spark, xml_path, glob))
-    (conform_schema(m.where(F.col("anno") != 0), MEASURE_SCHEMA)
-     .write.mode("overwrite").option("compression", "zstd").parquet(path))
+    good = ingest_measures(spark, xml_path, scratch_dir(spark, "measure-staging"), glob)
+    conform_schema(good, MEASURE_SCHEMA).write.mode("overwrite").option("compression", "zstd").parquet(path)
     return path
 
 

@@ -62,17 +62,15 @@ def _measure_xml(spark: SparkSession, sf_dir: str) -> str:
     return XS.write_measure_xml(prepare(spark), sf_dir, scratch_dir(spark, "measure-xml"))
 
 
-def ingest_aid(spark: SparkSession, path: str, years=None) -> DataFrame:
-    """S1 end to end: scan, repair, parse, flatten, drop year 0, conform."""
-    flat = FL.flatten_aid(X.read_aid_xml(spark, path, years=years))
-    good, _rejected = FL.reject_invalid_year(flat)
-    return C.conform_schema(good, AID_SCHEMA)
+def ingest_aid(spark: SparkSession, path: str, years=None, statuses=(FL.OK,)) -> DataFrame:
+    """S1 end to end: scan, repair, parse, flatten, split by status, conform."""
+    return C.conform_schema(ST.ingest_aid(spark, path, scratch_dir(spark, "aid-staging"), years=years,
+                                          statuses=statuses), AID_SCHEMA)
 
 
-def ingest_measures(spark: SparkSession, path: str) -> DataFrame:
+def ingest_measures(spark: SparkSession, path: str, statuses=(FL.OK,)) -> DataFrame:
     """S2 end to end."""
-    good, _rejected = FL.reject_invalid_year(FL.flatten_measure(X.read_measure_xml(spark, path)))
-    return C.conform_schema(good, MEASURE_SCHEMA)
+    return ST.ingest_measures(spark, path, scratch_dir(spark, "measure-staging"), statuses=statuses)
 
 
 def _source_month(path_col="_file"):
@@ -284,19 +282,18 @@ def registry() -> dict[str, Query]:
     })
     q.update({
         "ingest_aid_xml": lambda sp, d: ingest_aid(sp, _aid_xml(sp, d)),
-        "flatten_aid": lambda sp, d: C.conform_schema(
-            FL.flatten_aid(X.read_aid_xml(sp, _aid_xml(sp, d))), AID_SCHEMA),
-        "reject_invalid_year": lambda sp, d: C.conform_schema(
-            FL.reject_invalid_year(FL.flatten_aid(X.read_aid_xml(sp, _aid_xml(sp, d))))[1], AID_SCHEMA),
+        "flatten_aid": lambda sp, d: ingest_aid(sp, _aid_xml(sp, d), statuses=(FL.OK, FL.YEAR_ZERO)),
+        "reject_invalid_year": lambda sp, d: ingest_aid(sp, _aid_xml(sp, d), statuses=(FL.YEAR_ZERO,)),
         "quarantine_malformed": lambda sp, d: X.parse_counts(
             X.read_aid_xml(sp, _aid_xml(sp, d)), source=_source_month()),
         "select_files_by_year": lambda sp, d: ingest_aid(sp, _aid_xml(sp, d), years=FILE_YEARS),
-        "ingest_measure_xml": lambda sp, d: ingest_measures(sp, _measure_xml(sp, d)),
+        "ingest_measure_xml": lambda sp, d: C.conform_schema(ingest_measures(sp, _measure_xml(sp, d)),
+                                                             MEASURE_SCHEMA),
         "flatten_measure": lambda sp, d: C.conform_schema(
-            FL.flatten_measure(X.read_measure_xml(sp, _measure_xml(sp, d))), MEASURE_SCHEMA),
+            ingest_measures(sp, _measure_xml(sp, d), statuses=(FL.OK, FL.YEAR_ZERO)), MEASURE_SCHEMA),
         "conform_schema": lambda sp, d: C.conform_schema(
-            FL.flatten_measure(X.read_measure_xml(sp, _measure_xml(sp, d)))
-            .drop("link_aiuto").withColumn("extra", F.lit(1)), MEASURE_SCHEMA),
+            ingest_measures(sp, _measure_xml(sp, d)).drop("link_aiuto").withColumn("extra", F.lit(1)),
+            MEASURE_SCHEMA),
     })
     q.update({
         "dedup_keep_last": q_dedup_keep_last,

@@ -28,11 +28,8 @@ _PREFIX = r"<(/?)[A-Za-z_][\w.\-]*:"
 
 def record_text(spark: SparkSession, path: str | list[str], tag: str,
                 glob: str | None = None) -> DataFrame:
-    """One row per ``<tag>`` record: ``_file``, ``_block``, ``_seq``, ``record``.
-
-    ``(_file, _block, _seq)`` is the record's position in the input (file
-    path, split offset, order inside the split): a total order that follows
-    file order and is stable when a task is re-run."""
+    """One row per text chunk: ``_file``, ``_block``, ``record`` (NULL for a
+    chunk holding no record, e.g. the trailer after the last one)."""
     reader = (spark.read.option("lineSep", f"</{tag}>")
               .option("recursiveFileLookup", "true"))
     if glob:
@@ -41,21 +38,24 @@ def record_text(spark: SparkSession, path: str | list[str], tag: str,
 
 
 def with_position(raw: DataFrame) -> DataFrame:
-    """File path, split offset and in-split sequence of each text chunk.
-    Must be applied right after the scan (before any shuffle)."""
+    """File path and split offset of each text chunk."""
     return raw.select(F.col("_metadata.file_path").alias("_file"),
-                      F.col("_metadata.file_block_start").alias("_block"),
-                      F.monotonically_increasing_id().alias("_seq"), F.col("value"))
+                      F.col("_metadata.file_block_start").alias("_block"), F.col("value"))
 
 
 def to_records(chunks: DataFrame, tag: str) -> DataFrame:
-    """Cut each chunk (text up to a close tag) to its record. From the record's
+    """Cut each chunk (text up to a close tag) to its record: from the record's
     open tag (optionally prefixed, optionally with attributes) to the end of
-    the chunk; the header before the first record and the trailer after the
-    last are dropped. Namespace prefixes are removed from tag names."""
+    the chunk. The header before the first record is dropped; a chunk with no
+    record gives NULL. Namespace prefixes are removed from tag names.
+
+    No filter here on purpose: a filter on the extracted text would be pushed
+    below this projection and evaluate the extraction twice."""
     body = F.regexp_extract(F.col("value"), rf"(?s)(<(?:[A-Za-z_][\w.\-]*:)?{tag}(?:\s[^>]*)?>.*)$", 1)
-    rec = F.concat(F.regexp_replace(body, _PREFIX, "<$1"), F.lit(f"</{tag}>"))
-    return chunks.where(body != "").select("_file", "_block", "_seq", rec.alias("record"))
+    body = F.regexp_replace(body, _PREFIX, "<$1")
+    rec = F.when(body != "", F.concat(body, F.lit(f"</{tag}>")))
+    # Cheap literal pre-check: drops trailer chunks without running the regex.
+    return chunks.where(F.col("value").contains(tag)).select("_file", "_block", rec.alias("record"))
 
 
 def select_files_by_year(records: DataFrame, first_year: int, last_year: int) -> DataFrame:
@@ -67,11 +67,19 @@ def select_files_by_year(records: DataFrame, first_year: int, last_year: int) ->
 
 
 def parse_records(records: DataFrame, schema: StructType) -> DataFrame:
-    """Repair and parse each record; ``r`` holds the struct and ``r._corrupt_record``
-    the text of records that did not parse."""
+    """Repair and parse each record: ``_seq`` is the record's order inside its
+    split, ``r`` the parsed struct (NULL for a chunk without a record),
+    ``r._corrupt_record`` the text of a record that did not parse.
+
+    Nothing is filtered here. The optimizer pushes a filter on ``r`` below this
+    projection by substituting the ``from_xml`` call, which would parse every
+    record twice; so ingest jobs tag rows with a status instead and split good
+    rows, rejects and quarantine when writing (see ``plans.storage``).
+    There is no shuffle between the scan and this projection, so
+    ``(_file, _block, _seq)`` follows file order and is stable on re-run."""
     full = StructType(schema.fields + [StructField(CORRUPT_COL, StringType())])
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}
-    return records.select("_file", "_block", "_seq",
+    return records.select("_file", "_block", F.monotonically_increasing_id().alias("_seq"),
                           F.from_xml(repair_xml(F.col("record")), full, opts).alias("r"))
 
 
@@ -89,16 +97,13 @@ def read_measure_xml(spark: SparkSession, path, glob: str | None = None) -> Data
     return parse_records(record_text(spark, path, MEASURE_RECORD_TAG, glob), MEASURE_XML_SCHEMA)
 
 
-def quarantine(parsed: DataFrame) -> DataFrame:
-    """Records that did not parse, with their source file."""
-    return (parsed.where(F.col(f"r.{CORRUPT_COL}").isNotNull())
-            .select("_file", "_block", "_seq", F.col(f"r.{CORRUPT_COL}").alias("record")))
-
-
 def parse_counts(parsed: DataFrame, source=None) -> DataFrame:
-    """Good and bad record counts per source (one aggregate, one pass)."""
+    """S15 counts: good and quarantined records per source, one aggregate in
+    one pass (conditional sums, no filter, so each record is parsed once)."""
     src = source if source is not None else F.col("_file")
-    bad = F.col(f"r.{CORRUPT_COL}").isNotNull()
+    present = F.col("r").isNotNull()
+    bad = present & F.col(f"r.{CORRUPT_COL}").isNotNull()
+    good = present & F.col(f"r.{CORRUPT_COL}").isNull()
     return (parsed.groupBy(src.alias("fonte"))
-            .agg(F.sum(F.when(bad, 0).otherwise(1)).cast("bigint").alias("record_ok"),
+            .agg(F.sum(F.when(good, 1).otherwise(0)).cast("bigint").alias("record_ok"),
                  F.sum(F.when(bad, 1).otherwise(0)).cast("bigint").alias("record_scartati")))
