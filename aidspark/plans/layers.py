@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from aidspark.operators import clean as C
 from aidspark.operators import marts as M
 from aidspark.operators import quality as Q
+from aidspark.plans.storage import ZSTD
 
 # --- fixed values: the marts each dataset configuration registers -------------
 AID_REGISTERED = {
@@ -44,7 +45,7 @@ def _write_counted(df: DataFrame, path: str, partition_by: str | None = None,
     obs = Observation("rows")
     metrics = [F.count(F.lit(1)).alias("*")] + [
         F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).alias(c) for c in not_null]
-    w = df.observe(obs, *metrics).write.mode("overwrite").option("compression", "zstd")
+    w = df.observe(obs, *metrics).write.mode("overwrite").options(**ZSTD)
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
