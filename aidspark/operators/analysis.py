@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aidspark.functions.money import mean, money, pct, round_double, rounded, total
+from aidspark.functions.money import mean, money, round_double, rounded, share_of, total
 
 AMOUNT = "elemento_aiuto"
 FIRM = "codice_fiscale_beneficiario"
@@ -104,16 +104,15 @@ def q_monthly_trend(raw: DataFrame) -> DataFrame:
 def q_instrument_share(raw: DataFrame) -> DataFrame:
     """Q9: each instrument's share of the grand total, one decimal.
 
-    The grand total is a scalar subquery over the same filtered input (a
-    single-row aggregate), not an un-partitioned window, so no step gathers
-    rows into one task."""
-    base = raw.where(F.col("strumento") != "")
-    grand = base.select(total(AMOUNT).alias("g")).scalar()
-    g = (base.groupBy("strumento")
+    The grand total is a window over the aggregated rows, one row per
+    instrument type (the register's instrument code list: dozens of rows), so
+    the un-partitioned window moves only those rows to one task. A scalar
+    subquery would instead scan the input a second time."""
+    g = (raw.where(F.col("strumento") != "").groupBy("strumento")
          .agg(_n().alias("n"), total(AMOUNT).alias("_tot"),
               round_double(mean(AMOUNT), 2).alias("importo_medio")))
     return (g.select("strumento", "n", rounded(F.col("_tot")).alias("totale"), "importo_medio",
-                     pct(F.col("_tot"), grand, 1).alias("percentuale"))
+                     share_of("_tot", digits=1).alias("percentuale"))
             .orderBy(F.desc("totale")))
 
 
