@@ -31,16 +31,20 @@ NACE_SECTIONS = [
     ("S", "S - Altri servizi"),
 ]
 UNCLASSIFIED = "Altro / Non classificato"
-# The code must start with the prefix, the section letter and a literal dot.
-SECTION_PATTERN = r"^\(NACE 2\) ([A-Z])\."
+# The code must start with the prefix, then the section letter and a literal
+# dot: LIKE '(NACE 2) X.%'.
+PREFIX = "(NACE 2) "
 
 
 def macro_sector(c) -> Column:
-    """Section label, or UNCLASSIFIED. A literal map lookup: no join, no UDF."""
+    """Section label, or UNCLASSIFIED. A prefix test and two fixed character
+    positions (no regex), then a literal map lookup: no join, no UDF."""
     col = F.col(c) if isinstance(c, str) else c
-    letter = F.regexp_extract(col, SECTION_PATTERN, 1)
+    n = len(PREFIX)
+    letter = F.substring(col, n + 1, 1)
+    coded = col.startswith(PREFIX) & (F.substring(col, n + 2, 1) == ".")
     lookup = F.create_map(*[F.lit(x) for x in chain.from_iterable(NACE_SECTIONS)])
-    return F.coalesce(F.try_element_at(lookup, letter), F.lit(UNCLASSIFIED))
+    return F.coalesce(F.when(coded, F.try_element_at(lookup, letter)), F.lit(UNCLASSIFIED))
 
 
 def macro_sector_sql(col: str) -> str:

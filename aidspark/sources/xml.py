@@ -28,8 +28,8 @@ _PREFIX = r"<(/?)[A-Za-z_][\w.\-]*:"
 
 def record_text(spark: SparkSession, path: str | list[str], tag: str,
                 glob: str | None = None) -> DataFrame:
-    """One row per text chunk: ``_file``, ``_block``, ``record`` (NULL for a
-    chunk holding no record, e.g. the trailer after the last one)."""
+    """One row per text chunk that mentions the tag: ``_file``, ``_block``,
+    ``record`` (NULL if the chunk holds no record)."""
     reader = (spark.read.option("lineSep", f"</{tag}>")
               .option("recursiveFileLookup", "true"))
     if glob:
@@ -49,8 +49,10 @@ def to_records(chunks: DataFrame, tag: str) -> DataFrame:
     the chunk. The header before the first record is dropped; a chunk with no
     record gives NULL. Namespace prefixes are removed from tag names.
 
-    No filter here on purpose: a filter on the extracted text would be pushed
-    below this projection and evaluate the extraction twice."""
+    The only filter is a literal pre-check on the raw chunk (drops trailers
+    without the tag name); the extracted text itself is not filtered, since
+    such a filter would be pushed below this projection and run the
+    extraction twice."""
     body = F.regexp_extract(F.col("value"), rf"(?s)(<(?:[A-Za-z_][\w.\-]*:)?{tag}(?:\s[^>]*)?>.*)$", 1)
     body = F.regexp_replace(body, _PREFIX, "<$1")
     rec = F.when(body != "", F.concat(body, F.lit(f"</{tag}>")))
