@@ -96,11 +96,27 @@ def run_layers(spark: SparkSession, raw: DataFrame, out_dir: str,
             f.result()
     report["mart_rows"] = sum(m["rows"] for m in report["marts"].values())
     report["total_sec"] = round(time.time() - t0, 3)
+    report["output_bytes"] = {"clean": path_bytes(spark, clean_path),
+                              "mart": sum(path_bytes(spark, f"{out_dir}/{n}") for n in marts)}
     return report
 
 
-def run_aid(spark: SparkSession, raw: DataFrame, out_dir: str, marts=None) -> dict:
-    """Aid dataset: gates report but do not block (no fail_on_error in its config)."""
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under a path, from the file system's metadata (no data read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def run_aid(spark: SparkSession, raw: DataFrame, out_dir: str, marts=None,
+            year: int | None = None) -> dict:
+    """Aid dataset: gates report but do not block (no fail_on_error in its
+    config). With ``year`` the run covers that year only (the raw scan is
+    pruned to its partition) and writes under ``{out_dir}/{year}``, as the
+    register publishes per-year layers."""
+    if year is not None:
+        raw, out_dir = raw.where(F.col("anno") == year), f"{out_dir}/{year}"
     return run_layers(spark, raw, out_dir, C.clean_aid, marts or AID_REGISTERED,
                       Q.AID_CLEAN_RULES["not_null"], Q.AID_CLEAN_RULES["min_rows"])
 

@@ -72,3 +72,26 @@ def test_read_all_years_unites_by_name(spark, tmp_dir):
     ST._write_years(b, tmp_dir)
     got = {(r.cor, r.fonte) for r in ST.read_all_years(spark, tmp_dir).collect()}
     assert got == {("1", None), ("2", "z")}
+
+
+def test_layer_run_per_year_and_report(spark, tmp_dir):
+    from aidspark.plans import layers as L
+    from aidspark.sources import standin as S
+    from tests.conftest import SF_SMALL
+    raw_path = tmp_dir + "/raw"
+    ST.write_year_overwrite(S.aid_raw(spark, SF_SMALL), raw_path)
+    raw = spark.read.parquet(raw_path)
+    year = raw.agg(F.min("anno")).first()[0]
+    rep = L.run_aid(spark, raw, tmp_dir + "/out", year=year)
+    clean = spark.read.parquet(rep["clean_path"])
+    assert rep["clean_path"].endswith(f"/{year}/clean")
+    assert rep["clean_rows"] == clean.count() == raw.where((F.col("anno") == year)
+                                                          & F.col("elemento_aiuto").isNotNull()).count()
+    assert set(rep["marts"]) == set(L.AID_REGISTERED)
+    assert rep["output_bytes"]["clean"] > 0 and rep["output_bytes"]["mart"] > 0
+    m = L.run_measures(spark, S.measure_raw(spark, SF_SMALL), tmp_dir + "/m", fail_on_error=False)
+    assert m["clean_gates_failed"] == ["min_rows"]
+    import pytest
+    from aidspark.operators.quality import QualityError
+    with pytest.raises(QualityError):
+        L.run_measures(spark, S.measure_raw(spark, SF_SMALL), tmp_dir + "/m2", fail_on_error=True)
