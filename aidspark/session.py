@@ -6,7 +6,6 @@ submitter. ``prepare`` is idempotent and safe to call on a caller's session.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -73,9 +72,7 @@ def _checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
-    root = _checkpoint_root(spark)
-    path = os.path.join(root, "aidspark", f"{name}-{uuid.uuid4().hex[:12]}")
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
+    """A fresh, unique path under the shared checkpoint root (any Hadoop
+    path). Nothing is created here: Spark's writers create their output."""
+    root = _checkpoint_root(spark).rstrip("/")
+    return f"{root}/aidspark/{name}-{uuid.uuid4().hex[:12]}"
