@@ -55,10 +55,25 @@ def repair_entities(c) -> Column:
 
 
 def repair_xml(c) -> Column:
-    """The whole repair chain applied to one record's text."""
+    """The whole repair chain applied to one record's text, as separate steps."""
     return repair_entities(repair_truncated_tags(scrub_control_chars(c)))
 
 
+# Namespace prefix of a tag name ("<n:TAG" -> "<TAG"); possessive so a plain
+# tag name is rejected without backtracking.
+TAG_PREFIX = r"<(/?)[A-Za-z_][\w.\-]*+:"
+
+
+def repair_record(c) -> Column:
+    """Ingest repair of one record: namespace prefixes removed, then the
+    ``repair_xml`` chain. Separate simple patterns are faster than one
+    alternation (literal prefixes and plain classes keep the regex engine's
+    fast paths); the ampersand repairs run only on records containing '&'."""
+    out = scrub_control_chars(F.regexp_replace(_c(c), TAG_PREFIX, "<$1"))
+    out = repair_truncated_tags(out)
+    return F.when(F.instr(out, "&") > 0, repair_entities(out)).otherwise(out)
+
+
 def normalize_text(c) -> Column:
     """Squeeze any Unicode whitespace run to one space, trim; missing -> '' (S5)."""
     return F.coalesce(F.trim(F.regexp_replace(_c(c), r"(?U)\s+", " ")), F.lit(""))

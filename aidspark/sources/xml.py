@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from aidspark.functions.text import repair_xml
+from aidspark.functions.text import repair_record
 from aidspark.schemas import (AID_RECORD_TAG, AID_XML_SCHEMA, CORRUPT_COL, MEASURE_RECORD_TAG,
                               MEASURE_XML_SCHEMA)
 
@@ -23,8 +23,6 @@ AID_FILE_GLOB = "OpenData_Aiuti_*.xml"
 MEASURE_FILE_GLOB = "OpenData_Misura_*.xml"
 FILE_YEAR_MONTH = r"_(\d{4})_(\d{2})"
 
-_PREFIX = r"<(/?)[A-Za-z_][\w.\-]*:"
-
 
 def record_text(spark: SparkSession, path: str | list[str], tag: str,
                 glob: str | None = None) -> DataFrame:
@@ -47,14 +45,13 @@ def to_records(chunks: DataFrame, tag: str) -> DataFrame:
     """Cut each chunk (text up to a close tag) to its record: from the record's
     open tag (optionally prefixed, optionally with attributes) to the end of
     the chunk. The header before the first record is dropped; a chunk with no
-    record gives NULL. Namespace prefixes are removed from tag names.
+    record gives NULL. (Namespace prefixes are removed by the repair step.)
 
     The only filter is a literal pre-check on the raw chunk (drops trailers
     without the tag name); the extracted text itself is not filtered, since
     such a filter would be pushed below this projection and run the
     extraction twice."""
     body = F.regexp_extract(F.col("value"), rf"(?s)(<(?:[A-Za-z_][\w.\-]*:)?{tag}(?:\s[^>]*)?>.*)$", 1)
-    body = F.regexp_replace(body, _PREFIX, "<$1")
     rec = F.when(body != "", F.concat(body, F.lit(f"</{tag}>")))
     # Cheap literal pre-check: drops trailer chunks without running the regex.
     return chunks.where(F.col("value").contains(tag)).select("_file", "_block", rec.alias("record"))
@@ -69,7 +66,9 @@ def select_files_by_year(records: DataFrame, first_year: int, last_year: int) ->
 
 
 def parse_records(records: DataFrame, schema: StructType) -> DataFrame:
-    """Repair and parse each record: ``_seq`` is the record's order inside its
+    """Repair (``repair_record``: forbidden bytes and character references,
+    namespace prefixes, truncated tags, bare ampersands) and parse each
+    record: ``_seq`` is the record's order inside its
     split, ``r`` the parsed struct (NULL for a chunk without a record),
     ``r._corrupt_record`` the text of a record that did not parse.
 
@@ -82,7 +81,7 @@ def parse_records(records: DataFrame, schema: StructType) -> DataFrame:
     full = StructType(schema.fields + [StructField(CORRUPT_COL, StringType())])
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}
     return records.select("_file", "_block", F.monotonically_increasing_id().alias("_seq"),
-                          F.from_xml(repair_xml(F.col("record")), full, opts).alias("r"))
+                          F.from_xml(repair_record(F.col("record")), full, opts).alias("r"))
 
 
 def read_aid_xml(spark: SparkSession, path, glob: str | None = None,

@@ -75,3 +75,17 @@ def test_rounding_is_engine_independent(spark):
 ])
 def test_macro_sector(spark, code, label):
     assert _one(spark, macro_sector, code) == label
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("<n:CUP>x</n:CUP>", "<CUP>x</CUP>"),
+    ("<A>\x01b\x1f</A>", "<A>b</A>"),
+    ("<A>R&D &#1;x &#x1F;y &#9;z &amp; &lt;</A>", "<A>R&amp;D x y &#9;z &amp; &lt;</A>"),
+    ("<IMPORTO_NOMIN>1</IMPORTO_NOMIN>", "<IMPORTO_NOMINALE>1</IMPORTO_NOMINALE>"),
+    ("<a:B c='http://x'>1</a:B>", "<B c='http://x'>1</B>"),
+])
+def test_repair_record(spark, text, expected):
+    from aidspark.functions.text import repair_record, repair_xml
+    assert _one(spark, repair_record, text) == expected
+    if ":" not in text.split(">")[0]:
+        assert _one(spark, repair_xml, text) == expected
