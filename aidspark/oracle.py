@@ -374,7 +374,7 @@ WHERE anno BETWEEN {REBUILD_YEARS[0]} AND {REBUILD_YEARS[1]}""",
     "read_all_years": f"""SELECT *, CASE WHEN anno >= {UPSERT_FROM_YEAR} THEN 'lotto2' END AS fonte
 FROM ({S.AID_RAW_SQL}) r""",
     "publish_layers": "\nUNION ALL\n".join(
-        [f"SELECT 'clean' AS layer, 'rna_aiuti_stato' AS tabella, COUNT(*) AS righe FROM ({MARTS['clean_aid']}) t"]
+        [f"SELECT 'clean' AS layer, 'aiuti_stato' AS tabella, COUNT(*) AS righe FROM ({MARTS['clean_aid']}) t"]
         + [f"SELECT 'mart', '{n}', COUNT(*) FROM ({MARTS[n]}) t" for n in AID_MARTS]),
 }
 
@@ -428,13 +428,13 @@ def _signal(layer, rows, checks, passed):
 
 QUALITY = {
     "dq_min_rows": "\nUNION ALL\n".join(
-        [_min_rows("rna_aiuti_stato.clean", _CLEAN_SQL, _CLEAN_MIN),
-         _min_rows("rna_misure.clean", f"SELECT * FROM {_MEAS} m", QR.MEASURE_CLEAN_RULES["min_rows"]),
+        [_min_rows("aiuti_stato.clean", _CLEAN_SQL, _CLEAN_MIN),
+         _min_rows("misure.clean", f"SELECT * FROM {_MEAS} m", QR.MEASURE_CLEAN_RULES["min_rows"]),
          _min_rows("mart_aiuti_per_obiettivo", _OBJ, 10)]
         + [_min_rows(n, MARTS[n], QR.MEASURE_MART_RULES[n]["min_rows"]) for n in
            ("mart_misure_per_tipo", "mart_misure_attive", "mart_top_misure")]),
-    "dq_not_null": _not_null("rna_aiuti_stato.clean", _CLEAN_SQL, _CLEAN_NN) + "\nUNION ALL\n"
-                   + _not_null("rna_misure.clean", f"SELECT * FROM {_MEAS} m", QR.MEASURE_CLEAN_RULES["not_null"]),
+    "dq_not_null": _not_null("aiuti_stato.clean", _CLEAN_SQL, _CLEAN_NN) + "\nUNION ALL\n"
+                   + _not_null("misure.clean", f"SELECT * FROM {_MEAS} m", QR.MEASURE_CLEAN_RULES["not_null"]),
     "dq_primary_key": f"""SELECT cor, id_componente, cod_strumento, COUNT(*) AS occorrenze FROM ({_RAW_SQL}) t
 GROUP BY cor, id_componente, cod_strumento HAVING COUNT(*) > 1""",
     "run_signal": "\nUNION ALL\n".join([

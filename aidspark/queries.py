@@ -149,8 +149,8 @@ def q_publish_layers(spark, sf_dir):
     clean = _clean(spark, sf_dir)
     marts = {name: fn(clean) for name, fn in M.AID_MARTS.items()}
     root = scratch_dir(spark, "publish")
-    return ST.publish_layers(spark, root, "rna_aiuti_stato", "tutti",
-                             {"clean": {"rna_aiuti_stato": clean}, "mart": marts})
+    return ST.publish_layers(spark, root, "aiuti_stato", "tutti",
+                             {"clean": {"aiuti_stato": clean}, "mart": marts})
 
 
 # Publication window of the stand-in register (first year, last year, months
@@ -171,8 +171,8 @@ REGISTERED_AID_MARTS = {
 
 def q_dq_min_rows(spark, sf_dir):
     clean, meas = _clean(spark, sf_dir), _measures(spark, sf_dir)
-    checks = [Q.dq_min_rows(clean, Q.AID_CLEAN_RULES["min_rows"], "rna_aiuti_stato.clean"),
-              Q.dq_min_rows(meas, Q.MEASURE_CLEAN_RULES["min_rows"], "rna_misure.clean"),
+    checks = [Q.dq_min_rows(clean, Q.AID_CLEAN_RULES["min_rows"], "aiuti_stato.clean"),
+              Q.dq_min_rows(meas, Q.MEASURE_CLEAN_RULES["min_rows"], "misure.clean"),
               Q.dq_min_rows(M.mart_per_obiettivo(clean),
                             Q.AID_MART_RULES["mart_aiuti_per_obiettivo"]["min_rows"], "mart_aiuti_per_obiettivo")]
     for name, fn in M.MEASURE_MARTS.items():
@@ -184,8 +184,8 @@ def q_dq_min_rows(spark, sf_dir):
 
 
 def q_dq_not_null(spark, sf_dir):
-    return Q.dq_not_null(_clean(spark, sf_dir), Q.AID_CLEAN_RULES["not_null"], "rna_aiuti_stato.clean") \
-        .unionByName(Q.dq_not_null(_measures(spark, sf_dir), Q.MEASURE_CLEAN_RULES["not_null"], "rna_misure.clean"))
+    return Q.dq_not_null(_clean(spark, sf_dir), Q.AID_CLEAN_RULES["not_null"], "aiuti_stato.clean") \
+        .unionByName(Q.dq_not_null(_measures(spark, sf_dir), Q.MEASURE_CLEAN_RULES["not_null"], "misure.clean"))
 
 
 def q_dq_primary_key(spark, sf_dir):

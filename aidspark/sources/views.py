@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from aidspark.operators.clean import clean_aid, clean_measure
 from aidspark.plans.storage import read_all_years
 
-RAW_VIEW, CLEAN_VIEW, ALL_YEARS_VIEW = "raw_input", "clean_input", "rna"
+RAW_VIEW, CLEAN_VIEW, ALL_YEARS_VIEW = "raw_input", "clean_input", "aiuti"
 MEASURE_RAW_VIEW, MEASURE_CLEAN_VIEW = "misure_raw_input", "misure_clean_input"
 
 
 def register_views(spark: SparkSession, raw_path: str | None = None, raw: DataFrame | None = None,
                    measures: DataFrame | None = None, all_years_view: str = ALL_YEARS_VIEW) -> dict:
     """Bind ``raw_input``, ``clean_input`` and the all-years view (default
-    ``rna``) to an aid raw layer (a path, read united by name, or a DataFrame);
+    ``aiuti``) to an aid raw layer (a path, read united by name, or a DataFrame);
     optionally the measure views. Returns the names bound."""
     if raw is None:
         raw = read_all_years(spark, raw_path)

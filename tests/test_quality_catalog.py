@@ -58,14 +58,14 @@ def test_manifest_index_carries_old_years(spark):
 def test_column_catalog_and_entity_index(spark):
     clean = clean_aid(S.aid_raw(spark, SF_SMALL))
     meas = clean_measure(S.measure_raw(spark, SF_SMALL))
-    cat = CT.column_catalog(spark, {"rna_aiuti_stato": clean, "rna_misure": meas})
+    cat = CT.column_catalog(spark, {"aiuti_stato": clean, "misure": meas})
     rows = {(r.dataset, r.colonna): r for r in cat.collect()}
-    assert rows[("rna_aiuti_stato", "elemento_aiuto")].ruolo == "metric"
-    assert rows[("rna_aiuti_stato", "cup")].tipo_semantico == "cup_code"
-    assert rows[("rna_misure", "anno")].tipo == "INTEGER"
+    assert rows[("aiuti_stato", "elemento_aiuto")].ruolo == "metric"
+    assert rows[("aiuti_stato", "cup")].tipo_semantico == "cup_code"
+    assert rows[("misure", "anno")].tipo == "INTEGER"
     idx = {(r.dataset, r.colonna): r for r in CT.joinable_columns(cat).collect()}
-    assert idx[("rna_misure", "anno")].collegabile and idx[("rna_misure", "anno")].entita == "Tempo"
-    assert not idx[("rna_aiuti_stato", "cup")].collegabile
+    assert idx[("misure", "anno")].collegabile and idx[("misure", "anno")].entita == "Tempo"
+    assert not idx[("aiuti_stato", "cup")].collegabile
 
 
 def test_file_summary_totals(spark, tmp_dir):
