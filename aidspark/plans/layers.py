@@ -52,6 +52,15 @@ def _write_counted(df: DataFrame, path: str, partition_by: str | None = None,
     return {k: int(v or 0) for k, v in obs.get.items()}
 
 
+def _wait_for_job(spark: SparkSession, timeout: float = 2.0) -> None:
+    """Wait (bounded) until a job is running, so the clean write, the longest
+    job, is queued ahead of the marts under FIFO scheduling."""
+    tracker = spark.sparkContext.statusTracker()
+    end = time.time() + timeout
+    while time.time() < end and not tracker.getActiveJobsIds():
+        time.sleep(0.01)
+
+
 def run_layers(spark: SparkSession, raw: DataFrame, out_dir: str,
                clean_fn: Callable[[DataFrame], DataFrame],
                marts: dict[str, Callable[[DataFrame], DataFrame]],
@@ -91,7 +100,9 @@ def run_layers(spark: SparkSession, raw: DataFrame, out_dir: str,
             futures = [pool.submit(one, n, fn, source) for n, fn in marts.items()]
         else:
             source = clean_fn(raw)
-            futures = [pool.submit(write_clean)] + [pool.submit(one, n, fn, source) for n, fn in marts.items()]
+            futures = [pool.submit(write_clean)]
+            _wait_for_job(spark)
+            futures += [pool.submit(one, n, fn, source) for n, fn in marts.items()]
         for f in futures:
             f.result()
     report["mart_rows"] = sum(m["rows"] for m in report["marts"].values())
