@@ -1,7 +1,8 @@
 """Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
 
 Each one reads the driver tables through the stand-in builders and runs the
-library operator on the whole input.
+library operator on the whole input. Queries that write (ingest, storage,
+streaming) use fresh folders under the shared scratch root.
 """
 
 from __future__ import annotations
@@ -9,25 +10,48 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from aidspark.functions import text as T
 from aidspark.operators import analysis as A
+from aidspark.operators import catalog as CT
 from aidspark.operators import clean as C
+from aidspark.operators import flatten as FL
 from aidspark.operators import joins as J
-from aidspark.operators import catalog as CT
 from aidspark.operators import marts as M
 from aidspark.operators import quality as Q
 from aidspark.operators.dedup import dedup_keep_last
 from aidspark.plans import storage as ST
-from pyspark.sql import functions as F
-
-from aidspark.operators import flatten as FL
 from aidspark.schemas import AID_DEDUP_KEY, AID_SCHEMA, MEASURE_SCHEMA
 from aidspark.session import prepare, scratch_dir
 from aidspark.sources import standin as S
-from aidspark.sources import xml as X
 from aidspark.sources import text_standin as TS
+from aidspark.sources import xml as X
 from aidspark.sources import xml_standin as XS
-from aidspark.functions import text as T
+
+# --- parameters of the registered queries (the oracle uses the same values) ---
+Q_YEAR = 1998                      # analyst queries on one year (Q4, Q6, Q7)
+Q_TERM = "#00000012"               # beneficiary-name search (Q3)
+FILE_YEARS = (1996, 1997)          # file selection by year (S17)
+OVERWRITE_YEARS = (1997, 1998)     # yearly overwrite (K2)
+UPSERT_FROM_YEAR = 1998            # first year of the upserted batch (K3)
+REBUILD_YEARS = (1996, 1997)       # rebuilt range (K5)
+READ_YEAR = 1997                   # single-year read (S19)
+DROP_SPLIT_YEAR = 1998             # first year of the second streaming drop (K7)
+INDEX_FROM_YEAR = 1998             # first year of the current manifest run (D2)
+# Publication window of the stand-in register (first year, last year, months
+# published in the last year), used by the manifests.
+STANDIN_COVERAGE = (1995, 2001, 8)
+# Register names of the marts the aid configuration publishes.
+REGISTERED_AID_MARTS = {
+    "mart_aiuti_per_regione": "mart_per_regione",
+    "mart_aiuti_per_procedimento": "mart_per_procedimento",
+    "mart_aiuti_top_beneficiari": "mart_top_beneficiari",
+    "mart_aiuti_per_obiettivo": "mart_per_obiettivo",
+    "mart_aiuti_per_strumento": "mart_per_strumento",
+    "mart_aiuti_tipo_beneficiario": "mart_tipo_beneficiario",
+    "mart_aiuti_settore_regione": "mart_settore_regione",
+}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,15 +68,6 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.aid_raw(prepare(spark), sf_dir)
 
 
-# Parameters of the analyst queries; the oracle uses the same values.
-Q_YEAR = 1998
-Q_TERM = "#00000012"
-
-
-# Year range of the file-selection query.
-FILE_YEARS = (1996, 1997)
-
-
 def _aid_xml(spark: SparkSession, sf_dir: str) -> str:
     """Write the generated aid dump to a fresh shared scratch folder."""
     return XS.write_aid_xml(prepare(spark), sf_dir, scratch_dir(spark, "aid-xml"))
@@ -77,13 +92,6 @@ def _source_month(path_col="_file"):
     return F.regexp_extract(F.col(path_col), r"OpenData_Aiuti_\d{4}_\d{2}", 0)
 
 
-# Years of the storage queries.
-OVERWRITE_YEARS = (1997, 1998)
-UPSERT_FROM_YEAR = 1998
-REBUILD_YEARS = (1996, 1997)
-READ_YEAR = 1997
-
-
 def _arrived(spark, sf_dir):
     return S.aid_raw(prepare(spark), sf_dir, with_arrival=True)
 
@@ -153,22 +161,6 @@ def q_publish_layers(spark, sf_dir):
                              {"clean": {"aiuti_stato": clean}, "mart": marts})
 
 
-# Publication window of the stand-in register (first year, last year, months
-# published in the last year), used by the manifests.
-STANDIN_COVERAGE = (1995, 2001, 8)
-INDEX_FROM_YEAR = 1998
-# Register names of the marts the aid configuration publishes.
-REGISTERED_AID_MARTS = {
-    "mart_aiuti_per_regione": "mart_per_regione",
-    "mart_aiuti_per_procedimento": "mart_per_procedimento",
-    "mart_aiuti_top_beneficiari": "mart_top_beneficiari",
-    "mart_aiuti_per_obiettivo": "mart_per_obiettivo",
-    "mart_aiuti_per_strumento": "mart_per_strumento",
-    "mart_aiuti_tipo_beneficiario": "mart_tipo_beneficiario",
-    "mart_aiuti_settore_regione": "mart_settore_regione",
-}
-
-
 def q_dq_min_rows(spark, sf_dir):
     clean, meas = _clean(spark, sf_dir), _measures(spark, sf_dir)
     checks = [Q.dq_min_rows(clean, Q.AID_CLEAN_RULES["min_rows"], "aiuti_stato.clean"),
@@ -202,7 +194,8 @@ def q_run_signal(spark, sf_dir):
         mart_rows = one if mart_rows is None else mart_rows.unionByName(one)
     clean_gates = Q.dq_min_rows(clean, Q.AID_CLEAN_RULES["min_rows"], "clean").select("esito").unionByName(
         Q.dq_not_null(clean, Q.AID_CLEAN_RULES["not_null"], "clean").select("esito"))
-    mart_gates = Q.dq_min_rows(marts["mart_aiuti_per_obiettivo"], 10, "m").select("esito").unionByName(
+    mart_min = Q.AID_MART_RULES["mart_aiuti_per_obiettivo"]["min_rows"]
+    mart_gates = Q.dq_min_rows(marts["mart_aiuti_per_obiettivo"], mart_min, "m").select("esito").unionByName(
         Q.dq_required_tables(spark, list(marts), Q.AID_REQUIRED_MARTS).select(F.col("presente").alias("esito")))
     return Q.run_signal({"raw": raw, "clean": clean, "mart": mart_rows},
                         {"clean": clean_gates, "mart": mart_gates})
@@ -227,9 +220,6 @@ def q_file_summary(spark, sf_dir):
     return CT.file_summary(spark, base).select("anno", "righe")
 
 
-DROP_SPLIT_YEAR = 1998
-
-
 def q_incremental_load(spark, sf_dir):
     """Two monthly drops land in the inbox; each availableNow run merges only
     the files it has not seen (keep-last by key within and across drops)."""
