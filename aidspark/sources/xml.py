@@ -25,11 +25,17 @@ FILE_YEAR_MONTH = r"_(\d{4})_(\d{2})"
 
 
 def record_text(spark: SparkSession, path: str | list[str], tag: str,
-                glob: str | None = None) -> DataFrame:
+                glob: str | None = None, skip_bad_files: bool = True) -> DataFrame:
     """One row per text chunk that mentions the tag: ``_file``, ``_block``,
-    ``record`` (NULL if the chunk holds no record)."""
+    ``record`` (NULL if the chunk holds no record).
+
+    With ``skip_bad_files`` a file that cannot be read (truncated archive,
+    removed after listing) is skipped instead of failing the job; the files
+    that did contribute show up in ``parse_counts``."""
     reader = (spark.read.option("lineSep", f"</{tag}>")
-              .option("recursiveFileLookup", "true"))
+              .option("recursiveFileLookup", "true")
+              .option("ignoreCorruptFiles", str(skip_bad_files).lower())
+              .option("ignoreMissingFiles", str(skip_bad_files).lower()))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return to_records(with_position(reader.text(path)), tag)

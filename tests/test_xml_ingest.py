@@ -202,3 +202,13 @@ def test_measure_full_and_empty(spark, tmp_dir):
     assert empty["titolo_misura"] == "" and empty["importo_prestiti_garantiti"] is None
     assert empty["anno"] == 0 and empty[STATUS] == YEAR_ZERO
     assert [c for c in rows[0] if c in MEASURE_COLUMNS] == MEASURE_COLUMNS
+
+
+def test_unreadable_file_is_skipped(spark, tmp_dir):
+    import gzip
+    write_text(tmp_dir, "OpenData_Aiuti_2021_03.xml", HEADER + GRANT + FOOTER)
+    good = gzip.compress((HEADER + BARE + FOOTER).encode())
+    write_text(tmp_dir, "OpenData_Aiuti_2021_04.xml.gz", good[: len(good) // 2])  # truncated archive
+    counts = {r.fonte.rsplit("/", 1)[-1]: (r.record_ok, r.record_scartati)
+              for r in X.parse_counts(X.read_aid_xml(spark, tmp_dir)).collect()}
+    assert counts["OpenData_Aiuti_2021_03.xml"] == (1, 0)
