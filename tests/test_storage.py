@@ -95,3 +95,20 @@ def test_layer_run_per_year_and_report(spark, tmp_dir):
     from aidspark.operators.quality import QualityError
     with pytest.raises(QualityError):
         L.run_measures(spark, S.measure_raw(spark, SF_SMALL), tmp_dir + "/m2", fail_on_error=True)
+
+
+def test_rebuild_does_not_overwrite_unrequested_years(spark, tmp_dir):
+    from tests.conftest import write_text
+    from tests.test_xml_ingest import FOOTER, HEADER
+    base = tmp_dir + "/table"
+    ST.write_year_overwrite(_rows(spark, [("old22", "a", "x", 2022, 1, "keep"),
+                                          ("old23", "a", "x", 2023, 1, "replace")]), base)
+    rec = ("<AIUTO><COR>{c}</COR><DATA_CONCESSIONE>{d}</DATA_CONCESSIONE><COMPONENTI_AIUTO><COMPONENTE_AIUTO>"
+           "<ID_COMPONENTE_AIUTO>1</ID_COMPONENTE_AIUTO></COMPONENTE_AIUTO></COMPONENTI_AIUTO></AIUTO>\n")
+    write_text(tmp_dir + "/xml", "OpenData_Aiuti_2023_05.xml",
+               HEADER + rec.format(c="new23", d="2023-05-02") + rec.format(c="stray22", d="2022-12-30") + FOOTER)
+    write_text(tmp_dir + "/xml", "OpenData_Aiuti_2021_01.xml", HEADER + rec.format(c="skip21", d="2021-01-02") + FOOTER)
+    out = ST.rebuild_years(spark, tmp_dir + "/xml", base, 2023, 2023)
+    got = {(r.anno, r.cor) for r in ST.read_all_years(spark, base).collect()}
+    assert got == {(2022, "old22"), (2023, "new23")}
+    assert [r.cor for r in ST.strays(spark, out, 2023, 2023).collect()] == ["stray22"]
