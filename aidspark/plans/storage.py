@@ -40,6 +40,13 @@ def _check_mode(mode: str) -> None:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a dataset path exists (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def _write_years(df: DataFrame, path: str) -> None:
     (df.hint("rebalance", "anno").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").options(**ZSTD)
@@ -88,10 +95,9 @@ def upsert_append(spark: SparkSession, new: DataFrame, path: str, dedup: bool =
     # Distinct years of the batch: at most one row per calendar year, so the
     # broadcast has a fixed bound; it drives partition pruning of the old table.
     years = new.select("anno").distinct()
-    try:
-        old = spark.read.parquet(path).join(F.broadcast(years), "anno", "left_semi")
-    except Exception:  # first load: nothing to merge with  # noqa: BLE001
-        old = None
+    # First load: nothing to merge with.
+    old = (spark.read.parquet(path).join(F.broadcast(years), "anno", "left_semi")
+           if path_exists(spark, path) else None)
     rank = F.struct(F.lit(1).alias("batch"), F.col(order).alias("pos"))
     ranked = StructType(AID_SCHEMA.fields + [StructField("_rank", StructType([
         StructField("batch", IntegerType(), False), StructField("pos", order_type)]))])
