@@ -1,8 +1,11 @@
 """Layer runs: raw -> clean -> gates -> marts, each layer written once.
 
-The clean layer is written to Parquet and the marts read the written copy:
-that cuts the lineage (a lost executor recomputes from the clean files, not
-from the raw scan) and lets every mart prune to the few columns it needs.
+Row and NULL counts for the gates are observed while the clean layer is
+written. When gates block (``fail_on_error``), the marts start after the gate
+and read the written clean files; otherwise the clean write and the marts run
+as concurrent jobs, the marts reading the raw Parquet through the clean
+projection. In both cases every mart prunes to the few columns it needs and
+every job's lineage starts at Parquet files.
 """
 
 from __future__ import annotations
