@@ -2,8 +2,10 @@
 
 Gives the ingest jobs input in the shape they expect: ``OpenData_Aiuti_YYYY_MM``
 folders of ``<AIUTO>`` records, one record per stand-in aid row plus one record
-without components per order that has no line items. Damage is injected by
-rules on the row's line number (``id_componente``):
+without components per order that has no line items. Rows with return flag R
+carry a second instrument in their component, and line-1 rows a second
+component without instruments. Damage is injected by rules on the row's line
+number (``id_componente``):
 
   1  child tag with a namespace prefix       5  whitespace noise, decimal comma
   2  truncated tag names                      6  illegal character reference
@@ -26,6 +28,8 @@ from aidspark.sources import standin as S
 
 MALFORMED_LINE = "7"
 UNDATED_STATUS = "P"
+SECOND_INSTRUMENT_FLAG, SECOND_INSTRUMENT = "R", "Garanzia"
+BARE_COMPONENT_SECTOR = "(NACE 2) Z.0"
 
 
 def _esc(v: Column) -> Column:
@@ -83,11 +87,21 @@ def aid_xml_records(spark: SparkSession, sf_dir: str, with_arrival: bool = False
     inst = [_elem(tag, F.col(col)) for tag, col in INSTRUMENT_TEXT_FIELDS]
     inst.append(_elem("ELEMENTO_DI_AIUTO", F.col("elemento_aiuto").cast("string")))
     inst.append(_elem(F.when(line == "2", F.lit("IMPORTO_NOMIN")).otherwise(F.lit("IMPORTO_NOMINALE")), nominal))
+    # A second instrument in the same component for one return flag, and a
+    # second component without instruments on line 1.
+    second = F.when(F.col("cod_strumento") == SECOND_INSTRUMENT_FLAG, F.concat(
+        F.lit("<STRUMENTO_AIUTO>"), _elem("COD_STRUMENTO", F.concat(F.col("cod_strumento"), F.lit("2"))),
+        F.lit(f"<DES_STRUMENTO>{SECOND_INSTRUMENT}</DES_STRUMENTO>"),
+        _elem("IMPORTO_NOMINALE", F.col("importo_nominale").cast("string")),
+        F.lit("</STRUMENTO_AIUTO>"))).otherwise(F.lit(""))
+    bare_component = F.when(line == "1", F.lit(
+        f"<COMPONENTE_AIUTO><ID_COMPONENTE_AIUTO>0</ID_COMPONENTE_AIUTO>"
+        f"<SETTORE_ATTIVITA>{BARE_COMPONENT_SECTOR}</SETTORE_ATTIVITA></COMPONENTE_AIUTO>")).otherwise(F.lit(""))
     record = F.concat(
         F.lit("\n<AIUTO>"), F.when(line == "3", F.lit("\x02")).otherwise(F.lit("")), *parts,
         F.lit("<COMPONENTI_AIUTO><COMPONENTE_AIUTO>"), *comp,
-        F.lit("<STRUMENTI_AIUTO><STRUMENTO_AIUTO>"), *inst,
-        F.lit("</STRUMENTO_AIUTO></STRUMENTI_AIUTO></COMPONENTE_AIUTO></COMPONENTI_AIUTO>"),
+        F.lit("<STRUMENTI_AIUTO><STRUMENTO_AIUTO>"), *inst, F.lit("</STRUMENTO_AIUTO>"), second,
+        F.lit("</STRUMENTI_AIUTO></COMPONENTE_AIUTO>"), bare_component, F.lit("</COMPONENTI_AIUTO>"),
         F.when(line == MALFORMED_LINE, F.lit("<NOTE>unclosed")).otherwise(F.lit("")),
         F.lit("</AIUTO>"))
     stem = F.format_string("OpenData_Aiuti_%04d_%02d", F.col("anno"), F.col("mese"))
@@ -154,16 +168,34 @@ def write_measure_xml(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
 
 # --- SQL twins: expected flat rows (DuckDB dialect) ---------------------------
 
-def _aid_twin_cols():
+def _aid_twin_cols(**override):
     out = []
     for _t, col in GRANT_FIELDS + COMPONENT_FIELDS + INSTRUMENT_TEXT_FIELDS + INSTRUMENT_AMOUNT_FIELDS:
-        if col == "titolo_progetto":
+        if col in override:
+            out.append(f"{override[col]} AS {col}")
+        elif col == "titolo_progetto":
             out.append("CASE WHEN id_componente = '4' THEN 'R&D' ELSE '' END AS titolo_progetto")
         else:
             out.append(col)
     return ", ".join(out + ["anno", "mese"])
 
 
+_SECOND = dict(cod_strumento="cod_strumento || '2'", strumento=f"'{SECOND_INSTRUMENT}'",
+               elemento_aiuto="CAST(NULL AS DOUBLE)")
+_BARE = dict({c: "''" for _t, c in COMPONENT_FIELDS + INSTRUMENT_TEXT_FIELDS},
+             id_componente="'0'", settore_attivita=f"'{BARE_COMPONENT_SECTOR}'",
+             elemento_aiuto="CAST(NULL AS DOUBLE)", importo_nominale="CAST(NULL AS DOUBLE)")
+
+
+def _line_rows_sql(raw_sql: str, extra_cols: str, where: str = "TRUE") -> str:
+    """Flat rows of the line-item records: main instrument, second
+    instrument, bare component."""
+    base = f"FROM ({raw_sql}) a WHERE id_componente != '{MALFORMED_LINE}' AND {where}"
+    return f"""SELECT {_aid_twin_cols()}{extra_cols} {base}
+UNION ALL SELECT {_aid_twin_cols(**_SECOND)}{extra_cols} {base} AND cod_strumento = '{SECOND_INSTRUMENT_FLAG}'
+UNION ALL SELECT {_aid_twin_cols(**_BARE)}{extra_cols} {base} AND id_componente = '1'"""
+
+
 def _orphan_twin_cols():
     keep = {
         "data_concessione": f"CASE WHEN o.o_orderstatus = '{UNDATED_STATUS}' THEN '' "
@@ -185,25 +217,25 @@ def _orphan_twin_cols():
     return ", ".join(out)
 
 
+_ARRIVAL_COLS = ", ".join(f"_a{i}" for i in range(len(S.ARRIVAL_COLS)))
+_ORPHANS_FROM = """FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)"""
+
 # All well-formed records flattened (year-0 rows included), with the year and
 # month of the file each row was written to.
 AID_XML_FLAT_SQL = f"""
-SELECT {_aid_twin_cols()}, anno AS _file_year, mese AS _file_month
-FROM ({S.AID_RAW_SQL}) a WHERE id_componente != '{MALFORMED_LINE}'
+{_line_rows_sql(S.AID_RAW_SQL, ", anno AS _file_year, mese AS _file_month")}
 UNION ALL
 SELECT {_orphan_twin_cols()}
-FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
-WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)"""
+{_ORPHANS_FROM}"""
 
 # Well-formed, dated rows with the stand-in arrival order (NULL for orphans).
 AID_XML_ARRIVAL_SQL = f"""
-SELECT {_aid_twin_cols()}, {", ".join(f"_a{i}" for i in range(len(S.ARRIVAL_COLS)))}
-FROM ({S.AID_RAW_ARRIVAL_SQL}) a WHERE id_componente != '{MALFORMED_LINE}' AND anno != 0
+{_line_rows_sql(S.AID_RAW_ARRIVAL_SQL, ", " + _ARRIVAL_COLS, "anno != 0")}
 UNION ALL
 SELECT * EXCLUDE (_file_year, _file_month), {", ".join(f"NULL AS _a{i}" for i in range(len(S.ARRIVAL_COLS)))}
 FROM ({"SELECT " + _orphan_twin_cols()}
-      FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
-      WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)) x WHERE anno != 0"""
+      {_ORPHANS_FROM}) x WHERE anno != 0"""
 
 # Every record written, with its file and whether it is malformed.
 AID_XML_RECORDS_SQL = f"""
