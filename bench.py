@@ -22,7 +22,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from aidspark.operators import analysis as A  # noqa: E402
 from aidspark.operators import joins as J  # noqa: E402

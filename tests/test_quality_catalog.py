@@ -1,7 +1,6 @@
 """Quality gates (V1-V7) and catalog."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from aidspark.operators import catalog as CT
 from aidspark.operators import quality as Q

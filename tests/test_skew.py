@@ -1,7 +1,6 @@
 """A key holding a third of all rows: results stay exact (checked against a
 pandas brute force) and the plans reduce the hot key before any shuffle."""
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from aidspark.functions.money import MONEY

@@ -1,6 +1,5 @@
 """Ad-hoc SQL through the registered views gives the operator's result."""
 
-from pyspark.sql import functions as F
 
 from aidspark.operators import analysis as A
 from aidspark.operators import marts as M

@@ -1,6 +1,5 @@
 """XML source, repair and flatten (S1-S16) on hand-written records."""
 
-import os
 
 from pyspark.sql import functions as F
 
