@@ -88,6 +88,10 @@ def upsert_append(spark: SparkSession, new: DataFrame, path: str, dedup: bool =
     Only the years present in ``new`` are read (partition pruning via a
     semi-join on ``anno``) and rewritten; other years are untouched."""
     _check_mode(mode)
+    if order not in new.columns:
+        # No source position: the batch's own read order decides (assigned
+        # before any shuffle, so it is stable on re-run).
+        new = new.withColumn(order, F.monotonically_increasing_id())
     if mode == "overwrite":
         write_year_overwrite(new, path, dedup=dedup, order=order, key=key)
         return

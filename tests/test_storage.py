@@ -112,3 +112,9 @@ def test_rebuild_does_not_overwrite_unrequested_years(spark, tmp_dir):
     got = {(r.anno, r.cor) for r in ST.read_all_years(spark, base).collect()}
     assert got == {(2022, "old22"), (2023, "new23")}
     assert [r.cor for r in ST.strays(spark, out, 2023, 2023).collect()] == ["stray22"]
+
+
+def test_append_without_arrival_column(spark, tmp_dir):
+    rows = _rows(spark, [("1", "a", "x", 2021, 1, "first"), ("1", "a", "x", 2021, 2, "second")]).drop("_arrival")
+    ST.upsert_append(spark, rows.coalesce(1), tmp_dir + "/t")
+    assert [r.soggetto_concedente for r in spark.read.parquet(tmp_dir + "/t").collect()] == ["second"]
