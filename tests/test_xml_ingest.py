@@ -211,3 +211,6 @@ def test_unreadable_file_is_skipped(spark, tmp_dir):
     counts = {r.fonte.rsplit("/", 1)[-1]: (r.record_ok, r.record_scartati)
               for r in X.parse_counts(X.read_aid_xml(spark, tmp_dir)).collect()}
     assert counts["OpenData_Aiuti_2021_03.xml"] == (1, 0)
+    report = {r.fonte.rsplit("/", 1)[-1]: (r.record_ok, r.letto)
+              for r in X.file_report(spark, tmp_dir, X.read_aid_xml(spark, tmp_dir)).collect()}
+    assert report == {"OpenData_Aiuti_2021_03.xml": (1, True), "OpenData_Aiuti_2021_04.xml.gz": (0, False)}
