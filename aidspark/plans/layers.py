@@ -140,3 +140,19 @@ def run_measures(spark: SparkSession, raw: DataFrame, out_dir: str, fail_on_erro
     return run_layers(spark, raw, out_dir, C.clean_measure, MEASURE_REGISTERED,
                       Q.MEASURE_CLEAN_RULES["not_null"], Q.MEASURE_CLEAN_RULES["min_rows"],
                       partition_by=None, fail_on_error=fail_on_error)
+
+
+def signal(spark: SparkSession, report: dict, dataset: str, year: int | None = None) -> DataFrame:
+    """V7: the run signal of a layer run: per layer (clean, mart) rows, bytes
+    and gate results, with the run's status, quality score and duration. Built
+    from the run report (counts observed during the writes), so it reads no
+    data."""
+    failed = report.get("clean_gates_failed", [])
+    n_gates = len(report.get("clean_nulls", {})) + 1
+    score = int(100 * (n_gates - len(failed)) / n_gates)
+    status = "SUCCESS" if not failed else "WARNING"
+    rows = [(dataset, year, "clean", report["clean_rows"], report["output_bytes"]["clean"], score),
+            (dataset, year, "mart", report["mart_rows"], report["output_bytes"]["mart"], 100)]
+    df = spark.createDataFrame(rows, "dataset string, anno int, layer string, righe bigint, byte bigint, "
+                                     "punteggio_qualita int")
+    return df.select("*", F.lit(status).alias("stato"), F.lit(float(report["total_sec"])).alias("durata_sec"))

@@ -89,6 +89,9 @@ def test_layer_run_per_year_and_report(spark, tmp_dir):
                                                           & F.col("elemento_aiuto").isNotNull()).count()
     assert set(rep["marts"]) == set(L.AID_REGISTERED)
     assert rep["output_bytes"]["clean"] > 0 and rep["output_bytes"]["mart"] > 0
+    sig = {r.layer: r for r in L.signal(spark, rep, "aiuti_stato", year).collect()}
+    assert sig["clean"].righe == rep["clean_rows"] and sig["mart"].righe == rep["mart_rows"]
+    assert sig["clean"].stato == "WARNING" and sig["clean"].punteggio_qualita == 75  # min_rows fails at this size
     m = L.run_measures(spark, S.measure_raw(spark, SF_SMALL), tmp_dir + "/m", fail_on_error=False)
     assert m["clean_gates_failed"] == ["min_rows"]
     import pytest
