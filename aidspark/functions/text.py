@@ -64,12 +64,17 @@ def repair_xml(c) -> Column:
 TAG_PREFIX = r"<(/?)[A-Za-z_][\w.\-]*+:"
 
 
+def strip_tag_prefixes(c) -> Column:
+    """Remove namespace prefixes from tag names."""
+    return F.regexp_replace(_c(c), TAG_PREFIX, "<$1")
+
+
 def repair_record(c) -> Column:
     """Ingest repair of one record: namespace prefixes removed, then the
     ``repair_xml`` chain. Separate simple patterns are faster than one
     alternation (literal prefixes and plain classes keep the regex engine's
     fast paths); the ampersand repairs run only on records containing '&'."""
-    out = scrub_control_chars(F.regexp_replace(_c(c), TAG_PREFIX, "<$1"))
+    out = scrub_control_chars(strip_tag_prefixes(c))
     out = repair_truncated_tags(out)
     return F.when(F.instr(out, "&") > 0, repair_entities(out)).otherwise(out)
 
