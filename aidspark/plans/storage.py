@@ -47,8 +47,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
-def _write_years(df: DataFrame, path: str) -> None:
-    (df.hint("rebalance", "anno").write.mode("overwrite")
+def _write_years(df: DataFrame, path: str, rebalance: bool = True) -> None:
+    """Dynamic-overwrite the year partitions present in ``df``. ``rebalance``
+    adds the REBALANCE shuffle that bounds file sizes; skip it when every
+    input task already holds a single year (e.g. reading a year-partitioned
+    staging table), since then each task writes one file per year anyway."""
+    if rebalance:
+        df = df.hint("rebalance", "anno")
+    (df.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").options(**ZSTD)
      .partitionBy("anno").parquet(path))
 
@@ -112,7 +118,7 @@ def upsert_append(spark: SparkSession, new: DataFrame, path: str, dedup: bool =
     merged = dedup_keep_last(fresh, key, "_rank") if dedup else fresh.drop("_rank")
     staging = scratch_dir(spark, "upsert-staging")
     _write_years(conform_schema(merged, AID_SCHEMA), staging)
-    _write_years(spark.read.parquet(staging), path)
+    _write_years(spark.read.parquet(staging), path, rebalance=False)
 
 
 def stage_xml(flat: DataFrame, path: str) -> str:
@@ -165,7 +171,9 @@ def rebuild_years(spark: SparkSession, xml_path: str, path: str, first_year: int
     stage = scratch_dir(spark, "rebuild-staging")
     stage_xml(flatten_aid(X.read_aid_xml(spark, xml_path, glob=glob, years=(first_year, last_year))), stage)
     good = staged(spark, stage, OK)
-    _write_years(conform_schema(good.where(F.col("anno").between(first_year, last_year)), AID_SCHEMA), path)
+    # The staging table is partitioned by year: no shuffle needed to write by year.
+    _write_years(conform_schema(good.where(F.col("anno").between(first_year, last_year)), AID_SCHEMA), path,
+                 rebalance=False)
     return RebuildOutputs(path, stage)
 
 
