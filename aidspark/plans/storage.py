@@ -80,7 +80,9 @@ def write_year_overwrite(df: DataFrame, path: str, years: Sequence[int] | None =
     target = df if years is None else df.where(F.col("anno").isin(list(years)))
     strays = df.where(F.lit(False)) if years is None else df.where(~F.col("anno").isin(list(years)))
     if dedup:
-        target = dedup_keep_last(target, key, order)
+        # Keep-last within each year partition, as each year's table is
+        # deduplicated on its own.
+        target = dedup_keep_last(target, ["anno", *key], order)
     _write_years(conform_schema(target, AID_SCHEMA), path)
     return strays
 
@@ -115,7 +117,7 @@ def upsert_append(spark: SparkSession, new: DataFrame, path: str, dedup: bool =
     if old is not None:
         old_rank = F.struct(F.lit(0).alias("batch"), F.lit(None).cast(order_type).alias("pos"))
         fresh = conform_schema(old.withColumn("_rank", old_rank), ranked).unionByName(fresh)
-    merged = dedup_keep_last(fresh, key, "_rank") if dedup else fresh.drop("_rank")
+    merged = dedup_keep_last(fresh, ["anno", *key], "_rank") if dedup else fresh.drop("_rank")
     staging = scratch_dir(spark, "upsert-staging")
     _write_years(conform_schema(merged, AID_SCHEMA), staging)
     _write_years(spark.read.parquet(staging), path, rebalance=False)

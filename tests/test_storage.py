@@ -121,3 +121,11 @@ def test_append_without_arrival_column(spark, tmp_dir):
     rows = _rows(spark, [("1", "a", "x", 2021, 1, "first"), ("1", "a", "x", 2021, 2, "second")]).drop("_arrival")
     ST.upsert_append(spark, rows.coalesce(1), tmp_dir + "/t")
     assert [r.soggetto_concedente for r in spark.read.parquet(tmp_dir + "/t").collect()] == ["second"]
+
+
+def test_dedup_is_per_year_partition(spark, tmp_dir):
+    df = _rows(spark, [("1", "a", "x", 2021, 1, "y21"), ("1", "a", "x", 2022, 2, "y22"),
+                       ("1", "a", "x", 2022, 3, "y22b")])
+    ST.write_year_overwrite(df, tmp_dir, dedup=True)
+    got = {(r.anno, r.soggetto_concedente) for r in ST.read_all_years(spark, tmp_dir).collect()}
+    assert got == {(2021, "y21"), (2022, "y22b")}
