@@ -36,15 +36,29 @@ UNCLASSIFIED = "Altro / Non classificato"
 PREFIX = "(NACE 2) "
 
 
-def macro_sector(c) -> Column:
-    """Section label, or UNCLASSIFIED. A prefix test and two fixed character
-    positions (no regex), then a literal map lookup: no join, no UDF."""
+def _lookup() -> Column:
+    return F.create_map(*[F.lit(x) for x in chain.from_iterable(NACE_SECTIONS)])
+
+
+def section_letter(c) -> Column:
+    """The mapped section letter of a code, or NULL (unclassified). A prefix
+    test and two fixed character positions: no regex."""
     col = F.col(c) if isinstance(c, str) else c
     n = len(PREFIX)
     letter = F.substring(col, n + 1, 1)
     coded = col.startswith(PREFIX) & (F.substring(col, n + 2, 1) == ".")
-    lookup = F.create_map(*[F.lit(x) for x in chain.from_iterable(NACE_SECTIONS)])
-    return F.coalesce(F.when(coded, F.try_element_at(lookup, letter)), F.lit(UNCLASSIFIED))
+    return F.when(coded & F.try_element_at(_lookup(), letter).isNotNull(), letter)
+
+
+def section_label(letter) -> Column:
+    """Label of a section letter (literal map lookup), or UNCLASSIFIED."""
+    col = F.col(letter) if isinstance(letter, str) else letter
+    return F.coalesce(F.try_element_at(_lookup(), col), F.lit(UNCLASSIFIED))
+
+
+def macro_sector(c) -> Column:
+    """Section label of a code, or UNCLASSIFIED: no join, no UDF."""
+    return section_label(section_letter(c))
 
 
 def macro_sector_sql(col: str) -> str:

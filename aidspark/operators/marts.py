@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aidspark.functions.money import mean, money, pct, round_double, rounded, share_of, total
-from aidspark.functions.nace import UNCLASSIFIED, macro_sector
+from aidspark.functions.nace import section_label, section_letter
 from aidspark.operators.clean import MISSING_REGION
 
 AMOUNT = "elemento_aiuto"
@@ -135,16 +135,20 @@ def mart_tipo_beneficiario(clean: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- M7 / M10
 def mart_settore_regione(clean: DataFrame) -> DataFrame:
     """NACE macro-sector x region x year. Unclassified codes are dropped before
-    aggregating, so shares are of classified aid only."""
+    aggregating, so shares are of classified aid only.
+
+    Grouped by the one-letter section; the label is attached after the
+    aggregate (labels start with their letter, so ordering is the same)."""
     s = (clean.where(_nonblank("settore_attivita") & (F.col(REGION) != MISSING_REGION))
          .select("anno", F.col(REGION).alias("regione"),
-                 macro_sector("settore_attivita").alias("macro_settore"), AMOUNT, FIRM)
-         .where(F.col("macro_settore") != UNCLASSIFIED))
-    g = (s.groupBy("anno", "regione", "macro_settore")
+                 section_letter("settore_attivita").alias("_sez"), AMOUNT, FIRM)
+         .where(F.col("_sez").isNotNull()))
+    g = (s.groupBy("anno", "regione", "_sez")
          .agg(_n().alias("aiuti"), _firms(), *_amounts()))
     g = (_finish_total(g)
+         .withColumn("macro_settore", section_label("_sez"))
          .withColumn("quota_pct_su_regione", share_of("_tot", "anno", "regione"))
-         .withColumn("rank_in_regione", _rank(["anno", "regione"], "_tot", ["macro_settore"])))
+         .withColumn("rank_in_regione", _rank(["anno", "regione"], "_tot", ["_sez"])))
     return (g.select("anno", "regione", "macro_settore", "aiuti", "imprese", "totale_esl",
                      "media_esl", "quota_pct_su_regione", "rank_in_regione")
             .orderBy(F.desc("anno"), F.asc("regione"), F.asc("rank_in_regione")))
