@@ -35,7 +35,7 @@ from aidspark.operators.flatten import flatten_aid  # noqa: E402
 from aidspark.sources import xml as X  # noqa: E402
 
 
-RUNS = 3
+RUNS = 5
 WARMUP = 2
 
 
@@ -68,7 +68,7 @@ def main():
         L.run_aid(spark, raw, scratch_dir(spark, "bench-warm-a"))
 
     queries = {}
-    # Headline: best of three timed runs (each a full write of every layer).
+    # Headline: best of RUNS timed runs (each a full write of every layer).
     runs = [L.run_aid(spark, raw, scratch_dir(spark, "bench-aid")) for _ in range(RUNS)]
     aid = min(runs, key=lambda r: r["total_sec"])
     queries["clean_plus_7_marts"] = aid["total_sec"]
