@@ -60,10 +60,14 @@ def index_totals(index: DataFrame) -> DataFrame:
     return index.agg(F.count(F.lit(1)).alias("anni"), F.sum("righe").cast("bigint").alias("righe_totali"))
 
 
-def manifest_measures(measures: DataFrame) -> DataFrame:
-    """D3: rows and field count of the measure table."""
-    return measures.agg(F.count(F.lit(1)).alias("righe")).withColumn(
+def manifest_measures(measures: DataFrame, size_bytes: int | None = None) -> DataFrame:
+    """D3: rows and field count of the measure table; with ``size_bytes``
+    (e.g. ``plans.storage.path_bytes`` of its folder) also its size in MB."""
+    out = measures.agg(F.count(F.lit(1)).alias("righe")).withColumn(
         "campi", F.lit(len(measures.columns)).cast("bigint"))
+    if size_bytes is not None:
+        out = out.withColumn("size_mb", F.lit(round(size_bytes / 1_000_000, 1)))
+    return out
 
 
 def column_catalog(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFrame:

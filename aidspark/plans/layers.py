@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from aidspark.operators import clean as C
 from aidspark.operators import marts as M
 from aidspark.operators import quality as Q
-from aidspark.plans.storage import ZSTD
+from aidspark.plans.storage import ZSTD, path_bytes
 
 # --- fixed values: the marts each dataset configuration registers -------------
 AID_REGISTERED = {
@@ -115,13 +115,6 @@ def run_layers(spark: SparkSession, raw: DataFrame, out_dir: str,
     return report
 
 
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes under a path, from the file system's metadata (no data read)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
-
 
 def run_aid(spark: SparkSession, raw: DataFrame, out_dir: str, marts=None,
             year: int | None = None) -> dict:

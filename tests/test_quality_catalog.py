@@ -74,3 +74,10 @@ def test_file_summary_totals(spark, tmp_dir):
     assert s[None].righe == raw.count()
     assert sum(r.righe for k, r in s.items() if k is not None) == s[None].righe
     assert s[None].mb >= 0
+
+
+def test_manifest_measures_with_size(spark, tmp_dir):
+    meas = clean_measure(S.measure_raw(spark, SF_SMALL))
+    meas.write.parquet(tmp_dir + "/m")
+    r = CT.manifest_measures(spark.read.parquet(tmp_dir + "/m"), ST.path_bytes(spark, tmp_dir + "/m")).first()
+    assert (r.righe, r.campi) == (meas.count(), 20) and r.size_mb >= 0
