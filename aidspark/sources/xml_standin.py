@@ -33,9 +33,11 @@ BARE_COMPONENT_SECTOR = "(NACE 2) Z.0"
 
 
 def _esc(v: Column) -> Column:
-    v = F.regexp_replace(v, "&", "&amp;")
-    v = F.regexp_replace(v, "<", "&lt;")
-    return F.regexp_replace(v, ">", "&gt;")
+    """XML-escape text; values without '&', '<' or '>' (almost all) skip the
+    replacements after three literal searches."""
+    special = (F.instr(v, "&") > 0) | (F.instr(v, "<") > 0) | (F.instr(v, ">") > 0)
+    escaped = F.regexp_replace(F.regexp_replace(F.regexp_replace(v, "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
+    return F.when(special, escaped).otherwise(v)
 
 
 def _elem(tag, value: Column, raw: bool = False) -> Column:
