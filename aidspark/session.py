@@ -54,20 +54,14 @@ def prepare(spark: SparkSession) -> SparkSession:
 def _checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
-    Read from the session (``spark.checkpoint.dir`` or the context's checkpoint
-    dir). Only when neither is set (local runs, tests) a private one is made
-    and registered, so later ``checkpoint()`` calls use it too.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    Read from the session (``spark.checkpoint.dir``, a static setting, or the
+    context's checkpoint dir). Only when neither is set (local runs, tests) a
+    private folder is made and registered with ``setCheckpointDir``, so later
+    ``checkpoint()`` calls and scratch paths share it."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # pragma: no cover - older API
-            root = None
-    if not root:
-        root = tempfile.mkdtemp(prefix="aidspark-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="aidspark-ckpt-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root
 
 

@@ -14,10 +14,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from aidspark.session import get_session
     s = get_session("local[4]", app="aidspark-tests", shuffle_partitions=8)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="aidspark-test-ckpt-")
-        s.sparkContext.setCheckpointDir(d)
-        s.conf.set("spark.checkpoint.dir", d)
+    if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="aidspark-test-ckpt-"))
     yield s
     s.stop()
 

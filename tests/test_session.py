@@ -1,16 +1,13 @@
 """Scratch paths come from the session's shared checkpoint folder."""
 
-from aidspark.session import RUNTIME_CONF, prepare, scratch_dir
+from aidspark.session import RUNTIME_CONF, _checkpoint_root, prepare, scratch_dir
 
 
 def test_scratch_dir_uses_session_checkpoint_dir(spark):
-    old = spark.conf.get("spark.checkpoint.dir")
-    try:
-        spark.conf.set("spark.checkpoint.dir", "hdfs://cluster/shared/ckpt")
-        a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")
-        assert a.startswith("hdfs://cluster/shared/ckpt/aidspark/x-") and a != b
-    finally:
-        spark.conf.set("spark.checkpoint.dir", old)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert root and _checkpoint_root(spark) == root
+    a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert a.startswith(root.rstrip("/") + "/aidspark/x-") and a != b
 
 
 def test_prepare_is_idempotent(spark):
