@@ -28,3 +28,13 @@ def test_sql_over_views_matches_operators(spark, tmp_dir):
     assert _rows(strum.columns, strum.collect()) == _rows(mart.columns, mart.collect())
     pruned = spark.sql(f"SELECT COUNT(*) FROM {names['raw']} WHERE anno = 1997")
     assert "PartitionFilters: [isnotnull(anno" in pruned._jdf.queryExecution().executedPlan().toString()
+
+
+def test_measure_views(spark, tmp_dir):
+    ST.write_year_overwrite(S.aid_raw(spark, SF_SMALL), tmp_dir)
+    meas = S.measure_raw(spark, SF_SMALL)
+    names = register_views(spark, raw_path=tmp_dir, measures=meas)
+    sql = spark.sql(f"""SELECT des_tipo_misura, COUNT(*) AS n_misure FROM {names['measure_clean']}
+                        WHERE des_tipo_misura IS NOT NULL GROUP BY des_tipo_misura""")
+    mart = M.mart_misure_per_tipo(spark.table(names["measure_clean"])).select("des_tipo_misura", "n_misure")
+    assert _rows(sql.columns, sql.collect()) == _rows(mart.columns, mart.collect())
