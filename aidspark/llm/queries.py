@@ -9,13 +9,46 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aidspark.llm import packing
+from aidspark.llm import divergence, licenses, packing, qda, toxicity
+from aidspark.llm.common import crc_fold
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned outside fold 0 of 5."""
+    fold = crc_fold(F.col("doc_id"), 5)
+    scored = qda.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), "quality",
+                          train=fold != 0)
+    return scored.select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
+
+
+def op4_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, divergences and verdict of every document."""
+    return divergence.judge(_table(spark, sf_dir, "documents"))
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrase places and license labels of every document."""
+    found = licenses.scan(_table(spark, sf_dir, "documents"))
+    join = lambda c: F.array_join(F.array_sort(F.array_distinct(c)), ",")
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min("places").cast("long").alias("first_word"), F.array_max("places").cast("long").alias("last_word"),
+        join(F.col("base_labels")).alias("base_labels"),
+        join(F.concat("base_labels", "method_labels")).alias("labels"), "score")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned outside fold 2 of 4."""
+    fold = crc_fold(F.col("doc_id"), 4)
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), "toxic", train=fold != 2)
+    return toxicity.score(docs, model).select("doc_id", (fold == 2).alias("held_out"), "score", "predicted")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of the packed documents with a checksum of their ids."""
     pieces = packing.pack(_table(spark, sf_dir, "documents"))
@@ -24,7 +57,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op8_packing": op8_packing}
+    return {f.__name__: f for f in (op3_qda, op4_divergence, op6_licenses, op7_toxicity, op8_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
