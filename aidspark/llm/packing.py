@@ -39,55 +39,86 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+#: How the tokenizer splits a normalised text.
+PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level BPE writes each byte as a printable letter: the byte itself
+    where that is printable, else the next letter from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class ChunkIds(dict):
     """white-space-free chunk of text -> its ids as little-endian uint32 bytes.
 
     The tokenizer drops white space and never joins text across it, so a
-    document's ids are the ids of its chunks one after the other."""
+    document's ids are the ids of its chunks one after the other. A chunk of
+    printable letters below U+0180, where normalising is lower-casing, is split
+    by the tokenizer's own pattern and its parts are looked up or merged by its
+    BPE model; any other chunk goes through the whole tokenizer."""
 
-    LIMIT = 500_000
+    LIMIT = 400_000
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > self.LIMIT:
+        self.split = regex.compile(PRETOKEN).findall
+        self.letters = _byte_letters()
+        self.parts: dict[str, bytes] = {}
+        # the short way holds for this kind of tokenizer only; others take the whole way
+        probe = "It's 12 words, Caf\u00e9!"
+        self.short = [i for w in probe.split() for i in np.frombuffer(self._short(w), "<u4").tolist()] == (
+            self.tokenizer.encode(probe, add_special_tokens=False).ids)
+
+    def _short(self, text: str) -> bytes:
+        out = []
+        for part in self.split(text.lower()):
+            ids = self.parts.get(part)
+            if ids is None:
+                if len(self.parts) >= self.LIMIT:
+                    self.parts.clear()
+                mapped = part.encode().decode("latin-1").translate(self.letters)
+                ids = self.parts[part] = np.array(
+                    [t.id for t in self.tokenizer.model.tokenize(mapped)], dtype="<u4").tobytes()
+            out.append(ids)
+        return b"".join(out)
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= self.LIMIT:
             self.clear()
-            new = list(words)
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            enc = self.tokenizer.encode([w.decode() for w in part], is_pretokenized=True,
-                                        add_special_tokens=False)
-            ids = np.asarray(enc.ids, dtype="<u4")
-            of = np.asarray([-1 if w is None else w for w in enc.word_ids], dtype=np.int64)
-            if (of < 0).any():  # special tokens written in a text have no word number
-                for w in part:
-                    self[w] = np.asarray(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids,
-                                         dtype="<u4").tobytes()
-                continue
-            cut = np.searchsorted(of, np.arange(len(part) + 1))
-            raw = ids.tobytes()
-            for w, a, b in zip(part, cut[:-1].tolist(), cut[1:].tolist()):
-                self[w] = raw[4 * a:4 * b]
+        text = word.decode("utf-8", "replace")
+        if self.short and text.isprintable() and max(text) < "\u0180" and "\u0130" not in text and "<|" not in text:
+            ids = self._short(text)
+        else:
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        self[word] = ids
+        return ids
+
+
+_MEMO: dict[str, ChunkIds] = {}
+
+
+def chunk_ids(path: str) -> ChunkIds:
+    """The memory of this worker process, shared by its tasks."""
+    if path not in _MEMO:
+        _MEMO[path] = ChunkIds(path)
+    return _MEMO[path]
 
 
 def token_bytes(memo: ChunkIds, words: list[bytes]) -> bytes:
-    out = []
-    for at in range(0, len(words), 200_000):
-        part = words[at:at + 200_000]
-        memo.learn(set(part))
-        out.append(b"".join(map(memo.__getitem__, part)))
-    return b"".join(out)
+    return b"".join(map(memo.__getitem__, words))
 
 
 def _tokenise(path: str, end_id: int):
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def run(batches):
-        memo, part, ordinal, at = ChunkIds(path), TaskContext.get().partitionId(), 0, 0
+        memo, part, ordinal, at = chunk_ids(path), TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             docs = [t.encode().split() for t in batch.column("text").to_pylist()]
             rows, size = [], 0
@@ -140,7 +171,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
                             F.sum("total").over(Window.partitionBy()).alias("all_ids"))
     at = F.col("base") + F.col("part_start")
     w = F.lit(window)
-    placed = (chunks.join(offsets, "part").withColumn("at", at)
+    # four numbers for each scan partition, of which the driver holds one task each anyway
+    placed = (chunks.join(F.broadcast(offsets), "part").withColumn("at", at)
               .withColumn("sequence_id", F.explode(F.sequence(
                   F.floor(F.col("at") / w), F.floor((F.col("at") + F.col("n") - 1) / w)))))
     first = F.greatest(F.col("sequence_id") * w - F.col("at"), F.lit(0))
