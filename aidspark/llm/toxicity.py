@@ -1,11 +1,13 @@
 """Toxicity by class-conditional Kneser-Ney bigram models.
 
 Two interpolated Kneser-Ney models, one of toxic and one of ordinary training
-texts, give a text its mean log-likelihood ratio per word. Both classes back
-off to the same distribution, the continuation counts of the pooled sample
+texts, give each word of a text a log-likelihood ratio. Compared are
+length-normalised sums: over the whole text, over its best short window, and of
+what the ratios have over 1, as a few words make a long text toxic. Both classes
+back off to the same distribution, the continuation counts of the pooled sample
 (and from there to a uniform one), so a word that a class never saw is judged
 by shared evidence and unknown words are neutral. A logistic, fitted on texts
-that the compared models did not see, turns the ratio into a probability.
+that the compared models did not see, turns these into a probability.
 
 The models are learned from a bounded sample of the labelled rows: at most
 ``docs_per_class`` texts and about ``words_per_class`` words of each class, taken
@@ -31,9 +33,14 @@ from pyspark.sql import functions as F
 from aidspark.llm.common import WordHash, documents, keyed, mix
 from aidspark.llm.qda import labels_by_id
 
-DOCS_PER_CLASS = 4_000
-WORDS_PER_CLASS = 1_500_000
-DISCOUNT = 0.75
+DOCS_PER_CLASS = 6_000
+WORDS_PER_CLASS = 3_000_000
+#: Taken off every count, so that n-grams seen up to so many times fall back on
+#: the shared counts.
+DISCOUNT = 3.0
+#: Words of the short windows.
+SPAN = 5
+FEATURES = ("pair_mean", "pair_excess", "word_excess", "span_max", "word_max")
 _WORD = re.compile(r"[^\W_]+")
 _START = np.uint64(1)
 
@@ -76,21 +83,33 @@ class Ratio:
     contexts: np.ndarray
     context_value: np.ndarray
 
-    def mean(self, toks: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-        """Mean ratio of each text; ``toks`` are the texts' words one after the
+    def features(self, toks: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+        """``FEATURES`` of each text; ``toks`` are the texts' words one after the
         other, ``cuts`` their ends."""
-        starts = np.concatenate([[0], cuts[:-1]]).astype(np.int64)
+        out = np.zeros((len(cuts), len(FEATURES)))
+        cuts = np.asarray(cuts, dtype=np.int64)
+        starts = np.concatenate([np.zeros(1, np.int64), cuts[:-1]])
+        some = np.flatnonzero(cuts > starts)
+        if not len(some):
+            return out
+        starts, cuts = starts[some], cuts[some]
         n = cuts - starts
-        if not len(toks):
-            return np.zeros(len(cuts))
         before = np.concatenate([[_START], toks[:-1]])
-        before[starts[n > 0]] = _START
-        value, hit = _lookup(self.pairs, self.pair_value, _pair(before, toks), 0.0)
+        before[starts] = _START
+        word = _lookup(self.words, self.word_value, toks, 0.0)[0]
+        pair, hit = _lookup(self.pairs, self.pair_value, _pair(before, toks), 0.0)
         rest = ~hit
-        value[rest] = (_lookup(self.words, self.word_value, toks[rest], 0.0)[0]
-                       + _lookup(self.contexts, self.context_value, before[rest], 0.0)[0])
-        sums = np.concatenate([[0.0], np.cumsum(value)])
-        return (sums[cuts] - sums[starts]) / np.maximum(n, 1)
+        pair[rest] = word[rest] + _lookup(self.contexts, self.context_value, before[rest], 0.0)[0]
+        total = lambda v: np.add.reduceat(v, starts) / n
+        # sums of windows that end at each word and do not reach into another text
+        run = np.concatenate([[0.0], np.cumsum(word)])
+        at = np.arange(len(word))
+        first = np.maximum(at - (SPAN - 1), np.repeat(starts, n))
+        span = (run[at + 1] - run[first]) / SPAN
+        out[some] = np.stack([total(pair), np.sqrt(total(np.maximum(pair - 1, 0))),
+                              np.sqrt(total(np.maximum(word - 1, 0))),
+                              np.maximum.reduceat(span, starts), np.maximum.reduceat(word, starts)], 1)
+        return out
 
 
 def _sums(keys: np.ndarray, values: np.ndarray):
@@ -105,7 +124,8 @@ def kneser_ney_ratio(counts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], d:
     # shared continuation counts: contexts that precede each word, in either class
     words, cont = _sums(both_w[one], np.ones(len(one)))
     n = max(1.0, cont.sum())
-    shared = (cont - d) / n + d * len(words) / n / (len(words) + 1)
+    off = np.minimum(cont, d)
+    shared = (cont - off) / n + off.sum() / n / (len(words) + 1)
     contexts = np.unique(both_u)
     pairs, first = np.unique(_pair(both_u, both_w), return_index=True)
     pu, pw = both_u[first], both_w[first]
@@ -115,17 +135,18 @@ def kneser_ney_ratio(counts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], d:
         # class unigram: own continuation counts over the shared distribution
         own, k = _sums(w, np.ones(len(w)))
         total = max(1.0, k.sum())
-        uni = shared * (d * len(own) / total if len(own) else 1.0)
-        uni[np.searchsorted(words, own)] += (k - d) / total
+        off = np.minimum(k, d)
+        uni = shared * (off.sum() / total if len(own) else 1.0)
+        uni[np.searchsorted(words, own)] += (k - off) / total
         cu, mass = _sums(u, c.astype(float))
-        _, kinds = _sums(u, np.ones(len(u)))
+        _, freed = _sums(u, np.minimum(c, d))
         gamma, size = np.ones(len(contexts)), np.ones(len(contexts))
-        gamma[np.searchsorted(contexts, cu)] = d * kinds / mass
+        gamma[np.searchsorted(contexts, cu)] = freed / mass
         size[np.searchsorted(contexts, cu)] = mass
         own_pairs = _pair(u, w)
         order = np.argsort(own_pairs)
         got = _lookup(own_pairs[order], c[order].astype(float), pairs, 0.0)[0]
-        log_pair.append(np.log(np.maximum(got - d, 0) / size[ui] + gamma[ui] * uni[wi]))
+        log_pair.append(np.log(1e-12 + np.maximum(got - d, 0) / size[ui] + gamma[ui] * uni[wi]))
         log_uni.append(np.log(uni))
         log_gamma.append(np.log(gamma))
     f = lambda x: (x[1] - x[0]).astype(np.float32)
@@ -153,16 +174,16 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, train: Column | N
             [n.get(0, 0), n.get(1, 0)])
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
-    """Slope and intercept by Newton's method."""
-    a = np.stack([x, np.ones(len(x))], 1)
-    beta = np.zeros(2)
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """Slopes and intercept (last) by Newton's method, slopes held by a ridge."""
+    a = np.column_stack([x, np.ones(len(x))])
+    hold = ridge * np.diag([1.0] * x.shape[1] + [1e-6])
+    beta = np.zeros(a.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ beta, -30, 30)))
-        grad = a.T @ (weight * (y - p)) - ridge * beta
-        hess = (a * (weight * p * (1 - p))[:, None]).T @ a + ridge * np.eye(2)
-        step = np.linalg.solve(hess, grad)
-        beta = beta + step * min(1.0, 10 / (np.abs(step).max() + 1e-12))
+        grad = a.T @ (weight * (y - p)) - hold @ beta
+        step = np.linalg.solve((a * (weight * p * (1 - p))[:, None]).T @ a + hold, grad)
+        beta = beta + step * min(1.0, 5 / (np.abs(step).max() + 1e-12))
         if np.abs(step).max() < 1e-8:
             break
     return beta
@@ -171,11 +192,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
 @dataclass(frozen=True)
 class Model:
     ratio: Ratio | None
-    slope: float
-    intercept: float
+    beta: np.ndarray    # of the standardised features, intercept last
+    centre: np.ndarray
+    scale: np.ndarray
 
-    def score(self, ratios: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * ratios + self.intercept, -500, 500)))
+    def score(self, features: np.ndarray) -> np.ndarray:
+        z = (features - self.centre) / self.scale @ self.beta[:-1] + self.beta[-1]
+        return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str, train: Column | None = None,
@@ -183,7 +206,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, train: Column | None
         id_col: str = "doc_id", text_col: str = "text") -> Model:
     chosen, n = sample(keyed(docs, id_col, text_col), labels, label_col, train, docs_per_class, words_per_class)
     if min(n) == 0:
-        return Model(None, 0.0, float(np.log((n[1] + 1) / (n[0] + 1))))
+        k = len(FEATURES)
+        return Model(None, np.array([0.0] * k + [np.log((n[1] + 1) / (n[0] + 1))]), np.zeros(k), np.ones(k))
     rows = chosen.collect()  # at most words_per_class words of each class, but for one text
     hashes = TokenHash()
     toks = [tokens(r["text"], hashes) for r in rows]
@@ -200,17 +224,18 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, train: Column | None
             out.append((u[at], w[at], c))
         return out
 
-    x = np.zeros(len(ys))
+    x = np.zeros((len(ys), len(FEATURES)))
     for fold in (0, 1):
         held = folds == fold
         if held.any():
             part = [t for t, k in zip(toks, held) if k]
-            x[held] = kneser_ney_ratio(counts(~held)).mean(
+            x[held] = kneser_ney_ratio(counts(~held)).features(
                 np.concatenate([np.empty(0, np.uint64), *part]), np.cumsum([len(t) for t in part]))
-    share = np.array([n[0] / max(1, (ys == 0).sum()), n[1] / max(1, (ys == 1).sum())])
+    share = np.array([n[k] / max(1, (ys == k).sum()) for k in (0, 1)])
     weight = share[ys] * len(ys) / share[ys].sum()
-    slope, intercept = _logistic(x, ys.astype(float), weight)
-    return Model(kneser_ney_ratio(counts(np.ones(len(ys), dtype=bool))), max(0.0, slope), intercept)
+    centre, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
+    beta = _logistic((x - centre) / scale, ys.astype(float), weight)
+    return Model(kneser_ney_ratio(counts(np.ones(len(ys), dtype=bool))), beta, centre, scale)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "doc_id",
@@ -228,9 +253,10 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "
             toks = [tokens(t, hashes) for t in batch.column("text").to_pylist()]
             cuts = np.cumsum([len(t) for t in toks]).astype(np.int64)
             flat = np.concatenate([np.empty(0, np.uint64), *toks])
-            r = m.ratio.mean(flat, cuts) if m.ratio is not None else np.zeros(len(toks))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in cols), pa.array(r), pa.array(m.score(r))],
-                                             names=[*cols, "ratio", "score"])
+            x = m.ratio.features(flat, cuts) if m.ratio is not None else np.zeros((len(toks), len(FEATURES)))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in cols), pa.array(x[:, 0]), pa.array(m.score(x))],
+                names=[*cols, "ratio", "score"])
 
     schema = ", ".join(f"{c} long" for c in cols) + ", ratio double, score double"
     return src.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
