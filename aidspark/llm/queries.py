@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aidspark.llm import divergence, licenses, packing, qda, toxicity
+from aidspark.llm import divergence, licenses, packing, qda, rlz, toxicity
 from aidspark.llm.common import crc_fold
 
 
@@ -17,6 +17,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_rlz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What substring deduplication keeps of every document."""
+    return rlz.remove_duplicates(_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op3_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned outside fold 0 of 5."""
     fold = crc_fold(F.col("doc_id"), 5)
@@ -57,7 +62,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_qda, op4_divergence, op6_licenses, op7_toxicity, op8_packing)}
+    return {f.__name__: f for f in (op2_rlz, op3_qda, op4_divergence, op6_licenses, op7_toxicity, op8_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
