@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aidspark.llm import divergence, licenses, packing, qda, rlz, toxicity
+from aidspark.llm import divergence, licenses, packing, qda, rlz, setsketch, toxicity
 from aidspark.llm.common import crc_fold
 
 
@@ -35,6 +35,13 @@ def op4_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(_table(spark, sf_dir, "documents"))
 
 
+def op5_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents (3-word shingles, 0.85)."""
+    found = setsketch.near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id",
+                        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Phrase places and license labels of every document."""
     found = licenses.scan(_table(spark, sf_dir, "documents"))
@@ -62,7 +69,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_rlz, op3_qda, op4_divergence, op6_licenses, op7_toxicity, op8_packing)}
+    return {f.__name__: f for f in (op2_rlz, op3_qda, op4_divergence, op5_setsketch, op6_licenses, op7_toxicity, op8_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
