@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aidspark.llm import divergence, licenses, packing, qda, rlz, setsketch, toxicity
+from aidspark.llm import bm25, divergence, licenses, packing, qda, rlz, setsketch, toxicity, winnow
 from aidspark.llm.common import crc_fold
 
 
@@ -68,9 +68,22 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset", "sequence_length", "padded_length")
 
 
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What line deduplication keeps of every document."""
+    done = winnow.dedup_lines(_table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "line_dedup.n_lines", "line_dedup.n_removed",
+                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+def op10_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that training documents hold."""
+    return bm25.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("rid", "rhash")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_rlz, op3_qda, op4_divergence, op5_setsketch, op6_licenses, op7_toxicity, op8_packing)}
+    return {f.__name__: f for f in (op2_rlz, op3_qda, op4_divergence, op5_setsketch, op6_licenses, op7_toxicity, op8_packing,
+                                   op9_winnowing, op10_bm25)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_winnowing": winnow.ORACLE_SQL}
