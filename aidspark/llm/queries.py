@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aidspark.llm import bm25, divergence, licenses, packing, qda, rlz, setsketch, toxicity, winnow
+from aidspark.llm import bm25, divergence, hpylm, licenses, packing, qda, rlz, setsketch, toxicity, winnow
 from aidspark.llm.common import crc_fold
 
 
@@ -17,6 +17,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model score of every document, learned outside fold 1 of 5."""
+    fold = crc_fold(F.col("doc_id"), 5)
+    scored = hpylm.score(_table(spark, sf_dir, "documents"), train=fold != 1)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score", "perplexity")
+
+
 def op2_rlz(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What substring deduplication keeps of every document."""
     return rlz.remove_duplicates(_table(spark, sf_dir, "documents")).drop("kept_text")
@@ -81,7 +89,7 @@ def op10_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_rlz, op3_qda, op4_divergence, op5_setsketch, op6_licenses, op7_toxicity, op8_packing,
+    return {f.__name__: f for f in (op1_hpylm, op2_rlz, op3_qda, op4_divergence, op5_setsketch, op6_licenses, op7_toxicity, op8_packing,
                                    op9_winnowing, op10_bm25)}
 
 
