@@ -30,10 +30,12 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aidspark.llm.common import documents, lower_ascii
+from aidspark.llm.common import documents, lower_ascii, materialize
 
 # Fixed by the task: words and the phrases with their labels.
-WORD = r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_NO_WORD_IN_LINE = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
 #: License sentences as commonly written, with the label each stands for.
@@ -59,13 +61,20 @@ THRESHOLD = 0.9
 MAX_TEMPLATE_WORDS = 5000
 
 
-def words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), F.lit(1))
+def joined_words(text: Column) -> Column:
+    """The words of a text with one blank between them."""
+    return F.trim(F.regexp_replace(text, _NO_WORD, " "))
 
 
-def phrase_places(found: Column, joined: Column, phrase: str) -> Column:
-    """Starts (words from 0) of a phrase in an array of words; ``joined`` is
-    the words between blanks, asked first as most texts hold no phrase."""
+def word_count(joined: Column) -> Column:
+    return F.when(joined == "", F.lit(0)).otherwise(
+        F.length(joined) - F.length(F.translate(joined, " ", "")) + 1)
+
+
+def phrase_places(joined: Column, phrase: str) -> Column:
+    """Starts (words from 0) of a phrase in words joined by blanks. The words
+    are only told apart in the few texts that hold the phrase."""
+    found = F.split(joined, " ")
     parts = phrase.split()
     same = lambda i: [F.element_at(found, i + k + 1) == w for k, w in enumerate(parts)]
 
@@ -76,19 +85,19 @@ def phrase_places(found: Column, joined: Column, phrase: str) -> Column:
         return out
 
     starts = F.filter(F.sequence(F.lit(0), F.size(found) - len(parts)), here)
-    return (F.when(F.contains(joined, F.lit(f" {phrase} ")), starts)
+    return (F.when(F.contains(F.concat(F.lit(" "), joined, F.lit(" ")), F.lit(f" {phrase} ")), starts)
             .otherwise(F.array().cast("array<int>")))
 
 
 def _template_sets(templates):
     import re
-    rx = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    rx = re.compile(WORD)
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     return [(label, sorted(set(rx.findall(text.translate(low))))) for label, text in templates]
 
 
 def template_join(blocks: DataFrame, templates=None, threshold: float = THRESHOLD) -> DataFrame:
-    """Blocks (``block`` id, ``words`` set of words) x templates they contain:
+    """Blocks (``block`` id, ``words``) x templates they contain:
     ``block, template`` (place in the list), ``label, overlap, needed, template_words``."""
     sets = [s for s in _template_sets(templates if templates is not None else TEMPLATES) if s[1]]
     if sum(len(s) for _, s in sets) > MAX_TEMPLATE_WORDS:
@@ -104,8 +113,8 @@ def template_join(blocks: DataFrame, templates=None, threshold: float = THRESHOL
     lowest = min(need)
     vocab_lit = F.array(*map(F.lit, vocabulary))
     # length filter against the least demanding template
-    held = (blocks.withColumn("held", F.array_intersect("words", vocab_lit))
-            .filter(F.size("held") >= lowest).select("block", "held"))
+    held = materialize(blocks.select("block", F.array_intersect("words", vocab_lit).alias("held"))
+                       .filter(F.size("held") >= lowest), "blocks")
     # global frequency order over the template vocabulary (at most that many rows)
     counted = {r["w"]: r["n"] for r in held.select(F.explode("held").alias("w")).groupBy("w")
                .agg(F.count("*").alias("n")).collect()}
@@ -122,7 +131,6 @@ def template_join(blocks: DataFrame, templates=None, threshold: float = THRESHOL
     met = (probe.join(F.broadcast(prefix), "rank")  # bounded by MAX_TEMPLATE_WORDS
            .filter((size >= F.col("needed"))
                    & (F.col("bpos") <= size - F.col("needed"))
-                   & (F.least(size - F.col("bpos"), F.col("template_words") - F.col("tpos")) >= 1)
                    # words shared before the meeting word can be at most min(bpos, tpos)
                    & (F.least("bpos", "tpos") + F.least(size - F.col("bpos"), F.col("template_words") - F.col("tpos"))
                       >= F.col("needed")))
@@ -133,26 +141,24 @@ def template_join(blocks: DataFrame, templates=None, threshold: float = THRESHOL
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=None,
          threshold: float = THRESHOLD, phrases: dict | None = None) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, n_words, places`` (map-free list of
-    phrase starts and labels), ``base_labels`` and ``method_labels`` (arrays),
+    """Per row of ``docs``: ``doc_id, n_words, places`` (starts of the
+    phrases), ``base_labels`` and ``method_labels`` (arrays),
     ``score``: 1 with a phrase, else the highest contained share of a template
     that was met, else 0."""
     phrases = PHRASES if phrases is None else phrases
     src = (documents(docs, id_col, text_col)
            .select("doc_id", lower_ascii(F.col("text")).alias("low"))
            .withColumn("row", F.struct(F.col("doc_id"), F.xxhash64("low").alias("h"))))
-    lines = (src.select("row", F.explode(F.split("low", "\n")).alias("line"))
-             .select("row", F.array_distinct(words(F.col("line"))).alias("words")).filter(F.size("words") > 0)
-             .withColumn("block", F.struct("row", F.xxhash64(F.array_sort("words")).alias("b"))))
+    lines = (src.select("row", F.posexplode(F.split(F.regexp_replace("low", _NO_WORD_IN_LINE, " "), "\n")).alias("line", "text"))
+             .select(F.struct("row", "line").alias("block"), F.split("text", " ").alias("words")))
     hits = (template_join(lines.select("block", "words"), templates, threshold)
             .select(F.col("block.row.doc_id").alias("hid"), F.col("block.row.h").alias("hh"), "label",
                     (F.col("overlap") / F.col("template_words")).alias("share"))
             .groupBy("hid", "hh").agg(F.collect_set("label").alias("method_labels"), F.max("share").alias("share")))
-    found = src.withColumn("found", words(F.col("low"))).withColumn(
-        "joined", F.concat(F.lit(" "), F.array_join("found", " "), F.lit(" ")))
+    found = src.select("doc_id", F.col("row.h").alias("h"), joined_words(F.col("low")).alias("joined"))
     out = found.select(
-        "doc_id", F.col("row.h").alias("h"), F.size("found").cast("long").alias("n_words"),
-        *[phrase_places(F.col("found"), F.col("joined"), p).alias(f"p{i}") for i, p in enumerate(phrases)])
+        "doc_id", "h", word_count(F.col("joined")).cast("long").alias("n_words"),
+        *[phrase_places(F.col("joined"), p).alias(f"p{i}") for i, p in enumerate(phrases)])
     cols = [F.col(f"p{i}") for i in range(len(phrases))]
     places = F.array_sort(F.flatten(F.array(*cols))) if cols else F.array().cast("array<int>")
     labels = F.array(*[F.when(F.size(c) > 0, F.lit(label)) for c, label in zip(cols, phrases.values())]) \
