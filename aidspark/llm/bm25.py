@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aidspark.llm.common import WordHash, documents, keyed, ngram_hashes
+from aidspark.llm.common import WordHash, documents, keyed, materialize, ngram_hashes, packed, unpacked
 
 SEGMENT = 64
 ITEMS_PER_PASS = 2_000
@@ -250,3 +250,9 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         out = out.union(src.mapInArrow(_probe(shared, min_overlap, min_part), _HITS)) if p else (
             src.mapInArrow(_probe(shared, min_overlap, min_part), _HITS))
     return out
+
+
+def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
+    """The rows of ``docs`` that hold no test item, with all columns."""
+    hit = materialize(contaminated(docs, items, id_col, text_col, **limits).select("rid", "rhash").distinct(), "hits")
+    return unpacked(packed(docs, id_col, text_col).join(hit, ["rid", "rhash"], "left_anti"), docs.columns)

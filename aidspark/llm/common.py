@@ -47,6 +47,18 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         "rhash": F.xxhash64("text")})
 
 
+def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``row`` (all columns, whatever their names) with the key of ``keyed``."""
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+                       F.coalesce(docs[id_col].cast("long"), F.lit(LAST_ID)).alias("rid"),
+                       F.xxhash64(text).alias("rhash"))
+
+
+def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*[F.col("row")[c].alias(c) for c in columns])
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, _UPPER, _LOWER)
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aidspark.llm.common import LAST_ID, WordHash, keyed, materialize, mix, ngram_hashes
+from aidspark.llm.common import LAST_ID, WordHash, keyed, materialize, mix, ngram_hashes, packed, unpacked
 from aidspark.llm.graph import components
 
 BASE, RATE, LIMIT = 1.001, 20.0, (1 << 16) - 2
@@ -253,3 +253,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int
     return out.select(
         "doc_id", "rid", "rhash", "n_shingles",
         F.when(least["rid"] != F.lit(LAST_ID), least["rid"]).alias("component_id"), (least == own).alias("first"))
+
+
+def first_of_each(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that come first in their component (rows that repeat
+    an id and text are one), with all columns."""
+    first = (near_duplicates(docs, size, percent, id_col=id_col, text_col=text_col)
+             .filter("first").select("rid", "rhash").distinct())
+    rows = packed(docs, id_col, text_col).dropDuplicates(["rid", "rhash"])
+    return unpacked(rows.join(first, ["rid", "rhash"], "left_semi"), docs.columns)

@@ -23,9 +23,11 @@ table gives no rows.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -238,25 +240,38 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, train: Column | None
     return Model(kneser_ney_ratio(counts(np.ones(len(ys), dtype=bool))), beta, centre, scale)
 
 
+def _score_texts(model: Model, texts: list, hashes: TokenHash) -> tuple[np.ndarray, np.ndarray]:
+    toks = [tokens(t, hashes) for t in texts]
+    flat = np.concatenate([np.empty(0, np.uint64), *toks])
+    cuts = np.cumsum([len(t) for t in toks]).astype(np.int64)
+    x = model.ratio.features(flat, cuts) if model.ratio is not None else np.zeros((len(toks), len(FEATURES)))
+    return x[:, 0], model.score(x)
+
+
 def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "doc_id",
-          text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id`` (or the columns ``keep`` of ``keyed``), ``ratio``, ``score`` and
-    ``predicted`` of every row."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # bounded by words_per_class
-    cols = keep or ("doc_id",)
-    src = (keyed(docs, id_col, text_col) if keep else documents(docs, id_col, text_col)).select(*cols, "text")
+          text_col: str = "text") -> DataFrame:
+    """``doc_id, ratio`` (of the whole text), ``score, predicted`` of every row."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by words_per_class
 
     def run(batches):
-        m, hashes = shared.value, TokenHash()
+        hashes = TokenHash()
         for batch in batches:
-            toks = [tokens(t, hashes) for t in batch.column("text").to_pylist()]
-            cuts = np.cumsum([len(t) for t in toks]).astype(np.int64)
-            flat = np.concatenate([np.empty(0, np.uint64), *toks])
-            x = m.ratio.features(flat, cuts) if m.ratio is not None else np.zeros((len(toks), len(FEATURES)))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in cols), pa.array(x[:, 0]), pa.array(m.score(x))],
-                names=[*cols, "ratio", "score"])
-
-    schema = ", ".join(f"{c} long" for c in cols) + ", ratio double, score double"
-    return src.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+            ratio, s = _score_texts(shared.value, batch.column("text").to_pylist(), hashes)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ratio), pa.array(s)],
+                                             names=["doc_id", "ratio", "score"])
+
+    return (documents(docs, id_col, text_col).mapInArrow(run, "doc_id long, ratio double, score double")
+            .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
+
+
+def rejected(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> Column:
+    """A condition on rows of ``docs``: the text is toxic."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hashes = TokenHash()
+        for texts in batches:
+            yield pd.Series(_score_texts(shared.value, texts.tolist(), hashes)[1])
+
+    return scores(F.coalesce(docs[text_col].cast("string"), F.lit(""))) >= threshold

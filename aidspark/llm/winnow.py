@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aidspark.llm.common import LAST_ID, keyed, materialize, ngram_hashes
+from aidspark.llm.common import keyed, materialize, ngram_hashes, packed
 
 RUN_LINES = 2
 _BLANK = " \t\r\x0b\x0c"
@@ -110,11 +110,8 @@ def dedup_lines(docs: DataFrame, run_lines: int = RUN_LINES, id_col: str = "doc_
                             columns=["text", "n_lines", "n_removed"])
 
     runs = repeated_runs(docs, run_lines, id_col, text_col)
-    inner = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-                        F.coalesce(docs[id_col].cast("long"), F.lit(LAST_ID)).alias("rid"),
-                        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("plain"))
-    inner = inner.withColumn("rhash", F.xxhash64("plain"))
-    done = inner.join(runs, ["rid", "rhash"], "left").withColumn("cut", cut("plain", "starts"))
+    done = (packed(docs, id_col, text_col).join(runs, ["rid", "rhash"], "left")
+            .withColumn("cut", cut(F.coalesce(F.col("row")[text_col].cast("string"), F.lit("")), "starts")))
     cols = [F.when(F.col("row")[c].isNotNull(), F.col("cut.text")).alias(c) if c == text_col else F.col("row")[c].alias(c)
             for c in docs.columns if c != "line_dedup"]
     return done.select(*cols, F.struct("cut.n_lines", "cut.n_removed").alias("line_dedup"))
