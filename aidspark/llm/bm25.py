@@ -199,11 +199,9 @@ def _probe(shared, min_overlap: float, min_part: float):
                 for d, found in enumerate(retrieve(index, texts)):
                     if not found:
                         continue
-                    held = shingle_hashes(texts[d], hashes)
-                    if len(texts[d]) >= SHINGLE:  # items shorter than a shingle are sought as a whole
-                        h = hashes.of(texts[d])
-                        short = [np.unique(ngram_hashes(h, n)) for n in range(1, SHINGLE)]
-                        held = np.unique(np.concatenate([held, *short]))
+                    # shingles, and all shorter ones as items of fewer words are sought whole
+                    h = hashes.of(texts[d])
+                    held = np.unique(np.concatenate([ngram_hashes(h, n) for n in range(1, SHINGLE + 1)]))
                     for item, (_, score) in found.items():
                         item_id, whole, question, answer = index.items[item]
                         o, q, a = (share(x, held) for x in (whole, question, answer))

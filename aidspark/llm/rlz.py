@@ -151,7 +151,7 @@ def _settle_chunk(docs: list, hashes: WordHash, window: int, buckets: int):
         _lists(first_rid[hk], hcuts, i64), _lists(first_pos[hk], hcuts, i32)], schema=_BLOB)
 
 
-def _settle_task(window: int, buckets: int):
+def _settle_task(window: int, buckets: int, chunk_words: int):
     def run(batches):
         hashes, chunk, size = WordHash(), [], 0
         for batch in batches:
@@ -159,7 +159,7 @@ def _settle_task(window: int, buckets: int):
                 words = text.encode().split()
                 chunk.append((rid, rhash, words))
                 size += len(words)
-                if size >= CHUNK_WORDS:
+                if size >= chunk_words:
                     out = _settle_chunk(chunk, hashes, window, buckets)
                     chunk, size = [], 0
                     if out is not None:
@@ -198,7 +198,7 @@ def _settle_bucket(table: pa.Table) -> pa.Table:
 
 
 def factors(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
-            buckets: int | None = None) -> DataFrame:
+            buckets: int | None = None, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """Factors of ``window`` words and more: ``rid, rhash`` (row key of
     ``keyed``), ``start``, ``n`` (windows; the factor has ``n + window - 1``
     words), ``ref_rid, ref_start``. Factors of a document may overlap where
@@ -207,7 +207,7 @@ def factors(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_
         raise ValueError(f"the window must be longer than {ANCHOR} words")
     src = keyed(docs, id_col, text_col)
     buckets = buckets or bucket_count(src)
-    return (src.select("rid", "rhash", "text").mapInArrow(_settle_task(window, buckets), _BLOB_SQL)
+    return (src.select("rid", "rhash", "text").mapInArrow(_settle_task(window, buckets, chunk_words), _BLOB_SQL)
             .groupBy("bucket").applyInArrow(_settle_bucket, _HIT_SQL))
 
 
@@ -240,11 +240,11 @@ def _cut(window: int):
 
 
 def remove_duplicates(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
-                      buckets: int | None = None) -> DataFrame:
+                      buckets: int | None = None, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """Per row: ``doc_id, n_words, n_removed, kept_text`` (kept words joined by
     one space) and its ``kept_sha256``."""
     src = keyed(docs, id_col, text_col)
-    hits = (factors(docs, window, id_col, text_col, buckets).select("rid", "rhash", F.struct("start", "n").alias("hit"))
+    hits = (factors(docs, window, id_col, text_col, buckets, chunk_words).select("rid", "rhash", F.struct("start", "n").alias("hit"))
             .groupBy("rid", "rhash").agg(F.collect_list("hit").alias("hits")))  # bounded by the document's words
     return (src.join(hits, ["rid", "rhash"], "left").select("doc_id", "text", "hits")
             .mapInArrow(_cut(window), "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string"))
