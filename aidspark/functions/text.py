@@ -23,6 +23,8 @@ ILLEGAL_CHAR_REFS = r"&#(0*([0-8]|1[124-9]|2[0-9]|3[01])|[xX]0*([0-8bBcCeEfF]|1[
 # An ampersand that does not start a predefined entity or a numeric reference.
 BARE_AMPERSAND = r"&(?!(amp|lt|gt|quot|apos|#[0-9]+|#[xX][0-9a-fA-F]+);)"
 
+_MAYBE_WHITE = r"[\x00-\x1F\x7F]|  "
+_PLAIN_AMOUNT = r"^[0-9]+([.,][0-9]+)?$"
 _INT_TEXT = r"^[+-]?[0-9](_?[0-9])*$"
 _FLOAT_TEXT = (r"^[+-]?(([0-9](_?[0-9])*(\.([0-9](_?[0-9])*)?)?)|(\.[0-9](_?[0-9])*))"
                r"([eE][+-]?[0-9](_?[0-9])*)?$")
@@ -80,8 +82,13 @@ def repair_record(c) -> Column:
 
 
 def normalize_text(c) -> Column:
-    """Squeeze any Unicode whitespace run to one space, trim; missing -> '' (S5)."""
-    return F.coalesce(F.trim(F.regexp_replace(_c(c), r"(?U)\s+", " ")), F.lit(""))
+    """Squeeze any Unicode whitespace run to one space, trim; missing -> '' (S5).
+
+    The squeeze runs only on values that can need it: those with a control
+    byte, two blanks in a row, or characters outside ASCII."""
+    c = _c(c)
+    dirty = (F.length(c) != F.octet_length(c)) | c.rlike(_MAYBE_WHITE)
+    return F.coalesce(F.when(dirty, F.trim(F.regexp_replace(c, r"(?U)\s+", " "))).otherwise(F.trim(c)), F.lit(""))
 
 
 def parse_amount(c) -> Column:
@@ -90,10 +97,12 @@ def parse_amount(c) -> Column:
     Grammar of the source parser: comma becomes point, then a float literal
     with optional digit-group underscores, or nan/inf. Anything else is NULL,
     never an error (so '1.234,56' -> '1.234.56' -> NULL)."""
+    plain = _c(c).rlike(_PLAIN_AMOUNT)  # nearly all: one test, one cast
     t = normalize_text(c)
     t = F.regexp_replace(t, ",", ".")
     ok = t.rlike(_FLOAT_TEXT) | t.rlike(_SPECIAL_FLOAT)
-    return F.when((t != "") & ok, F.regexp_replace(t, "_", "").try_cast("double"))
+    return (F.when(plain, F.translate(_c(c), ",", ".").try_cast("double"))
+            .when((t != "") & ok, F.regexp_replace(t, "_", "").try_cast("double")))
 
 
 def _int_part(parts: Column, i: int) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aidspark.functions.money import mean, money, round_double, rounded, share_of, total
+from aidspark.functions.money import MONEY, mean, money, round_double, rounded, share_of, total
 
 AMOUNT = "elemento_aiuto"
 FIRM = "codice_fiscale_beneficiario"
@@ -74,11 +74,11 @@ def q_top_sectors(raw: DataFrame, n: int = 20) -> DataFrame:
 
 
 def q_per_capita(raw: DataFrame, population: DataFrame, year: int) -> DataFrame:
-    """Q6: aid per head. Both sides are aggregated per region before the inner
+    """Q6: aid per head, of the residents of the same year. Both sides are aggregated per region before the inner
     join, so the join is between two region-sized tables."""
     aid = (raw.where(F.col("anno") == year).groupBy(REGION)
            .agg(rounded(total(AMOUNT)).alias("totale_aiuti")))
-    pop = population.groupBy("regione").agg(F.sum("popolazione").cast("bigint").alias("residenti"))
+    pop = population.where(F.col("anno") == year).groupBy("regione").agg(F.sum("popolazione").cast("bigint").alias("residenti"))
     j = aid.join(pop, aid[REGION] == pop["regione"])
     return (j.select(REGION, "totale_aiuti", "residenti",
                      round_double(F.col("totale_aiuti") / F.col("residenti"), 2).alias("aiuto_procapite"))
@@ -121,7 +121,7 @@ def q_cup_traceability(raw: DataFrame) -> DataFrame:
     cup = F.col("cup")
     has = (cup != NO_CUP[0]) & (cup != NO_CUP[1])
     missing = (cup == NO_CUP[0]) | (cup == NO_CUP[1])
-    zero = F.lit(0).cast("decimal(18,2)")
+    zero = F.lit(0).cast(MONEY)
     g = raw.groupBy("anno").agg(
         F.sum(F.when(has, 1).otherwise(0)).cast("bigint").alias("con_cup"),
         F.sum(F.when(missing, 1).otherwise(0)).cast("bigint").alias("senza_cup"),

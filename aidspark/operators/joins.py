@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aidspark.functions.money import pct, rounded, total
+from aidspark.functions.money import money, pct, rounded, total
 
 AMOUNT = "elemento_aiuto"
 
@@ -33,8 +33,7 @@ def measure_per_car(measures: DataFrame) -> DataFrame:
     return (measures.where(F.col("car").isNotNull() & (F.col("car") != ""))
             .groupBy("car").agg(latest.alias("m"), F.count(F.lit(1)).alias("n_finestre"))
             .select("car", "n_finestre", "m.titolo_misura", "m.data_inizio_misura",
-                    (F.col("m.importo_prestiti_garantiti").cast("decimal(18,2)")
-                     + F.col("m.importo_aiuto_ad_hoc").cast("decimal(18,2)")).alias("_plafond")))
+                    (money("m.importo_prestiti_garantiti") + money("m.importo_aiuto_ad_hoc")).alias("_plafond")))
 
 
 def join_aid_measure(clean: DataFrame, measures: DataFrame) -> DataFrame:

@@ -53,7 +53,7 @@ def dq_rows_and_nulls(df: DataFrame, not_null: Sequence[str], table: str) -> Dat
     """V2 + V3 in one pass: row count and NULL count per checked column,
     returned as one row per column (``colonna`` = '*' for the row count)."""
     aggs = [F.count(F.lit(1)).alias("_rows")]
-    aggs += [F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).cast("bigint").alias(f"_n{i}")
+    aggs += [F.count_if(F.col(c).isNull()).alias(f"_n{i}")
              for i, c in enumerate(not_null)]
     a = df.agg(*aggs)
     pairs = ", ".join([f"'*', _rows"] + [f"'{c}', _n{i}" for i, c in enumerate(not_null)])
@@ -90,9 +90,10 @@ def enforce(findings: DataFrame, ok_col: str = "esito", fail_on_error: bool = Tr
     """V6: raise when any finding failed and ``fail_on_error`` is set.
     Only the small findings table is inspected on the driver."""
     if fail_on_error:
-        bad = findings.where(~F.col(ok_col)).limit(20).collect()
-        if bad:
-            raise QualityError(f"{len(bad)} failed check(s), e.g. {bad[0].asDict()}")
+        bad = findings.where(~F.coalesce(F.col(ok_col), F.lit(False)))  # no verdict is a failure
+        n = bad.count()
+        if n:
+            raise QualityError(f"{n} failed check(s), e.g. {bad.first().asDict()}")
     return findings
 
 

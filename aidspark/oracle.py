@@ -3,7 +3,7 @@
 Each statement starts from the stand-in CTEs over the driver tables and states
 the same semantics in plain SQL, with the rounding rules of
 ``aidspark.functions.money`` written out (exact decimal sums, ratios rounded
-through DECIMAL(20,8), explicit tie-breakers for ROW_NUMBER and LIMIT).
+through DECIMAL(38,8), explicit tie-breakers for ROW_NUMBER and LIMIT).
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ CF = "codice_fiscale_beneficiario"
 
 
 def tot(x: str = E) -> str:
-    return f"SUM(CAST({x} AS DECIMAL(18,2)))"
+    return f"SUM(TRY_CAST({x} AS DECIMAL(28,8)))"
 
 
 def rtot(x: str = E) -> str:
@@ -25,11 +25,11 @@ def rtot(x: str = E) -> str:
 
 
 def mean(x: str = E) -> str:
-    return f"ROUND(CAST({tot(x)} AS DOUBLE) / NULLIF(COUNT({x}), 0), 0)"
+    return f"ROUND(CAST({tot(x)} AS DOUBLE) / NULLIF(COUNT(TRY_CAST({x} AS DECIMAL(28,8))), 0), 0)"
 
 
 def rd(expr: str, d: int) -> str:
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(20,8)), {d}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,8)), {d}) AS DOUBLE)"
 
 
 def pct(num: str, den: str, d: int = 2) -> str:
@@ -113,28 +113,31 @@ GROUP BY anno, regione, macro_settore""")
 MARTS["mart_settore_regione"] = _SECTORS
 MARTS["mart_settori"] = _SECTORS
 
+# One grouped query: the shares of a type are conditional sums over the sum of
+# the rows that name any type.
+_TYPED = "tipo_beneficiario IS NOT NULL AND tipo_beneficiario <> '-'"
+
+
+def _type_share(label: str) -> str:
+    own = f"tipo_beneficiario = '{label}'"
+    return (f"CASE WHEN COUNT(*) FILTER (WHERE {own}) > 0 THEN "
+            + pct(f"{tot()} FILTER (WHERE {own})", f"{tot()} FILTER (WHERE {_TYPED})") + " END")
+
+
 MARTS["mart_territorio"] = _q(WITH_CLEAN, f""",
-regioni AS (
-  SELECT anno, regione_beneficiario AS regione, COUNT(DISTINCT {CF}) AS imprese, COUNT(*) AS aiuti,
-         {rtot()} AS totale_esl, {mean()} AS media_esl
-  FROM clean WHERE regione_beneficiario != 'ND'
-  GROUP BY anno, regione_beneficiario),
-tipi AS (
-  SELECT anno, regione_beneficiario AS regione, tipo_beneficiario,
-         {share('anno, regione_beneficiario')} AS quota_tipo_pct
-  FROM clean
-  WHERE regione_beneficiario != 'ND' AND tipo_beneficiario IS NOT NULL AND tipo_beneficiario != '-'
-  GROUP BY anno, regione_beneficiario, tipo_beneficiario)
-SELECT r.*,
-       ROUND(AVG(r.totale_esl) OVER (PARTITION BY r.anno), 0) AS media_nazionale_esl,
-       ROUND(STDDEV_SAMP(r.totale_esl) OVER (PARTITION BY r.anno), 0) AS std_nazionale_esl,
-       CASE WHEN r.totale_esl IS NULL THEN NULL
-            ELSE {rd('PERCENT_RANK() OVER (PARTITION BY r.anno ORDER BY r.totale_esl)', 4)} END AS percentile_esl,
-       MAX(CASE WHEN t.tipo_beneficiario = 'PMI' THEN t.quota_tipo_pct END) AS quota_pmi_pct,
-       MAX(CASE WHEN t.tipo_beneficiario = 'Grande Impresa' THEN t.quota_tipo_pct END) AS quota_grande_pct,
-       MAX(CASE WHEN t.tipo_beneficiario = 'Microimpresa' THEN t.quota_tipo_pct END) AS quota_micro_pct
-FROM regioni r LEFT JOIN tipi t ON r.anno = t.anno AND r.regione = t.regione
-GROUP BY r.anno, r.regione, r.imprese, r.aiuti, r.totale_esl, r.media_esl""")
+per_luogo AS (
+  SELECT anno, regione_beneficiario AS regione,
+         COUNT(DISTINCT {CF}) AS imprese, COUNT(*) AS aiuti, {rtot()} AS totale_esl, {mean()} AS media_esl,
+         {_type_share('PMI')} AS quota_pmi_pct,
+         {_type_share('Grande Impresa')} AS quota_grande_pct,
+         {_type_share('Microimpresa')} AS quota_micro_pct
+  FROM clean GROUP BY ALL HAVING regione <> 'ND')
+SELECT *,
+       ROUND(AVG(totale_esl) OVER nazione, 0) AS media_nazionale_esl,
+       ROUND(STDDEV_SAMP(totale_esl) OVER nazione, 0) AS std_nazionale_esl,
+       IF(totale_esl IS NULL, NULL, {rd('PERCENT_RANK() OVER (PARTITION BY anno ORDER BY totale_esl)', 4)}) AS percentile_esl
+FROM per_luogo
+WINDOW nazione AS (PARTITION BY anno)""")
 
 MARTS["mart_policy"] = _q(WITH_CLEAN, f"""
 SELECT anno, 'obiettivo' AS dimensione, cod_obiettivo AS codice, obiettivo AS descrizione,
@@ -149,21 +152,15 @@ SELECT anno, 'strumento' AS dimensione, cod_strumento AS codice, strumento AS de
 FROM clean WHERE strumento IS NOT NULL AND strumento != ''
 GROUP BY anno, cod_strumento, strumento""")
 
-MARTS["mart_top"] = _q(WITH_CLEAN, f""",
-top_b AS (
-  SELECT 'beneficiario' AS dimensione, {CF} AS codice, denominazione_beneficiario AS descrizione,
-         regione_beneficiario AS regione, COUNT(*) AS aiuti, {rtot()} AS totale_esl, {mean()} AS media_esl
-  FROM clean WHERE {CF} != '' AND denominazione_beneficiario != ''
-  GROUP BY {CF}, denominazione_beneficiario, regione_beneficiario
-  ORDER BY totale_esl DESC, codice, descrizione, regione
-  LIMIT 1000),
-per_proc AS (
-  SELECT 'procedimento' AS dimensione, cod_procedimento AS codice, procedimento AS descrizione,
-         CAST(NULL AS VARCHAR) AS regione, COUNT(*) AS aiuti, {rtot()} AS totale_esl,
-         CAST(NULL AS DOUBLE) AS media_esl
-  FROM clean WHERE cod_procedimento IS NOT NULL AND cod_procedimento != ''
-  GROUP BY cod_procedimento, procedimento)
-SELECT * FROM top_b UNION ALL SELECT * FROM per_proc""")
+MARTS["mart_top"] = _q(WITH_CLEAN, f"""
+(SELECT 'beneficiario' AS dimensione, {CF} AS codice, denominazione_beneficiario AS descrizione,
+        regione_beneficiario AS regione, COUNT(*) AS aiuti, {rtot()} AS totale_esl, {mean()} AS media_esl
+ FROM clean GROUP BY ALL HAVING codice <> '' AND descrizione <> ''
+ ORDER BY totale_esl DESC, codice, descrizione, regione LIMIT 1000)
+UNION ALL BY NAME
+SELECT 'procedimento' AS dimensione, cod_procedimento AS codice, procedimento AS descrizione,
+       COUNT(*) AS aiuti, {rtot()} AS totale_esl
+FROM clean GROUP BY ALL HAVING codice <> ''""")
 
 _P, _A = "importo_prestiti_garantiti", "importo_aiuto_ad_hoc"
 MARTS["mart_misure_per_tipo"] = _q(WITH_MEASURES, f"""
@@ -180,9 +177,9 @@ FROM measures WHERE anno IS NOT NULL
 GROUP BY anno""")
 MARTS["mart_top_misure"] = _q(WITH_MEASURES, f"""
 SELECT car, titolo_misura, des_tipo_misura, des_autorita, autorita_concedente, data_inizio_misura,
-       CAST(ROUND(CAST({_P} AS DECIMAL(18,2)), 0) AS DOUBLE) AS prestiti_garantiti_eur,
-       CAST(ROUND(CAST({_A} AS DECIMAL(18,2)), 0) AS DOUBLE) AS aiuto_ad_hoc_eur,
-       CAST(ROUND(CAST({_P} AS DECIMAL(18,2)) + CAST({_A} AS DECIMAL(18,2)), 0) AS DOUBLE) AS totale_eur,
+       CAST(ROUND(CAST({_P} AS DECIMAL(28,8)), 0) AS DOUBLE) AS prestiti_garantiti_eur,
+       CAST(ROUND(CAST({_A} AS DECIMAL(28,8)), 0) AS DOUBLE) AS aiuto_ad_hoc_eur,
+       CAST(ROUND(CAST({_P} AS DECIMAL(28,8)) + CAST({_A} AS DECIMAL(28,8)), 0) AS DOUBLE) AS totale_eur,
        CASE WHEN {_active()} THEN 'attiva' ELSE 'scaduta' END AS stato
 FROM measures WHERE car IS NOT NULL""")
 
@@ -221,7 +218,7 @@ ORDER BY totale DESC, settore_attivita LIMIT 20"""),
 a AS (SELECT regione_beneficiario, {rtot()} AS totale_aiuti FROM raw WHERE anno = {Q_YEAR}
       GROUP BY regione_beneficiario),
 p AS (SELECT regione, CAST(SUM(popolazione) AS BIGINT) AS residenti FROM ({S.POPULATION_SQL}) x
-      GROUP BY regione)
+      WHERE anno = {Q_YEAR} GROUP BY regione)
 SELECT a.regione_beneficiario, a.totale_aiuti, p.residenti,
        {rd('a.totale_aiuti / p.residenti', 2)} AS aiuto_procapite
 FROM a JOIN p ON a.regione_beneficiario = p.regione"""),
@@ -240,9 +237,9 @@ FROM raw WHERE strumento != '' GROUP BY strumento"""),
 SELECT anno,
        CAST(SUM(CASE WHEN {_HAS_CUP} THEN 1 ELSE 0 END) AS BIGINT) AS con_cup,
        CAST(SUM(CASE WHEN {_NO_CUP} THEN 1 ELSE 0 END) AS BIGINT) AS senza_cup,
-       CAST(ROUND(SUM(CASE WHEN {_HAS_CUP} THEN CAST({E} AS DECIMAL(18,2)) ELSE 0 END), 0) AS DOUBLE)
+       CAST(ROUND(SUM(CASE WHEN {_HAS_CUP} THEN CAST({E} AS DECIMAL(28,8)) ELSE 0 END), 0) AS DOUBLE)
          AS importo_con_cup,
-       CAST(ROUND(SUM(CASE WHEN {_NO_CUP} THEN CAST({E} AS DECIMAL(18,2)) ELSE 0 END), 0) AS DOUBLE)
+       CAST(ROUND(SUM(CASE WHEN {_NO_CUP} THEN CAST({E} AS DECIMAL(28,8)) ELSE 0 END), 0) AS DOUBLE)
          AS importo_senza_cup
 FROM raw GROUP BY anno"""),
 }
@@ -253,7 +250,7 @@ JOINS = {
     "join_aid_measure": _q(WITH_CLEAN_MEASURES, f""",
 a AS (SELECT car, COUNT(*) AS aiuti, {tot()} AS erog FROM clean WHERE car != '' GROUP BY car),
 m AS (SELECT car, COUNT(*) OVER (PARTITION BY car) AS n_finestre, titolo_misura, data_inizio_misura,
-             CAST({_P} AS DECIMAL(18,2)) + CAST({_A} AS DECIMAL(18,2)) AS plafond,
+             CAST({_P} AS DECIMAL(28,8)) + CAST({_A} AS DECIMAL(28,8)) AS plafond,
              ROW_NUMBER() OVER (PARTITION BY car ORDER BY data_inizio_misura DESC) AS rn
       FROM measures WHERE car IS NOT NULL AND car != '')
 SELECT a.car, a.aiuti, CAST(ROUND(a.erog, 0) AS DOUBLE) AS erogato_esl, m.titolo_misura,
@@ -343,7 +340,7 @@ VALUES = {
 
 # ---------------------------------------------------------------- storage
 from aidspark.queries import (OVERWRITE_YEARS, READ_YEAR, REBUILD_YEARS,  # noqa: E402
-                              UPSERT_FROM_YEAR)
+                              UPSERT_FROM_YEAR, UPSERT_LAST_MONTH)
 from aidspark.operators.marts import AID_MARTS  # noqa: E402
 
 
@@ -358,13 +355,17 @@ def _with_col(col: str, expr: str) -> str:
 
 
 _YRS = ", ".join(str(y) for y in OVERWRITE_YEARS)
+_AGG = _with_col("soggetto_concedente", "soggetto_concedente || ' (agg.)'")
 STORAGE = {
     "dedup_keep_last": _dedup_sql(),
     "write_year_overwrite": f"""SELECT {_AID_OUT} FROM ({S.AID_RAW_SQL}) r WHERE anno NOT IN ({_YRS})
 UNION ALL {_dedup_sql(f"anno IN ({_YRS})")}""",
-    "upsert_append": f"""{_dedup_sql(f"anno < {UPSERT_FROM_YEAR}")}
-UNION ALL {_dedup_sql(f"anno >= {UPSERT_FROM_YEAR}",
-                      _with_col("soggetto_concedente", "soggetto_concedente || ' (agg.)'"))}""",
+    "upsert_append": f"""SELECT {_AID_OUT} FROM ({S.AID_RAW_SQL}) r WHERE anno < {UPSERT_FROM_YEAR}
+UNION ALL {_dedup_sql(f"anno > {UPSERT_FROM_YEAR}", _AGG)}
+UNION ALL {_dedup_sql(f"anno = {UPSERT_FROM_YEAR} AND mese <= {UPSERT_LAST_MONTH}", _AGG)}
+UNION ALL {_dedup_sql(f"anno = {UPSERT_FROM_YEAR} AND (cor, id_componente, cod_strumento) NOT IN "
+                      f"(SELECT (cor, id_componente, cod_strumento) FROM ({S.AID_RAW_SQL}) n "
+                      f"WHERE anno = {UPSERT_FROM_YEAR} AND mese <= {UPSERT_LAST_MONTH})")}""",
     "rebuild_years": f"""SELECT {_with_col("soggetto_concedente", "soggetto_concedente || ' (vecchio)'")}
 FROM ({S.AID_RAW_SQL}) r WHERE anno NOT BETWEEN {REBUILD_YEARS[0]} AND {REBUILD_YEARS[1]}
 UNION ALL SELECT {_AID_OUT} FROM ({XS.AID_XML_FLAT_SQL}) t

@@ -8,8 +8,12 @@ file count and task size (a plain ``repartition("anno")`` would send a whole
 year to one task).
 
 Spark cannot overwrite a dataset it is reading in the same job, so an upsert
-writes its result to a staging folder first and then replaces the affected
-years from the staging copy ("write aside and swap").
+writes its result to a folder beside the table first and then replaces the
+affected years from that copy ("write aside and swap"). The copy's name follows
+from the table's, so a job that died while swapping is finished by the next
+upsert. Year tables keep each row's source position in a hidden column
+(``ARRIVAL``), which orders rows whenever duplicates are settled later; the
+readers of this module leave it out.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from aidspark.operators.clean import conform_schema
 from aidspark.operators.dedup import dedup_keep_last
@@ -55,26 +59,48 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength())
 
 
-def _write_years(df: DataFrame, path: str, rebalance: bool = True) -> None:
-    """Dynamic-overwrite the year partitions present in ``df``. ``rebalance``
-    adds the REBALANCE shuffle that bounds file sizes; skip it when every
-    input task already holds a single year (e.g. reading a year-partitioned
-    staging table), since then each task writes one file per year anyway."""
-    if rebalance:
-        df = df.hint("rebalance", "anno")
-    (df.write.mode("overwrite")
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder this module wrote (file-system call, no data read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _table_rows(df: DataFrame) -> DataFrame:
+    """The register's columns, and the source position where rows have one."""
+    out = conform_schema(df, AID_SCHEMA)
+    if ARRIVAL not in df.columns:
+        return out
+    kept = StructType(AID_SCHEMA.fields + [StructField(ARRIVAL, df.schema[ARRIVAL].dataType)])
+    return conform_schema(df, kept)
+
+
+def _write_years(df: DataFrame, path: str) -> None:
+    """Dynamic-overwrite the year partitions present in ``df``. The REBALANCE
+    shuffle bounds the number and size of files."""
+    (df.hint("rebalance", "anno").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").options(**ZSTD)
      .partitionBy("anno").parquet(path))
 
 
 def read_year(spark: SparkSession, path: str, year: int) -> DataFrame:
     """One year of a layer; the filter prunes to that partition folder."""
-    return spark.read.parquet(path).where(F.col("anno") == year)
+    return spark.read.parquet(path).where(F.col("anno") == year).drop(ARRIVAL)
 
 
 def read_all_years(spark: SparkSession, path: str) -> DataFrame:
     """All years, columns united by name across files (mergeSchema)."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    return spark.read.option("mergeSchema", "true").parquet(path).drop(ARRIVAL)
+
+
+def _replace_years(df: DataFrame, path: str, years: Sequence[int]) -> None:
+    """Replace exactly these years: one that got no rows loses its old ones."""
+    spark = df.sparkSession
+    _write_years(df, path)
+    if path_exists(spark, path):
+        written = {r["anno"] for r in df.select("anno").distinct().collect()}  # at most ``years``
+        for year in set(years) - written:
+            _delete(spark, f"{path.rstrip('/')}/anno={year}")
 
 
 def write_year_overwrite(df: DataFrame, path: str, years: Sequence[int] | None = None,
@@ -90,8 +116,12 @@ def write_year_overwrite(df: DataFrame, path: str, years: Sequence[int] | None =
     if dedup:
         # Keep-last within each year partition, as each year's table is
         # deduplicated on its own.
-        target = dedup_keep_last(target, ["anno", *key], order)
-    _write_years(conform_schema(target, AID_SCHEMA), path)
+        target = dedup_keep_last(target, ["anno", *key], order, keep_order=True)
+    target = _table_rows(target)
+    if years is None:
+        _write_years(target, path)
+    else:
+        _replace_years(target, path, years)
     return strays
 
 
@@ -99,10 +129,10 @@ def upsert_append(spark: SparkSession, new: DataFrame, path: str, dedup: bool =
                   order: str = ARRIVAL, key: Sequence[str] = AID_DEDUP_KEY,
                   mode: str = "append") -> None:
     """K3: old rows of the affected years + new rows, keep-last by key (new
-    rows win over old ones; among new rows, the last to arrive wins).
+    rows win over old ones; among the rows of either, the last to arrive wins).
 
-    Only the years present in ``new`` are read (partition pruning via a
-    semi-join on ``anno``) and rewritten; other years are untouched."""
+    Only the years present in ``new`` are read and rewritten; other years are
+    untouched."""
     _check_mode(mode)
     if order not in new.columns:
         # No source position: the batch's own read order decides (assigned
@@ -111,24 +141,52 @@ def upsert_append(spark: SparkSession, new: DataFrame, path: str, dedup: bool =
     if mode == "overwrite":
         write_year_overwrite(new, path, dedup=dedup, order=order, key=key)
         return
-    order_type = new.schema[order].dataType
-    # Distinct years of the batch: at most one row per calendar year, so the
-    # broadcast has a fixed bound; it drives partition pruning of the old table.
-    years = new.select("anno").distinct()
-    # First load: nothing to merge with.
-    old = (spark.read.parquet(path).join(F.broadcast(years), "anno", "left_semi")
-           if path_exists(spark, path) else None)
-    rank = F.struct(F.lit(1).alias("batch"), F.col(order).alias("pos"))
-    ranked = StructType(AID_SCHEMA.fields + [StructField("_rank", StructType([
-        StructField("batch", IntegerType(), False), StructField("pos", order_type)]))])
-    fresh = conform_schema(new.withColumn("_rank", rank), ranked)
-    if old is not None:
-        old_rank = F.struct(F.lit(0).alias("batch"), F.lit(None).cast(order_type).alias("pos"))
-        fresh = conform_schema(old.withColumn("_rank", old_rank), ranked).unionByName(fresh)
+    finish_swap(spark, path)
+    years = sorted(r["anno"] for r in new.select("anno").distinct().limit(MAX_YEARS + 1).collect() if r["anno"] is not None)
+    if len(years) > MAX_YEARS:
+        raise ValueError(f"the batch names more than {MAX_YEARS} years")
+    kind = new.schema[order].dataType
+    rank = StructType([StructField("batch", IntegerType(), False), StructField("pos", kind),
+                       StructField("file", StringType()), StructField("at", LongType())])
+    nothing = [F.lit(None).cast("string").alias("file"), F.lit(None).cast("bigint").alias("at")]
+    fresh = new.withColumn("_rank", F.struct(F.lit(1).alias("batch"), F.col(order).alias("pos"), *nothing))
+    columns = StructType(AID_SCHEMA.fields + [StructField(ARRIVAL, kind), StructField("_rank", rank)])
+    fresh = conform_schema(fresh.withColumn(ARRIVAL, F.col(order)), columns)
+    if path_exists(spark, path):
+        # Literal years: partitions are pruned when the scan is planned.
+        old = spark.read.parquet(path).where(F.col("anno").isin(years))
+        same = ARRIVAL in old.columns and old.schema[ARRIVAL].dataType == kind
+        pos = F.col(ARRIVAL) if same else F.lit(None).cast(kind)
+        # Rows without a source position keep the order of the stored files.
+        old_rank = F.struct(F.lit(0).alias("batch"), pos.alias("pos"), F.col("_metadata.file_name").alias("file"),
+                            F.col("_metadata.row_index").alias("at"))
+        fresh = conform_schema(old.withColumn("_rank", old_rank).withColumn(ARRIVAL, pos), columns).unionByName(fresh)
     merged = dedup_keep_last(fresh, ["anno", *key], "_rank") if dedup else fresh.drop("_rank")
-    staging = scratch_dir(spark, "upsert-staging")
-    _write_years(conform_schema(merged, AID_SCHEMA), staging)
-    _write_years(spark.read.parquet(staging), path, rebalance=False)
+    (_table_rows(merged).hint("rebalance", "anno").write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .options(**ZSTD).partitionBy("anno").parquet(_swap_path(path)))
+    finish_swap(spark, path)
+
+
+#: Years one batch may touch; more means the year column is not one.
+MAX_YEARS = 1000
+
+
+def _swap_path(path: str) -> str:
+    return path.rstrip("/") + "._swap"
+
+
+def finish_swap(spark: SparkSession, path: str) -> bool:
+    """Move a complete merged copy into the table and remove it. A copy without
+    its success mark is from a job that died while writing it: the table is
+    untouched, and the next merge writes the copy anew."""
+    swap = _swap_path(path)
+    if not path_exists(spark, f"{swap}/_SUCCESS"):
+        return False
+    copy = spark.read.parquet(swap)
+    if copy.head(1):
+        _write_years(copy, path)
+    _delete(spark, swap)
+    return True
 
 
 def stage_xml(flat: DataFrame, path: str) -> str:
@@ -138,7 +196,8 @@ def stage_xml(flat: DataFrame, path: str) -> str:
     single parse: they are partitions of one write, not filters of the parse
     (a filter would be pushed below ``from_xml`` and parse twice). The staged
     copy also cuts the lineage: downstream steps re-read files, not XML."""
-    flat.write.mode("overwrite").options(**ZSTD).partitionBy(STATUS, "anno").parquet(path)
+    (flat.hint("rebalance", STATUS, "anno").write.mode("overwrite").option("partitionOverwriteMode", "static").options(**ZSTD)
+     .partitionBy(STATUS, "anno").parquet(path))
     return path
 
 
@@ -167,24 +226,41 @@ def ingest_measures(spark: SparkSession, xml_path, staging: str, glob: str | Non
 class RebuildOutputs:
     table: str
     staging: str
+    files: DataFrame | None = None  # per input file: records and whether it was read whole
+
+
+def drop_staged(spark: SparkSession, staging: str, years: Sequence[int] | None = None) -> None:
+    """Remove good rows that have reached their table; rejects, quarantine and
+    strays stay."""
+    if years is None:
+        _delete(spark, f"{staging.rstrip('/')}/{STATUS}={OK}")
+    for year in years or ():
+        _delete(spark, f"{staging.rstrip('/')}/{STATUS}={OK}/anno={year}")
 
 
 def rebuild_years(spark: SparkSession, xml_path: str, path: str, first_year: int, last_year: int,
-                  glob: str | None = None) -> RebuildOutputs:
+                  glob: str | None = None, allow_failed: bool = False) -> RebuildOutputs:
     """K5: rebuild a year range from the XML dump, without dedup.
 
     Only files named for the range are read. One parse: the flattened rows are
     staged once in the shared scratch folder; the year table is then written
-    from the staged good rows of the target years. Strays (valid years
-    outside the range), year-0 rejects and quarantined records stay in the
-    staging table, partitioned by status and year, for inspection."""
+    from the staged good rows of the target years, and a target year without
+    rows is cleared. Strays (valid years outside the range), year-0 rejects and
+    quarantined records stay in the staging table, partitioned by status and
+    year, for inspection.
+
+    A file that cannot be read whole stops the rebuild before the table is
+    touched. With ``allow_failed`` such files are left out, and ``files`` of the
+    result names them."""
+    years = range(first_year, last_year + 1)
+    listing = X.readable_files(spark, xml_path, glob) if allow_failed else None
     stage = scratch_dir(spark, "rebuild-staging")
-    stage_xml(flatten_aid(X.read_aid_xml(spark, xml_path, glob=glob, years=(first_year, last_year))), stage)
-    good = staged(spark, stage, OK)
-    # The staging table is partitioned by year: no shuffle needed to write by year.
-    _write_years(conform_schema(good.where(F.col("anno").between(first_year, last_year)), AID_SCHEMA), path,
-                 rebalance=False)
-    return RebuildOutputs(path, stage)
+    stage_xml(flatten_aid(X.read_aid_xml(spark, xml_path, glob=glob, years=(first_year, last_year),
+                                         skip_bad_files=allow_failed)), stage)
+    good = staged(spark, stage, OK).where(F.col("anno").between(first_year, last_year))
+    _replace_years(_table_rows(good), path, years)
+    drop_staged(spark, stage, years)
+    return RebuildOutputs(path, stage, listing)
 
 
 def strays(spark: SparkSession, out: RebuildOutputs, first_year: int, last_year: int) -> DataFrame:
@@ -202,8 +278,10 @@ def quarantined(spark: SparkSession, staging: str) -> DataFrame:
 def rebuild_measures(spark: SparkSession, xml_path: str, path: str, glob: str | None = None) -> str:
     """K6: the cumulative measure table, rebuilt from all measure files (one
     unpartitioned table; rows without a start year are dropped)."""
-    good = ingest_measures(spark, xml_path, scratch_dir(spark, "measure-staging"), glob)
+    stage = scratch_dir(spark, "measure-staging")
+    good = ingest_measures(spark, xml_path, stage, glob)
     conform_schema(good, MEASURE_SCHEMA).write.mode("overwrite").options(**ZSTD).parquet(path)
+    drop_staged(spark, stage)
     return path
 
 

@@ -34,6 +34,7 @@ Q_YEAR = 1998                      # analyst queries on one year (Q4, Q6, Q7)
 Q_TERM = "#00000012"               # beneficiary-name search (Q3)
 FILE_YEARS = (1996, 1997)          # file selection by year (S17)
 OVERWRITE_YEARS = (1997, 1998)     # yearly overwrite (K2)
+UPSERT_LAST_MONTH = 6              # last month of that year in the batch
 UPSERT_FROM_YEAR = 1998            # first year of the upserted batch (K3)
 REBUILD_YEARS = (1996, 1997)       # rebuilt range (K5)
 READ_YEAR = 1997                   # single-year read (S19)
@@ -111,12 +112,14 @@ def q_write_year_overwrite(spark, sf_dir):
 
 
 def q_upsert_append(spark, sf_dir):
-    """Load years up to 1998 (deduped), then upsert a changed batch of years
-    from 1998 on: 1998 keys exist in both batches and the new rows win."""
+    """Load years up to 1998 without dedup, then upsert a changed batch of the
+    first months of 1998 and all later years: new rows win over old ones of
+    their key; of keys only in the old rows of 1998 the last to arrive stays."""
     base = scratch_dir(spark, "layer-upsert")
     raw = _arrived(spark, sf_dir)
-    ST.write_year_overwrite(raw.where(F.col("anno") <= UPSERT_FROM_YEAR), base, dedup=True)
-    new = (raw.where(F.col("anno") >= UPSERT_FROM_YEAR)
+    ST.write_year_overwrite(raw.where(F.col("anno") <= UPSERT_FROM_YEAR), base)
+    new = (raw.where((F.col("anno") > UPSERT_FROM_YEAR)
+                     | ((F.col("anno") == UPSERT_FROM_YEAR) & (F.col("mese") <= UPSERT_LAST_MONTH)))
            .withColumn("soggetto_concedente", F.concat("soggetto_concedente", F.lit(" (agg.)"))))
     ST.upsert_append(spark, new, base)
     return ST.read_all_years(spark, base)
@@ -233,7 +236,7 @@ def q_incremental_load(spark, sf_dir):
     incremental_load(spark, inbox, table, ckpt)
     XS.write_records(recs.where(year >= DROP_SPLIT_YEAR), f"{inbox}/drop2", ordered=True)
     incremental_load(spark, inbox, table, ckpt)
-    return spark.read.parquet(table)
+    return ST.read_all_years(spark, table)
 
 
 def _aid_mart(fn) -> Query:

@@ -55,11 +55,15 @@ def _checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
     Read from the session (``spark.checkpoint.dir``, a static setting, or the
-    context's checkpoint dir). Only when neither is set (local runs, tests) a
-    private folder is made and registered with ``setCheckpointDir``, so later
-    ``checkpoint()`` calls and scratch paths share it."""
+    context's checkpoint dir). Only in a local run (one machine, one process)
+    where neither is set, a private folder is made and registered with
+    ``setCheckpointDir``, so later ``checkpoint()`` calls and scratch paths
+    share it. On a cluster a machine's own folder would scatter the files, so
+    that raises."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="aidspark-ckpt-"))
         root = spark.sparkContext.getCheckpointDir()
     return root

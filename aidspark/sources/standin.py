@@ -150,12 +150,18 @@ def measure_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(second)
 
 
+POPULATION_YEARS = (1997, 1998, 1999)
+
+
 def population(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Population stand-in: residents per region = customers per nation."""
+    """Population stand-in, several years: residents per region and year =
+    customers per nation, each year with a part of them."""
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     return (c.join(n, c.c_nationkey == n.n_nationkey)
-            .groupBy(F.col("n_name").alias("regione"))
+            .withColumn("anno", F.explode(F.array(*map(F.lit, POPULATION_YEARS))))
+            .where(F.col("c_custkey") % (F.col("anno") - POPULATION_YEARS[0] + 2) != 0)
+            .groupBy("anno", F.col("n_name").alias("regione"))
             .agg(F.count(F.lit(1)).alias("popolazione")))
 
 
@@ -261,8 +267,10 @@ _END_SQL = ("CASE p_size % 4 " + " ".join(
 MEASURE_RAW_SQL = (_measure_window_sql(0, _END_SQL) + "\n  UNION ALL\n"
                    + _measure_window_sql(10, "'2035-12-31T00:00:00.000+01:00'", "WHERE p_size > 45"))
 
-POPULATION_SQL = """SELECT n.n_name AS regione, COUNT(*) AS popolazione
-  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name"""
+POPULATION_SQL = """SELECT y.anno, n.n_name AS regione, COUNT(*) AS popolazione
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN (VALUES (1997), (1998), (1999)) AS y(anno) ON c.c_custkey % (y.anno - 1995) <> 0
+  GROUP BY y.anno, n.n_name"""
 ENTITIES_SQL = "SELECT CAST(user_id AS VARCHAR) AS codice_fiscale, event_type, value FROM events"
 CUP_BRIDGE_SQL = """SELECT 'CUP' || CAST(o.o_orderkey AS VARCHAR) AS cup, n.n_name AS comune
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey"""

@@ -21,21 +21,26 @@ from aidspark.schemas import (AID_RECORD_TAG, AID_XML_SCHEMA, CORRUPT_COL, MEASU
 # --- fixed values: source file naming ------------------------------------------
 AID_FILE_GLOB = "OpenData_Aiuti_*.xml"
 MEASURE_FILE_GLOB = "OpenData_Misura_*.xml"
-FILE_YEAR_MONTH = r"_(\d{4})_(\d{2})"
+FILE_YEAR_MONTH = r"^.*OpenData_Aiuti_(\d{4})_(\d{2})"  # the last such path part counts
 
 
 def record_text(spark: SparkSession, path: str | list[str], tag: str,
-                glob: str | None = None, skip_bad_files: bool = True) -> DataFrame:
+                glob: str | None = None, skip_bad_files: bool = False) -> DataFrame:
     """One row per text chunk that mentions the tag: ``_file``, ``_block``,
     ``record`` (NULL if the chunk holds no record).
 
-    With ``skip_bad_files`` a file that cannot be read (truncated archive,
-    removed after listing) is skipped instead of failing the job; the files
-    that did contribute show up in ``parse_counts``."""
+    A file that cannot be read whole (truncated archive, removed after listing)
+    fails the job. With ``skip_bad_files`` every file is read through once first
+    and only whole ones are taken (``readable_files``), so no file contributes a
+    part of its records."""
+    if skip_bad_files:
+        path = [r["fonte"] for r in readable_files(spark, path, glob).where("letto").collect()]
+        if not path:
+            return to_records(spark.createDataFrame([], "_file string, _block long, value string"), tag)
+        glob = None
     reader = (spark.read.option("lineSep", f"</{tag}>")
               .option("recursiveFileLookup", "true")
-              .option("ignoreCorruptFiles", str(skip_bad_files).lower())
-              .option("ignoreMissingFiles", str(skip_bad_files).lower()))
+              .option("ignoreCorruptFiles", "false").option("ignoreMissingFiles", "false"))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return to_records(with_position(reader.text(path)), tag)
@@ -47,20 +52,47 @@ def with_position(raw: DataFrame) -> DataFrame:
                       F.col("_metadata.file_block_start").alias("_block"), F.col("value"))
 
 
+def readable_files(spark: SparkSession, path, glob: str | None = None) -> DataFrame:
+    """Per input file whether it can be read to its end: ``fonte, byte, letto``.
+    Each file is one distributed read that keeps nothing."""
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+               .option("pathGlobFilter", glob or "*").load(path).select("path", "length").collect())
+    found = []
+    for r in listing:
+        try:
+            (spark.read.option("ignoreCorruptFiles", "false").option("ignoreMissingFiles", "false")
+             .text(r["path"]).agg(F.sum(F.length("value"))).collect())
+            found.append((r["path"], r["length"], True))
+        except Exception:  # whatever the reader says, the file is not whole
+            found.append((r["path"], r["length"], False))
+    return spark.createDataFrame(found, "fonte string, byte long, letto boolean")
+
+
 def to_records(chunks: DataFrame, tag: str) -> DataFrame:
-    """Cut each chunk (text up to a close tag) to its record: from the record's
-    open tag (optionally prefixed, optionally with attributes) to the end of
-    the chunk. The header before the first record is dropped; a chunk with no
-    record gives NULL. (Namespace prefixes are removed by the repair step.)
+    """One row per record of each chunk (text up to a plain close tag).
+
+    A chunk is cut before every open tag of a record (optionally prefixed, with
+    or without attributes); what stands before the first is dropped. The last
+    part ends where the chunk was split, so it gets its close tag back. A part
+    before it either has a prefixed close tag, where it is cut, or none: such a
+    record stays unclosed and is quarantined by the parser, while its neighbours
+    are read. (Namespace prefixes are removed by the repair step.)
 
     The only filter is a literal pre-check on the raw chunk (drops trailers
-    without the tag name); the extracted text itself is not filtered, since
-    such a filter would be pushed below this projection and run the
-    extraction twice."""
-    body = F.regexp_extract(F.col("value"), rf"(?s)(<(?:[A-Za-z_][\w.\-]*:)?{tag}(?:\s[^>]*)?>.*)$", 1)
-    rec = F.when(body != "", F.concat(body, F.lit(f"</{tag}>")))
-    # Cheap literal pre-check: drops trailer chunks without running the regex.
-    return chunks.where(F.col("value").contains(tag)).select("_file", "_block", rec.alias("record"))
+    without the tag name)."""
+    name = r"(?:[A-Za-z_][\w.\-]*:)?"
+    parts = F.split(F.col("value"), rf"(?=<{name}{tag}[\s>])")
+    cut = (chunks.where(F.col("value").contains(tag))
+           .select("_file", "_block", F.size(parts).alias("_parts"), F.posexplode(parts).alias("_part", "_text")))
+    closed = F.regexp_extract(F.col("_text"), rf"(?s)^(.*</[A-Za-z_][\w.\-]*:{tag}\s*>)", 1)
+    opens = F.col("_text").rlike(rf"^<{name}{tag}[\s>]")
+    rec = (F.when(~opens, F.lit(None).cast("string"))
+           .when(F.instr("_text", f":{tag}") > 0, F.when(closed != "", closed)
+                 .otherwise(F.when(F.col("_part") == F.col("_parts") - 1, F.concat("_text", F.lit(f"</{tag}>")))
+                            .otherwise(F.col("_text"))))
+           .when(F.col("_part") == F.col("_parts") - 1, F.concat("_text", F.lit(f"</{tag}>")))
+           .otherwise(F.col("_text")))
+    return cut.select("_file", "_block", rec.alias("record"))
 
 
 def select_files_by_year(records: DataFrame, first_year: int, last_year: int) -> DataFrame:
@@ -91,9 +123,9 @@ def parse_records(records: DataFrame, schema: StructType) -> DataFrame:
 
 
 def read_aid_xml(spark: SparkSession, path, glob: str | None = None,
-                 years: tuple[int, int] | None = None) -> DataFrame:
+                 years: tuple[int, int] | None = None, skip_bad_files: bool = False) -> DataFrame:
     """Parsed ``<AIUTO>`` records of a file, a directory or a list."""
-    rec = record_text(spark, path, AID_RECORD_TAG, glob)
+    rec = record_text(spark, path, AID_RECORD_TAG, glob, skip_bad_files)
     if years:
         rec = select_files_by_year(rec, *years)
     return parse_records(rec, AID_XML_SCHEMA)
