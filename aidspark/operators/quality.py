@@ -12,7 +12,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, LongType, StringType, StructField, StructType)
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+
+from aidspark.schemas import MEASURE_COLUMNS
 
 # --- fixed values: gate thresholds of the register configuration -------------
 AID_CLEAN_RULES = {"required_columns": ["anno", "elemento_aiuto", "regione_beneficiario",
@@ -21,7 +23,7 @@ AID_CLEAN_RULES = {"required_columns": ["anno", "elemento_aiuto", "regione_benef
                    "not_null": ["anno", "elemento_aiuto", "codice_fiscale_beneficiario"]}
 AID_REQUIRED_MARTS = ["mart_aiuti_per_regione", "mart_aiuti_per_obiettivo"]
 AID_MART_RULES = {"mart_aiuti_per_obiettivo": {"min_rows": 10}}
-MEASURE_CLEAN_RULES = {"min_rows": 10000, "not_null": ["anno"],
+MEASURE_CLEAN_RULES = {"required_columns": MEASURE_COLUMNS, "min_rows": 10000, "not_null": ["anno"],
                        "primary_key": ["car", "data_inizio_misura"]}
 MEASURE_REQUIRED_MARTS = ["mart_misure_per_tipo", "mart_top_misure"]
 MEASURE_MART_RULES = {
@@ -95,33 +97,3 @@ def enforce(findings: DataFrame, ok_col: str = "esito", fail_on_error: bool = Tr
         if n:
             raise QualityError(f"{n} failed check(s), e.g. {bad.first().asDict()}")
     return findings
-
-
-SIGNAL_SCHEMA = StructType([StructField("layer", StringType()), StructField("righe", LongType()),
-                            StructField("controlli", LongType()), StructField("superati", LongType())])
-
-
-def run_signal(layers: dict[str, DataFrame], gates: dict[str, DataFrame]) -> DataFrame:
-    """V7: per-layer run signal: rows, gates run, gates passed, quality score
-    (0-100) and status. ``layers`` maps layer -> data (its rows are counted);
-    ``gates`` maps layer -> findings with a boolean ``esito``."""
-    parts = []
-    for name, df in layers.items():
-        g = gates.get(name)
-        if g is None:
-            checks, passed = F.lit(0), F.lit(0)
-        else:
-            # Scalar subqueries over the (small) findings table.
-            checks = g.select(F.count(F.lit(1))).scalar()
-            passed = g.select(F.coalesce(F.sum(F.when(F.col("esito"), 1).otherwise(0)), F.lit(0))).scalar()
-        parts.append(df.agg(F.count(F.lit(1)).alias("righe")).select(
-            F.lit(name).alias("layer"), "righe", checks.cast("bigint").alias("controlli"),
-            passed.cast("bigint").alias("superati")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    score = F.when(F.col("controlli") == 0, F.lit(100)).otherwise(
-        F.floor(F.col("superati") * 100 / F.col("controlli")).cast("int"))
-    return (out.withColumn("punteggio_qualita", score)
-            .withColumn("stato", F.when(F.col("superati") == F.col("controlli"), F.lit("SUCCESS"))
-                        .otherwise(F.lit("WARNING"))))

@@ -382,7 +382,7 @@ FROM ({S.AID_RAW_SQL}) r""",
 
 # ---------------------------------------------------------------- quality and catalog
 from aidspark.operators import quality as QR  # noqa: E402
-from aidspark.queries import INDEX_FROM_YEAR, REGISTERED_AID_MARTS, STANDIN_COVERAGE  # noqa: E402
+from aidspark.queries import INDEX_FROM_YEAR, STANDIN_COVERAGE  # noqa: E402
 
 _MEAS = f"({S.MEASURE_RAW_SQL})"
 
@@ -416,7 +416,9 @@ _CLEAN_NN = QR.AID_CLEAN_RULES["not_null"]
 _CLEAN_MIN = QR.AID_CLEAN_RULES["min_rows"]
 _CLEAN_PASSED = " + ".join([f"CASE WHEN COUNT(*) >= {_CLEAN_MIN} THEN 1 ELSE 0 END"] + [
     f"CASE WHEN SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) = 0 THEN 1 ELSE 0 END" for c in _CLEAN_NN])
-_MART_COUNTS = " + ".join(f"(SELECT COUNT(*) FROM ({MARTS[fn]}) t)" for fn in REGISTERED_AID_MARTS.values())
+_REGISTERED = ["mart_per_regione", "mart_per_procedimento", "mart_top_beneficiari", "mart_per_obiettivo",
+               "mart_per_strumento", "mart_tipo_beneficiario", "mart_settore_regione"]
+_MART_COUNTS = " + ".join(f"(SELECT COUNT(*) FROM ({MARTS[fn]}) t)" for fn in _REGISTERED)
 _OBJ = MARTS["mart_per_obiettivo"]
 
 
@@ -436,11 +438,13 @@ QUALITY = {
            ("mart_misure_per_tipo", "mart_misure_attive", "mart_top_misure")]),
     "dq_not_null": _not_null("aiuti_stato.clean", _CLEAN_SQL, _CLEAN_NN) + "\nUNION ALL\n"
                    + _not_null("misure.clean", f"SELECT * FROM {_MEAS} m", QR.MEASURE_CLEAN_RULES["not_null"]),
-    "dq_primary_key": f"""SELECT cor, id_componente, cod_strumento, COUNT(*) AS occorrenze FROM ({_RAW_SQL}) t
-GROUP BY cor, id_componente, cod_strumento HAVING COUNT(*) > 1""",
+    "dq_primary_key": f"""SELECT 'aiuti.raw' AS tabella, concat_ws('|', cor, id_componente, cod_strumento) AS chiave,
+       COUNT(*) AS occorrenze FROM ({_RAW_SQL}) t GROUP BY ALL HAVING COUNT(*) > 1
+UNION ALL SELECT 'misure.clean', concat_ws('|', car, data_inizio_misura), COUNT(*) FROM ({_MEAS}) m
+GROUP BY ALL HAVING COUNT(*) > 1""",
     "run_signal": "\nUNION ALL\n".join([
         f"SELECT * FROM ({_signal('raw', f'(SELECT COUNT(*) FROM ({_RAW_SQL}) t)', 0, 0)})",
-        f"SELECT * FROM ({_signal('clean', 'COUNT(*)', 1 + len(_CLEAN_NN), _CLEAN_PASSED)} FROM ({_CLEAN_SQL}) t)",
+        f"SELECT * FROM ({_signal('clean', 'COUNT(*)', 2 + len(_CLEAN_NN), _CLEAN_PASSED + ' + 1')} FROM ({_CLEAN_SQL}) t)",
         f"SELECT * FROM ({_signal('mart', _MART_COUNTS, 3, f'(SELECT CASE WHEN COUNT(*) >= 10 THEN 1 ELSE 0 END FROM ({_OBJ}) o) + 2')})",
     ]),
     "manifest_by_year": _manifest(_RAW_SQL),

@@ -41,6 +41,37 @@ AID_REFACTORED = {
 MEASURE_REGISTERED = dict(M.MEASURE_MARTS)
 
 
+def _clean_gates(df: DataFrame, path: str, stats: dict, rules: dict) -> list[tuple[str, bool]]:
+    """Gates of the clean layer from what its write observed; only a primary key
+    reads the written files again."""
+    out = [("min_rows", stats["*"] >= rules.get("min_rows", 0))]
+    out += [(f"not_null {c}", not stats[c]) for c in rules.get("not_null", [])]
+    if "required_columns" in rules:
+        out.append(("required_columns", set(rules["required_columns"]) <= set(df.columns)))
+    if "primary_key" in rules:
+        written = df.sparkSession.read.parquet(path)
+        out.append(("primary_key", not Q.dq_primary_key(written, rules["primary_key"]).head(1)))
+    return out
+
+
+def _mart_gates(spark: SparkSession, out_dir: str, report: dict, required: list[str], rules: dict) -> list[tuple[str, bool]]:
+    """Gates of the marts: tables that must be there, rows observed, columns and
+    keys of the written files."""
+    out = [(f"table {name}", name in report) for name in required]
+    for name, rule in rules.items():
+        if name not in report:
+            out.append((f"rules {name}", False))
+            continue
+        written = spark.read.parquet(f"{out_dir}/{name}")
+        if "min_rows" in rule:
+            out.append((f"min_rows {name}", report[name]["rows"] >= rule["min_rows"]))
+        if "required_columns" in rule:
+            out.append((f"required_columns {name}", set(rule["required_columns"]) <= set(written.columns)))
+        if "primary_key" in rule:
+            out.append((f"primary_key {name}", not Q.dq_primary_key(written, rule["primary_key"]).head(1)))
+    return out
+
+
 def _write_counted(df: DataFrame, path: str, partition_by: str | None = None,
                    not_null: list[str] = ()) -> dict:
     """Write ``df``; row count and NULL counts of ``not_null`` columns are
@@ -55,21 +86,13 @@ def _write_counted(df: DataFrame, path: str, partition_by: str | None = None,
     return {k: int(v or 0) for k, v in obs.get.items()}
 
 
-def _wait_for_job(spark: SparkSession, timeout: float = 2.0) -> None:
-    """Wait (bounded) until a job is running, so the clean write, the longest
-    job, is queued ahead of the marts under FIFO scheduling."""
-    tracker = spark.sparkContext.statusTracker()
-    end = time.time() + timeout
-    while time.time() < end and not tracker.getActiveJobsIds():
-        time.sleep(0.01)
-
-
 def run_layers(spark: SparkSession, raw: DataFrame, out_dir: str,
                clean_fn: Callable[[DataFrame], DataFrame],
                marts: dict[str, Callable[[DataFrame], DataFrame]],
-               not_null: list[str], min_rows: int = 0, partition_by: str | None = "anno",
-               fail_on_error: bool = False, parallel: int = 8) -> dict:
-    """Write the clean layer and every mart; return rows and seconds per step.
+               rules: dict, required_marts: list[str] = (), mart_rules: dict | None = None,
+               partition_by: str | None = "anno", fail_on_error: bool = False, parallel: int = 8) -> dict:
+    """Write the clean layer and every mart, run the gates; return rows, seconds
+    and gates per step.
 
     With ``fail_on_error`` the clean layer is written and gated first (row
     count and NULL counts observed during the write), and the marts then read
@@ -81,15 +104,20 @@ def run_layers(spark: SparkSession, raw: DataFrame, out_dir: str,
     t0 = time.time()
     clean_path = f"{out_dir}/clean"
     report = {"clean_path": clean_path, "marts": {}}
+    not_null = rules.get("not_null", [])
+    raw_rows = Observation("raw")
+    counted = raw.observe(raw_rows, F.count(F.lit(1)).alias("n"))
 
     def write_clean():
-        stats = _write_counted(clean_fn(raw), clean_path, partition_by, not_null)
-        report.update({"clean_rows": stats["*"], "clean_nulls": {c: stats[c] for c in not_null},
-                       "clean_sec": round(time.time() - t0, 3)})
-        bad = [c for c in not_null if stats[c]] + (["min_rows"] if stats["*"] < min_rows else [])
-        report["clean_gates_failed"] = bad
+        clean = clean_fn(counted)
+        stats = _write_counted(clean, clean_path, partition_by, not_null)
+        gates = _clean_gates(clean, clean_path, stats, rules)
+        report.update({"raw_rows": int(raw_rows.get["n"] or 0), "clean_rows": stats["*"],
+                       "clean_nulls": {c: stats[c] for c in not_null},
+                       "clean_sec": round(time.time() - t0, 3), "clean_gates": gates})
+        report["clean_gates_failed"] = bad = [name for name, ok in gates if not ok]
         if bad and fail_on_error:
-            raise Q.QualityError(f"clean layer failed gates: {bad}")
+            raise Q.QualityError(f"{len(bad)} gate(s) of the clean layer failed: {bad}")
 
     def one(name, fn, source):
         t = time.time()
@@ -103,13 +131,18 @@ def run_layers(spark: SparkSession, raw: DataFrame, out_dir: str,
             futures = [pool.submit(one, n, fn, source) for n, fn in marts.items()]
         else:
             source = clean_fn(raw)
+            # The clean write is submitted first, as it takes longest.
             futures = [pool.submit(write_clean)]
-            _wait_for_job(spark)
             futures += [pool.submit(one, n, fn, source) for n, fn in marts.items()]
         for f in futures:
             f.result()
     report["mart_rows"] = sum(m["rows"] for m in report["marts"].values())
     report["total_sec"] = round(time.time() - t0, 3)
+    gates = _mart_gates(spark, out_dir, report["marts"], required_marts, mart_rules or {})
+    report["mart_gates"] = gates
+    report["mart_gates_failed"] = bad = [name for name, ok in gates if not ok]
+    if bad and fail_on_error:
+        raise Q.QualityError(f"{len(bad)} gate(s) of the marts failed: {bad}")
     report["output_bytes"] = {"clean": path_bytes(spark, clean_path),
                               "mart": sum(path_bytes(spark, f"{out_dir}/{n}") for n in marts)}
     return report
@@ -125,27 +158,28 @@ def run_aid(spark: SparkSession, raw: DataFrame, out_dir: str, marts=None,
     if year is not None:
         raw, out_dir = raw.where(F.col("anno") == year), f"{out_dir}/{year}"
     return run_layers(spark, raw, out_dir, C.clean_aid, marts or AID_REGISTERED,
-                      Q.AID_CLEAN_RULES["not_null"], Q.AID_CLEAN_RULES["min_rows"])
+                      Q.AID_CLEAN_RULES, Q.AID_REQUIRED_MARTS, Q.AID_MART_RULES)
 
 
-def run_measures(spark: SparkSession, raw: DataFrame, out_dir: str, fail_on_error: bool = False) -> dict:
-    """Measure dataset (its config sets fail_on_error; pass True to enforce)."""
+def run_measures(spark: SparkSession, raw: DataFrame, out_dir: str, fail_on_error: bool = True) -> dict:
+    """Measure dataset: gates block, as its configuration says."""
     return run_layers(spark, raw, out_dir, C.clean_measure, MEASURE_REGISTERED,
-                      Q.MEASURE_CLEAN_RULES["not_null"], Q.MEASURE_CLEAN_RULES["min_rows"],
+                      Q.MEASURE_CLEAN_RULES, Q.MEASURE_REQUIRED_MARTS, Q.MEASURE_MART_RULES,
                       partition_by=None, fail_on_error=fail_on_error)
 
 
 def signal(spark: SparkSession, report: dict, dataset: str, year: int | None = None) -> DataFrame:
-    """V7: the run signal of a layer run: per layer (clean, mart) rows, bytes
-    and gate results, with the run's status, quality score and duration. Built
-    from the run report (counts observed during the writes), so it reads no
-    data."""
-    failed = report.get("clean_gates_failed", [])
-    n_gates = len(report.get("clean_nulls", {})) + 1
-    score = int(100 * (n_gates - len(failed)) / n_gates)
-    status = "SUCCESS" if not failed else "WARNING"
-    rows = [(dataset, year, "clean", report["clean_rows"], report["output_bytes"]["clean"], score),
-            (dataset, year, "mart", report["mart_rows"], report["output_bytes"]["mart"], 100)]
-    df = spark.createDataFrame(rows, "dataset string, anno int, layer string, righe bigint, byte bigint, "
-                                     "punteggio_qualita int")
-    return df.select("*", F.lit(status).alias("stato"), F.lit(float(report["total_sec"])).alias("durata_sec"))
+    """V7: the run signal of a layer run: per layer (raw, clean, mart) rows,
+    bytes (null for raw, which the run only reads), gates run and passed, quality
+    score, status, and the run's duration. Built from the run report (counts
+    observed during the writes), so it reads no data."""
+    rows = []
+    for layer in ("raw", "clean", "mart"):
+        gates = report.get(f"{layer}_gates", [])
+        passed = sum(ok for _, ok in gates)
+        rows.append((dataset, year, layer, report[f"{layer}_rows"], report["output_bytes"].get(layer),
+                     len(gates), passed, 100 * passed // len(gates) if gates else 100,
+                     "SUCCESS" if passed == len(gates) else "WARNING", float(report["total_sec"])))
+    return spark.createDataFrame(rows, "dataset string, anno int, layer string, righe bigint, byte bigint, "
+                                       "controlli bigint, superati bigint, punteggio_qualita int, "
+                                       "stato string, durata_sec double")

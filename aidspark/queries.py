@@ -21,8 +21,9 @@ from aidspark.operators import joins as J
 from aidspark.operators import marts as M
 from aidspark.operators import quality as Q
 from aidspark.operators.dedup import dedup_keep_last
+from aidspark.plans import layers as L
 from aidspark.plans import storage as ST
-from aidspark.schemas import AID_DEDUP_KEY, AID_SCHEMA, MEASURE_SCHEMA
+from aidspark.schemas import AID_DEDUP_KEY, AID_SCHEMA, MEASURE_KEY, MEASURE_SCHEMA
 from aidspark.session import prepare, scratch_dir
 from aidspark.sources import standin as S
 from aidspark.sources import text_standin as TS
@@ -43,17 +44,6 @@ INDEX_FROM_YEAR = 1998             # first year of the current manifest run (D2)
 # Publication window of the stand-in register (first year, last year, months
 # published in the last year), used by the manifests.
 STANDIN_COVERAGE = (1995, 2001, 8)
-# Register names of the marts the aid configuration publishes.
-REGISTERED_AID_MARTS = {
-    "mart_aiuti_per_regione": "mart_per_regione",
-    "mart_aiuti_per_procedimento": "mart_per_procedimento",
-    "mart_aiuti_top_beneficiari": "mart_top_beneficiari",
-    "mart_aiuti_per_obiettivo": "mart_per_obiettivo",
-    "mart_aiuti_per_strumento": "mart_per_strumento",
-    "mart_aiuti_tipo_beneficiario": "mart_tipo_beneficiario",
-    "mart_aiuti_settore_regione": "mart_settore_regione",
-}
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -184,24 +174,22 @@ def q_dq_not_null(spark, sf_dir):
 
 
 def q_dq_primary_key(spark, sf_dir):
-    return Q.dq_primary_key(_raw(spark, sf_dir), AID_DEDUP_KEY)
+    """Repeated values of the aid key (raw layer) and of the measure key that
+    the measure configuration gates."""
+    def found(df, key, table):
+        return Q.dq_primary_key(df, key).select(F.lit(table).alias("tabella"), F.concat_ws("|", *key).alias("chiave"),
+                                                "occorrenze")
+    twice = _measures(spark, sf_dir).select("car", "data_inizio_misura")
+    return found(_raw(spark, sf_dir), AID_DEDUP_KEY, "aiuti.raw").unionByName(
+        found(twice, MEASURE_KEY, "misure.clean"))
 
 
 def q_run_signal(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
-    clean = C.clean_aid(raw)
-    marts = {reg: getattr(M, fn)(clean) for reg, fn in REGISTERED_AID_MARTS.items()}
-    mart_rows = None
-    for m in marts.values():
-        one = m.select(F.lit(1).alias("x"))
-        mart_rows = one if mart_rows is None else mart_rows.unionByName(one)
-    clean_gates = Q.dq_min_rows(clean, Q.AID_CLEAN_RULES["min_rows"], "clean").select("esito").unionByName(
-        Q.dq_not_null(clean, Q.AID_CLEAN_RULES["not_null"], "clean").select("esito"))
-    mart_min = Q.AID_MART_RULES["mart_aiuti_per_obiettivo"]["min_rows"]
-    mart_gates = Q.dq_min_rows(marts["mart_aiuti_per_obiettivo"], mart_min, "m").select("esito").unionByName(
-        Q.dq_required_tables(spark, list(marts), Q.AID_REQUIRED_MARTS).select(F.col("presente").alias("esito")))
-    return Q.run_signal({"raw": raw, "clean": clean, "mart": mart_rows},
-                        {"clean": clean_gates, "mart": mart_gates})
+    """The signal of a whole layer run (clean and the registered marts)."""
+    spark = prepare(spark)
+    report = L.run_aid(spark, _raw(spark, sf_dir), scratch_dir(spark, "signal-run"))
+    return L.signal(spark, report, "aiuti_stato").select("layer", "righe", "controlli", "superati",
+                                                         "punteggio_qualita", "stato")
 
 
 def q_manifest_by_year(spark, sf_dir):
