@@ -29,22 +29,29 @@ def expected_months(year, coverage=SOURCE_COVERAGE):
             .when(year == last, F.lit(last_months)).otherwise(F.lit(12)))
 
 
-def manifest_by_year(layer: DataFrame, coverage=SOURCE_COVERAGE) -> DataFrame:
+def year_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """``anno, size_mb`` of a written layer, from its files' metadata."""
+    return file_summary(spark, path).where(F.col("anno").isNotNull()).select("anno", F.col("mb").alias("size_mb"))
+
+
+def manifest_by_year(layer: DataFrame, coverage=SOURCE_COVERAGE, sizes: DataFrame | None = None) -> DataFrame:
     """Per year: rows, distinct months 1-12 present, months the source
-    published, completeness = min(1, round_half_even(n / expected, 2)) or 0."""
+    published, completeness = min(1, round_half_even(n / expected, 2)) or 0; with
+    ``sizes`` (``year_sizes`` of the written layer) also ``size_mb``."""
     month = F.col("mese")
     g = layer.groupBy("anno").agg(
         F.count(F.lit(1)).alias("righe"),
         F.array_sort(F.collect_set(F.when(month.between(1, 12), month))).alias("_m"))
     exp = expected_months(F.col("anno"), coverage)
     n = F.size("_m")
-    return g.select(
+    out = g.select(
         "anno", "righe",
         F.array_join(F.transform("_m", lambda x: x.cast("string")), ",").alias("mesi"),
         n.cast("bigint").alias("n_mesi"),
         exp.alias("mesi_attesi"),
         F.when(exp == 0, F.lit(0.0))
          .otherwise(F.least(F.lit(1.0), F.bround(n / exp, 2))).alias("completezza"))
+    return out if sizes is None else out.join(sizes.select("anno", "size_mb"), "anno", "left")
 
 
 def manifest_index(current: DataFrame, previous: DataFrame) -> DataFrame:
@@ -56,8 +63,12 @@ def manifest_index(current: DataFrame, previous: DataFrame) -> DataFrame:
 
 
 def index_totals(index: DataFrame) -> DataFrame:
-    """D2 totals: years and rows over the whole index."""
-    return index.agg(F.count(F.lit(1)).alias("anni"), F.sum("righe").cast("bigint").alias("righe_totali"))
+    """D2 totals: years and rows over the whole index, and its MB where the
+    manifests carry sizes (carried-over years keep theirs)."""
+    aggs = [F.count(F.lit(1)).alias("anni"), F.sum("righe").cast("bigint").alias("righe_totali")]
+    if "size_mb" in index.columns:
+        aggs.append(F.round(F.sum("size_mb"), 1).alias("mb_totali"))
+    return index.agg(*aggs)
 
 
 def manifest_measures(measures: DataFrame, size_bytes: int | None = None) -> DataFrame:
@@ -98,13 +109,18 @@ def joinable_columns(catalog: DataFrame) -> DataFrame:
                     (F.col("colonne_stesso_tipo") > 1).alias("collegabile")))
 
 
+def file_list(spark: SparkSession, path: str) -> DataFrame:
+    """Rows and MB of each file of a written layer, one grouped count over
+    ``_metadata``."""
+    return (spark.read.parquet(path)
+            .select("anno", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("b"))
+            .groupBy("anno", "file").agg(F.count(F.lit(1)).alias("righe"), F.max("b").alias("byte"))
+            .withColumn("mb", F.round(F.col("byte") / 1_000_000, 1)))
+
+
 def file_summary(spark: SparkSession, path: str) -> DataFrame:
-    """Rows, files and MB per year partition of a written layer, plus a
-    total row (``anno`` NULL) via ROLLUP. Per-file numbers come from one
-    grouped count over ``_metadata``."""
-    per_file = (spark.read.parquet(path)
-                .select("anno", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b"))
-                .groupBy("anno", "f").agg(F.count(F.lit(1)).alias("righe"), F.max("b").alias("byte")))
-    return (per_file.rollup("anno")
+    """Files, rows and MB per year partition of a written layer, plus a
+    total row (``anno`` NULL) via ROLLUP."""
+    return (file_list(spark, path).rollup("anno")
             .agg(F.count(F.lit(1)).alias("file"), F.sum("righe").cast("bigint").alias("righe"),
                  F.round(F.sum("byte") / 1_000_000, 1).alias("mb")))

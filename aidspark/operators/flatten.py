@@ -89,12 +89,6 @@ def flatten_measure(parsed: DataFrame) -> DataFrame:
                        _status(F.col("_present"), F.col(CORRUPT_COL), F.col("anno")).alias(STATUS))
 
 
-def good_rows(flat: DataFrame) -> DataFrame:
-    """Rows of well-formed records with a year (lazy filter; prefer splitting
-    a written staging table, see ``plans.storage.stage_xml``)."""
-    return flat.where(F.col(STATUS) == OK)
-
-
 def reject_invalid_year(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows with a year, rows with year 0), as lazy filters."""
     ok = F.col("anno") != 0

@@ -382,7 +382,7 @@ FROM ({S.AID_RAW_SQL}) r""",
 
 # ---------------------------------------------------------------- quality and catalog
 from aidspark.operators import quality as QR  # noqa: E402
-from aidspark.queries import INDEX_FROM_YEAR, STANDIN_COVERAGE  # noqa: E402
+from aidspark.queries import INDEX_FROM_YEAR, PUBLISH_YEARS, STANDIN_COVERAGE  # noqa: E402
 
 _MEAS = f"({S.MEASURE_RAW_SQL})"
 
@@ -429,6 +429,16 @@ def _signal(layer, rows, checks, passed):
             f"CASE WHEN ({passed}) = {checks} THEN 'SUCCESS' ELSE 'WARNING' END AS stato")
 
 
+_PUBLISHED = dict(zip(["mart_aiuti_per_regione", "mart_aiuti_per_procedimento", "mart_aiuti_top_beneficiari",
+                       "mart_aiuti_per_obiettivo", "mart_aiuti_per_strumento", "mart_aiuti_tipo_beneficiario",
+                       "mart_aiuti_settore_regione"], _REGISTERED))
+
+
+def _one_year(sql: str, year: int) -> str:
+    """A statement over the clean layer of one year."""
+    return sql.replace("FROM raw WHERE elemento_aiuto IS NOT NULL", f"FROM raw WHERE anno = {year} AND elemento_aiuto IS NOT NULL")
+
+
 QUALITY = {
     "dq_min_rows": "\nUNION ALL\n".join(
         [_min_rows("aiuti_stato.clean", _CLEAN_SQL, _CLEAN_MIN),
@@ -450,6 +460,13 @@ GROUP BY ALL HAVING COUNT(*) > 1""",
     "manifest_by_year": _manifest(_RAW_SQL),
     "manifest_index": _manifest(_dedup_sql(f"anno >= {INDEX_FROM_YEAR}"), "corrente") + "\nUNION ALL\n"
                       + f"SELECT * FROM ({_manifest(_RAW_SQL, 'precedente')}) p WHERE anno < {INDEX_FROM_YEAR}",
+    "manifest_totals": f"""SELECT COUNT(*) AS anni, CAST(SUM(righe) AS BIGINT) AS righe_totali FROM (
+{_manifest(_dedup_sql(f"anno >= {INDEX_FROM_YEAR}"), "corrente")} UNION ALL
+SELECT * FROM ({_manifest(_RAW_SQL, "precedente")}) p WHERE anno < {INDEX_FROM_YEAR}) i""",
+    "publish_years": "\nUNION ALL\n".join(
+        f"SELECT {y} AS anno, '{layer}' AS layer, '{name}' AS tabella, COUNT(*) AS righe FROM ({_one_year(MARTS[key], y)}) t"
+        for y in PUBLISH_YEARS
+        for layer, name, key in [("clean", "clean", "clean_aid")] + [("mart", n, k) for n, k in _PUBLISHED.items()]),
     "manifest_measures": f"SELECT COUNT(*) AS righe, CAST(20 AS BIGINT) AS campi FROM {_MEAS} m",
     "file_summary": f"SELECT anno, COUNT(*) AS righe FROM ({_RAW_SQL}) t GROUP BY ROLLUP (anno)",
 }

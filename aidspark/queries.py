@@ -38,6 +38,7 @@ OVERWRITE_YEARS = (1997, 1998)     # yearly overwrite (K2)
 UPSERT_LAST_MONTH = 6              # last month of that year in the batch
 UPSERT_FROM_YEAR = 1998            # first year of the upserted batch (K3)
 REBUILD_YEARS = (1996, 1997)       # rebuilt range (K5)
+PUBLISH_YEARS = (1996, 1998)        # years published one by one (K8)
 READ_YEAR = 1997                   # single-year read (S19)
 DROP_SPLIT_YEAR = 1998             # first year of the second streaming drop (K7)
 INDEX_FROM_YEAR = 1998             # first year of the current manifest run (D2)
@@ -147,11 +148,25 @@ def q_read_all_years(spark, sf_dir):
 
 
 def q_publish_layers(spark, sf_dir):
-    clean = _clean(spark, sf_dir)
-    marts = {name: fn(clean) for name, fn in M.AID_MARTS.items()}
+    """Clean is written once; the marts read the published files."""
     root = scratch_dir(spark, "publish")
-    return ST.publish_layers(spark, root, "aiuti_stato", "tutti",
-                             {"clean": {"aiuti_stato": clean}, "mart": marts})
+    first = ST.publish_layers(spark, root, "aiuti_stato", "tutti", {"clean": {"aiuti_stato": _clean(spark, sf_dir)}})
+    clean = spark.read.parquet(f"{root}/aiuti_stato/tutti/clean_aiuti_stato")
+    return first.unionByName(ST.publish_layers(spark, root, "aiuti_stato", "tutti", {
+        "mart": {name: fn(clean) for name, fn in M.AID_MARTS.items()}}))
+
+
+def q_publish_years(spark, sf_dir):
+    """The layers of each published year under ``{dataset}/{year}/``."""
+    spark = prepare(spark)
+    root = scratch_dir(spark, "publish-years")
+    raw, out = _raw(spark, sf_dir), []
+    for year in PUBLISH_YEARS:
+        report = L.run_aid(spark, raw, f"{root}/aiuti_stato", year=year)
+        out.append((year, "clean", "clean", report["clean_rows"]))
+        out += [(year, "mart", name, spark.read.parquet(f"{root}/aiuti_stato/{year}/{name}").count())
+                for name in report["marts"]]
+    return spark.createDataFrame(out, "anno int, layer string, tabella string, righe bigint")
 
 
 def q_dq_min_rows(spark, sf_dir):
@@ -205,6 +220,11 @@ def q_manifest_index(spark, sf_dir):
     return CT.manifest_index(CT.manifest_by_year(current_rows, STANDIN_COVERAGE), previous)
 
 
+def q_manifest_totals(spark, sf_dir):
+    """Totals of the index that ``manifest_index`` gives."""
+    return CT.index_totals(q_manifest_index(spark, sf_dir))
+
+
 def q_file_summary(spark, sf_dir):
     base = scratch_dir(spark, "layer-files")
     ST.write_year_overwrite(_raw(spark, sf_dir), base)
@@ -285,12 +305,14 @@ def registry() -> dict[str, Query]:
         "read_year": q_read_year,
         "read_all_years": q_read_all_years,
         "publish_layers": q_publish_layers,
+        "publish_years": q_publish_years,
         "dq_min_rows": q_dq_min_rows,
         "dq_not_null": q_dq_not_null,
         "dq_primary_key": q_dq_primary_key,
         "run_signal": q_run_signal,
         "manifest_by_year": q_manifest_by_year,
         "manifest_index": q_manifest_index,
+        "manifest_totals": q_manifest_totals,
         "manifest_measures": lambda sp, d: CT.manifest_measures(_measures(sp, d)),
         "file_summary": q_file_summary,
         "incremental_load": q_incremental_load,

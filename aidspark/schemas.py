@@ -73,8 +73,6 @@ MEASURE_FIELDS = [
 # --- fixed values: record tags, namespaces and keys ---------------------------
 AID_RECORD_TAG = "AIUTO"
 MEASURE_RECORD_TAG = "MISURA"
-AID_NAMESPACE = "http://www.rna.it/RNA_aiuto/schema"
-MEASURE_NAMESPACE = "http://www.rna.it/RNA_misura/schema"
 AID_DEDUP_KEY = ("cor", "id_componente", "cod_strumento")
 MEASURE_KEY = ("car", "data_inizio_misura")
 YEAR_COL, MONTH_COL = "anno", "mese"

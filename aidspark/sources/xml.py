@@ -20,7 +20,6 @@ from aidspark.schemas import (AID_RECORD_TAG, AID_XML_SCHEMA, CORRUPT_COL, MEASU
 
 # --- fixed values: source file naming ------------------------------------------
 AID_FILE_GLOB = "OpenData_Aiuti_*.xml"
-MEASURE_FILE_GLOB = "OpenData_Misura_*.xml"
 FILE_YEAR_MONTH = r"^.*OpenData_Aiuti_(\d{4})_(\d{2})"  # the last such path part counts
 
 
@@ -149,16 +148,9 @@ def parse_counts(parsed: DataFrame, source=None) -> DataFrame:
 
 
 def file_report(spark: SparkSession, path, parsed: DataFrame, glob: str | None = None) -> DataFrame:
-    """Per input file: size, good and quarantined records, and whether any
-    record was read (``letto`` false = unreadable, skipped, or without
-    records). The listing comes from the ``binaryFile`` source with only path
-    and length selected, so file contents are not read again."""
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .option("pathGlobFilter", glob or "*").load(path)
-               .select(F.col("path").alias("fonte"), F.col("length").alias("byte")))
-    counts = parse_counts(parsed)
-    return (listing.join(counts, "fonte", "left")
+    """Per input file: size, good and quarantined records, and whether it can be
+    read to its end (``letto``)."""
+    return (readable_files(spark, path, glob).join(parse_counts(parsed), "fonte", "left")
             .select("fonte", "byte",
                     F.coalesce("record_ok", F.lit(0)).cast("bigint").alias("record_ok"),
-                    F.coalesce("record_scartati", F.lit(0)).cast("bigint").alias("record_scartati"),
-                    F.col("record_ok").isNotNull().alias("letto")))
+                    F.coalesce("record_scartati", F.lit(0)).cast("bigint").alias("record_scartati"), "letto"))

@@ -81,3 +81,32 @@ def test_manifest_measures_with_size(spark, tmp_dir):
     meas.write.parquet(tmp_dir + "/m")
     r = CT.manifest_measures(spark.read.parquet(tmp_dir + "/m"), ST.path_bytes(spark, tmp_dir + "/m")).first()
     assert (r.righe, r.campi) == (meas.count(), 20) and r.size_mb >= 0
+
+
+def test_manifest_sizes_and_totals(spark, tmp_dir):
+    from aidspark.operators import catalog as CT
+    from aidspark.plans import storage as ST
+    from aidspark.sources import standin as S
+    raw = S.aid_raw(spark, "/root/testdata/sf0.001")
+    ST.write_year_overwrite(raw, tmp_dir)
+    files = CT.file_list(spark, tmp_dir).collect()
+    assert sum(r.righe for r in files) == raw.count() and all(r.byte > 0 for r in files)
+    sizes = CT.year_sizes(spark, tmp_dir)
+    index = CT.manifest_index(CT.manifest_by_year(raw.where("anno >= 1998"), sizes=sizes),
+                              CT.manifest_by_year(raw, sizes=sizes))
+    assert index.where("size_mb IS NULL").count() == 0
+    total = CT.index_totals(index).first()
+    assert total.righe_totali == raw.count()
+    assert abs(total.mb_totali - sum(r.size_mb for r in sizes.collect())) < 0.11
+
+
+def test_no_verdict_is_a_failure_and_all_are_counted(spark):
+    import pytest
+
+    from aidspark.operators import quality as Q
+    with pytest.raises(Q.QualityError, match="^30 failed"):
+        Q.enforce(spark.createDataFrame([(False,)] * 30, "esito boolean"))
+    with pytest.raises(Q.QualityError):
+        Q.enforce(spark.createDataFrame([(None,)], "esito boolean"))
+    empty = spark.createDataFrame([], "anno int")
+    assert Q.dq_not_null(empty, ["anno"], "t").first().esito is True

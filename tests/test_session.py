@@ -14,3 +14,24 @@ def test_prepare_is_idempotent(spark):
     prepare(prepare(spark))
     for k, v in RUNTIME_CONF.items():
         assert spark.conf.get(k) == v
+
+
+def test_scratch_needs_a_shared_folder_off_one_machine():
+    import pytest
+
+    from aidspark.session import scratch_dir
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(Session(), "x")

@@ -129,3 +129,49 @@ def test_dedup_is_per_year_partition(spark, tmp_dir):
     ST.write_year_overwrite(df, tmp_dir, dedup=True)
     got = {(r.anno, r.soggetto_concedente) for r in ST.read_all_years(spark, tmp_dir).collect()}
     assert got == {(2021, "y21"), (2022, "y22b")}
+
+
+def test_requested_year_without_rows_is_cleared(spark, tmp_dir):
+    ST.write_year_overwrite(_rows(spark, [("1", "a", "x", 2021, 1, "v1"), ("2", "a", "x", 2022, 1, "v1"),
+                                          ("3", "a", "x", 2023, 1, "v1")]), tmp_dir)
+    ST.write_year_overwrite(_rows(spark, [("4", "a", "x", 2022, 1, "v2")]), tmp_dir, years=[2021, 2022])
+    assert {(r.anno, r.cor) for r in ST.read_all_years(spark, tmp_dir).collect()} == {(2022, "4"), (2023, "3")}
+
+
+def test_duplicates_already_stored_keep_the_last_to_arrive(spark, tmp_dir):
+    old = [(str(k), "a", "x", 2021, 100 * f + k, f"file{f}") for f in range(4) for k in range(40)]
+    ST.write_year_overwrite(_rows(spark, old).repartition(7), tmp_dir)  # no dedup
+    ST.upsert_append(spark, _rows(spark, [("0", "a", "x", 2021, 1, "new")]), tmp_dir)
+    got = {r.cor: r.soggetto_concedente for r in ST.read_all_years(spark, tmp_dir).collect()}
+    assert got == {str(k): "new" if k == 0 else "file3" for k in range(40)}
+    assert ST.read_all_years(spark, tmp_dir).columns == AID_COLUMNS
+
+
+def test_upsert_prunes_to_the_years_of_the_batch(spark, tmp_dir, monkeypatch):
+    ST.write_year_overwrite(_rows(spark, [(str(y), "a", "x", y, 1, "v") for y in range(2015, 2025)]), tmp_dir)
+    seen = []
+    real = ST.dedup_keep_last
+    monkeypatch.setattr(ST, "dedup_keep_last", lambda df, *a, **k: seen.append(
+        df._jdf.queryExecution().executedPlan().toString()) or real(df, *a, **k))
+    ST.upsert_append(spark, _rows(spark, [("1", "a", "x", 2021, 1, "n")]), tmp_dir)
+    plan = next(line for line in seen[0].splitlines() if "FileScan parquet" in line)
+    assert "PartitionFilters" in plan and "2021" in plan and "2020" not in plan
+
+
+def test_interrupted_swap_is_finished_by_the_next_upsert(spark, tmp_dir):
+    ST.write_year_overwrite(_rows(spark, [("1", "a", "x", 2021, 1, "old"), ("2", "a", "x", 2022, 1, "old")]), tmp_dir)
+    # a complete copy that a dead job left, and an upsert of another year
+    merged = ST._table_rows(_rows(spark, [("1", "a", "x", 2021, 2, "merged")]))
+    merged.write.partitionBy("anno").parquet(ST._swap_path(tmp_dir))
+    ST.upsert_append(spark, _rows(spark, [("2", "a", "x", 2022, 3, "new")]), tmp_dir)
+    got = {(r.cor, r.soggetto_concedente) for r in ST.read_all_years(spark, tmp_dir).collect()}
+    assert got == {("1", "merged"), ("2", "new")}
+    assert not ST.path_exists(spark, ST._swap_path(tmp_dir))
+
+
+def test_staging_folder_can_be_used_again(spark, tmp_dir):
+    from aidspark.operators.flatten import OK, STATUS
+    for cor, year in (("1", 2021), ("2", 2022)):
+        rows = _rows(spark, [(cor, "a", "x", year, 1, "v")]).withColumn(STATUS, F.lit(OK))
+        ST.stage_xml(rows, tmp_dir)
+    assert [r.cor for r in ST.staged(spark, tmp_dir, OK).collect()] == ["2"]

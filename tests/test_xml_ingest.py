@@ -209,8 +209,56 @@ def test_unreadable_file_is_skipped(spark, tmp_dir):
     good = gzip.compress((HEADER + BARE + FOOTER).encode())
     write_text(tmp_dir, "OpenData_Aiuti_2021_04.xml.gz", good[: len(good) // 2])  # truncated archive
     counts = {r.fonte.rsplit("/", 1)[-1]: (r.record_ok, r.record_scartati)
-              for r in X.parse_counts(X.read_aid_xml(spark, tmp_dir)).collect()}
+              for r in X.parse_counts(X.read_aid_xml(spark, tmp_dir, skip_bad_files=True)).collect()}
     assert counts["OpenData_Aiuti_2021_03.xml"] == (1, 0)
     report = {r.fonte.rsplit("/", 1)[-1]: (r.record_ok, r.letto)
-              for r in X.file_report(spark, tmp_dir, X.read_aid_xml(spark, tmp_dir)).collect()}
+              for r in X.file_report(spark, tmp_dir, X.read_aid_xml(spark, tmp_dir, skip_bad_files=True)).collect()}
     assert report == {"OpenData_Aiuti_2021_03.xml": (1, True), "OpenData_Aiuti_2021_04.xml.gz": (0, False)}
+
+
+def _statuses(spark, path):
+    return sorted((r[STATUS], r.cor or "") for r in _ingest(spark, path).select(STATUS, "cor").collect())
+
+
+def test_unclosed_record_does_not_take_its_neighbour(spark, tmp_dir):
+    open_ended = BARE.replace("</AIUTO>", "").replace("90002", "1")
+    write_text(tmp_dir, "OpenData_Aiuti_2022_01.xml",
+               HEADER + open_ended + BARE.replace("90002", "2") + BARE.replace("90002", "3") + FOOTER)
+    got = _statuses(spark, tmp_dir)
+    assert [g for g in got if g[0] == OK] == [(OK, "2"), (OK, "3")]
+    assert len([g for g in got if g[0] == CORRUPT]) == 1
+
+
+def test_prefixed_record_tags_are_all_read(spark, tmp_dir):
+    records = "".join(BARE.replace("90002", str(i)).replace("<AIUTO>", "<n:AIUTO>").replace("</AIUTO>", "</n:AIUTO>")
+                      for i in (1, 2, 3))
+    write_text(tmp_dir, "OpenData_Aiuti_2022_01.xml", HEADER + records + FOOTER)
+    assert _statuses(spark, tmp_dir) == [(OK, "1"), (OK, "2"), (OK, "3")]
+
+
+def test_file_year_comes_from_the_file_name(spark, tmp_dir):
+    write_text(f"{tmp_dir}/dump_2019_01", "OpenData_Aiuti_2023_05.xml", HEADER + BARE + FOOTER)
+    read = lambda y: X.read_aid_xml(spark, tmp_dir, years=(y, y)).count()
+    assert read(2019) == 0 and read(2023) == 1
+
+
+def test_broken_file_stops_a_rebuild_before_the_table_changes(spark, tmp_dir):
+    import gzip
+
+    import pytest
+
+    from aidspark.plans import storage as ST
+    src, table = f"{tmp_dir}/in", f"{tmp_dir}/table"
+    write_text(src, "OpenData_Aiuti_2022_01.xml", HEADER + BARE + FOOTER)
+    ST.rebuild_years(spark, src, table, 2022, 2022)
+    body = HEADER + "".join(BARE.replace("90002", str(i)) for i in range(2000)) + FOOTER
+    packed = gzip.compress(body.encode())
+    write_text(src, "OpenData_Aiuti_2022_02.xml.gz", packed[:len(packed) * 2 // 3])
+    before = [tuple(r) for r in ST.read_all_years(spark, table).collect()]
+    with pytest.raises(Exception):
+        ST.rebuild_years(spark, src, table, 2022, 2022)
+    assert [tuple(r) for r in ST.read_all_years(spark, table).collect()] == before
+    out = ST.rebuild_years(spark, src, table, 2022, 2022, allow_failed=True)
+    assert {r.fonte.rsplit("/", 1)[1]: r.letto for r in out.files.collect()} == {
+        "OpenData_Aiuti_2022_01.xml": True, "OpenData_Aiuti_2022_02.xml.gz": False}
+    assert [r.cor for r in ST.read_all_years(spark, table).collect()] == ["90002"]  # nothing of half a file
