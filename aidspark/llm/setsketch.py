@@ -11,8 +11,12 @@ the larger register and equal registers tell similarity. The steps:
   sketches estimates their similarity, and what may reach the threshold is
   verified on the full sets. Links give components;
 * members of one bucket that ended up in different components are then compared
-  with one another in the same way, so that no link inside a bucket is missed.
-  Members that a star has joined are never paired.
+  with one another, so that no link inside a bucket is missed. This is done
+  inside tasks, on the sketches: a pair leaves its task only if the sketches
+  allow the threshold, in large buckets only if the full sets confirm it. Large
+  buckets are dealt as pairs of blocks of bounded size; a pair that shares
+  several buckets is compared in the first. Members that a star has joined are
+  never compared.
 
 With ``rows`` registers to a band, a pair at the threshold shares no bucket with
 probability below ``miss``; the number of bands follows from that.
@@ -33,15 +37,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aidspark.llm.common import LAST_ID, WordHash, keyed, materialize, mix, ngram_hashes, packed, unpacked
+from aidspark.llm.common import LAST_ID, WordHash, bucket_count, keyed, materialize, mix, ngram_hashes, packed, unpacked
 from aidspark.llm.graph import components
 
 BASE, RATE, LIMIT = 1.001, 20.0, (1 << 16) - 2
 ROWS = 4
 MISS = 1e-5
+#: Registers of a sketch (at least; the bands use the first of them).
+REGISTERS = 192
 #: Standard deviations by which an estimate may fall short of the threshold
 #: before a pair is dropped unverified.
-SLACK = 5.0
+SLACK = 4.0
+#: Members and bytes of sets of a block; buckets of more than ``SMALL`` members
+#: are compared with their sets at hand.
+BLOCK, BLOCK_BYTES, SMALL = 512, 16_000_000, 32
 
 
 def bands_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
@@ -126,22 +135,21 @@ def sketches(docs: DataFrame, size: int, m: int, id_col: str = "doc_id", text_co
         _sketch(size, m), "doc_id long, rid long, rhash long, n_shingles long, cid long, registers binary")
 
 
-def _band_keys(rows: int):
+def _band_keys(rows: int, bands: int):
     """(cid, n, registers) -> one row per band with its bucket."""
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             r = np.stack([np.frombuffer(b, "<u2") for b in batch.column("registers").to_pylist()]).astype(np.uint64)
-            bands = r.shape[1] // rows
             keys = np.zeros((len(r), bands), np.uint64)
             for k in range(rows):
                 keys = keys * np.uint64(0x9E3779B97F4A7C15) + r[:, k:bands * rows:rows] + np.uint64(1)
             keys = mix(keys + mix(np.arange(1, bands + 1, dtype=np.uint64)))
             back = np.repeat(np.arange(len(r)), bands)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.ravel().view(np.int64)), *(batch.column(c).take(pa.array(back)) for c in ("cid", "rid", "n"))],
-                names=["bucket", "cid", "rid", "n"])
+                [pa.array(keys.ravel().view(np.int64)), pa.array(np.tile(np.arange(bands, dtype=np.int32), len(r))), *(batch.column(c).take(pa.array(back)) for c in ("cid", "rid", "n"))],
+                names=["bucket", "band", "cid", "rid", "n"])
     return run
 
 
@@ -184,6 +192,69 @@ def _sets(size: int):
     return run
 
 
+def _crossing(regs: np.ndarray, n: np.ndarray, root: np.ndarray, side: np.ndarray | None, band: int,
+              rows: int, percent: int):
+    """Index pairs of different roots that the sketches allow and that share no
+    earlier band; with ``side``, pairs between the two sides only."""
+    t = percent / 100
+    least = (t - SLACK * math.sqrt(t * (1 - t) / regs.shape[1])) * regs.shape[1]
+    for lo in range(0, len(regs), 32):
+        i = np.arange(lo, min(lo + 32, len(regs)))
+        ok = (root[i, None] != root[None]) & (100 * n[i, None] >= percent * n[None]) & (100 * n[None] >= percent * n[i, None])
+        ok &= (i[:, None] < np.arange(len(regs))) if side is None else (~side[i, None] & side[None])
+        a, b = np.nonzero(ok)
+        for at in range(0, len(a), 20_000):
+            x, y = i[a[at:at + 20_000]], b[at:at + 20_000]
+            same = regs[x] == regs[y]
+            k = same.sum(1) >= least
+            if band:
+                k &= ~same[:, :band * rows].reshape(len(x), band, rows).all(2).any(1)
+            yield x[k], y[k]
+
+
+def _table_arrays(table: pa.Table):
+    regs = np.stack([np.frombuffer(b, "<u2") for b in table.column("registers").to_pylist()])
+    return regs, *(table.column(c).to_numpy() for c in ("n", "root", "cid", "band"))
+
+
+def _pairs_table(found: list) -> pa.Table:
+    cols = [np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in range(4)]
+    return pa.Table.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=["a", "b", "na", "nb"])
+
+
+def _small_buckets(rows: int, percent: int):
+    """Pairs of the small buckets of one part."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("bucket")
+        regs, n, root, cid, band = _table_arrays(table)
+        bucket = table.column("bucket").to_numpy()
+        cuts = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]])
+        found = []
+        for s, e in zip(cuts[:-1], cuts[1:]):
+            for x, y in _crossing(regs[s:e], n[s:e], root[s:e], None, int(band[s]), rows, percent):
+                found.append((cid[s:e][x], cid[s:e][y], n[s:e][x], n[s:e][y]))
+        return _pairs_table(found)
+    return run
+
+
+def _block_pair(rows: int, percent: int):
+    """Links between two blocks of a large bucket (or within one)."""
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        regs, n, root, cid, band = _table_arrays(table)
+        sets = [np.frombuffer(b, "<u8") for b in table.column("set").to_pylist()]
+        side = None if key[1] == key[2] else table.column("block").to_numpy() == key[2].as_py()
+        found = []
+        for x, y in _crossing(regs, n, root, side, int(band[0]), rows, percent):
+            keep = []
+            for i, j in zip(x.tolist(), y.tolist()):
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                keep.append(100 * both >= percent * (n[i] + n[j] - both))
+            keep = np.array(keep, dtype=bool)
+            found.append((cid[x][keep], cid[y][keep], n[x][keep], n[y][keep]))
+        return _pairs_table(found)
+    return run
+
+
 class _Links:
     """Classes, their sketches and sets, and the links verified so far."""
 
@@ -206,14 +277,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int
     """Per row: ``doc_id, rid, rhash, n_shingles, component_id`` (smallest id
     reachable by links of ``100 * intersection >= percent * union``) and
     ``first`` (this row is the component's first by id and text hash)."""
-    m = rows * bands_for(percent, rows, miss)
+    bands = bands_for(percent, rows, miss)
+    m = max(REGISTERS, rows * bands)
     rows_of = materialize(sketches(docs, size, m, id_col, text_col), "sketches")
     some = rows_of.filter("cid IS NOT NULL")
     classes = materialize(some.groupBy("cid").agg(
         F.min(F.struct("rid", "rhash")).alias("key"), F.first("n_shingles").alias("n"),
         F.first("registers").alias("registers")).select("cid", "key.rid", "key.rhash", "n", "registers"), "classes")
     banded = (classes.select("cid", "rid", "n", "registers")
-              .mapInArrow(_band_keys(rows), "bucket long, cid long, rid long, n long"))
+              .mapInArrow(_band_keys(rows, bands), "bucket long, band int, cid long, rid long, n long"))
     centre = (banded.groupBy("bucket").agg(F.min(F.struct("rid", "cid", "n")).alias("c"), F.count("*").alias("size"))
               .filter("size > 1").select("bucket", "c"))
     members = materialize(banded.join(centre, "bucket"), "buckets")
@@ -231,15 +303,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int
 
     # members of one bucket in different components
     placed = (members.join(joined.withColumnRenamed("node", "cid"), "cid", "left")
-              .select("bucket", "cid", "n", F.coalesce("root", "cid").alias("root")))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-    open_ = materialize(placed.join(mixed.select("bucket"), "bucket"), "open")
-    left, right = (open_.select("bucket", *(F.col(c).alias(c + s) for c in ("cid", "n", "root"))) for s in ("_a", "_b"))
-    rest = (left.join(right, "bucket").filter("root_a < root_b")
-            .select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b"), F.col("n_a").alias("na"), F.col("n_b").alias("nb"))
-            .distinct().join(star.select("a", "b"), ["a", "b"], "left_anti")
-            .join(star.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
-    more = materialize(links.verified(rest), "links")
+              .select("bucket", "band", "cid", "n", F.coalesce("root", "cid").alias("root")))
+    mixed = (placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                          F.count("*").alias("size"), F.sum("n").alias("shingles")).filter("lo < hi"))
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("shingles") * 8 / BLOCK_BYTES)).cast("int")
+    open_ = materialize(placed.join(mixed.select("bucket", "size", blocks.alias("blocks")), "bucket")
+                        .join(classes.select("cid", "registers"), "cid"), "open")
+    pair = "a long, b long, na long, nb long"
+    parts = bucket_count(docs, text_col)
+    small = (open_.filter(F.col("size") <= SMALL).withColumn("part", F.pmod(F.xxhash64("bucket"), F.lit(parts)))
+             .groupBy("part").applyInArrow(_small_buckets(rows, percent), pair))
+    block = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
+    large = (open_.filter(F.col("size") > SMALL).join(sets, "cid").withColumn("block", block)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
+             .groupBy("bucket", "lo", "hi").applyInArrow(_block_pair(rows, percent), pair))
+    more = materialize(links.verified(small.distinct()).union(large.select("a", "b").distinct()), "links")
     if more.head(1):
         joined = components(edges.union(more), "a", "b")
 

@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from aidspark.llm.common import WordHash, documents, keyed, mix
 from aidspark.llm.qda import labels_by_id
 
-DOCS_PER_CLASS = 6_000
-WORDS_PER_CLASS = 3_000_000
+DOCS_PER_CLASS = 3_000
+WORDS_PER_CLASS = 800_000
 #: Taken off every count, so that n-grams seen up to so many times fall back on
 #: the shared counts.
 DISCOUNT = 3.0
