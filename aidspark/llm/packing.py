@@ -120,10 +120,9 @@ def _tokenise(path: str, end_id: int):
     def run(batches):
         memo, part, ordinal, at = chunk_ids(path), TaskContext.get().partitionId(), 0, 0
         for batch in batches:
-            docs = [t.encode().split() for t in batch.column("text").to_pylist()]
             rows, size = [], 0
-            for doc_id, words in zip(batch.column("doc_id").to_pylist(), docs):
-                ids = token_bytes(memo, words) + end
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                ids = token_bytes(memo, text.encode().split()) + end
                 total = len(ids) // 4
                 for start in range(0, total, CHUNK):
                     piece = ids[4 * start:4 * (start + CHUNK)]
