@@ -241,6 +241,12 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, train: Column | None
 
 
 def _score_texts(model: Model, texts: list, hashes: TokenHash) -> tuple[np.ndarray, np.ndarray]:
+    """Ratios and scores, a few texts at a time to hold few words at once."""
+    parts = [_score_few(model, texts[i:i + 128], hashes) for i in range(0, len(texts), 128)]
+    return tuple(np.concatenate([np.empty(0), *(p[k] for p in parts)]) for k in (0, 1))
+
+
+def _score_few(model: Model, texts: list, hashes: TokenHash) -> tuple[np.ndarray, np.ndarray]:
     toks = [tokens(t, hashes) for t in texts]
     flat = np.concatenate([np.empty(0, np.uint64), *toks])
     cuts = np.cumsum([len(t) for t in toks]).astype(np.int64)
