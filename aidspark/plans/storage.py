@@ -21,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
@@ -68,11 +68,34 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 def _table_rows(df: DataFrame) -> DataFrame:
     """The register's columns, and the source position where rows have one."""
-    out = conform_schema(df, AID_SCHEMA)
     if ARRIVAL not in df.columns:
-        return out
-    kept = StructType(AID_SCHEMA.fields + [StructField(ARRIVAL, df.schema[ARRIVAL].dataType)])
-    return conform_schema(df, kept)
+        return conform_schema(df, AID_SCHEMA)
+    return conform_schema(df.withColumn(ARRIVAL, _position(df, ARRIVAL)), _stored(df, ARRIVAL))
+
+
+#: How a source position is stored: file, split offset, record, component,
+#: instrument.
+_POSITION = StructType([StructField("_file", StringType()), StructField("_block", LongType()),
+                        StructField("_seq", LongType()), StructField("_ci", IntegerType()),
+                        StructField("_ii", IntegerType())])
+
+
+def _stored(df: DataFrame, order: str) -> StructType:
+    return StructType(AID_SCHEMA.fields + [StructField(ARRIVAL, df.select(_position(df, order)).schema[0].dataType)])
+
+
+def _position(df: DataFrame, order: str) -> Column:
+    """A source position in the stored form, with the same order: a number, or
+    a struct of numbers that may begin with a file name. An order of more parts
+    is stored as it is."""
+    kind = df.schema[order].dataType
+    given = [F.col(order)[f.name] for f in kind.fields] if isinstance(kind, StructType) else [F.col(order)]
+    named = isinstance(kind, StructType) and isinstance(kind.fields[0].dataType, StringType)
+    parts = ([] if named else [F.lit(None)]) + given
+    if len(parts) > len(_POSITION.fields):
+        return F.col(order)
+    parts += [F.lit(None)] * (len(_POSITION.fields) - len(parts))
+    return F.struct(*[p.cast(f.dataType).alias(f.name) for p, f in zip(parts, _POSITION.fields)])
 
 
 def _write_years(df: DataFrame, path: str) -> None:
@@ -145,18 +168,19 @@ def upsert_append(spark: SparkSession, new: DataFrame, path: str, dedup: bool =
     years = sorted(r["anno"] for r in new.select("anno").distinct().limit(MAX_YEARS + 1).collect() if r["anno"] is not None)
     if len(years) > MAX_YEARS:
         raise ValueError(f"the batch names more than {MAX_YEARS} years")
-    kind = new.schema[order].dataType
-    rank = StructType([StructField("batch", IntegerType(), False), StructField("pos", kind),
+    stored = _stored(new, order)
+    rank = StructType([StructField("batch", IntegerType(), False), StructField("pos", stored[ARRIVAL].dataType),
                        StructField("file", StringType()), StructField("at", LongType())])
     nothing = [F.lit(None).cast("string").alias("file"), F.lit(None).cast("bigint").alias("at")]
-    fresh = new.withColumn("_rank", F.struct(F.lit(1).alias("batch"), F.col(order).alias("pos"), *nothing))
-    columns = StructType(AID_SCHEMA.fields + [StructField(ARRIVAL, kind), StructField("_rank", rank)])
-    fresh = conform_schema(fresh.withColumn(ARRIVAL, F.col(order)), columns)
+    columns = StructType(stored.fields + [StructField("_rank", rank)])
+    fresh = new.withColumn(ARRIVAL, _position(new, order))
+    fresh = conform_schema(fresh.withColumn("_rank", F.struct(F.lit(1).alias("batch"), F.col(ARRIVAL).alias("pos"), *nothing)),
+                           columns)
     if path_exists(spark, path):
         # Literal years: partitions are pruned when the scan is planned.
         old = spark.read.parquet(path).where(F.col("anno").isin(years))
-        same = ARRIVAL in old.columns and old.schema[ARRIVAL].dataType == kind
-        pos = F.col(ARRIVAL) if same else F.lit(None).cast(kind)
+        same = ARRIVAL in old.columns and old.schema[ARRIVAL].dataType == stored[ARRIVAL].dataType
+        pos = F.col(ARRIVAL) if same else F.lit(None).cast(stored[ARRIVAL].dataType)
         # Rows without a source position keep the order of the stored files.
         old_rank = F.struct(F.lit(0).alias("batch"), pos.alias("pos"), F.col("_metadata.file_name").alias("file"),
                             F.col("_metadata.row_index").alias("at"))

@@ -84,9 +84,8 @@ def to_records(chunks: DataFrame, tag: str) -> DataFrame:
     cut = (chunks.where(F.col("value").contains(tag))
            .select("_file", "_block", F.size(parts).alias("_parts"), F.posexplode(parts).alias("_part", "_text")))
     closed = F.regexp_extract(F.col("_text"), rf"(?s)^(.*</[A-Za-z_][\w.\-]*:{tag}\s*>)", 1)
-    opens = F.col("_text").rlike(rf"^<{name}{tag}[\s>]")
-    rec = (F.when(~opens, F.lit(None).cast("string"))
-           .when(F.instr("_text", f":{tag}") > 0, F.when(closed != "", closed)
+    cut = cut.where(F.col("_text").rlike(rf"^<{name}{tag}[\s>]"))
+    rec = (F.when(F.instr("_text", f":{tag}") > 0, F.when(closed != "", closed)
                  .otherwise(F.when(F.col("_part") == F.col("_parts") - 1, F.concat("_text", F.lit(f"</{tag}>")))
                             .otherwise(F.col("_text"))))
            .when(F.col("_part") == F.col("_parts") - 1, F.concat("_text", F.lit(f"</{tag}>")))

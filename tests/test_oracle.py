@@ -3,12 +3,12 @@ row count, column names and the order-insensitive multiset of rows."""
 
 import pytest
 
-import __spark_entry__ as E
+from aidspark import oracle, queries
 from tests.conftest import SF_SMALL
 from tools.compare import _rows, duck
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = queries.registry()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
