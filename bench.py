@@ -63,16 +63,16 @@ def main():
 
     # Warm-up: untimed runs of each layer job (JIT, code generation, file
     # listing caches); the timed runs follow on the same input.
-    L.run_measures(spark, meas, scratch_dir(spark, "bench-warm-m"))
+    L.run_measures(spark, meas, scratch_dir(spark, "bench-warm-m"), fail_on_error=False)
     for _ in range(WARMUP):
         L.run_aid(spark, raw, scratch_dir(spark, "bench-warm-a"))
 
     queries = {}
-    # Headline: best of RUNS timed runs (each a full write of every layer).
+    # Headline: median of RUNS timed runs (each a full write of every layer).
     runs = [L.run_aid(spark, raw, scratch_dir(spark, "bench-aid")) for _ in range(RUNS)]
-    aid = min(runs, key=lambda r: r["total_sec"])
+    aid = sorted(runs, key=lambda r: r["total_sec"])[len(runs) // 2]
     queries["clean_plus_7_marts"] = aid["total_sec"]
-    m = L.run_measures(spark, meas, scratch_dir(spark, "bench-meas"))
+    m = L.run_measures(spark, meas, scratch_dir(spark, "bench-meas"), fail_on_error=False)
     queries["measures_clean_plus_3_marts"] = m["total_sec"]
 
     clean = spark.read.parquet(aid["clean_path"])
