@@ -27,14 +27,25 @@ LAST_ID = (1 << 63) - 1
 #: Characters of text that one shuffle bucket is sized for. A bucket is worked
 #: on as a whole in one task, so this bounds its memory at every input size.
 CHARS_PER_BUCKET = 8_000_000
+BATCH_ROWS = 1_000
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+def short_batches(docs: DataFrame) -> DataFrame:
+    """Texts go to Python in batches of at most ``BATCH_ROWS`` rows: the default
+    of 10,000 texts costs each task a few hundred MB, in the JVM's Arrow buffers
+    and again in Python."""
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key, "10000")) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return docs
+
+
 def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and ``text`` (never null) of every row, nothing else."""
-    return docs.select(docs[id_col].cast("long").alias("doc_id"),
+    return short_batches(docs).select(docs[id_col].cast("long").alias("doc_id"),
                        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
 
 
@@ -50,7 +61,7 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``row`` (all columns, whatever their names) with the key of ``keyed``."""
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+    return short_batches(docs).select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
                        F.coalesce(docs[id_col].cast("long"), F.lit(LAST_ID)).alias("rid"),
                        F.xxhash64(text).alias("rhash"))
 
@@ -86,7 +97,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 class WordHash(dict):
     """word (bytes) -> 64-bit hash, remembered for the words of a task."""
 
-    LIMIT = 400_000
+    LIMIT = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

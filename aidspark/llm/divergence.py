@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aidspark.llm.common import WordHash, materialize, ngram_hashes
+from aidspark.llm.common import WordHash, materialize, ngram_hashes, short_batches
 
 CLASSES = ("lower", "upper", "digit", "space", "newline", "punctuation", "symbol", "letter", "other")
 # Fixed by the task: the symbol characters, and the words of a repeat window.
@@ -143,7 +143,7 @@ class References:
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    return docs.select(docs[id_col].cast("long").alias("doc_id"),
+    return short_batches(docs).select(docs[id_col].cast("long").alias("doc_id"),
                        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
                        docs[lang_col].cast("string").alias("lang"))
 

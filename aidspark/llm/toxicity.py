@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aidspark.llm.common import WordHash, documents, keyed, mix
+from aidspark.llm.common import WordHash, documents, keyed, mix, short_batches
 from aidspark.llm.qda import labels_by_id
 
 DOCS_PER_CLASS = 3_000
@@ -272,7 +272,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "
 
 def rejected(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> Column:
     """A condition on rows of ``docs``: the text is toxic."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = short_batches(docs).sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
