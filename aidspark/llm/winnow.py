@@ -1,4 +1,4 @@
-"""Line deduplication by winnowing.
+"""Line and passage deduplication by winnowing.
 
 A document is the sequence of its lines that are not blank, compared without the
 white space around them. In every window of ``run_lines`` consecutive lines the
@@ -14,6 +14,15 @@ Only minima and counts are taken per fingerprint and per window (with partial
 sums in each task) and joined back, so a line that a third of all documents
 holds is never gathered.
 
+``dedup_passages`` does the same below the line, for passages of
+``passage_words`` words and more wherever they lie (inside longer lines, across
+line breaks, in a lone line). Its unit is the word: the fingerprints are minima
+of word grams, a window of ``passage_words`` words around a shared fingerprint
+that occurs at an earlier place marks its words, and overlapping windows extend
+a match both ways to the word. Line breaks and other white space neither match
+nor separate; the white space around removed words stays. A window that its own
+document has before is marked there and not shuffled.
+
 Defined cases: null and empty texts have no lines; blank lines neither match nor
 separate, and stay; a text with fewer than ``run_lines`` lines is left alone; a
 null id sorts after all others; rows that repeat an id and text are one document
@@ -23,6 +32,8 @@ and get the same result; an empty table gives no rows. Lines are compared by
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -30,10 +41,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aidspark.llm.common import keyed, materialize, ngram_hashes, packed
+from aidspark.llm.common import WordHash, keyed, materialize, ngram_hashes, packed
 
 RUN_LINES = 2
+PASSAGE_WORDS = 50
+#: Words of the grams that passages are fingerprinted by.
+GRAM_WORDS = 10
 _BLANK = " \t\r\x0b\x0c"
+_WORD = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 
 
 def line_hashes(text: str) -> np.ndarray:
@@ -117,6 +132,129 @@ def dedup_lines(docs: DataFrame, run_lines: int = RUN_LINES, id_col: str = "doc_
     return done.select(*cols, F.struct("cut.n_lines", "cut.n_removed").alias("line_dedup"))
 
 
+def passage_prints(words: np.ndarray, window: int) -> np.ndarray:
+    """For each window of word hashes its fingerprint, the smallest of its grams."""
+    if len(words) < window:
+        return np.empty(0, np.int64)
+    gram = min(GRAM_WORDS, window)
+    low, reach, want = ngram_hashes(words, gram), 1, window - gram + 1
+    while reach < want:  # minima of windows that double up to the wanted reach
+        step = min(reach, want - reach)
+        low, reach = np.minimum(low[:-step], low[step:]), reach + step
+    return low.view(np.int64)
+
+
+def _passage_prints(window: int):
+    def run(batches):
+        hashes = WordHash()
+        for batch in batches:
+            out = [[], [], [], []]
+            for rid, rhash, text in zip(*(batch.column(c).to_pylist() for c in ("rid", "rhash", "text"))):
+                words = hashes.of(text.encode("utf-8", "surrogatepass").split())
+                found = passage_prints(words, window)
+                if not len(found):
+                    continue
+                own, runs = np.unique(found, return_inverse=True)
+                # a window that the document has twice makes its fingerprint shared
+                wins, n = np.unique(ngram_hashes(words, window), return_inverse=True, return_counts=True)[1:]
+                twice = np.bincount(runs, weights=n[wins] > 1, minlength=len(own)) > 0
+                for col, v in zip(out, (np.full(len(own), rid), np.full(len(own), rhash), own, twice)):
+                    col.append(v)
+            if out[0]:
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), k) for c, k in zip(out, kinds)],
+                                                 names=["rid", "rhash", "print", "twice"])
+    return run
+
+
+def _passage_windows(window: int):
+    names, kinds = ["rid", "rhash", "start", "run", "again"], (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_())
+
+    def rows(out):
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), k) for c, k in zip(out, kinds)], names=names)
+
+    def run(batches):
+        hashes = WordHash()
+        for batch in batches:
+            out, held = [[] for _ in kinds], 0
+            for rid, rhash, text, prints in zip(*(batch.column(c).to_pylist() for c in ("rid", "rhash", "text", "prints"))):
+                words = hashes.of(text.encode("utf-8", "surrogatepass").split())
+                at = np.flatnonzero(np.isin(passage_prints(words, window), np.array(prints, dtype=np.int64)))
+                wins = ngram_hashes(words, window).view(np.int64)[at]
+                again = np.ones(len(at), dtype=bool)
+                again[np.unique(wins, return_index=True)[1]] = False
+                for col, v in zip(out, (np.full(len(at), rid), np.full(len(at), rhash), at, wins, again)):
+                    col.append(v)
+                held += len(at)
+                if held >= 200_000:
+                    yield rows(out)
+                    out, held = [[] for _ in kinds], 0
+            if held:
+                yield rows(out)
+    return run
+
+
+def repeated_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS, id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """``rid, rhash`` (row key of ``keyed``) and ``starts``: the windows of
+    ``passage_words`` words that an earlier place has too."""
+    src = keyed(docs, id_col, text_col).select("rid", "rhash", "text")
+    found = materialize(src.mapInArrow(_passage_prints(passage_words), "rid long, rhash long, print long, twice boolean"),
+                        "passage-prints")
+    doc = F.struct("rid", "rhash")
+    shared = (found.groupBy("print").agg(F.min(doc).alias("lo"), F.max(doc).alias("hi"), F.max("twice").alias("twice"))
+              .filter("lo < hi or twice").select("print"))
+    zones = (found.join(shared, "print", "left_semi").groupBy("rid", "rhash")
+             .agg(F.collect_set("print").alias("prints")))  # bounded by the document's words
+    windows = materialize(src.join(zones, ["rid", "rhash"])
+                          .mapInArrow(_passage_windows(passage_words), "rid long, rhash long, start int, run long, again boolean"),
+                          "passage-windows")
+    once = windows.filter("not again").select(F.struct("rid", "rhash", "start").alias("place"), "run")
+    first = once.groupBy("run").agg(F.min("place").alias("first"), F.max("place").alias("last")).filter("first < last")
+    later = once.join(first.select("run", "first"), "run").filter("place > first").select("place.*")
+    return (later.unionByName(windows.filter("again").select("rid", "rhash", "start"))
+            .groupBy("rid", "rhash").agg(F.collect_set("start").alias("starts")))
+
+
+def kept_words(text: str, starts, window: int) -> tuple[str, int, int]:
+    """The text without the words of the marked windows, its number of words
+    and of those deleted."""
+    if starts is None:
+        return text, len(text.encode("utf-8", "surrogatepass").split()), 0
+    spans = [m.span() for m in _WORD.finditer(text)]
+    change = np.zeros(len(spans) + 1, dtype=np.int64)
+    np.add.at(change, np.asarray(starts, dtype=np.int64), 1)
+    np.add.at(change, np.asarray(starts, dtype=np.int64) + window, -1)
+    gone = np.cumsum(change)[:len(spans)] > 0
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
+    out, at = [], 0
+    for a, b in zip(edge[::2], edge[1::2]):
+        out.append(text[at:spans[a][0]])
+        at = spans[b - 1][1]
+    return "".join([*out, text[at:]]), len(spans), int(gone.sum())
+
+
+def dedup_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS, id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
+    """``docs`` with all its columns, ``text_col`` without its repeated passages
+    (null where it was null), and a struct column ``passage_dedup`` (``n_words,
+    n_removed``) in place of one of that name."""
+    if passage_words < 1:
+        raise ValueError("passage_words must be at least 1")
+
+    @F.pandas_udf("text string, n_words long, n_removed long")
+    def cut(text: pd.Series, starts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([kept_words(t or "", s, passage_words) for t, s in zip(text, starts)],
+                            columns=["text", "n_words", "n_removed"])
+
+    runs = repeated_passages(docs, passage_words, id_col, text_col)
+    done = (packed(docs, id_col, text_col).join(runs, ["rid", "rhash"], "left")
+            .withColumn("cut", cut(F.coalesce(F.col("row")[text_col].cast("string"), F.lit("")), "starts")))
+    cols = [F.when(F.col("row")[c].isNotNull(), F.col("cut.text")).alias(c) if c == text_col else F.col("row")[c].alias(c)
+            for c in docs.columns if c != "passage_dedup"]
+    return done.select(*cols, F.struct("cut.n_words", "cut.n_removed").alias("passage_dedup"))
+
+
 #: The same deletions in DuckDB SQL, for windows of two lines.
 ORACLE_SQL = r"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),

@@ -19,10 +19,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the runs of lines that an earlier place has; ``n_chars``
-    follows the text. A document of which no line is left goes."""
+    """Documents without the runs of lines, and then without the passages of 50
+    words and more, that an earlier place has; ``n_chars`` follows the text. A
+    document of which no line or no word is left goes."""
     done = winnow.dedup_lines(docs)
     left = (F.col("line_dedup.n_removed") == 0) | (F.col("line_dedup.n_removed") < F.col("line_dedup.n_lines"))
+    lines = materialize(done.filter(left).select(*docs.columns), "deduped-lines")
+    done = winnow.dedup_passages(lines)
+    left = (F.col("passage_dedup.n_removed") == 0) | (F.col("passage_dedup.n_removed") < F.col("passage_dedup.n_words"))
     out = done.filter(left).select(*docs.columns)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

@@ -410,6 +410,49 @@ def test_line_dedup(spark, seed, run):
         assert tuple(r.line_dedup) == (len(solid[r.doc_id]), len(gone[r.doc_id]))
 
 
+def without_passages(texts, window):
+    """Words of each text that no window of an earlier place covers."""
+    seen, out = set(), []
+    for t in texts:
+        words = t.split()
+        gone = set()
+        for p in range(len(words) - window + 1):
+            key = tuple(words[p:p + window])
+            gone |= set(range(p, p + window)) if key in seen else set()
+            seen.add(key)
+        out.append([w for k, w in enumerate(words) if k not in gone])
+    return out
+
+
+@pytest.mark.parametrize("seed, window", [(1, 50), (2, 12), (3, 5)])
+def test_passage_dedup(spark, seed, window):
+    texts = [*copies(seed), "of " * 200, "of " * 120, "a b\tc\n" * 60]
+    want = without_passages(texts, window)
+    got = {r.doc_id: r for r in winnow.dedup_passages(cases.table(spark, texts), window).collect()}
+    for i, t in enumerate(texts):
+        assert got[i].text.split() == want[i]
+        assert tuple(got[i].passage_dedup) == (len(t.split()), len(t.split()) - len(want[i]))
+    assert any(len(w) < len(t.split()) for w, t in zip(want, texts))
+
+
+def test_pipeline_removes_passages_inside_lines(spark, tmp_path):
+    import corpus_pipeline
+    words = lambda tag, n: " ".join(f"{tag}{k}" for k in range(n))
+    passage = words("p", 60)
+    texts = [f"{words('a', 30)} {passage} {words('b', 30)}\n{words('c', 9)}",  # the first copy stays
+             f"{words('d', 9)}\n{words('e', 40)} {passage} {words('f', 7)}\n{words('g', 9)}",
+             f"{words('h', 20)} {passage} {words('i', 20)}",                   # a lone line
+             f"{words('j', 9)}\n{passage}\n{words('k', 9)}",                   # a line whose neighbours differ
+             words("l", 20) + " " + passage.replace("p30 ", "p30\n") + " " + words("m", 20),  # over a line break
+             passage]
+    got = {r.doc_id: r for r in corpus_pipeline.dedup_lines(spark, cases.table(spark, texts), str(tmp_path)).collect()}
+    assert got[0].text == texts[0]
+    assert sorted(got) == [0, 1, 2, 3, 4]
+    for i in (1, 2, 3, 4):
+        assert got[i].text.split() == [w for w in texts[i].split() if not w.startswith("p")]
+        assert got[i].n_chars == len(got[i].text)
+
+
 def test_winnowing_selects_shared_positions():
     rng = np.random.default_rng(4)
     run = rng.integers(0, 2 ** 63, 9, dtype=np.uint64)
