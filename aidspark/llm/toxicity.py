@@ -11,7 +11,11 @@ that the compared models did not see, turns these into a probability.
 
 The models are learned from a bounded sample of the labelled rows: at most
 ``docs_per_class`` texts and about ``words_per_class`` words of each class, taken
-in the order of a hash. So the model, which every task gets, is bounded.
+in the order of a hash. So the model, which every task gets, is bounded. One text
+adds at most 1 / ``LEAST_TEXTS`` of a class's words, in ``PIECES`` pieces spread
+evenly over it, so a few very long texts cannot become a class's sample. Words
+are counted as they are told apart. The halves that the logistic is fitted on
+take turns in the order of the sample, so neither lacks a class of two texts.
 
 Defined cases: null and empty texts have ratio 0; several labels for one id
 count by their mean (0.5 and over: 1), null labels are left out; with labels of
@@ -35,8 +39,11 @@ from pyspark.sql import functions as F
 from aidspark.llm.common import WordHash, documents, keyed, mix, short_batches
 from aidspark.llm.qda import labels_by_id
 
-DOCS_PER_CLASS = 3_000
-WORDS_PER_CLASS = 800_000
+DOCS_PER_CLASS = 6_000
+WORDS_PER_CLASS = 3_000_000
+#: A class's sample holds at least so many texts, if there are so many.
+LEAST_TEXTS = 100
+PIECES = 8
 #: Taken off every count, so that n-grams seen up to so many times fall back on
 #: the shared counts.
 DISCOUNT = 3.0
@@ -44,6 +51,7 @@ DISCOUNT = 3.0
 SPAN = 5
 FEATURES = ("pair_mean", "pair_excess", "word_excess", "span_max", "word_max")
 _WORD = re.compile(r"[^\W_]+")
+_SPARK_WORD = r"[\p{L}\p{N}]+"  # the same for Spark
 _START = np.uint64(1)
 
 
@@ -122,16 +130,16 @@ def _sums(keys: np.ndarray, values: np.ndarray):
 def kneser_ney_ratio(counts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], d: float = DISCOUNT) -> Ratio:
     """From (context, word, count) arrays of the ordinary and the toxic class."""
     both_u, both_w = (np.concatenate([c[i] for c in counts]) for i in (0, 1))
-    _, one = np.unique(_pair(both_u, both_w), return_index=True)
+    pairs, first = np.unique(_pair(both_u, both_w), return_index=True)
     # shared continuation counts: contexts that precede each word, in either class
-    words, cont = _sums(both_w[one], np.ones(len(one)))
+    words, cont = _sums(both_w[first], np.ones(len(first)))
     n = max(1.0, cont.sum())
     off = np.minimum(cont, d)
     shared = (cont - off) / n + off.sum() / n / (len(words) + 1)
     contexts = np.unique(both_u)
-    pairs, first = np.unique(_pair(both_u, both_w), return_index=True)
-    pu, pw = both_u[first], both_w[first]
-    wi, ui = np.searchsorted(words, pw), np.searchsorted(contexts, pu)
+    wi = np.searchsorted(words, both_w[first]).astype(np.int32)
+    ui = np.searchsorted(contexts, both_u[first]).astype(np.int32)
+    del both_u, both_w, first
     log_uni, log_gamma, log_pair = [], [], []
     for u, w, c in counts:
         # class unigram: own continuation counts over the shared distribution
@@ -160,20 +168,43 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, train: Column | N
     """The bounded training sample (``y, fold, text``) and the numbers of all
     training rows of each class."""
     rows = docs if train is None else docs.filter(train)
-    known = (rows.withColumn("words", F.size(F.split("text", " ")))
-             .select("doc_id", "rid", "rhash", "words").join(labels_by_id(labels, label_col), "doc_id"))
+    known = rows.select("doc_id", "rid", "rhash").join(labels_by_id(labels, label_col), "doc_id")
     n = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     order = [F.xxhash64("rid", "rhash"), "rid", "rhash"]
-    parts = []
-    for y in (0, 1):
-        top = known.filter(F.col("y") == y).dropDuplicates(["rid", "rhash"]).orderBy(*order).limit(docs_per_class)
-        so_far = F.sum("words").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
-        parts.append(top.withColumn("before", so_far)  # a window over at most docs_per_class rows
-                     .filter(F.coalesce("before", F.lit(0)) < words_per_class).select("rid", "rhash", "y"))
-    chosen = F.broadcast(parts[0].union(parts[1]))  # at most 2 * docs_per_class rows of three numbers
-    return (docs.join(chosen, ["rid", "rhash"]).dropDuplicates(["rid", "rhash"])
-            .select("y", F.pmod(F.xxhash64("rhash", "rid"), F.lit(2)).cast("int").alias("fold"), "text"),
-            [n.get(0, 0), n.get(1, 0)])
+    tops = [known.filter(F.col("y") == y).dropDuplicates(["rid", "rhash"]).orderBy(*order).limit(docs_per_class)
+            .select("rid", "rhash", "y") for y in (0, 1)]
+    cap = text_words(words_per_class)
+    sized = (docs.join(F.broadcast(tops[0].union(tops[1])), ["rid", "rhash"])  # at most 2 * docs_per_class rows of three numbers
+             .dropDuplicates(["rid", "rhash"])
+             .select("rid", "rhash", "y", F.least(F.regexp_count("text", F.lit(_SPARK_WORD)), F.lit(cap)).alias("words")))
+    each = Window.partitionBy("y").orderBy(*order)  # over at most docs_per_class rows
+    chosen = (sized.withColumns({"before": F.sum("words").over(each.rowsBetween(Window.unboundedPreceding, -1)),
+                                 "fold": F.pmod(F.row_number().over(each), F.lit(2)).cast("int")})
+              .filter(F.coalesce("before", F.lit(0)) < words_per_class).select("rid", "rhash", "y", "fold"))
+    return (docs.join(F.broadcast(chosen), ["rid", "rhash"]).dropDuplicates(["rid", "rhash"])
+            .withColumn("text", _spread(cap)("text")).select("y", "fold", "text"), [n.get(0, 0), n.get(1, 0)])
+
+
+def text_words(words_per_class: int) -> int:
+    """Words that one text may add to a class's sample."""
+    return max(PIECES, words_per_class // LEAST_TEXTS)
+
+
+def spread(text: str, cap: int) -> str:
+    """A text of more than ``cap`` words as ``PIECES`` pieces of it, evenly apart."""
+    spans = [m.span() for m in _WORD.finditer(text)] if len(text) > cap else []
+    if len(spans) <= cap:
+        return text
+    size = cap // PIECES
+    starts = [(len(spans) - size) * i // (PIECES - 1) for i in range(PIECES)]
+    return "\n".join(text[spans[a][0]:spans[a + size - 1][1]] for a in starts)
+
+
+def _spread(cap: int):
+    @F.pandas_udf("string")
+    def run(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: spread(t, cap))
+    return run
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -203,6 +234,14 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
+def _hashed(batches):
+    hashes = TokenHash()
+    for batch in batches:
+        words = [tokens(t, hashes).tobytes() for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("y"), batch.column("fold"), pa.array(words, pa.binary())],
+                                         names=["y", "fold", "words"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, label_col: str, train: Column | None = None,
         docs_per_class: int = DOCS_PER_CLASS, words_per_class: int = WORDS_PER_CLASS,
         id_col: str = "doc_id", text_col: str = "text") -> Model:
@@ -210,9 +249,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, train: Column | None
     if min(n) == 0:
         k = len(FEATURES)
         return Model(None, np.array([0.0] * k + [np.log((n[1] + 1) / (n[0] + 1))]), np.zeros(k), np.ones(k))
-    rows = chosen.collect()  # at most words_per_class words of each class, but for one text
-    hashes = TokenHash()
-    toks = [tokens(r["text"], hashes) for r in rows]
+    # about words_per_class numbers of each class at most; texts would take several times that
+    rows = chosen.mapInArrow(_hashed, "y int, fold int, words binary").collect()
+    toks = [np.frombuffer(bytes(r["words"]), dtype=np.uint64) for r in rows]
     ys, folds = np.array([r["y"] for r in rows]), np.array([r["fold"] for r in rows])
     del rows
 
@@ -230,9 +269,10 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, train: Column | None
     for fold in (0, 1):
         held = folds == fold
         if held.any():
-            part = [t for t, k in zip(toks, held) if k]
-            x[held] = kneser_ney_ratio(counts(~held)).features(
-                np.concatenate([np.empty(0, np.uint64), *part]), np.cumsum([len(t) for t in part]))
+            ratio, at = kneser_ney_ratio(counts(~held)), np.flatnonzero(held)
+            for few in (at[i:i + 128] for i in range(0, len(at), 128)):  # few words at once
+                x[few] = ratio.features(np.concatenate([toks[i] for i in few]), np.cumsum([len(toks[i]) for i in few]))
+            del ratio
     share = np.array([n[k] / max(1, (ys == k).sum()) for k in (0, 1)])
     weight = share[ys] * len(ys) / share[ys].sum()
     centre, scale = x.mean(0), np.maximum(x.std(0), 1e-6)

@@ -207,6 +207,23 @@ def test_toxic_sample_is_bounded(spark):
     assert few.count() < 6
 
 
+def test_long_texts_do_not_fill_the_toxic_sample(spark):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["stone", "river", "cloud"]) for _ in range(30_000 if i % 10 == 0 else 40)) for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    chosen, _ = toxicity.sample(common.keyed(cases.table(spark, texts)), labels, "toxic", None, 300, 10_000)
+    rows = chosen.collect()
+    for y in (0, 1):
+        own = [r for r in rows if r.y == y]
+        assert len(own) >= toxicity.LEAST_TEXTS and {r.fold for r in own} == {0, 1}
+        assert max(len(r.text.split()) for r in own) <= 10_000 // toxicity.LEAST_TEXTS
+    # words between line breaks and marks count as the tokenizer tells them apart
+    lines = cases.table(spark, ["\n".join(f"w{i}x{k}_y" for k in range(50)) for i in range(400)])
+    chosen, _ = toxicity.sample(common.keyed(lines), labels, "toxic", None, 300, 10_000)
+    assert chosen.filter("y = 1").count() == 100
+    assert toxicity.spread("a b c", 2 * toxicity.PIECES) == "a b c"
+
+
 # 4 ---------------------------------------------------------------------------------------------
 def test_quality_counts(spark, small):
     texts = [r.text for r in small.collect()] + ["a b c a b c d", "x\n \nx\nx y\nx y", "é é é é", "# $ <|>"]
