@@ -1,10 +1,14 @@
 """License scan: an exact set-similarity join of text blocks with templates,
 in DataFrame functions only.
 
-A block is a line of a text, taken as the set of its words; a template is a
-known license sentence, taken the same way. A block meets a template when it
-contains at least ``threshold`` of the template's words. All such pairs are
-found by the prefix-filter join:
+A block is a line of at most ``BLOCK_WORDS`` words, or a run of words of about a
+template's length (``SLACK`` more) wherever it lies in a paragraph, across line
+breaks or inside a longer line; it is taken as the set of its words. A template
+is a known license sentence, taken the same way. A block meets a template when it
+contains at least ``threshold`` of the template's words. Only texts that hold so
+many words of some template at all are looked into. Runs are looked for in
+stretches that overlap by more than a run (``run_hits``), lines by the
+prefix-filter join:
 
 * words outside every template cannot add to an overlap and are dropped (the
   vocabulary of the templates is bounded by the template list);
@@ -57,6 +61,10 @@ TEMPLATES = [
                      "International License"),
 ]
 THRESHOLD = 0.9
+#: A longer line is no block as a whole.
+BLOCK_WORDS = 64
+#: Words that a run may have besides as many as the template.
+SLACK = 4
 #: Templates are literals of the plan; a longer list belongs in several calls.
 MAX_TEMPLATE_WORDS = 5000
 
@@ -89,11 +97,58 @@ def phrase_places(joined: Column, phrase: str) -> Column:
             .otherwise(F.array().cast("array<int>")))
 
 
-def _template_sets(templates):
+def _template_words(templates):
     import re
     rx = re.compile(WORD)
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return [(label, sorted(set(rx.findall(text.translate(low))))) for label, text in templates]
+    return [(label, rx.findall(text.translate(low))) for label, text in templates]
+
+
+def _template_sets(templates):
+    return [(label, sorted(set(words))) for label, words in _template_words(templates)]
+
+
+def _needed(words, threshold: float) -> int:
+    return max(1, math.ceil(threshold * len(set(words)) - 1e-9))
+
+
+def _literal(words) -> Column:
+    return F.array(*map(F.lit, sorted(set(words))))
+
+
+def candidates(src: DataFrame, templates, threshold: float) -> DataFrame:
+    """Rows of ``src`` whose text (``low``) holds the words that some template needs."""
+    known = [w for _, w in _template_words(templates) if w]
+    if not known:
+        return src.limit(0)
+    held = F.array_intersect(F.split(F.regexp_replace("low", _NO_WORD, " "), " "), _literal([w for k in known for w in k]))
+
+    def enough(h):
+        out = F.lit(False)
+        for k in known:
+            out = out | (F.size(F.array_intersect(h, _literal(k))) >= _needed(k, threshold))
+        return out
+
+    return src.filter(F.exists(F.array(held), enough))  # names the words held once
+
+
+def run_hits(src: DataFrame, templates, threshold: float) -> DataFrame:
+    """``row, label, share`` of the runs of words (``low``) that meet a template."""
+    known = F.array(*[F.struct(F.lit(label).alias("label"), _literal(w).alias("words"), F.lit(_needed(w, threshold)).alias("needed"),
+                               F.lit(len(w)).alias("step"), F.lit(len(w) + SLACK).alias("run"))
+                      for label, w in _template_words(templates) if w])
+    parts = F.split(F.regexp_replace("low", _NO_WORD_IN_LINE, " "), r"\n ?(?:\n ?)+")
+    both = lambda words: F.size(F.array_intersect(words, F.col("t.words")))
+    stretches = F.transform(F.sequence(F.lit(0), ((F.size("words") - 1) / F.col("t.step")).cast("int")),
+                            lambda b: F.slice("words", b * F.col("t.step") + 1, F.col("t.step") + F.col("t.run")))
+    most = F.array_max(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - F.col("t.run") + 1)),
+                                   lambda at: both(F.slice("words", at, F.col("t.run")))))
+    return (src.select("row", F.explode(parts).alias("part"))
+            .select("row", F.split(F.trim(F.regexp_replace("part", "[ \n]+", " ")), " ").alias("words"))
+            .select("row", "words", F.explode(known).alias("t")).filter(both(F.col("words")) >= F.col("t.needed"))
+            .select("row", "t", F.explode(stretches).alias("words")).filter(both(F.col("words")) >= F.col("t.needed"))
+            .select("row", "t", most.alias("overlap")).filter(F.col("overlap") >= F.col("t.needed"))
+            .select("row", F.col("t.label").alias("label"), (F.col("overlap") / F.size("t.words")).alias("share")))
 
 
 def template_join(blocks: DataFrame, templates=None, threshold: float = THRESHOLD) -> DataFrame:
@@ -109,7 +164,7 @@ def template_join(blocks: DataFrame, templates=None, threshold: float = THRESHOL
                 .select("block", F.lit(0).alias("template"), F.lit("").alias("label"),
                         F.lit(0).alias("overlap"), F.lit(0).alias("needed"), F.lit(0).alias("template_words")))
     vocabulary = sorted({w for _, s in sets for w in s})
-    need = [max(1, math.ceil(threshold * len(s) - 1e-9)) for _, s in sets]
+    need = [_needed(s, threshold) for _, s in sets]
     lowest = min(need)
     vocab_lit = F.array(*map(F.lit, vocabulary))
     # length filter against the least demanding template
@@ -149,11 +204,16 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     src = (documents(docs, id_col, text_col)
            .select("doc_id", lower_ascii(F.col("text")).alias("low"))
            .withColumn("row", F.struct(F.col("doc_id"), F.xxhash64("low").alias("h"))))
-    lines = (src.select("row", F.posexplode(F.split(F.regexp_replace("low", _NO_WORD_IN_LINE, " "), "\n")).alias("line", "text"))
-             .select(F.struct("row", "line").alias("block"), F.split("text", " ").alias("words")))
-    hits = (template_join(lines.select("block", "words"), templates, threshold)
-            .select(F.col("block.row.doc_id").alias("hid"), F.col("block.row.h").alias("hh"), "label",
-                    (F.col("overlap") / F.col("template_words")).alias("share"))
+    templates = TEMPLATES if templates is None else templates
+    asked = materialize(candidates(src, templates, threshold).select("row", "low"), "license-candidates")
+    lines = (asked.select("row", F.posexplode(F.split(F.regexp_replace("low", _NO_WORD_IN_LINE, " "), "\n")).alias("line", "text"))
+             .select(F.struct("row", "line").alias("block"), F.split(F.trim("text"), " ").alias("words"))
+             .filter(F.size("words") <= BLOCK_WORDS))
+    met = template_join(lines.select("block", "words"), templates, threshold).select(
+        F.col("block.row").alias("row"), "label", (F.col("overlap") / F.col("template_words")).alias("share"))
+    if any(w for _, w in _template_words(templates)):
+        met = met.unionByName(run_hits(asked, templates, threshold))
+    hits = (met.select(F.col("row.doc_id").alias("hid"), F.col("row.h").alias("hh"), "label", "share")
             .groupBy("hid", "hh").agg(F.collect_set("label").alias("method_labels"), F.max("share").alias("share")))
     found = src.select("doc_id", F.col("row.h").alias("h"), joined_words(F.col("low")).alias("joined"))
     out = found.select(

@@ -372,6 +372,23 @@ def test_license_scan(spark):
     assert met > 5
 
 
+def test_license_notices_wrap_over_lines(spark):
+    import textwrap
+    notice = dict((t[:9], (label, t)) for label, t in licenses.TEMPLATES)
+    wrapped = [notice[k] for k in ("Permissio", "you can r", "Redistrib", "This Sour")]
+    texts = ["The text.\n" + "\n".join(mark + x for x in textwrap.wrap(t, 44)) + "\n" + mark + "and more"
+             for _, t in wrapped for mark in ("", "# ", " * ")]
+    want = [label for label, _ in wrapped for _ in range(3)]
+    spread = ["other"] * 1000
+    for k, w in enumerate("released under the mit license".split()):
+        spread[100 + 150 * k] = w
+    long = ["other"] * 1000
+    long[500:500] = notice["Permissio"][1].split()
+    texts += [" ".join(spread), " ".join(long), "released\n\nunder the mit\n \nlicense"]
+    got = {r.doc_id: list(r.method_labels) for r in licenses.scan(cases.table(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == [*([w] for w in want), [], ["mit"], []]
+
+
 def test_license_plan_is_native(spark, small):
     plan = licenses.scan(small)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
