@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aidspark.llm import bm25, divergence, hpylm, licenses, packing, qda, rlz, setsketch, toxicity, winnow
+from aidspark.llm import (bm25, divergence, fim, hpylm, licenses, packing, qda, rlz, setsketch, sharding, toxicity, turns,
+                          winnow)
 from aidspark.llm.common import crc_fold
 
 
@@ -88,10 +89,30 @@ def op10_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm25.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("rid", "rhash")
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-the-middle form of every document, and the text rebuilt from it."""
+    made = fim.fill_in_middle(_table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+                       digest(fim.restore(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+def op12_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, damaged before."""
+    return turns.repair_damaged(_table(spark, sf_dir, "conversations"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document; equal texts are kept together."""
+    placed = sharding.shard(_table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_hpylm, op2_rlz, op3_qda, op4_divergence, op5_setsketch, op6_licenses, op7_toxicity, op8_packing,
-                                   op9_winnowing, op10_bm25)}
+                                   op9_winnowing, op10_bm25, op11_fim, op12_turns, op13_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_winnowing": winnow.ORACLE_SQL}
+    return {"op9_winnowing": winnow.ORACLE_SQL, "op11_fim": fim.ORACLE_SQL}
