@@ -21,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
@@ -117,12 +117,15 @@ def read_all_years(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _replace_years(df: DataFrame, path: str, years: Sequence[int]) -> None:
-    """Replace exactly these years: one that got no rows loses its old ones."""
-    spark = df.sparkSession
-    _write_years(df, path)
+    """Replace exactly these years: one that got no rows loses its old ones. The
+    rows of each year are counted while they are written."""
+    spark, years = df.sparkSession, sorted(set(years))
+    if not years:
+        return
+    seen = Observation("years")
+    _write_years(df.observe(seen, *[F.count(F.when(F.col("anno") == y, 1)).alias(str(y)) for y in years]), path)
     if path_exists(spark, path):
-        written = {r["anno"] for r in df.select("anno").distinct().collect()}  # at most ``years``
-        for year in set(years) - written:
+        for year in (y for y in years if not seen.get[str(y)]):
             _delete(spark, f"{path.rstrip('/')}/anno={year}")
 
 
@@ -134,6 +137,7 @@ def write_year_overwrite(df: DataFrame, path: str, years: Sequence[int] | None =
     Rows of other years are not written (a stray 2022 grant in a 2023 file
     must not overwrite the 2022 partition); they are returned so the caller
     can route them to a side output."""
+    finish_swap(df.sparkSession, path)  # else the copy of a dead upsert would later replace these rows
     target = df if years is None else df.where(F.col("anno").isin(list(years)))
     strays = df.where(F.lit(False)) if years is None else df.where(~F.col("anno").isin(list(years)))
     if dedup:
@@ -282,6 +286,7 @@ def rebuild_years(spark: SparkSession, xml_path: str, path: str, first_year: int
     stage_xml(flatten_aid(X.read_aid_xml(spark, xml_path, glob=glob, years=(first_year, last_year),
                                          skip_bad_files=allow_failed)), stage)
     good = staged(spark, stage, OK).where(F.col("anno").between(first_year, last_year))
+    finish_swap(spark, path)
     _replace_years(_table_rows(good), path, years)
     drop_staged(spark, stage, years)
     return RebuildOutputs(path, stage, listing)
