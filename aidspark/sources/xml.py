@@ -1,8 +1,8 @@
 """Damaged XML dumps -> one parsed record per row.
 
 The dump is read with the plain text source and the record close tag as line
-separator, so every file is split across tasks like any text file (no
-whole-file reads, no single-threaded parser). Each chunk is cut to its record,
+separator (with the prefix that the file's head shows), so every file is split
+across tasks like any text file (no whole-file reads, no single-threaded parser). Each chunk is cut to its record,
 repaired with regular expressions, and parsed with the built-in ``from_xml``
 in PERMISSIVE mode: a record that still fails lands in the corrupt-record
 column instead of stopping the job.
@@ -10,10 +10,17 @@ column instead of stopping the job.
 
 from __future__ import annotations
 
+import re
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from aidspark.functions.salvage import salvage_xml
 from aidspark.functions.text import repair_record
 from aidspark.schemas import (AID_RECORD_TAG, AID_XML_SCHEMA, CORRUPT_COL, MEASURE_RECORD_TAG,
                               MEASURE_XML_SCHEMA)
@@ -37,12 +44,51 @@ def record_text(spark: SparkSession, path: str | list[str], tag: str,
         if not path:
             return to_records(spark.createDataFrame([], "_file string, _block long, value string"), tag)
         glob = None
-    reader = (spark.read.option("lineSep", f"</{tag}>")
-              .option("recursiveFileLookup", "true")
+    reader = (spark.read.option("recursiveFileLookup", "true")
               .option("ignoreCorruptFiles", "false").option("ignoreMissingFiles", "false"))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return to_records(with_position(reader.text(path)), tag)
+    by_close: dict[str, list[str]] = {}
+    for file, close in close_tags(spark, reader.text(path).inputFiles(), tag).items():
+        by_close.setdefault(close, []).append(file)
+    if set(by_close) <= {f"</{tag}>"}:
+        return to_records(with_position(reader.option("lineSep", f"</{tag}>").text(path)), tag)
+    read = [with_position(reader.option("lineSep", close).text(files)) for close, files in sorted(by_close.items())]
+    return to_records(reduce(DataFrame.unionByName, read), tag)
+
+
+#: Bytes of a file that are looked through for its first record, and threads
+#: that fetch them.
+HEAD_BYTES, HEAD_THREADS = 1 << 16, 16
+
+
+def close_tags(spark: SparkSession, files: list[str], tag: str) -> dict[str, str]:
+    """Each file's record close tag, with the prefix of the first open tag in the
+    file's head (plain if none is there). Only heads are read, by the driver that
+    lists the files anyway."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    opened = re.compile(rb"<((?:[A-Za-z_][\w.\-]*:)?)" + tag.encode() + rb"[\s>]")
+
+    def close_tag(file: str) -> str:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        try:
+            stream = path.getFileSystem(conf).open(path)
+            codec = codecs.getCodec(path)
+            stream = codec.createInputStream(stream) if codec is not None else stream
+            try:
+                head = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(
+                    jvm.org.apache.commons.io.input.BoundedInputStream(stream, HEAD_BYTES)))
+            finally:
+                stream.close()
+        except Exception:  # noqa: BLE001 - a file that cannot be read fails, or is left out, where it is read
+            head = b""
+        found = opened.search(head)
+        return f"</{found.group(1).decode() if found else ''}{tag}>"
+
+    with ThreadPoolExecutor(HEAD_THREADS) as pool:
+        return dict(zip(files, pool.map(close_tag, files)))
 
 
 def with_position(raw: DataFrame) -> DataFrame:
@@ -53,18 +99,34 @@ def with_position(raw: DataFrame) -> DataFrame:
 
 def readable_files(spark: SparkSession, path, glob: str | None = None) -> DataFrame:
     """Per input file whether it can be read to its end: ``fonte, byte, letto``.
-    Each file is one distributed read that keeps nothing."""
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .option("pathGlobFilter", glob or "*").load(path).select("path", "length").collect())
-    found = []
-    for r in listing:
+    One distributed read of all files that keeps nothing; where the reader
+    reports a file, halves are read until it is found. Any other error, such as a
+    lost executor, is raised."""
+    listing = {r["path"]: r["length"] for r in (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", glob or "*").load(path).select("path", "length").collect())}
+
+    def bad(files: list[str]) -> list[str]:
+        if not files:
+            return []
         try:
             (spark.read.option("ignoreCorruptFiles", "false").option("ignoreMissingFiles", "false")
-             .text(r["path"]).agg(F.sum(F.length("value"))).collect())
-            found.append((r["path"], r["length"], True))
-        except Exception:  # whatever the reader says, the file is not whole
-            found.append((r["path"], r["length"], False))
-    return spark.createDataFrame(found, "fonte string, byte long, letto boolean")
+             .text(files).agg(F.sum(F.length("value"))).collect())
+            return []
+        except (PySparkException, Py4JJavaError) as e:
+            if not any(c in str(e) for c in READ_ERRORS):
+                raise
+        if len(files) == 1:
+            return files
+        half = len(files) // 2
+        return bad(files[:half]) + bad(files[half:])
+
+    broken = set(bad(sorted(listing)))
+    return spark.createDataFrame([(f, n, f not in broken) for f, n in listing.items()], "fonte string, byte long, letto boolean")
+
+
+#: Error conditions by which the reader reports a file.
+READ_ERRORS = ("FAILED_READ_FILE", "PATH_NOT_FOUND", "java.io.EOFException", "java.util.zip", "FileNotFoundException")
 
 
 def to_records(chunks: DataFrame, tag: str) -> DataFrame:
@@ -101,12 +163,15 @@ def select_files_by_year(records: DataFrame, first_year: int, last_year: int) ->
     return records.where((y != "") & y.cast("int").between(first_year, last_year))
 
 
-def parse_records(records: DataFrame, schema: StructType) -> DataFrame:
+def parse_records(records: DataFrame, schema: StructType, salvage: str | None = None) -> DataFrame:
     """Repair (``repair_record``: forbidden bytes and character references,
     namespace prefixes, truncated tags, bare ampersands) and parse each
     record: ``_seq`` is the record's order inside its
     split, ``r`` the parsed struct (NULL for a chunk without a record),
-    ``r._corrupt_record`` the text of a record that did not parse.
+    ``r._corrupt_record`` the text of a record that did not parse. With
+    ``salvage`` (the record's tag) such a record is parsed again with its markup
+    closed (``salvage_xml``); ``_salvaged`` tells where that worked, and only what
+    still fails is corrupt.
 
     Nothing is filtered here. The optimizer pushes a filter on ``r`` below this
     projection by substituting the ``from_xml`` call, which would parse every
@@ -116,22 +181,30 @@ def parse_records(records: DataFrame, schema: StructType) -> DataFrame:
     ``(_file, _block, _seq)`` follows file order and is stable on re-run."""
     full = StructType(schema.fields + [StructField(CORRUPT_COL, StringType())])
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}
-    return records.select("_file", "_block", F.monotonically_increasing_id().alias("_seq"),
-                          F.from_xml(repair_record(F.col("record")), full, opts).alias("r"))
+    parsed = records.select("_file", "_block", F.monotonically_increasing_id().alias("_seq"),
+                            F.from_xml(repair_record(F.col("record")), full, opts).alias("r"))
+    if salvage is None:
+        return parsed
+    corrupt = F.col(f"r.{CORRUPT_COL}")
+    again = F.when(corrupt.isNotNull(), F.from_xml(salvage_xml(corrupt, salvage, schema), full, opts))
+    worked = F.col("_again").isNotNull() & F.col(f"_again.{CORRUPT_COL}").isNull()
+    return (parsed.withColumn("_again", again)
+            .select("_file", "_block", "_seq", F.when(worked, F.col("_again")).otherwise(F.col("r")).alias("r"), worked.alias("_salvaged")))
 
 
 def read_aid_xml(spark: SparkSession, path, glob: str | None = None,
-                 years: tuple[int, int] | None = None, skip_bad_files: bool = False) -> DataFrame:
+                 years: tuple[int, int] | None = None, skip_bad_files: bool = False, salvage: bool = False) -> DataFrame:
     """Parsed ``<AIUTO>`` records of a file, a directory or a list."""
     rec = record_text(spark, path, AID_RECORD_TAG, glob, skip_bad_files)
     if years:
         rec = select_files_by_year(rec, *years)
-    return parse_records(rec, AID_XML_SCHEMA)
+    return parse_records(rec, AID_XML_SCHEMA, AID_RECORD_TAG if salvage else None)
 
 
-def read_measure_xml(spark: SparkSession, path, glob: str | None = None) -> DataFrame:
+def read_measure_xml(spark: SparkSession, path, glob: str | None = None, salvage: bool = False) -> DataFrame:
     """Parsed ``<MISURA>`` records."""
-    return parse_records(record_text(spark, path, MEASURE_RECORD_TAG, glob), MEASURE_XML_SCHEMA)
+    return parse_records(record_text(spark, path, MEASURE_RECORD_TAG, glob), MEASURE_XML_SCHEMA,
+                         MEASURE_RECORD_TAG if salvage else None)
 
 
 def parse_counts(parsed: DataFrame, source=None) -> DataFrame:
@@ -141,9 +214,11 @@ def parse_counts(parsed: DataFrame, source=None) -> DataFrame:
     present = F.col("r").isNotNull()
     bad = present & F.col(f"r.{CORRUPT_COL}").isNotNull()
     good = present & F.col(f"r.{CORRUPT_COL}").isNull()
-    return (parsed.groupBy(src.alias("fonte"))
-            .agg(F.sum(F.when(good, 1).otherwise(0)).cast("bigint").alias("record_ok"),
-                 F.sum(F.when(bad, 1).otherwise(0)).cast("bigint").alias("record_scartati")))
+    count = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("bigint")
+    found = [count(good).alias("record_ok"), count(bad).alias("record_scartati")]
+    if "_salvaged" in parsed.columns:
+        found.append(count(F.coalesce("_salvaged", F.lit(False))).alias("record_recuperati"))
+    return parsed.groupBy(src.alias("fonte")).agg(*found)
 
 
 def file_report(spark: SparkSession, path, parsed: DataFrame, glob: str | None = None) -> DataFrame:
