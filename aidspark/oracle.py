@@ -382,7 +382,7 @@ FROM ({S.AID_RAW_SQL}) r""",
 
 # ---------------------------------------------------------------- quality and catalog
 from aidspark.operators import quality as QR  # noqa: E402
-from aidspark.queries import INDEX_FROM_YEAR, PUBLISH_YEARS, STANDIN_COVERAGE  # noqa: E402
+from aidspark.queries import INDEX_FROM_YEAR, STANDIN_COVERAGE  # noqa: E402
 
 _MEAS = f"({S.MEASURE_RAW_SQL})"
 
@@ -434,9 +434,7 @@ _PUBLISHED = dict(zip(["mart_aiuti_per_regione", "mart_aiuti_per_procedimento",
                        "mart_aiuti_settore_regione"], _REGISTERED))
 
 
-def _one_year(sql: str, year: int) -> str:
-    """A statement over the clean layer of one year."""
-    return sql.replace("FROM raw WHERE elemento_aiuto IS NOT NULL", f"FROM raw WHERE anno = {year} AND elemento_aiuto IS NOT NULL")
+_TOP = "mart_top_beneficiari"  # of a year: the top of that year alone
 
 
 QUALITY = {
@@ -464,9 +462,11 @@ GROUP BY ALL HAVING COUNT(*) > 1""",
 {_manifest(_dedup_sql(f"anno >= {INDEX_FROM_YEAR}"), "corrente")} UNION ALL
 SELECT * FROM ({_manifest(_RAW_SQL, "precedente")}) p WHERE anno < {INDEX_FROM_YEAR}) i""",
     "publish_years": "\nUNION ALL\n".join(
-        f"SELECT {y} AS anno, '{layer}' AS layer, '{name}' AS tabella, COUNT(*) AS righe FROM ({_one_year(MARTS[key], y)}) t"
-        for y in PUBLISH_YEARS
-        for layer, name, key in [("clean", "clean", "clean_aid")] + [("mart", n, k) for n, k in _PUBLISHED.items()]),
+        [f"SELECT anno, 'clean' AS layer, 'clean' AS tabella, COUNT(*) AS righe FROM ({_CLEAN_SQL}) t GROUP BY anno"]
+        + [f"SELECT anno, 'mart', '{n}', COUNT(*) FROM ({MARTS[k]}) t GROUP BY anno" for n, k in _PUBLISHED.items() if k != _TOP]
+        + [f"SELECT anno, 'mart', '{n}', least(1000, COUNT(DISTINCT (codice_fiscale_beneficiario, denominazione_beneficiario, "
+           f"regione_beneficiario))) FROM ({_CLEAN_SQL}) t WHERE codice_fiscale_beneficiario != '' GROUP BY anno"
+           for n, k in _PUBLISHED.items() if k == _TOP]),
     "manifest_measures": f"SELECT COUNT(*) AS righe, CAST(20 AS BIGINT) AS campi FROM {_MEAS} m",
     "file_summary": f"SELECT anno, COUNT(*) AS righe FROM ({_RAW_SQL}) t GROUP BY ROLLUP (anno)",
 }
@@ -480,6 +480,21 @@ STREAMING = {
 }
 
 
+# ---------------------------------------------------------------- versioned tables, salvage, bitmaps
+FIRM_LEVELS = ("anno, regione_beneficiario, procedimento", "anno, regione_beneficiario", "anno", "regione_beneficiario", "")
+SAME_RESULT = {"versioned_overwrite": STORAGE["write_year_overwrite"], "versioned_upsert": STORAGE["upsert_append"],
+               "versioned_rebuild": STORAGE["rebuild_years"], "versioned_incremental_load": STREAMING["incremental_load"],
+               "ingest_prefixed_xml": INGEST["ingest_aid_xml"]}
+LATER = SAME_RESULT | {
+    "salvage_malformed": f"SELECT {_AID_OUT} FROM ({XS.AID_XML_SALVAGED_SQL}) t WHERE anno != 0",
+    "distinct_firms": "\nUNION ALL\n".join(
+        "SELECT " + ", ".join(c if c in level.split(", ") else f"CAST(NULL AS {kind}) AS {c}" for c, kind in (
+            ("anno", "INTEGER"), ("regione_beneficiario", "VARCHAR"), ("procedimento", "VARCHAR")))
+        + f", '{level.replace(', ', ',')}' AS livello, COUNT(DISTINCT codice_fiscale_beneficiario) AS imprese FROM ({_RAW_SQL}) t"
+        + (f" GROUP BY {level}" if level else "") for level in FIRM_LEVELS),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = dict(MARTS)
     out.update(INGEST)
@@ -489,4 +504,5 @@ def oracle_sql() -> dict[str, str]:
     out.update(STREAMING)
     out.update(ANALYSIS)
     out.update(JOINS)
+    out.update(LATER)
     return out

@@ -235,10 +235,10 @@ def staged(spark: SparkSession, path: str, *statuses: str) -> DataFrame:
 
 
 def ingest_aid(spark: SparkSession, xml_path, staging: str, glob: str | None = None,
-               years: tuple[int, int] | None = None, statuses=(OK,)) -> DataFrame:
+               years: tuple[int, int] | None = None, statuses=(OK,), salvage: bool = False) -> DataFrame:
     """S1 end to end: scan, repair, parse, flatten, stage; returns the rows of
     the given statuses (default: good rows), 31 columns plus ``_arrival``."""
-    stage_xml(flatten_aid(X.read_aid_xml(spark, xml_path, glob=glob, years=years)), staging)
+    stage_xml(flatten_aid(X.read_aid_xml(spark, xml_path, glob=glob, years=years, salvage=salvage)), staging)
     return staged(spark, staging, *statuses)
 
 

@@ -16,6 +16,7 @@ from aidspark.functions import text as T
 from aidspark.operators import analysis as A
 from aidspark.operators import catalog as CT
 from aidspark.operators import clean as C
+from aidspark.operators import distinct as DI
 from aidspark.operators import flatten as FL
 from aidspark.operators import joins as J
 from aidspark.operators import marts as M
@@ -23,6 +24,7 @@ from aidspark.operators import quality as Q
 from aidspark.operators.dedup import dedup_keep_last
 from aidspark.plans import layers as L
 from aidspark.plans import storage as ST
+from aidspark.plans.yeartable import YearTable
 from aidspark.schemas import AID_DEDUP_KEY, AID_SCHEMA, MEASURE_KEY, MEASURE_SCHEMA
 from aidspark.session import prepare, scratch_dir
 from aidspark.sources import standin as S
@@ -38,7 +40,6 @@ OVERWRITE_YEARS = (1997, 1998)     # yearly overwrite (K2)
 UPSERT_LAST_MONTH = 6              # last month of that year in the batch
 UPSERT_FROM_YEAR = 1998            # first year of the upserted batch (K3)
 REBUILD_YEARS = (1996, 1997)       # rebuilt range (K5)
-PUBLISH_YEARS = (1996, 1998)        # years published one by one (K8)
 READ_YEAR = 1997                   # single-year read (S19)
 DROP_SPLIT_YEAR = 1998             # first year of the second streaming drop (K7)
 INDEX_FROM_YEAR = 1998             # first year of the current manifest run (D2)
@@ -157,18 +158,76 @@ def q_publish_layers(spark, sf_dir):
 
 
 def q_publish_years(spark, sf_dir):
-    """The layers of each published year under ``{dataset}/{year}/``."""
+    """The layers of every year of the raw table under ``{dataset}/{year}/``; rows
+    as the runs counted them while writing."""
     spark = prepare(spark)
     root = scratch_dir(spark, "publish-years")
-    raw, out = _raw(spark, sf_dir), []
-    for year in PUBLISH_YEARS:
-        report = L.run_aid(spark, raw, f"{root}/aiuti_stato", year=year)
+    raw, out = YearTable(spark, f"{root}/raw"), []
+    for year in sorted(map(int, raw.overwrite(_raw(spark, sf_dir))["years"])):
+        report = L.run_aid(spark, raw.read([year]), f"{root}/aiuti_stato", year=year)
         out.append((year, "clean", "clean", report["clean_rows"]))
-        out += [(year, "mart", name, spark.read.parquet(f"{root}/aiuti_stato/{year}/{name}").count())
-                for name in report["marts"]]
+        out += [(year, "mart", name, found["rows"]) for name, found in report["marts"].items()]
     return spark.createDataFrame(out, "anno int, layer string, tabella string, righe bigint")
 
 
+def q_versioned_overwrite(spark, sf_dir):
+    """``write_year_overwrite`` on a versioned year table."""
+    table = YearTable(prepare(spark), scratch_dir(spark, "versioned-raw"))
+    raw = _arrived(spark, sf_dir)
+    table.overwrite(raw)
+    table.overwrite(raw, years=OVERWRITE_YEARS, dedup=True)
+    return table.read()
+
+
+def q_versioned_upsert(spark, sf_dir):
+    """``upsert_append`` on a versioned year table: the batch becomes a lot, the
+    year that both share is compacted, the later years are merged on read."""
+    table = YearTable(prepare(spark), scratch_dir(spark, "versioned-upsert"))
+    raw = _arrived(spark, sf_dir)
+    table.overwrite(raw.where(F.col("anno") <= UPSERT_FROM_YEAR))
+    table.upsert(raw.where((F.col("anno") > UPSERT_FROM_YEAR)
+                           | ((F.col("anno") == UPSERT_FROM_YEAR) & (F.col("mese") <= UPSERT_LAST_MONTH)))
+                 .withColumn("soggetto_concedente", F.concat("soggetto_concedente", F.lit(" (agg.)"))))
+    table.compact([UPSERT_FROM_YEAR])
+    return table.read()
+
+
+def q_versioned_rebuild(spark, sf_dir):
+    """``rebuild_years`` on a versioned year table."""
+    table = YearTable(prepare(spark), scratch_dir(spark, "versioned-rebuild"))
+    table.overwrite(_raw(spark, sf_dir).withColumn("soggetto_concedente", F.concat("soggetto_concedente", F.lit(" (vecchio)"))))
+    table.rebuild(_aid_xml(spark, sf_dir), *REBUILD_YEARS)
+    return table.read()
+
+
+def q_distinct_firms(spark, sf_dir):
+    """Firms per year, region and procedure as bitmaps, written once; the counts
+    of years, regions and of all years follow from them by OR."""
+    spark, fine = prepare(spark), ["anno", "regione_beneficiario", "procedimento"]
+    raw, root = _raw(spark, sf_dir), scratch_dir(spark, "firms")
+    DI.firm_numbers(raw, M.FIRM).write.parquet(f"{root}/numbers")
+    DI.firm_bitmaps(raw, spark.read.parquet(f"{root}/numbers"), M.FIRM, fine).write.parquet(f"{root}/bitmaps")
+    bitmaps, out = spark.read.parquet(f"{root}/bitmaps"), None
+    for dims in (fine, fine[:2], fine[:1], fine[1:2], []):
+        level = DI.firm_counts(bitmaps, dims).select(
+            *[F.col(c) if c in dims else F.lit(None).cast(bitmaps.schema[c].dataType).alias(c) for c in fine],
+            F.lit(",".join(dims)).alias("livello"), "imprese")
+        out = level if out is None else out.unionByName(level)
+    return out
+
+
+def q_salvage_malformed(spark, sf_dir):
+    """Ingest of a dump in which seven of eight records have broken markup: every
+    record is read with all its fields."""
+    path = XS.write_damaged_aid_xml(prepare(spark), sf_dir, scratch_dir(spark, "aid-xml-damaged"))
+    return C.conform_schema(ST.ingest_aid(spark, path, scratch_dir(spark, "salvage-staging"), salvage=True), AID_SCHEMA)
+
+
+def q_ingest_prefixed(spark, sf_dir):
+    """Ingest of a dump whose tags all carry a namespace prefix."""
+    return ingest_aid(spark, XS.write_prefixed_aid_xml(prepare(spark), sf_dir, scratch_dir(spark, "aid-xml-prefixed")))
+
+
 def q_dq_min_rows(spark, sf_dir):
     clean, meas = _clean(spark, sf_dir), _measures(spark, sf_dir)
     checks = [Q.dq_min_rows(clean, Q.AID_CLEAN_RULES["min_rows"], "aiuti_stato.clean"),
@@ -231,7 +290,7 @@ def q_file_summary(spark, sf_dir):
     return CT.file_summary(spark, base).select("anno", "righe")
 
 
-def q_incremental_load(spark, sf_dir):
+def q_incremental_load(spark, sf_dir, versioned=False):
     """Two monthly drops land in the inbox; each availableNow run merges only
     the files it has not seen (keep-last by key within and across drops)."""
     from aidspark.streaming.incremental import incremental_load
@@ -241,10 +300,10 @@ def q_incremental_load(spark, sf_dir):
     recs = XS.aid_xml_records(spark, sf_dir, with_arrival=True)
     year = F.substring(F.col("f"), 16, 4).cast("int")
     XS.write_records(recs.where(year < DROP_SPLIT_YEAR), f"{inbox}/drop1", ordered=True)
-    incremental_load(spark, inbox, table, ckpt)
+    incremental_load(spark, inbox, table, ckpt, versioned=versioned)
     XS.write_records(recs.where(year >= DROP_SPLIT_YEAR), f"{inbox}/drop2", ordered=True)
-    incremental_load(spark, inbox, table, ckpt)
-    return ST.read_all_years(spark, table)
+    incremental_load(spark, inbox, table, ckpt, versioned=versioned)
+    return YearTable(spark, table).read() if versioned else ST.read_all_years(spark, table)
 
 
 def _aid_mart(fn) -> Query:
@@ -316,6 +375,13 @@ def registry() -> dict[str, Query]:
         "manifest_measures": lambda sp, d: CT.manifest_measures(_measures(sp, d)),
         "file_summary": q_file_summary,
         "incremental_load": q_incremental_load,
+        "versioned_overwrite": q_versioned_overwrite,
+        "versioned_upsert": q_versioned_upsert,
+        "versioned_rebuild": q_versioned_rebuild,
+        "versioned_incremental_load": lambda sp, d: q_incremental_load(sp, d, versioned=True),
+        "distinct_firms": q_distinct_firms,
+        "salvage_malformed": q_salvage_malformed,
+        "ingest_prefixed_xml": q_ingest_prefixed,
     })
 
     def values(kind, *outs):

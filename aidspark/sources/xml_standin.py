@@ -145,6 +145,30 @@ def write_aid_xml(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
     return out_dir
 
 
+#: Breaks of a record's markup, one for each remainder of its text's hash (pattern,
+#: replacement); none of them touches a value.
+BREAKS = [(r"</(?:n:)?CUP>", ""), ("<COR>", "</NOTE></STRUMENTI_AIUTO><COR>"), (r"(?s)^(.*?)</COMPONENTE_AIUTO>", "$1"),
+          ("</STRUMENTO_AIUTO></STRUMENTI_AIUTO>", "</STRUMENTI_AIUTO>"), ("<COR>", "<COR id= >"), ("</COMPONENTI_AIUTO>", ""),
+          ("</STRUMENTI_AIUTO></COMPONENTE_AIUTO>", "</COMPONENTE_AIUTO></STRUMENTI_AIUTO>")]
+
+
+def write_damaged_aid_xml(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
+    """The dump with broken markup in all records but those of the last remainder."""
+    records = aid_xml_records(spark, sf_dir)
+    kind, value = F.pmod(F.xxhash64("value"), F.lit(len(BREAKS) + 1)), F.col("value")
+    for i, (pattern, replacement) in enumerate(BREAKS):
+        value = F.when(kind == i, F.regexp_replace("value", pattern, replacement)).otherwise(value)
+    records.withColumn("value", value).write.mode("overwrite").partitionBy("f").text(out_dir)
+    return out_dir
+
+
+def write_prefixed_aid_xml(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
+    """The dump with a namespace prefix on every tag."""
+    value = F.regexp_replace("value", "<(/?)([A-Z])", "<$1ns2:$2")
+    aid_xml_records(spark, sf_dir).withColumn("value", value).write.mode("overwrite").partitionBy("f").text(out_dir)
+    return out_dir
+
+
 def measure_xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ``<MISURA>`` per stand-in measure row. Rows whose ``p_size``-derived
     start year is odd get whitespace noise, a decimal comma and truncated tags."""
@@ -189,10 +213,11 @@ _BARE = dict({c: "''" for _t, c in COMPONENT_FIELDS + INSTRUMENT_TEXT_FIELDS},
              elemento_aiuto="CAST(NULL AS DOUBLE)", importo_nominale="CAST(NULL AS DOUBLE)")
 
 
-def _line_rows_sql(raw_sql: str, extra_cols: str, where: str = "TRUE") -> str:
+def _line_rows_sql(raw_sql: str, extra_cols: str, where: str = "TRUE", malformed: bool = False) -> str:
     """Flat rows of the line-item records: main instrument, second
-    instrument, bare component."""
-    base = f"FROM ({raw_sql}) a WHERE id_componente != '{MALFORMED_LINE}' AND {where}"
+    instrument, bare component; with ``malformed`` of those records too."""
+    sound = "TRUE" if malformed else f"id_componente != '{MALFORMED_LINE}'"
+    base = f"FROM ({raw_sql}) a WHERE {sound} AND {where}"
     return f"""SELECT {_aid_twin_cols()}{extra_cols} {base}
 UNION ALL SELECT {_aid_twin_cols(**_SECOND)}{extra_cols} {base} AND cod_strumento = '{SECOND_INSTRUMENT_FLAG}'
 UNION ALL SELECT {_aid_twin_cols(**_BARE)}{extra_cols} {base} AND id_componente = '1'"""
@@ -231,6 +256,13 @@ UNION ALL
 SELECT {_orphan_twin_cols()}
 {_ORPHANS_FROM}"""
 
+# The same with the malformed records, as salvage reads them.
+AID_XML_SALVAGED_SQL = f"""
+{_line_rows_sql(S.AID_RAW_SQL, ", anno AS _file_year, mese AS _file_month", malformed=True)}
+UNION ALL
+SELECT {_orphan_twin_cols()}
+{_ORPHANS_FROM}"""
+
 # Well-formed, dated rows with the stand-in arrival order (NULL for orphans).
 AID_XML_ARRIVAL_SQL = f"""
 {_line_rows_sql(S.AID_RAW_ARRIVAL_SQL, ", " + _ARRIVAL_COLS, "anno != 0")}
