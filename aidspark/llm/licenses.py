@@ -6,9 +6,8 @@ template's length (``SLACK`` more) wherever it lies in a paragraph, across line
 breaks or inside a longer line; it is taken as the set of its words. A template
 is a known license sentence, taken the same way. A block meets a template when it
 contains at least ``threshold`` of the template's words. Only texts that hold so
-many words of some template at all are looked into. Runs are looked for in
-stretches that overlap by more than a run (``run_hits``), lines by the
-prefix-filter join:
+many words of some template at all are looked into. Lines, and for runs the
+stretches of two runs that overlap by one, go through the prefix-filter join:
 
 * words outside every template cannot add to an overlap and are dropped (the
   vocabulary of the templates is bounded by the template list);
@@ -18,7 +17,7 @@ prefix-filter join:
   first ``|template| - need + 1`` of the template (prefix filter);
 * the block must hold ``need`` words at all (length filter), and the words left
   after the meeting positions must still allow ``need`` (positional filter);
-* survivors are verified on the full sets.
+* survivors are verified on the full sets, stretches on their runs.
 
 Besides, exact phrases are located (``phrase_places``).
 
@@ -82,18 +81,18 @@ def word_count(joined: Column) -> Column:
 def phrase_places(joined: Column, phrase: str) -> Column:
     """Starts (words from 0) of a phrase in words joined by blanks. The words
     are only told apart in the few texts that hold the phrase."""
-    found = F.split(joined, " ")
     parts = phrase.split()
-    same = lambda i: [F.element_at(found, i + k + 1) == w for k, w in enumerate(parts)]
 
-    def here(i):
-        out = same(i)[0]
-        for c in same(i)[1:]:
-            out = out & c
-        return out
+    def starts(words):
+        def here(i):
+            out = F.get(words, i) == parts[0]
+            for k, w in enumerate(parts[1:], 1):
+                out = out & (F.get(words, i + k) == w)
+            return out
+        return F.filter(F.sequence(F.lit(0), F.size(words) - len(parts)), here)
 
-    starts = F.filter(F.sequence(F.lit(0), F.size(found) - len(parts)), here)
-    return (F.when(F.contains(F.concat(F.lit(" "), joined, F.lit(" ")), F.lit(f" {phrase} ")), starts)
+    found = F.transform(F.array(F.split(joined, " ")), starts)[0]  # names the words once: they are split once
+    return (F.when(F.contains(F.concat(F.lit(" "), joined, F.lit(" ")), F.lit(f" {phrase} ")), found)
             .otherwise(F.array().cast("array<int>")))
 
 
@@ -132,43 +131,55 @@ def candidates(src: DataFrame, templates, threshold: float) -> DataFrame:
     return src.filter(F.exists(F.array(held), enough))  # names the words held once
 
 
-def run_hits(src: DataFrame, templates, threshold: float) -> DataFrame:
-    """``row, label, share`` of the runs of words (``low``) that meet a template."""
-    known = F.array(*[F.struct(F.lit(label).alias("label"), _literal(w).alias("words"), F.lit(_needed(w, threshold)).alias("needed"),
-                               F.lit(len(w)).alias("step"), F.lit(len(w) + SLACK).alias("run"))
-                      for label, w in _template_words(templates) if w])
-    parts = F.split(F.regexp_replace("low", _NO_WORD_IN_LINE, " "), r"\n ?(?:\n ?)+")
-    both = lambda words: F.size(F.array_intersect(words, F.col("t.words")))
-    stretches = F.transform(F.sequence(F.lit(0), ((F.size("words") - 1) / F.col("t.step")).cast("int")),
-                            lambda b: F.slice("words", b * F.col("t.step") + 1, F.col("t.step") + F.col("t.run")))
-    most = F.array_max(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - F.col("t.run") + 1)),
-                                   lambda at: both(F.slice("words", at, F.col("t.run")))))
-    return (src.select("row", F.explode(parts).alias("part"))
-            .select("row", F.split(F.trim(F.regexp_replace("part", "[ \n]+", " ")), " ").alias("words"))
-            .select("row", "words", F.explode(known).alias("t")).filter(both(F.col("words")) >= F.col("t.needed"))
-            .select("row", "t", F.explode(stretches).alias("words")).filter(both(F.col("words")) >= F.col("t.needed"))
-            .select("row", "t", most.alias("overlap")).filter(F.col("overlap") >= F.col("t.needed"))
-            .select("row", F.col("t.label").alias("label"), (F.col("overlap") / F.size("t.words")).alias("share")))
+def blocks_of(src: DataFrame, templates) -> DataFrame:
+    """``block`` (row, part, at), ``words``, ``whole``: the lines of the texts (``low``)
+    as blocks of their own, and stretches of paragraphs that hold every run of
+    about a template's length, as each begins a run's length after the one before
+    and is twice as long."""
+    run = max([len(w) for _, w in _template_words(templates)] or [1]) + SLACK
+    plain = F.regexp_replace("low", _NO_WORD_IN_LINE, " ")
+    lines = (src.select("row", F.posexplode(F.split(plain, "\n")).alias("part", "text"))
+             .select(F.struct("row", "part", F.lit(-1).alias("at")).alias("block"), F.split(F.trim("text"), " ").alias("words"))
+             .filter(F.size("words") <= BLOCK_WORDS).withColumn("whole", F.lit(True)))
+    paragraphs = (src.select("row", F.posexplode(F.split(plain, r"\n ?(?:\n ?)+")).alias("part", "text"))
+                  .select("row", "part", F.split(F.trim(F.regexp_replace("text", "[ \n]+", " ")), " ").alias("all")))
+    stretches = (paragraphs.select("row", "part", "all", F.explode(F.sequence(
+        F.lit(0), F.greatest(F.lit(0), F.ceil(F.size("all") / run).cast("int") - 2))).alias("at"))
+        .select(F.struct("row", "part", "at").alias("block"), F.slice("all", F.col("at") * run + 1, F.lit(2 * run)).alias("words"))
+        .withColumn("whole", F.lit(False)))
+    return lines.unionByName(stretches)
+
+
+def run_overlap(words: Column, template_words: Column, run: Column) -> Column:
+    """The most words of a template that a run of so many of ``words`` holds. A run
+    that holds most of them can begin at one of them, so only these are tried."""
+    begins = F.filter(F.sequence(F.lit(1), F.size(words)), lambda i: F.array_contains(template_words, F.get(words, i - 1)))
+    return F.array_max(F.transform(begins, lambda i: F.size(F.array_intersect(F.slice(words, i, run), template_words))))
 
 
 def template_join(blocks: DataFrame, templates=None, threshold: float = THRESHOLD) -> DataFrame:
     """Blocks (``block`` id, ``words``) x templates they contain:
-    ``block, template`` (place in the list), ``label, overlap, needed, template_words``."""
-    sets = [s for s in _template_sets(templates if templates is not None else TEMPLATES) if s[1]]
-    if sum(len(s) for _, s in sets) > MAX_TEMPLATE_WORDS:
+    ``block, template`` (place in the list), ``label, overlap, needed, template_words``.
+    A block that is not ``whole`` (default: all are) must hold its share within a
+    run of the template's length and ``SLACK``."""
+    given = _template_words(templates if templates is not None else TEMPLATES)
+    sets = [(label, sorted(set(words)), len(words)) for label, words in given if words]
+    if sum(len(s) for _, s, _ in sets) > MAX_TEMPLATE_WORDS:
         raise ValueError(f"templates hold more than {MAX_TEMPLATE_WORDS} words; scan in several calls")
     spark = blocks.sparkSession
-    schema = ("template int, label string, needed int, template_words int, trank array<int>")
+    schema = ("template int, label string, needed int, template_words int, trank array<int>, twords array<string>, run int")
     if not sets:
         return (blocks.select("block").limit(0)
                 .select("block", F.lit(0).alias("template"), F.lit("").alias("label"),
                         F.lit(0).alias("overlap"), F.lit(0).alias("needed"), F.lit(0).alias("template_words")))
-    vocabulary = sorted({w for _, s in sets for w in s})
-    need = [_needed(s, threshold) for _, s in sets]
+    vocabulary = sorted({w for _, s, _ in sets for w in s})
+    need = [_needed(s, threshold) for _, s, _ in sets]
     lowest = min(need)
     vocab_lit = F.array(*map(F.lit, vocabulary))
+    whole = F.col("whole") if "whole" in blocks.columns else F.lit(True)
     # length filter against the least demanding template
-    held = materialize(blocks.select("block", F.array_intersect("words", vocab_lit).alias("held"))
+    held = materialize(blocks.select("block", F.array_intersect("words", vocab_lit).alias("held"), whole.alias("whole"),
+                                     F.when(~whole, F.col("words")).alias("words"))
                        .filter(F.size("held") >= lowest), "blocks")
     # global frequency order over the template vocabulary (at most that many rows)
     counted = {r["w"]: r["n"] for r in held.select(F.explode("held").alias("w")).groupBy("w")
@@ -177,9 +188,10 @@ def template_join(blocks: DataFrame, templates=None, threshold: float = THRESHOL
     rank = {w: i for i, w in enumerate(order)}
     ranks = F.array_sort(F.transform("held", lambda w: F.array_position(F.array(*map(F.lit, order)), w).cast("int") - 1))
     probe = (held.withColumn("brank", ranks)
-             .select("block", "brank", F.posexplode(F.slice("brank", 1, F.size("brank") - lowest + 1)).alias("bpos", "rank")))
+             .select("block", "brank", "whole", "words",
+                     F.posexplode(F.slice("brank", 1, F.size("brank") - lowest + 1)).alias("bpos", "rank")))
     index = spark.createDataFrame(
-        [(i, label, need[i], len(s), sorted(rank[w] for w in s)) for i, (label, s) in enumerate(sets)], schema)
+        [(i, label, need[i], len(s), sorted(rank[w] for w in s), s, n + SLACK) for i, (label, s, n) in enumerate(sets)], schema)
     prefix = (index.select("*", F.posexplode(F.slice("trank", F.lit(1), F.col("template_words") - F.col("needed") + 1))
                            .alias("tpos", "rank")))
     size = F.size("brank")
@@ -189,9 +201,13 @@ def template_join(blocks: DataFrame, templates=None, threshold: float = THRESHOL
                    # words shared before the meeting word can be at most min(bpos, tpos)
                    & (F.least("bpos", "tpos") + F.least(size - F.col("bpos"), F.col("template_words") - F.col("tpos"))
                       >= F.col("needed")))
-           .withColumn("overlap", F.size(F.array_intersect("brank", "trank")))
+           # the first of the words that the two share: so each pair is verified once
+           .filter(F.array_intersect("brank", "trank")[0] == F.col("rank"))
+           .withColumn("overlap", F.size(F.array_intersect("brank", "trank"))).filter(F.col("overlap") >= F.col("needed"))
+           .withColumn("overlap", F.when(F.col("whole"), F.col("overlap")).otherwise(
+               run_overlap(F.col("words"), F.col("twords"), F.col("run"))))
            .filter(F.col("overlap") >= F.col("needed")))
-    return met.select("block", "template", "label", "overlap", "needed", "template_words").distinct()
+    return met.select("block", "template", "label", "overlap", "needed", "template_words")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=None,
@@ -206,13 +222,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
            .withColumn("row", F.struct(F.col("doc_id"), F.xxhash64("low").alias("h"))))
     templates = TEMPLATES if templates is None else templates
     asked = materialize(candidates(src, templates, threshold).select("row", "low"), "license-candidates")
-    lines = (asked.select("row", F.posexplode(F.split(F.regexp_replace("low", _NO_WORD_IN_LINE, " "), "\n")).alias("line", "text"))
-             .select(F.struct("row", "line").alias("block"), F.split(F.trim("text"), " ").alias("words"))
-             .filter(F.size("words") <= BLOCK_WORDS))
-    met = template_join(lines.select("block", "words"), templates, threshold).select(
+    met = template_join(blocks_of(asked, templates), templates, threshold).select(
         F.col("block.row").alias("row"), "label", (F.col("overlap") / F.col("template_words")).alias("share"))
-    if any(w for _, w in _template_words(templates)):
-        met = met.unionByName(run_hits(asked, templates, threshold))
     hits = (met.select(F.col("row.doc_id").alias("hid"), F.col("row.h").alias("hh"), "label", "share")
             .groupBy("hid", "hh").agg(F.collect_set("label").alias("method_labels"), F.max("share").alias("share")))
     found = src.select("doc_id", F.col("row.h").alias("h"), joined_words(F.col("low")).alias("joined"))
