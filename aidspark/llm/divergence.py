@@ -7,15 +7,19 @@ references of its language by the Jensen-Shannon distance (base 2, so 0 to 1).
 It fails where a distance is over its limit, unless it is shorter than the
 rule's minimum: short texts have noisy histograms and are let pass.
 
-The references are counted over all documents: each task counts its rows and
-sends (language, word, count) partial sums, Spark adds them up, and only the
-top words of each language reach the driver.
+The references are counted over all documents: each task counts the 64-bit
+hashes of its words and sends (language, hash, count) partial sums, Spark adds
+them up, and only the top words of each language reach the driver. Beside its
+hash a word carries its first 15 bytes and its length as two numbers, which put
+equally common words in order and spell the shorter ones; longer words among the
+top are looked up in the texts.
 
 Defined cases: a null or empty text has no words and all counts 0; a null
 language, or one with fewer than ``min_reference_words`` words in the corpus,
 is compared with the reference of all documents; ties among the commonest words
-go by the word; repeated rows are judged and counted each; an empty table gives
-no rows.
+go by the word (its first 15 bytes, then its hash); repeated rows are judged and
+counted each; very long texts are judged whole; columns other than the three
+named are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -105,32 +109,100 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> float:
     return max(0.0, (part(p) + part(q)) / 2) ** 0.5
 
 
+#: Bytes of a word that travel with its hash, and entries that a task holds back.
+SPELLED = 15
+HELD_BACK = 400_000
+
+
+def spelling(words: list[bytes]) -> np.ndarray:
+    """Two signed numbers a word that sort like its first ``SPELLED`` bytes and then
+    its length, of which longer words have ``SPELLED + 1``."""
+    packed = b"".join(w[:SPELLED].ljust(SPELLED, b"\0") + bytes((min(len(w), SPELLED + 1),)) for w in words)
+    return (np.frombuffer(packed, ">u8") ^ np.uint64(1 << 63)).astype(np.int64).reshape(-1, 2)
+
+
+def spelled(first: int, second: int) -> bytes | None:
+    """The word of two such numbers, None if it is longer than they tell."""
+    data = b"".join(((n & (1 << 64) - 1) ^ 1 << 63).to_bytes(8, "big") for n in (first, second))
+    return data[:data[-1]] if data[-1] <= SPELLED else None
+
+
+def _merged(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, spelling, count) arrays with each hash once."""
+    h, s, n = (np.concatenate(x) for x in zip(*parts))
+    u, at, back = np.unique(h, return_index=True, return_inverse=True)
+    return u, s[at], np.bincount(back, weights=n, minlength=len(u)).astype(np.int64)
+
+
+_COUNTS = pa.schema([("lang", pa.string()), ("kind", pa.int32()), ("item", pa.int64()), ("s1", pa.int64()),
+                     ("s2", pa.int64()), ("n", pa.int64())])
+
+
 def _count(batches):
     """(language, word or class, count) partial sums of a task."""
-    table, words, classes = _class_table(), {}, {}
+    table, hashes, words, classes = _class_table(), WordHash(), {}, {}
+    held = 0
 
     def flush():
-        rows = [(lang, 0, w.decode("utf-8"), n) for lang, c in words.items() for w, n in c.items()]
-        rows += [(lang, 1, str(i), int(n)) for lang, c in classes.items() for i, n in enumerate(c) if n]
+        for lang, parts in words.items():
+            h, s, n = _merged(parts)
+            for at in range(0, len(h), 50_000):
+                few = slice(at, at + 50_000)
+                k = len(h[few])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * k, pa.string()), pa.array(np.zeros(k, np.int32)),
+                                                  pa.array(h[few].view(np.int64)), pa.array(s[few, 0].copy()),
+                                                  pa.array(s[few, 1].copy()), pa.array(n[few])], schema=_COUNTS)
+        rows = [(lang, 1, i, 0, 0, int(n)) for lang, c in classes.items() for i, n in enumerate(c) if n]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), _COUNTS)], schema=_COUNTS)
         words.clear()
         classes.clear()
-        for at in range(0, len(rows), 50_000):
-            cols = list(zip(*rows[at:at + 50_000]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()),
-                 pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int64())],
-                names=["lang", "kind", "item", "n"])
+
+    def add(lang, found):
+        h = hashes.of(found)
+        u, at, n = np.unique(h, return_index=True, return_counts=True)
+        parts = words.setdefault(lang, [])
+        parts.append((u, spelling([found[i] for i in at.tolist()]), n))
+        return len(u)
 
     for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            words.setdefault(lang, Counter()).update(text.encode().split())
+        waiting: dict = {}
+        for lang, text in zip(batch.column("lang"), batch.column("text")):
+            lang, text = lang.as_py(), text.as_py()
             c = classes.setdefault(lang, np.zeros(len(CLASSES), dtype=np.int64))
             c += class_counts(text, table)
-        if sum(map(len, words.values())) > 300_000:
-            yield from flush()
+            some = waiting.setdefault(lang, [])
+            some += text.encode().split()
+            if len(some) > 100_000:
+                held += add(lang, waiting.pop(lang))
+        held += sum(add(lang, some) for lang, some in waiting.items() if some)
+        if held > 4 * HELD_BACK:
+            for lang, parts in words.items():
+                words[lang] = [_merged(parts)]
+            held = sum(len(p[0][0]) for p in words.values())
+            if held > HELD_BACK:
+                yield from flush()
+                held = 0
     yield from flush()
 
 
+def _spell(wanted):
+    """(hash, word) of the wanted hashes that a task meets."""
+    def run(batches):
+        hashes, left = WordHash(), set(wanted.value)
+        for batch in batches:
+            found = {}
+            for text in batch.column("text"):
+                for w in set(text.as_py().encode().split()):
+                    if len(w) > SPELLED and hashes[w] in left:
+                        found[hashes[w]] = w
+            left -= found.keys()
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(list(found), np.uint64).view(np.int64)),
+                                                  pa.array(list(found.values()), pa.binary())], names=["item", "word"])
+    return run
+
+
 @dataclass
 class References:
     """Per language (None: all documents): class counts, common words and their
@@ -150,32 +222,41 @@ def _source(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataF
 
 def fit_references(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id",
                    text_col: str = "text", lang_col: str = "lang") -> References:
-    counts = materialize(_source(docs, id_col, text_col, lang_col)
-                         .mapInArrow(_count, "lang string, kind int, item string, n long")
-                         .groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")), "references")
+    src = _source(docs, id_col, text_col, lang_col)
+    counts = materialize(src.mapInArrow(_count, "lang string, kind int, item long, s1 long, s2 long, n long")
+                         .groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"), F.min("s1").alias("s1"), F.min("s2").alias("s2")),
+                         "references")
     big = (counts.filter("kind = 0 AND lang IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n"))
            .filter(F.col("n") >= rules.min_reference_words).limit(rules.max_languages + 1).collect())
     if len(big) > rules.max_languages:
         raise ValueError(f"more than {rules.max_languages} languages")
     totals = {r["lang"]: r["n"] for r in big}
     own = counts.filter(F.col("lang").isin(list(totals)))
-    everyone = counts.groupBy("kind", "item").agg(F.sum("n").alias("n"))
-    out = References()
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "item"))
-    common = [(r["lang"], r["item"], r["n"]) for r in
-              own.filter("kind = 0").withColumn("rank", rank).filter(F.col("rank") <= rules.top_words).collect()]
-    common += [(None, r["item"], r["n"]) for r in
-               everyone.filter("kind = 0").orderBy(F.desc("n"), "item").limit(rules.top_words).collect()]
+    everyone = counts.groupBy("kind", "item").agg(F.sum("n").alias("n"), F.min("s1").alias("s1"), F.min("s2").alias("s2"))
+    order = [F.desc("n"), "s1", "s2", "item"]
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    common: dict = {lang: [] for lang in [*totals, None]}
+    for r in (own.filter("kind = 0").withColumn("rank", rank).filter(F.col("rank") <= rules.top_words)
+              .orderBy("lang", "rank").collect()):
+        common[r["lang"]].append(r)
+    common[None] = everyone.filter("kind = 0").orderBy(*order).limit(rules.top_words).collect()
     totals[None] = everyone.filter("kind = 0").agg(F.sum("n")).first()[0] or 0
+    long = {r["item"] & (1 << 64) - 1 for rows in common.values() for r in rows if spelled(r["s1"], r["s2"]) is None}
+    words = {}
+    if long:  # at most top_words a language
+        wanted = docs.sparkSession.sparkContext.broadcast(frozenset(long))
+        found = src.select("text").mapInArrow(_spell(wanted), "item long, word binary")
+        words = {r["item"]: bytes(r["word"]) for r in found.groupBy("item").agg(F.min("word").alias("word")).collect()}
+    out = References()
     for lang, total in totals.items():
-        top = [(w, n) for g, w, n in common if g == lang]
-        out.words[lang] = ({w.encode(): i for i, (w, _) in enumerate(top)},
-                           np.array([n for _, n in top] + [total - sum(n for _, n in top)], dtype=float))
+        top = [words[r["item"]] if spelled(r["s1"], r["s2"]) is None else spelled(r["s1"], r["s2"]) for r in common[lang]]
+        n = [r["n"] for r in common[lang]]
+        out.words[lang] = ({w: i for i, w in enumerate(top)}, np.array(n + [total - sum(n)], dtype=float))
         out.classes[lang] = np.zeros(len(CLASSES))
     for r in own.filter("kind = 1").collect():
-        out.classes[r["lang"]][int(r["item"])] = r["n"]
+        out.classes[r["lang"]][r["item"]] = r["n"]
     for r in everyone.filter("kind = 1").collect():
-        out.classes[None][int(r["item"])] = r["n"]
+        out.classes[None][r["item"]] = r["n"]
     return out
 
 
@@ -188,7 +269,8 @@ def _measure(shared, rules: Rules):
         refs, table, hashes = shared.value, _class_table(), WordHash()
         for batch in batches:
             rows = []
-            for doc_id, text, lang in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "lang"))):
+            for doc_id, text, lang in zip(*(batch.column(c) for c in ("doc_id", "text", "lang"))):
+                doc_id, text, lang = doc_id.as_py(), text.as_py(), lang.as_py()  # one text at a time
                 words, lang = text.encode().split(), refs.of(lang)
                 classes = class_counts(text, table)
                 spaces = sum(text.count(c) for c in _SPACES.decode())
