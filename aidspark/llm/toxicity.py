@@ -11,7 +11,10 @@ that the compared models did not see, turns these into a probability.
 
 The models are learned from a bounded sample of the labelled rows: at most
 ``docs_per_class`` texts and about ``words_per_class`` words of each class, taken
-in the order of a hash. So the model, which every task gets, is bounded. One text
+in the order of a hash. So the model, which every task gets, is bounded. Pairs,
+continuations and contexts of the sample are counted by Spark aggregates and
+the back-off values are joined to them there; the driver fetches the finished
+values and the features of the sample's texts, which tasks compute. One text
 adds at most 1 / ``LEAST_TEXTS`` of a class's words, in ``PIECES`` pieces spread
 evenly over it, so a few very long texts cannot become a class's sample. Words
 are counted as they are told apart. The halves that the logistic is fitted on
@@ -20,8 +23,9 @@ take turns in the order of the sample, so neither lacks a class of two texts.
 Defined cases: null and empty texts have ratio 0; several labels for one id
 count by their mean (0.5 and over: 1), null labels are left out; with labels of
 fewer than two classes the score is the smoothed share of the class; repeated
-rows are scored each; ties in the sample order go by id and text; an empty
-table gives no rows.
+rows are scored each; ties in the sample order go by id and text; very long
+texts are scored whole; columns other than id, text and label are not read; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aidspark.llm.common import WordHash, documents, keyed, mix, short_batches
+from aidspark.llm.common import WordHash, documents, keyed, materialize, mix, short_batches
 from aidspark.llm.qda import labels_by_id
 
 DOCS_PER_CLASS = 6_000
@@ -128,7 +132,8 @@ def _sums(keys: np.ndarray, values: np.ndarray):
 
 
 def kneser_ney_ratio(counts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], d: float = DISCOUNT) -> Ratio:
-    """From (context, word, count) arrays of the ordinary and the toxic class."""
+    """The ratio from (context, word, count) arrays of the ordinary and the toxic
+    class: what ``fit_ratio`` gives, for counts that one process holds."""
     both_u, both_w = (np.concatenate([c[i] for c in counts]) for i in (0, 1))
     pairs, first = np.unique(_pair(both_u, both_w), return_index=True)
     # shared continuation counts: contexts that precede each word, in either class
@@ -163,6 +168,69 @@ def kneser_ney_ratio(counts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], d:
     return Ratio(pairs, f(log_pair), words, f(log_uni), contexts, f(log_gamma))
 
 
+def _pair_counts(batches):
+    """(pair, context, word, part, count) of the sample's texts; the part is twice
+    the class and the fold."""
+    for batch in batches:
+        part = 2 * batch.column("y").to_numpy() + batch.column("fold").to_numpy()
+        toks = [np.frombuffer(w.as_py(), np.uint64) for w in batch.column("words")]
+        for p in np.unique(part):
+            own = [t for t, q in zip(toks, part) if q == p and len(t)]
+            if not own:
+                continue
+            u, w = np.concatenate([np.concatenate([[_START], t[:-1]]) for t in own]), np.concatenate(own)
+            key, at, n = np.unique(_pair(u, w), return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x.view(np.int64)) for x in (key, u[at], w[at])] + [pa.array(np.full(len(key), p, np.int32)), pa.array(n.astype(np.int64))],
+                names=["pair", "u", "w", "part", "n"])
+
+
+def count_pairs(hashed: DataFrame) -> DataFrame:
+    """``pair, u, w`` and the counts ``n0`` to ``n3`` in each part, of all pairs of
+    the sample."""
+    rows = hashed.mapInArrow(_pair_counts, "pair long, u long, w long, part int, n long")
+    return materialize(rows.groupBy("pair").agg(
+        F.first("u").alias("u"), F.first("w").alias("w"),
+        *[F.sum(F.when(F.col("part") == p, F.col("n")).otherwise(0)).alias(f"n{p}") for p in range(4)]), "pairs")
+
+
+def _fetch(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in unsigned order and their values."""
+    got = df.toArrow()
+    key = got.column(0).to_numpy().view(np.uint64)
+    order = np.argsort(key)
+    return key[order], got.column(1).to_numpy()[order].astype(np.float32)
+
+
+def fit_ratio(pairs: DataFrame, folds: tuple[int, ...], d: float = DISCOUNT) -> Ratio:
+    """The ratio of two interpolated Kneser-Ney models learned from these folds of
+    the counted pairs. Every table is bounded by the sample's words."""
+    least = lambda c: F.least(F.col(c).cast("double"), F.lit(d))
+    t = pairs.select("pair", "u", "w", *[sum((F.col(f"n{2 * y + f}") for f in folds[1:]), F.col(f"n{2 * y + folds[0]}")).alias(f"c{y}")
+                                         for y in (0, 1)]).filter("c0 + c1 > 0")
+    # shared continuation counts: contexts that precede each word, in either class; own ones
+    words = materialize(t.groupBy("w").agg(F.count("*").alias("cont"), *[F.count_if(F.col(f"c{y}") > 0).alias(f"k{y}") for y in (0, 1)]),
+                        "words")
+    s = words.agg(F.count("*").alias("kinds"), *[f(c).alias(f"{name}_{c}") for c in ("cont", "k0", "k1")
+                                                 for name, f in (("sum", F.sum), ("off", lambda c: F.sum(least(c))))]).first()
+    n = max(1.0, float(s["sum_cont"] or 0))
+    shared = (F.col("cont") - least("cont")) / n + (s["off_cont"] or 0.0) / n / (s["kinds"] + 1)
+    uni = []
+    for y in (0, 1):
+        total = max(1.0, float(s[f"sum_k{y}"] or 0))
+        kept = (s[f"off_k{y}"] / total) if s[f"sum_k{y}"] else 1.0
+        uni.append(shared * kept + (F.col(f"k{y}") - least(f"k{y}")) / total)
+    words = words.select("w", uni[0].alias("p0"), uni[1].alias("p1"))
+    contexts = materialize(t.groupBy("u").agg(*[x for y in (0, 1) for x in (F.sum(f"c{y}").alias(f"m{y}"), F.sum(least(f"c{y}")).alias(f"f{y}"))])
+                           .select("u", *[x for y in (0, 1) for x in (
+                               F.greatest(F.col(f"m{y}"), F.lit(1)).alias(f"size{y}"),
+                               F.when(F.col(f"m{y}") > 0, F.col(f"f{y}") / F.col(f"m{y}")).otherwise(1.0).alias(f"gamma{y}"))]), "contexts")
+    p = [1e-12 + F.greatest(F.col(f"c{y}") - d, F.lit(0.0)) / F.col(f"size{y}") + F.col(f"gamma{y}") * F.col(f"p{y}") for y in (0, 1)]
+    return Ratio(*_fetch(t.join(words, "w").join(contexts, "u").select("pair", (F.log(p[1]) - F.log(p[0])).cast("float"))),
+                 *_fetch(words.select("w", (F.log("p1") - F.log("p0")).cast("float"))),
+                 *_fetch(contexts.select("u", (F.log("gamma1") - F.log("gamma0")).cast("float"))))
+
+
 def sample(docs: DataFrame, labels: DataFrame, label_col: str, train: Column | None,
            docs_per_class: int, words_per_class: int) -> tuple[DataFrame, list[int]]:
     """The bounded training sample (``y, fold, text``) and the numbers of all
@@ -249,35 +317,33 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, train: Column | None
     if min(n) == 0:
         k = len(FEATURES)
         return Model(None, np.array([0.0] * k + [np.log((n[1] + 1) / (n[0] + 1))]), np.zeros(k), np.ones(k))
-    # about words_per_class numbers of each class at most; texts would take several times that
-    rows = chosen.mapInArrow(_hashed, "y int, fold int, words binary").collect()
-    toks = [np.frombuffer(bytes(r["words"]), dtype=np.uint64) for r in rows]
-    ys, folds = np.array([r["y"] for r in rows]), np.array([r["fold"] for r in rows])
-    del rows
-
-    def counts(which):
-        out = []
-        for y in (0, 1):
-            own = [t for t, k in zip(toks, which & (ys == y)) if k and len(t)]
-            u = np.concatenate([np.empty(0, np.uint64), *(np.concatenate([[_START], t[:-1]]) for t in own)])
-            w = np.concatenate([np.empty(0, np.uint64), *own])
-            _, at, c = np.unique(_pair(u, w), return_index=True, return_counts=True)
-            out.append((u[at], w[at], c))
-        return out
-
-    x = np.zeros((len(ys), len(FEATURES)))
-    for fold in (0, 1):
-        held = folds == fold
-        if held.any():
-            ratio, at = kneser_ney_ratio(counts(~held)), np.flatnonzero(held)
-            for few in (at[i:i + 128] for i in range(0, len(at), 128)):  # few words at once
-                x[few] = ratio.features(np.concatenate([toks[i] for i in few]), np.cumsum([len(toks[i]) for i in few]))
-            del ratio
+    hashed = materialize(chosen.mapInArrow(_hashed, "y int, fold int, words binary"), "toxic-sample")
+    pairs = count_pairs(hashed)
+    # a few numbers of each of at most 2 * docs_per_class texts
+    rows = [r for fold in (0, 1) for r in _features(hashed.filter(F.col("fold") == fold), fit_ratio(pairs, (1 - fold,)))]
+    ys, x = np.array([r["y"] for r in rows], dtype=int), np.array([r["x"] for r in rows])
     share = np.array([n[k] / max(1, (ys == k).sum()) for k in (0, 1)])
     weight = share[ys] * len(ys) / share[ys].sum()
     centre, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
     beta = _logistic((x - centre) / scale, ys.astype(float), weight)
-    return Model(kneser_ney_ratio(counts(np.ones(len(ys), dtype=bool))), beta, centre, scale)
+    return Model(fit_ratio(pairs, (0, 1)), beta, centre, scale)
+
+
+def _features(hashed: DataFrame, ratio: Ratio) -> list:
+    """``y, x`` of the sample's texts."""
+    shared = hashed.sparkSession.sparkContext.broadcast(ratio)  # bounded by words_per_class
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 128):  # few words at once
+                few = batch.slice(at, 128)
+                toks = [np.frombuffer(w.as_py(), np.uint64) for w in few.column("words")]
+                x = shared.value.features(np.concatenate([np.empty(0, np.uint64), *toks]), np.cumsum([len(t) for t in toks]))
+                yield pa.RecordBatch.from_arrays([few.column("y"), pa.array(list(x), pa.list_(pa.float64()))], names=["y", "x"])
+
+    found = hashed.select("y", "words").mapInArrow(run, "y int, x array<double>").collect()
+    shared.destroy()
+    return found
 
 
 def _score_texts(model: Model, texts: list, hashes: TokenHash) -> tuple[np.ndarray, np.ndarray]:

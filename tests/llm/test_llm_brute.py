@@ -197,6 +197,49 @@ def test_kneser_ney_ratio_swaps_with_the_classes():
     assert not x[3][2:].any()  # unknown words are neutral
 
 
+def kneser_ney_by_hand(texts, d):
+    """log P of each seen pair and each word for one class after the other, by the
+    formula; ``texts``: the ordinary and the toxic ones as lists of words."""
+    pairs = [collections.Counter((u, w) for t in own for u, w in zip(["<"] + t, t)) for own in texts]
+    both = set(pairs[0]) | set(pairs[1])
+    cont = collections.Counter(w for _, w in both)
+    n = len(both)
+    spare = sum(min(c, d) for c in cont.values()) / n / (len(cont) + 1)
+    shared = {w: max(c - d, 0) / n + spare for w, c in cont.items()}
+    word, pair, context = [], [], []
+    for own in pairs:
+        k = collections.Counter(w for _, w in own)
+        total = sum(k.values())
+        left = sum(min(c, d) for c in k.values()) / total
+        uni = {w: max(k[w] - d, 0) / total + left * shared[w] for w in cont}
+        mass = collections.Counter()
+        for (u, _), c in own.items():
+            mass[u] += c
+        gamma = {u: sum(min(c, d) for (v, _), c in own.items() if v == u) / mass[u] if mass[u] else 1.0 for u, _ in both}
+        pair.append({(u, w): math.log((max(own[u, w] - d, 0) / mass[u] if mass[u] else 0.0) + gamma[u] * uni[w]) for u, w in both})
+        word.append({w: math.log(p) for w, p in uni.items()})
+        context.append({u: math.log(g) for u, g in gamma.items()})
+    return [{key: two[1][key] - two[0][key] for key in two[0]} for two in (pair, word, context)]
+
+
+@pytest.mark.parametrize("d, folds", [(0.75, (0, 1)), (3.0, (0,)), (0.75, (1,))])
+def test_kneser_ney_fit_equals_the_formula(spark, d, folds):
+    rng = random.Random(8)
+    rows = [(y, f, [rng.choice("abcdefg" if y else "defghij") for _ in range(rng.randrange(1, 30))]) for y in (0, 1) for f in (0, 1) for _ in range(5)]
+    hashes = toxicity.TokenHash()
+    code = lambda w: int(toxicity._START) if w == "<" else hashes[w]
+    table = spark.createDataFrame([(y, f, bytearray(toxicity.tokens(" ".join(t), hashes).tobytes())) for y, f, t in rows] + [(0, 0, bytearray())],
+                                  "y int, fold int, words binary").repartition(3)
+    ratio = toxicity.fit_ratio(toxicity.count_pairs(table), folds, d)
+    pair, word, context = kneser_ney_by_hand([[t for y, f, t in rows if y == k and f in folds] for k in (0, 1)], d)
+    key = lambda u, w: int(toxicity._pair(np.array([code(u)], np.uint64), np.array([code(w)], np.uint64))[0])
+    for keys, values, want in ((ratio.pairs, ratio.pair_value, {key(u, w): v for (u, w), v in pair.items()}),
+                               (ratio.words, ratio.word_value, {code(w): v for w, v in word.items()}),
+                               (ratio.contexts, ratio.context_value, {code(u): v for u, v in context.items()})):
+        assert keys.tolist() == sorted(want)
+        assert np.allclose(values, [want[k] for k in keys.tolist()], atol=1e-4)
+
+
 def test_toxic_sample_is_bounded(spark):
     docs = cases.table(spark, [f"word{i} idiot" if i % 2 else f"word{i} fine day" for i in range(60)])
     labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
@@ -257,6 +300,27 @@ def test_references_count_all_documents(spark):
     assert refs.of("fr") is None and refs.words[None][1].tolist() == [3, 2, 1]
 
 
+def test_references_put_ties_in_the_order_of_the_words(spark):
+    texts = ["zz zz zz b\x00 b a \u00e9 " + "x" * 15 + " " + "x" * 16 + " " + "x" * 40] * 2
+    words = texts[0].encode().split()
+    for top in range(1, 9):
+        refs = divergence.fit_references(cases.table(spark, texts), divergence.Rules(top_words=top, min_reference_words=5))
+        n = collections.Counter(words)
+        want = sorted(n, key=lambda w: (-n[w], w[:15], min(len(w), 16)))[:top]
+        got = list(refs.words["en"][0])
+        assert [w[:16] for w in got] == [w[:16] for w in want] and len(got) == top
+        assert refs.words["en"][1].tolist() == [2 * n[w] for w in got] + [2 * (len(words) - sum(n[w] for w in got))]
+
+
+def test_references_do_not_depend_on_how_rows_are_dealt(spark, monkeypatch):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["w%d" % (i * i) for i in range(300)]) for _ in range(200)) for _ in range(60)]
+    one = divergence.fit_references(cases.table(spark, texts, parts=1), divergence.Rules(min_reference_words=5))
+    many = divergence.fit_references(cases.table(spark, texts, parts=9), divergence.Rules(min_reference_words=5))
+    assert list(one.words["en"][0]) == list(many.words["en"][0])
+    assert all((one.words[k][1] == many.words[k][1]).all() and (one.classes[k] == many.classes[k]).all() for k in ("en", None))
+
+
 # 5 ---------------------------------------------------------------------------------------------
 def near_components(texts, size, percent):
     sets = {}
