@@ -124,3 +124,36 @@ def file_summary(spark: SparkSession, path: str) -> DataFrame:
     return (file_list(spark, path).rollup("anno")
             .agg(F.count(F.lit(1)).alias("file"), F.sum("righe").cast("bigint").alias("righe"),
                  F.round(F.sum("byte") / 1_000_000, 1).alias("mb")))
+
+
+def _footer_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application that reads Parquet by the version 2 reader,
+    which takes counts from file footers."""
+    other = spark.newSession()
+    other.conf.set("spark.sql.sources.useV1SourceList", "")
+    other.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return other
+
+
+def footer_plan(spark: SparkSession, path: str, by: str | None = "anno") -> DataFrame:
+    """Rows of a written layer, by its partition column or in all, as an aggregate
+    that the reader answers from footers. It belongs to a session of its own."""
+    layer = _footer_session(spark).read.parquet(path)
+    return layer.groupBy(*([by] if by else [])).agg(F.count(F.lit(1)).alias("righe"))
+
+
+def footer_counts(spark: SparkSession, path: str) -> DataFrame:
+    """``anno, righe, file, byte`` of a layer partitioned by year. Rows come from
+    file footers and sizes from the file listing, so no data page is read. One
+    row a year reaches the driver."""
+    rows = {r["anno"]: r["righe"] for r in footer_plan(spark, path).collect()}
+    year = F.regexp_extract("path", r"/anno=(-?[0-9]+)/", 1).cast("int")
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+             .select(year.alias("anno"), "length").groupBy("anno").agg(F.count("*").alias("n"), F.sum("length").alias("b")).collect())
+    size = {r["anno"]: (r["n"], r["b"]) for r in files}
+    return spark.createDataFrame([(y, n, *size[y]) for y, n in rows.items()], "anno int, righe bigint, file bigint, byte bigint")
+
+
+def rows_written(spark: SparkSession, path: str) -> int:
+    """V2: rows of a written table, from its footers."""
+    return footer_plan(spark, path, None).first()["righe"]

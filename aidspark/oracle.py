@@ -480,12 +480,35 @@ STREAMING = {
 }
 
 
+# ---------------------------------------------------------------- joinable columns
+from aidspark.queries import JOINABLE_LEAST  # noqa: E402
+
+_KEY_COLUMNS = {
+    "aiuti": (f"SELECT * FROM ({_RAW_SQL}) x", [c for c in AID_COLUMNS if c not in ("elemento_aiuto", "importo_nominale")]),
+    "misure": (f"SELECT * FROM {_MEAS} x", [c for c in MEASURE_COLUMNS if not c.startswith("importo_")]),
+    "enti": (S.ENTITIES_SQL, ["codice_fiscale", "event_type"]),
+    "ponte_cup": (S.CUP_BRIDGE_SQL, ["cup", "comune"]),
+    "territorio": (S.TERRITORY_SQL, ["regione", "macro_area"]),
+}
+_JOINABLE_SQL = ("WITH vals AS (" + "\nUNION ALL\n".join(
+    f"SELECT DISTINCT {i} AS k, '{d}' AS d, '{d}.{c}' AS c, trim(CAST({c} AS VARCHAR)) AS v FROM ({body}) t "
+    f"WHERE {c} IS NOT NULL AND trim(CAST({c} AS VARCHAR)) != ''"
+    for i, (d, body, c) in enumerate((d, body, c) for d, (body, cols) in _KEY_COLUMNS.items() for c in cols)) + f"""),
+n AS (SELECT c, COUNT(*) AS n FROM vals GROUP BY c),
+met AS (SELECT a.c AS ca, b.c AS cb, COUNT(*) AS comuni FROM vals a JOIN vals b ON a.v = b.v AND a.d != b.d AND a.k < b.k GROUP BY ALL)
+SELECT ca AS colonna_a, cb AS colonna_b, x.n AS distinti_a, y.n AS distinti_b, comuni,
+       CAST(ROUND(comuni / least(x.n, y.n), 4) AS DOUBLE) AS contenimento
+FROM met JOIN n x ON x.c = ca JOIN n y ON y.c = cb WHERE comuni >= {JOINABLE_LEAST} * least(x.n, y.n)""")
+
+
 # ---------------------------------------------------------------- versioned tables, salvage, bitmaps
 FIRM_LEVELS = ("anno, regione_beneficiario, procedimento", "anno, regione_beneficiario", "anno", "regione_beneficiario", "")
 SAME_RESULT = {"versioned_overwrite": STORAGE["write_year_overwrite"], "versioned_upsert": STORAGE["upsert_append"],
                "versioned_rebuild": STORAGE["rebuild_years"], "versioned_incremental_load": STREAMING["incremental_load"],
                "ingest_prefixed_xml": INGEST["ingest_aid_xml"]}
 LATER = SAME_RESULT | {
+    "joinable_pairs": _JOINABLE_SQL,
+    "footer_counts": f"SELECT anno, COUNT(*) AS righe FROM ({_RAW_SQL}) t GROUP BY anno",
     "salvage_malformed": f"SELECT {_AID_OUT} FROM ({XS.AID_XML_SALVAGED_SQL}) t WHERE anno != 0",
     "distinct_firms": "\nUNION ALL\n".join(
         "SELECT " + ", ".join(c if c in level.split(", ") else f"CAST(NULL AS {kind}) AS {c}" for c, kind in (

@@ -18,6 +18,7 @@ from aidspark.operators import catalog as CT
 from aidspark.operators import clean as C
 from aidspark.operators import distinct as DI
 from aidspark.operators import flatten as FL
+from aidspark.operators import joinable as JO
 from aidspark.operators import joins as J
 from aidspark.operators import marts as M
 from aidspark.operators import quality as Q
@@ -43,6 +44,7 @@ REBUILD_YEARS = (1996, 1997)       # rebuilt range (K5)
 READ_YEAR = 1997                   # single-year read (S19)
 DROP_SPLIT_YEAR = 1998             # first year of the second streaming drop (K7)
 INDEX_FROM_YEAR = 1998             # first year of the current manifest run (D2)
+JOINABLE_LEAST = 0.5               # least containment of joinable columns (D5)
 # Publication window of the stand-in register (first year, last year, months
 # published in the last year), used by the manifests.
 STANDIN_COVERAGE = (1995, 2001, 8)
@@ -216,6 +218,22 @@ def q_distinct_firms(spark, sf_dir):
     return out
 
 
+def q_joinable_pairs(spark, sf_dir):
+    """Columns of the register, its measures and four other datasets that hold each
+    other's values."""
+    spark = prepare(spark)
+    return JO.joinable_pairs({"aiuti": _raw(spark, sf_dir), "misure": _measures(spark, sf_dir),
+                              "enti": S.entities(spark, sf_dir).select("codice_fiscale", "event_type"),
+                              "ponte_cup": S.cup_bridge(spark, sf_dir), "territorio": S.territory(spark, sf_dir)}, JOINABLE_LEAST)
+
+
+def q_footer_counts(spark, sf_dir):
+    """Rows per year of a written raw layer, from its files' footers."""
+    base = scratch_dir(prepare(spark), "layer-footers")
+    ST.write_year_overwrite(_raw(spark, sf_dir), base)
+    return CT.footer_counts(spark, base).select("anno", "righe")
+
+
 def q_salvage_malformed(spark, sf_dir):
     """Ingest of a dump in which seven of eight records have broken markup: every
     record is read with all its fields."""
@@ -380,6 +398,8 @@ def registry() -> dict[str, Query]:
         "versioned_rebuild": q_versioned_rebuild,
         "versioned_incremental_load": lambda sp, d: q_incremental_load(sp, d, versioned=True),
         "distinct_firms": q_distinct_firms,
+        "joinable_pairs": q_joinable_pairs,
+        "footer_counts": q_footer_counts,
         "salvage_malformed": q_salvage_malformed,
         "ingest_prefixed_xml": q_ingest_prefixed,
     })
