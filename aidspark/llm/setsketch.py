@@ -19,7 +19,12 @@ the larger register and equal registers tell similarity. The steps:
   never compared.
 
 With ``rows`` registers to a band, a pair at the threshold shares no bucket with
-probability below ``miss``; the number of bands follows from that.
+probability below ``miss``; the number of bands follows from that. The least
+number of equal registers, and with it the least estimate, follow from ``miss``
+in the same way, so a pair exactly at the threshold is lost with probability
+3 ``miss`` at most (bands, equal registers, estimate), and one over it with less.
+Very long texts are shingled whole; ties of the smallest id go by the text's
+hash; columns other than id and text are not read.
 
 Defined cases: a text of fewer words than a shingle is one shingle of all its
 words; a null or empty text has an empty set and is linked with nothing; rows
@@ -45,9 +50,8 @@ ROWS = 4
 MISS = 1e-5
 #: Registers of a sketch (at least; the bands use the first of them).
 REGISTERS = 192
-#: Standard deviations by which an estimate may fall short of the threshold
-#: before a pair is dropped unverified.
-SLACK = 4.0
+#: Step of the estimate, by which it may be off.
+STEP = 0.01
 #: Members and bytes of sets of a block; buckets of more than ``SMALL`` members
 #: are compared with their sets at hand.
 BLOCK, BLOCK_BYTES, SMALL = 512, 16_000_000, 32
@@ -57,6 +61,18 @@ def bands_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
     return math.ceil(math.log(miss) / math.log(1 - (percent / 100) ** rows))
 
 
+def least_equal(percent: int, m: int, miss: float = MISS) -> int:
+    """Equal registers of ``m`` that a pair at the threshold has but with probability
+    ``miss`` (binomial: each register of the two is equal with a probability of the
+    similarity at least). Pairs of fewer are dropped unverified."""
+    t, below = percent / 100, 0.0
+    for k in range(m + 1):
+        below += math.comb(m, k) * t ** k * (1 - t) ** (m - k)
+        if below > miss:
+            return k
+    return m
+
+
 def shingles(words: list[bytes], hashes: WordHash, size: int) -> np.ndarray:
     """Sorted distinct shingle hashes."""
     if not words:
@@ -153,18 +169,22 @@ def _band_keys(rows: int, bands: int):
     return run
 
 
-def _likely(percent: int):
-    """Keeps pairs whose estimate may reach the threshold."""
-    t = percent / 100
+def _may_reach(regs_a, regs_b, na, nb, percent: int, miss: float) -> np.ndarray:
+    """Whether the joint estimate of each pair is as near to the threshold as that
+    of a pair at it is but with probability ``miss``."""
+    m = regs_a.shape[1]
+    return estimate(regs_a, regs_b, na, nb) >= least_equal(percent, m, miss) / m - STEP
 
+
+def _likely(percent: int, miss: float):
+    """Keeps pairs whose estimate may reach the threshold."""
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             ra, rb = (np.stack([np.frombuffer(b, "<u2") for b in batch.column(c).to_pylist()]) for c in ("ra", "rb"))
             na, nb = (np.asarray(batch.column(c)).astype(float) for c in ("na", "nb"))
-            short = SLACK * math.sqrt(t * (1 - t) / ra.shape[1])
-            ok = estimate(ra, rb, na, nb) >= t - short
+            ok = _may_reach(ra, rb, na, nb, percent, miss)
             yield batch.select(["a", "b"]).filter(pa.array(ok))
     return run
 
@@ -193,11 +213,11 @@ def _sets(size: int):
 
 
 def _crossing(regs: np.ndarray, n: np.ndarray, root: np.ndarray, side: np.ndarray | None, band: int,
-              rows: int, percent: int):
+              rows: int, percent: int, miss: float):
     """Index pairs of different roots that the sketches allow and that share no
-    earlier band; with ``side``, pairs between the two sides only."""
-    t = percent / 100
-    least = (t - SLACK * math.sqrt(t * (1 - t) / regs.shape[1])) * regs.shape[1]
+    earlier band; with ``side``, pairs between the two sides only. A pair needs so
+    many equal registers and, among those that have them, the joint estimate."""
+    least = least_equal(percent, regs.shape[1], miss)
     for lo in range(0, len(regs), 32):
         i = np.arange(lo, min(lo + 32, len(regs)))
         ok = (root[i, None] != root[None]) & (100 * n[i, None] >= percent * n[None]) & (100 * n[None] >= percent * n[i, None])
@@ -209,6 +229,8 @@ def _crossing(regs: np.ndarray, n: np.ndarray, root: np.ndarray, side: np.ndarra
             k = same.sum(1) >= least
             if band:
                 k &= ~same[:, :band * rows].reshape(len(x), band, rows).all(2).any(1)
+            x, y = x[k], y[k]
+            k = _may_reach(regs[x], regs[y], n[x].astype(float), n[y].astype(float), percent, miss)
             yield x[k], y[k]
 
 
@@ -222,7 +244,7 @@ def _pairs_table(found: list) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=["a", "b", "na", "nb"])
 
 
-def _small_buckets(rows: int, percent: int):
+def _small_buckets(rows: int, percent: int, miss: float):
     """Pairs of the small buckets of one part."""
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("bucket")
@@ -231,20 +253,20 @@ def _small_buckets(rows: int, percent: int):
         cuts = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]])
         found = []
         for s, e in zip(cuts[:-1], cuts[1:]):
-            for x, y in _crossing(regs[s:e], n[s:e], root[s:e], None, int(band[s]), rows, percent):
+            for x, y in _crossing(regs[s:e], n[s:e], root[s:e], None, int(band[s]), rows, percent, miss):
                 found.append((cid[s:e][x], cid[s:e][y], n[s:e][x], n[s:e][y]))
         return _pairs_table(found)
     return run
 
 
-def _block_pair(rows: int, percent: int):
+def _block_pair(rows: int, percent: int, miss: float):
     """Links between two blocks of a large bucket (or within one)."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         regs, n, root, cid, band = _table_arrays(table)
         sets = [np.frombuffer(b, "<u8") for b in table.column("set").to_pylist()]
         side = None if key[1] == key[2] else table.column("block").to_numpy() == key[2].as_py()
         found = []
-        for x, y in _crossing(regs, n, root, side, int(band[0]), rows, percent):
+        for x, y in _crossing(regs, n, root, side, int(band[0]), rows, percent, miss):
             keep = []
             for i, j in zip(x.tolist(), y.tolist()):
                 both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
@@ -258,8 +280,8 @@ def _block_pair(rows: int, percent: int):
 class _Links:
     """Classes, their sketches and sets, and the links verified so far."""
 
-    def __init__(self, classes: DataFrame, sets: DataFrame, percent: int):
-        self.classes, self.sets, self.percent = classes, sets, percent
+    def __init__(self, classes: DataFrame, sets: DataFrame, percent: int, miss: float):
+        self.classes, self.sets, self.percent, self.miss = classes, sets, percent, miss
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Of distinct pairs (``a, b, na, nb``) those that reach the threshold."""
@@ -267,7 +289,7 @@ class _Links:
         regs = self.classes.select("cid", "registers")
         sized = pairs.filter((100 * F.col("na") >= p * F.col("nb")) & (100 * F.col("nb") >= p * F.col("na")))
         likely = (sized.join(regs.toDF("a", "ra"), "a").join(regs.toDF("b", "rb"), "b")
-                  .mapInArrow(_likely(p), "a long, b long"))
+                  .mapInArrow(_likely(p, self.miss), "a long, b long"))
         return (likely.join(self.sets.toDF("a", "sa"), "a").join(self.sets.toDF("b", "sb"), "b")
                 .select("a", "b", "sa", "sb").mapInArrow(_verify(p), "a long, b long"))
 
@@ -294,7 +316,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int
     sets = materialize(
         keyed(docs, id_col, text_col).select("rid", "rhash", "text").join(text_of, ["rid", "rhash"])
         .select("cid", "text").mapInArrow(_sets(size), "cid long, set binary").dropDuplicates(["cid"]), "sets")
-    links = _Links(classes, sets, percent)
+    links = _Links(classes, sets, percent, miss)
     star = (members.filter("cid != c.cid")
             .select(F.col("cid").alias("a"), F.col("c.cid").alias("b"), F.col("n").alias("na"), F.col("c.n").alias("nb"))
             .distinct())
@@ -312,12 +334,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int
     pair = "a long, b long, na long, nb long"
     parts = bucket_count(docs, text_col)
     small = (open_.filter(F.col("size") <= SMALL).withColumn("part", F.pmod(F.xxhash64("bucket"), F.lit(parts)))
-             .groupBy("part").applyInArrow(_small_buckets(rows, percent), pair))
+             .groupBy("part").applyInArrow(_small_buckets(rows, percent, miss), pair))
     block = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
     large = (open_.filter(F.col("size") > SMALL).join(sets, "cid").withColumn("block", block)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-             .groupBy("bucket", "lo", "hi").applyInArrow(_block_pair(rows, percent), pair))
+             .groupBy("bucket", "lo", "hi").applyInArrow(_block_pair(rows, percent, miss), pair))
     more = materialize(links.verified(small.distinct()).union(large.select("a", "b").distinct()), "links")
     if more.head(1):
         joined = components(edges.union(more), "a", "b")
