@@ -42,12 +42,12 @@ def _lookup() -> Column:
 
 def section_letter(c) -> Column:
     """The mapped section letter of a code, or NULL (unclassified). A prefix
-    test and two fixed character positions: no regex."""
+    test and two fixed character positions: no regex, no lookup."""
     col = F.col(c) if isinstance(c, str) else c
     n = len(PREFIX)
     letter = F.substring(col, n + 1, 1)
     coded = col.startswith(PREFIX) & (F.substring(col, n + 2, 1) == ".")
-    return F.when(coded & F.try_element_at(_lookup(), letter).isNotNull(), letter)
+    return F.when(coded & letter.isin([k for k, _ in NACE_SECTIONS]), letter)
 
 
 def section_label(letter) -> Column:

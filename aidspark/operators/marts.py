@@ -22,6 +22,7 @@ from aidspark.operators.clean import MISSING_REGION
 AMOUNT = "elemento_aiuto"
 FIRM = "codice_fiscale_beneficiario"
 REGION = "regione_beneficiario"
+SECTION = "sezione"
 
 # --- fixed values: pivoted beneficiary types of the territory mart -------------
 TYPE_SHARES = [("PMI", "quota_pmi_pct"),
@@ -36,18 +37,40 @@ def _nonblank(c: str) -> Column:
     return F.col(c).isNotNull() & (F.col(c) != "")
 
 
-def _n() -> Column:
-    return F.count(F.lit(1))
+# Columns of rows that were counted before (``lattice.base``): rows, exact total
+# and number of amounts. The marts take such rows as they take clean ones.
+ROWS, TOTAL, AMOUNTS = "_righe", "_totale", "_importi"
+
+
+def _counted(df: DataFrame) -> bool:
+    return ROWS in df.columns
+
+
+def _n(df: DataFrame) -> Column:
+    return F.sum(ROWS).cast("bigint") if _counted(df) else F.count(F.lit(1))
+
+
+def _total(df: DataFrame) -> Column:
+    return F.try_sum(TOTAL) if _counted(df) else total(AMOUNT)
+
+
+def _mean(df: DataFrame) -> Column:
+    return _total(df).cast("double") / F.nullif(F.sum(AMOUNTS), F.lit(0)) if _counted(df) else mean(AMOUNT)
+
+
+def _measured(df: DataFrame) -> list[str]:
+    """The columns that ``_n``, ``_total`` and ``_mean`` read."""
+    return [ROWS, TOTAL, AMOUNTS] if _counted(df) else [AMOUNT]
 
 
 def _firms(alias: str = "imprese") -> Column:
     return F.countDistinct(FIRM).alias(alias)
 
 
-def _amounts(raw_alias: str | None = None, with_mean: bool = True) -> list[Column]:
-    out = [total(AMOUNT).alias(raw_alias or "_tot")]
+def _amounts(df: DataFrame, with_mean: bool = True) -> list[Column]:
+    out = [_total(df).alias("_tot")]
     if with_mean:
-        out.append(round_double(mean(AMOUNT), 0).alias("media_esl"))
+        out.append(round_double(_mean(df), 0).alias("media_esl"))
     return out
 
 
@@ -68,7 +91,7 @@ def _year(df: DataFrame, year: int | None) -> DataFrame:
 def mart_per_regione(clean: DataFrame) -> DataFrame:
     g = (clean.where(F.col(REGION) != MISSING_REGION)
          .groupBy("anno", REGION)
-         .agg(_firms(), _n().alias("aiuti"), *_amounts()))
+         .agg(_firms(), _n(clean).alias("aiuti"), *_amounts(clean)))
     return (_finish_total(g).select("anno", REGION, "imprese", "aiuti", "totale_esl", "media_esl")
             .orderBy(F.desc("anno"), F.desc("totale_esl")))
 
@@ -77,7 +100,7 @@ def mart_per_regione(clean: DataFrame) -> DataFrame:
 def mart_per_procedimento(clean: DataFrame) -> DataFrame:
     g = (clean.where(F.col("procedimento") != "")
          .groupBy("anno", "procedimento")
-         .agg(_n().alias("aiuti"), *_amounts(with_mean=False)))
+         .agg(_n(clean).alias("aiuti"), *_amounts(clean, with_mean=False)))
     return (_finish_total(g).select("anno", "procedimento", "aiuti", "totale_esl")
             .orderBy(F.desc("anno"), F.desc("totale_esl")))
 
@@ -88,7 +111,7 @@ def mart_top_beneficiari(clean: DataFrame, n: int = 1000, year: int | None = Non
     TakeOrderedAndProject: each task keeps n rows, one merge of n x tasks."""
     keys = [FIRM, "denominazione_beneficiario", REGION]
     g = (_year(clean, year).where(F.col(FIRM) != "")
-         .groupBy(*keys).agg(_n().alias("aiuti"), *_amounts()))
+         .groupBy(*keys).agg(_n(clean).alias("aiuti"), *_amounts(clean)))
     return (_finish_total(g).select(*keys, "aiuti", "totale_esl", "media_esl")
             .orderBy(F.desc("totale_esl"), *[F.asc(k) for k in keys]).limit(n))
 
@@ -97,7 +120,7 @@ def mart_top_beneficiari(clean: DataFrame, n: int = 1000, year: int | None = Non
 def mart_per_obiettivo(clean: DataFrame) -> DataFrame:
     g = (clean.where(_nonblank("cod_obiettivo"))
          .groupBy("anno", "cod_obiettivo", "obiettivo")
-         .agg(_n().alias("aiuti"), _firms(), *_amounts()))
+         .agg(_n(clean).alias("aiuti"), _firms(), *_amounts(clean)))
     g = _finish_total(g).withColumn("quota_pct_su_anno", share_of("_tot", "anno"))
     return (g.select("anno", "cod_obiettivo", "obiettivo", "aiuti", "imprese", "totale_esl",
                      "media_esl", "quota_pct_su_anno")
@@ -110,7 +133,7 @@ def mart_per_strumento(clean: DataFrame) -> DataFrame:
     (rank on the exact sum, not the rounded one)."""
     g = (clean.where(_nonblank("strumento"))
          .groupBy("anno", "strumento")
-         .agg(_n().alias("aiuti"), *_amounts()))
+         .agg(_n(clean).alias("aiuti"), *_amounts(clean)))
     g = (_finish_total(g)
          .withColumn("quota_pct_su_anno", share_of("_tot", "anno"))
          .withColumn("rank_per_anno", _rank(["anno"], "_tot", ["strumento"])))
@@ -125,7 +148,7 @@ def mart_tipo_beneficiario(clean: DataFrame) -> DataFrame:
                      & (F.col("tipo_beneficiario") != UNKNOWN_TYPE)
                      & (F.col(REGION) != MISSING_REGION))
          .groupBy("anno", "tipo_beneficiario", REGION)
-         .agg(_firms(), _n().alias("aiuti"), *_amounts()))
+         .agg(_firms(), _n(clean).alias("aiuti"), *_amounts(clean)))
     g = _finish_total(g).withColumn("quota_pct_su_regione", share_of("_tot", "anno", REGION))
     return (g.select("anno", "tipo_beneficiario", REGION, "imprese", "aiuti", "totale_esl",
                      "media_esl", "quota_pct_su_regione")
@@ -139,12 +162,12 @@ def mart_settore_regione(clean: DataFrame) -> DataFrame:
 
     Grouped by the one-letter section; the label is attached after the
     aggregate (labels start with their letter, so ordering is the same)."""
-    s = (clean.where(_nonblank("settore_attivita") & (F.col(REGION) != MISSING_REGION))
-         .select("anno", F.col(REGION).alias("regione"),
-                 section_letter("settore_attivita").alias("_sez"), AMOUNT, FIRM)
+    sez = F.col(SECTION) if SECTION in clean.columns else section_letter("settore_attivita")
+    s = (clean.where(F.col(REGION) != MISSING_REGION)
+         .select("anno", F.col(REGION).alias("regione"), sez.alias("_sez"), *_measured(clean), FIRM)
          .where(F.col("_sez").isNotNull()))
     g = (s.groupBy("anno", "regione", "_sez")
-         .agg(_n().alias("aiuti"), _firms(), *_amounts()))
+         .agg(_n(clean).alias("aiuti"), _firms(), *_amounts(clean)))
     g = (_finish_total(g)
          .withColumn("macro_settore", section_label("_sez"))
          .withColumn("quota_pct_su_regione", share_of("_tot", "anno", "regione"))
@@ -166,10 +189,10 @@ def mart_territorio(clean: DataFrame, type_shares=TYPE_SHARES) -> DataFrame:
     base = clean.where(F.col(REGION) != MISSING_REGION)
     regioni = _finish_total(
         base.groupBy("anno", F.col(REGION).alias("regione"))
-        .agg(_firms(), _n().alias("aiuti"), *_amounts()))
+        .agg(_firms(), _n(clean).alias("aiuti"), *_amounts(clean)))
     tipi = (base.where(F.col("tipo_beneficiario").isNotNull() & (F.col("tipo_beneficiario") != UNKNOWN_TYPE))
             .groupBy("anno", F.col(REGION).alias("regione"), "tipo_beneficiario")
-            .agg(total(AMOUNT).alias("_tot_tipo"))
+            .agg(_total(clean).alias("_tot_tipo"))
             .withColumn("_quota", share_of("_tot_tipo", "anno", "regione")))
     pivot = tipi.groupBy("anno", "regione").agg(*[
         F.max(F.when(F.col("tipo_beneficiario") == label, F.col("_quota"))).alias(name)
@@ -193,7 +216,7 @@ def mart_policy(clean: DataFrame) -> DataFrame:
     def part(dim, code, text):
         g = (clean.where(_nonblank(code if dim == "obiettivo" else text))
              .groupBy("anno", F.col(code).alias("codice"), F.col(text).alias("descrizione"))
-             .agg(_n().alias("aiuti"), _firms(), *_amounts()))
+             .agg(_n(clean).alias("aiuti"), _firms(), *_amounts(clean)))
         g = _finish_total(g).withColumn("quota_pct_su_anno", share_of("_tot", "anno"))
         return g.select("anno", F.lit(dim).alias("dimensione"), "codice", "descrizione", "aiuti",
                         "imprese", "totale_esl", "media_esl", "quota_pct_su_anno")
@@ -208,7 +231,7 @@ def mart_top(clean: DataFrame, n: int = 1000) -> DataFrame:
     keys = [FIRM, "denominazione_beneficiario", REGION]
     top = _finish_total(
         clean.where((F.col(FIRM) != "") & (F.col("denominazione_beneficiario") != ""))
-        .groupBy(*keys).agg(_n().alias("aiuti"), *_amounts()))
+        .groupBy(*keys).agg(_n(clean).alias("aiuti"), *_amounts(clean)))
     top = (top.orderBy(F.desc("totale_esl"), *[F.asc(k) for k in keys]).limit(n)
            .select(F.lit("beneficiario").alias("dimensione"), F.col(FIRM).alias("codice"),
                    F.col("denominazione_beneficiario").alias("descrizione"),
@@ -216,7 +239,7 @@ def mart_top(clean: DataFrame, n: int = 1000) -> DataFrame:
     proc = _finish_total(
         clean.where(_nonblank("cod_procedimento"))
         .groupBy(F.col("cod_procedimento").alias("codice"), F.col("procedimento").alias("descrizione"))
-        .agg(_n().alias("aiuti"), *_amounts(with_mean=False)))
+        .agg(_n(clean).alias("aiuti"), *_amounts(clean, with_mean=False)))
     proc = proc.select(F.lit("procedimento").alias("dimensione"), "codice", "descrizione",
                        F.lit(None).cast("string").alias("regione"), "aiuti", "totale_esl",
                        F.lit(None).cast("double").alias("media_esl"))
@@ -232,7 +255,7 @@ def is_active(end: Column, cutoff: str = ACTIVE_CUTOFF) -> Column:
 def mart_misure_per_tipo(measures: DataFrame) -> DataFrame:
     g = (measures.where(F.col("des_tipo_misura").isNotNull())
          .groupBy("des_tipo_misura")
-         .agg(_n().alias("n_misure"),
+         .agg(F.count(F.lit(1)).alias("n_misure"),
               total("importo_prestiti_garantiti").alias("_p"),
               total("importo_aiuto_ad_hoc").alias("_a")))
     return (g.select("des_tipo_misura", "n_misure",
@@ -246,7 +269,7 @@ def mart_misure_attive(measures: DataFrame, cutoff: str = ACTIVE_CUTOFF) -> Data
     act = F.when(is_active(F.col("data_fine_misura"), cutoff), 1).otherwise(0)
     g = (measures.where(F.col("anno").isNotNull())
          .groupBy("anno")
-         .agg(_n().alias("n_misure_istituite"), F.sum(act).cast("bigint").alias("ancora_attive")))
+         .agg(F.count(F.lit(1)).alias("n_misure_istituite"), F.sum(act).cast("bigint").alias("ancora_attive")))
     return (g.withColumn("quota_attive_pct", pct(F.col("ancora_attive"), F.col("n_misure_istituite"), 1))
             .orderBy(F.desc("anno")))
 

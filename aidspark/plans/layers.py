@@ -6,6 +6,10 @@ and read the written clean files; otherwise the clean write and the marts run
 as concurrent jobs, the marts reading the raw Parquet through the clean
 projection. In both cases every mart prunes to the few columns it needs and
 every job's lineage starts at Parquet files.
+
+With ``one_scan`` the marts read the raw layer once for all: its rows are
+counted for the marts' sets of columns (``operators.lattice``), written to the
+scratch folder, and every mart is grouped from there.
 """
 
 from __future__ import annotations
@@ -18,9 +22,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from aidspark.operators import clean as C
+from aidspark.operators import lattice as LT
 from aidspark.operators import marts as M
 from aidspark.operators import quality as Q
 from aidspark.plans.storage import ZSTD, path_bytes
+from aidspark.session import scratch_dir
 
 # --- fixed values: the marts each dataset configuration registers -------------
 AID_REGISTERED = {
@@ -90,7 +96,8 @@ def run_layers(spark: SparkSession, raw: DataFrame, out_dir: str,
                clean_fn: Callable[[DataFrame], DataFrame],
                marts: dict[str, Callable[[DataFrame], DataFrame]],
                rules: dict, required_marts: list[str] = (), mart_rules: dict | None = None,
-               partition_by: str | None = "anno", fail_on_error: bool = False, parallel: int = 8) -> dict:
+               partition_by: str | None = "anno", fail_on_error: bool = False, parallel: int = 8,
+               one_scan: bool = False) -> dict:
     """Write the clean layer and every mart, run the gates; return rows, seconds
     and gates per step.
 
@@ -100,7 +107,10 @@ def run_layers(spark: SparkSession, raw: DataFrame, out_dir: str,
     write and the marts run as concurrent jobs (up to ``parallel`` submitted
     from driver threads) and each mart reads the raw layer through the clean
     projection, pruned to its own columns. Either way every job's lineage
-    starts at Parquet files, so a lost executor only recomputes its splits."""
+    starts at Parquet files, so a lost executor only recomputes its splits.
+
+    ``one_scan``: marts that are groupings of the lattice's sets are made from its
+    counted rows, for which the raw layer is scanned once."""
     t0 = time.time()
     clean_path = f"{out_dir}/clean"
     report = {"clean_path": clean_path, "marts": {}}
@@ -133,7 +143,15 @@ def run_layers(spark: SparkSession, raw: DataFrame, out_dir: str,
             source = clean_fn(raw)
             # The clean write is submitted first, as it takes longest.
             futures = [pool.submit(write_clean)]
-            futures += [pool.submit(one, n, fn, source) for n, fn in marts.items()]
+            counted_marts = {n: fn for n, fn in marts.items() if one_scan and fn in LT.SETS_OF}
+            futures += [pool.submit(one, n, fn, source) for n, fn in marts.items() if n not in counted_marts]
+            if counted_marts:
+                path = scratch_dir(spark, "mart-base")
+                (LT.base(source, LT.sets_for(counted_marts.values())).write.options(**ZSTD)
+                 .partitionBy(LT.SET).parquet(path))
+                report["base_sec"] = round(time.time() - t0, 3)
+                base = spark.read.parquet(path)
+                futures += [pool.submit(one, n, lambda b, fn=fn: LT.mart(fn, b), base) for n, fn in counted_marts.items()]
         for f in futures:
             f.result()
     report["mart_rows"] = sum(m["rows"] for m in report["marts"].values())
@@ -158,7 +176,7 @@ def run_aid(spark: SparkSession, raw: DataFrame, out_dir: str, marts=None,
     if year is not None:
         raw, out_dir = raw.where(F.col("anno") == year), f"{out_dir}/{year}"
     return run_layers(spark, raw, out_dir, C.clean_aid, marts or AID_REGISTERED,
-                      Q.AID_CLEAN_RULES, Q.AID_REQUIRED_MARTS, Q.AID_MART_RULES)
+                      Q.AID_CLEAN_RULES, Q.AID_REQUIRED_MARTS, Q.AID_MART_RULES, one_scan=True)
 
 
 def run_measures(spark: SparkSession, raw: DataFrame, out_dir: str, fail_on_error: bool = True) -> dict:

@@ -20,6 +20,7 @@ from aidspark.operators import distinct as DI
 from aidspark.operators import flatten as FL
 from aidspark.operators import joinable as JO
 from aidspark.operators import joins as J
+from aidspark.operators import lattice as LT
 from aidspark.operators import marts as M
 from aidspark.operators import quality as Q
 from aidspark.operators.dedup import dedup_keep_last
@@ -234,6 +235,14 @@ def q_footer_counts(spark, sf_dir):
     return CT.footer_counts(spark, base).select("anno", "righe")
 
 
+def q_mart_base(spark, sf_dir):
+    """The counted rows that all marts are groupings of, summed per set."""
+    found = LT.base(_clean(spark, sf_dir)).groupBy(LT.SET).agg(
+        F.count("*").alias("gruppi"), F.sum(M.ROWS).cast("bigint").alias("aiuti"), F.sum(M.AMOUNTS).cast("bigint").alias("importi"),
+        F.round(F.try_sum(M.TOTAL), 0).cast("double").alias("totale_esl"))
+    return found
+
+
 def q_salvage_malformed(spark, sf_dir):
     """Ingest of a dump in which seven of eight records have broken markup: every
     record is read with all its fields."""
@@ -398,6 +407,7 @@ def registry() -> dict[str, Query]:
         "versioned_rebuild": q_versioned_rebuild,
         "versioned_incremental_load": lambda sp, d: q_incremental_load(sp, d, versioned=True),
         "distinct_firms": q_distinct_firms,
+        "mart_base": q_mart_base,
         "joinable_pairs": q_joinable_pairs,
         "footer_counts": q_footer_counts,
         "salvage_malformed": q_salvage_malformed,
