@@ -38,20 +38,26 @@ def manifest_by_year(layer: DataFrame, coverage=SOURCE_COVERAGE, sizes: DataFram
     """Per year: rows, distinct months 1-12 present, months the source
     published, completeness = min(1, round_half_even(n / expected, 2)) or 0; with
     ``sizes`` (``year_sizes`` of the written layer) also ``size_mb``."""
+    counts = layer.groupBy("anno", "mese").agg(F.count(F.lit(1)).alias("righe"))
+    out = manifest_of_counts(counts, coverage)
+    return out if sizes is None else out.join(sizes.select("anno", "size_mb"), "anno", "left")
+
+
+def manifest_of_counts(counts: DataFrame, coverage=SOURCE_COVERAGE) -> DataFrame:
+    """D1 from row counts (``righe``) per year, month and whatever else."""
     month = F.col("mese")
-    g = layer.groupBy("anno").agg(
-        F.count(F.lit(1)).alias("righe"),
+    g = counts.groupBy("anno").agg(
+        F.sum("righe").cast("bigint").alias("righe"),
         F.array_sort(F.collect_set(F.when(month.between(1, 12), month))).alias("_m"))
     exp = expected_months(F.col("anno"), coverage)
     n = F.size("_m")
-    out = g.select(
+    return g.select(
         "anno", "righe",
         F.array_join(F.transform("_m", lambda x: x.cast("string")), ",").alias("mesi"),
         n.cast("bigint").alias("n_mesi"),
         exp.alias("mesi_attesi"),
         F.when(exp == 0, F.lit(0.0))
          .otherwise(F.least(F.lit(1.0), F.bround(n / exp, 2))).alias("completezza"))
-    return out if sizes is None else out.join(sizes.select("anno", "size_mb"), "anno", "left")
 
 
 def manifest_index(current: DataFrame, previous: DataFrame) -> DataFrame:

@@ -47,11 +47,24 @@ def join_aid_measure(clean: DataFrame, measures: DataFrame) -> DataFrame:
                     pct(F.col("_erogato"), F.col("_plafond"), 2).alias("quota_erogata_pct"))
 
 
-def join_by_fiscal_code(aid: DataFrame, entities: DataFrame, entity_key: str = "codice_fiscale") -> DataFrame:
-    """Firms present in another dataset keyed by fiscal code."""
+def _present(aid: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``aid`` whose key the other side has. Spark broadcasts small sides;
+    for larger ones it builds a Bloom filter of their keys, which drops rows at the
+    scan (``might_contain``), from 10 GB of aid on by default."""
+    return aid.join(keys.select(key), key, "left_semi")
+
+
+def join_by_fiscal_code(aid: DataFrame, entities: DataFrame, entity_key: str = "codice_fiscale",
+                        prefilter: bool = False) -> DataFrame:
+    """Firms present in another dataset keyed by fiscal code. ``prefilter``: rows
+    of absent firms are dropped before the aid side is grouped, which pays where
+    most firms are absent; without it the aid side is grouped as a whole."""
     a = (aid.select(normalize_key("codice_fiscale_beneficiario").alias("codice_fiscale"), AMOUNT)
-         .where(F.col("codice_fiscale") != "")
-         .groupBy("codice_fiscale").agg(F.count(F.lit(1)).alias("aiuti"), total(AMOUNT).alias("_tot")))
+         .where(F.col("codice_fiscale") != ""))
+    if prefilter:
+        wanted = entities.select(normalize_key(entity_key).alias("codice_fiscale")).where(F.col("codice_fiscale") != "")
+        a = _present(a, wanted, "codice_fiscale")
+    a = (a.groupBy("codice_fiscale").agg(F.count(F.lit(1)).alias("aiuti"), total(AMOUNT).alias("_tot")))
     e = (entities.select(normalize_key(entity_key).alias("codice_fiscale"))
          .where(F.col("codice_fiscale") != "")
          .groupBy("codice_fiscale").agg(F.count(F.lit(1)).alias("n_record_entita")))
@@ -59,11 +72,14 @@ def join_by_fiscal_code(aid: DataFrame, entities: DataFrame, entity_key: str = "
         "codice_fiscale", "aiuti", rounded(F.col("_tot")).alias("totale_esl"), "n_record_entita")
 
 
-def join_by_cup_bridge(aid: DataFrame, bridge: DataFrame, no_cup=("", "n.d.")) -> DataFrame:
+def join_by_cup_bridge(aid: DataFrame, bridge: DataFrame, no_cup=("", "n.d."), prefilter: bool = False) -> DataFrame:
     """Project code -> municipality through a bridge table (two hops:
-    aid per CUP, CUP -> municipality, then totals per municipality)."""
-    per_cup = (aid.where(~F.col("cup").isin(*no_cup) & F.col("cup").isNotNull())
-               .groupBy("cup").agg(F.count(F.lit(1)).alias("_n"), total(AMOUNT).alias("_tot")))
+    aid per CUP, CUP -> municipality, then totals per municipality).
+    ``prefilter`` as in ``join_by_fiscal_code``."""
+    coded = aid.where(~F.col("cup").isin(*no_cup) & F.col("cup").isNotNull()).select("cup", AMOUNT)
+    if prefilter:
+        coded = _present(coded, bridge.where(~F.col("cup").isin(*no_cup)), "cup")
+    per_cup = (coded.groupBy("cup").agg(F.count(F.lit(1)).alias("_n"), total(AMOUNT).alias("_tot")))
     br = bridge.where(~F.col("cup").isin(*no_cup)).select("cup", "comune").distinct()
     j = per_cup.join(br, "cup")
     return (j.groupBy("comune")

@@ -514,6 +514,10 @@ LATER = SAME_RESULT | {
         f"SUM(CAST(elemento_aiuto AS DECIMAL(28,8))) AS t FROM (SELECT *, CASE WHEN settore_attivita LIKE '(NACE 2) _.%' AND "
         f"substr(settore_attivita, 10, 1) BETWEEN 'A' AND 'S' THEN substr(settore_attivita, 10, 1) END AS sezione "
         f"FROM ({_CLEAN_SQL}) x) y GROUP BY {', '.join(cols)}) z" for name, cols in LT.SETS.items()),
+    "manifest_refresh": _manifest(STORAGE["write_year_overwrite"]),
+    "join_by_fiscal_code_prefiltered": JOINS["join_by_fiscal_code"],
+    "join_by_cup_bridge_prefiltered": JOINS["join_by_cup_bridge"],
+    "bucketed_dedup": STORAGE["dedup_keep_last"],
     "joinable_pairs": _JOINABLE_SQL,
     "footer_counts": f"SELECT anno, COUNT(*) AS righe FROM ({_RAW_SQL}) t GROUP BY anno",
     "salvage_malformed": f"SELECT {_AID_OUT} FROM ({XS.AID_XML_SALVAGED_SQL}) t WHERE anno != 0",

@@ -24,7 +24,9 @@ from aidspark.operators import lattice as LT
 from aidspark.operators import marts as M
 from aidspark.operators import quality as Q
 from aidspark.operators.dedup import dedup_keep_last
+from aidspark.plans import bucketed as BK
 from aidspark.plans import layers as L
+from aidspark.plans import manifest as MF
 from aidspark.plans import storage as ST
 from aidspark.plans.yeartable import YearTable
 from aidspark.schemas import AID_DEDUP_KEY, AID_SCHEMA, MEASURE_KEY, MEASURE_SCHEMA
@@ -45,6 +47,7 @@ REBUILD_YEARS = (1996, 1997)       # rebuilt range (K5)
 READ_YEAR = 1997                   # single-year read (S19)
 DROP_SPLIT_YEAR = 1998             # first year of the second streaming drop (K7)
 INDEX_FROM_YEAR = 1998             # first year of the current manifest run (D2)
+KEY_BUCKETS = 16                   # buckets of a table by grant key (K1)
 JOINABLE_LEAST = 0.5               # least containment of joinable columns (D5)
 # Publication window of the stand-in register (first year, last year, months
 # published in the last year), used by the manifests.
@@ -243,6 +246,25 @@ def q_mart_base(spark, sf_dir):
     return found
 
 
+def q_manifest_refresh(spark, sf_dir):
+    """A manifest kept up by file: counted once, then only for the files of the
+    years that were overwritten."""
+    base, root = scratch_dir(prepare(spark), "layer-manifest"), scratch_dir(spark, "manifest-state")
+    raw = _arrived(spark, sf_dir)
+    ST.write_year_overwrite(raw, base)
+    MF.refresh(spark, base, root)
+    ST.write_year_overwrite(raw, base, years=OVERWRITE_YEARS, dedup=True)
+    MF.refresh(spark, base, root)
+    return MF.manifest(spark, root, STANDIN_COVERAGE)
+
+
+def q_bucketed_dedup(spark, sf_dir):
+    """``dedup_keep_last`` on a table bucketed by the grant key."""
+    path = scratch_dir(prepare(spark), "bucketed")
+    table = BK.write_bucketed(_arrived(spark, sf_dir), "aiuti_" + path.rsplit("-", 1)[1], path, AID_DEDUP_KEY, KEY_BUCKETS)
+    return BK.keep_last(table, AID_DEDUP_KEY, "_arrival")
+
+
 def q_salvage_malformed(spark, sf_dir):
     """Ingest of a dump in which seven of eight records have broken markup: every
     record is read with all its fields."""
@@ -364,6 +386,8 @@ def registry() -> dict[str, Query]:
         "q_cup_traceability": lambda sp, d: A.q_cup_traceability(_raw(sp, d)),
         "join_aid_measure": lambda sp, d: J.join_aid_measure(_clean(sp, d), _measures(sp, d)),
         "join_by_fiscal_code": lambda sp, d: J.join_by_fiscal_code(_clean(sp, d), S.entities(sp, d)),
+        "join_by_fiscal_code_prefiltered": lambda sp, d: J.join_by_fiscal_code(_clean(sp, d), S.entities(sp, d), prefilter=True),
+        "join_by_cup_bridge_prefiltered": lambda sp, d: J.join_by_cup_bridge(_clean(sp, d), S.cup_bridge(sp, d), prefilter=True),
         "join_by_cup_bridge": lambda sp, d: J.join_by_cup_bridge(_clean(sp, d), S.cup_bridge(sp, d)),
         "join_by_region": lambda sp, d: J.join_by_region(_clean(sp, d), S.territory(sp, d)),
     })
@@ -407,6 +431,8 @@ def registry() -> dict[str, Query]:
         "versioned_rebuild": q_versioned_rebuild,
         "versioned_incremental_load": lambda sp, d: q_incremental_load(sp, d, versioned=True),
         "distinct_firms": q_distinct_firms,
+        "manifest_refresh": q_manifest_refresh,
+        "bucketed_dedup": q_bucketed_dedup,
         "mart_base": q_mart_base,
         "joinable_pairs": q_joinable_pairs,
         "footer_counts": q_footer_counts,
