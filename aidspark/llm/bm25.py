@@ -23,7 +23,9 @@ No row is moved, so no key can be hot.
 Defined cases: null and empty texts hold nothing and items without words are
 never found; a null id stays null; rows that repeat an item's id and text are
 one item; repeated training rows are reported each; an item of one sentence is
-its own question and answer; empty tables give no rows.
+its own question and answer; items of equal scores are all reported; very long
+texts are asked whole, passage by passage; columns other than ids and texts are
+not read; empty tables give no rows.
 """
 
 from __future__ import annotations

@@ -23,7 +23,9 @@ Besides, exact phrases are located (``phrase_places``).
 
 Defined cases: null and empty texts have no words, places or labels and score
 0; ties of frequency are ordered by the word; repeated rows are scanned each;
-empty tables give no rows; an empty template list finds phrases only.
+very long texts are scanned whole, in stretches; columns other than the id and
+the text are not read; empty tables give no rows; an empty template list finds
+phrases only.
 """
 
 from __future__ import annotations

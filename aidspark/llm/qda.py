@@ -11,7 +11,9 @@ Defined cases: null and empty texts have the statistics of an empty text and
 get a score like any other; several labels for one id count by their mean
 (0.5 and over: 1), null labels are left out; repeated rows count and are scored
 each; with labels of one class only the score is that class's share smoothed by
-one row of each class, with none it is 0.5; an empty table gives no rows.
+one row of each class, with none it is 0.5; scores may tie and are not ranked;
+very long texts are measured whole; columns other than id, text and label are
+not read; an empty table gives no rows.
 """
 
 from __future__ import annotations

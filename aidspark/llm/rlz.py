@@ -1,13 +1,13 @@
-"""Substring deduplication by a relative Lempel-Ziv parse.
+"""Substring deduplication: windows against their first places.
 
-Every document is factored against the documents with smaller ids. The
-reference is an index of all their blocks: each window of ``window`` words leads
-to its first place (smallest id, then smallest position). A factor is a maximal
-run of windows whose first places follow one another in one reference document;
-it is parsed greedily, as far as the reference goes on. As each window is looked
-up, those across the boundary of two factors are as well: a stretch is removed
-exactly where some window, taken from the input, also starts in a smaller
-document.
+Every document is held against the documents with smaller ids: each window of
+``window`` words is joined by its hash with its first place (smallest id, then
+smallest position). A factor is a maximal run of windows whose first places
+follow one another in one document. This is not a greedy Lempel-Ziv parse of
+reference blocks: all windows are looked up, those across the boundary of two
+factors as well, so what is removed does not depend on how documents are dealt
+to tasks or blocks. A stretch is removed exactly where some window, taken from
+the input, also starts in a smaller document.
 
 How it runs: a window's bucket is the smallest hash of its 4-word runs (a
 minimizer), so that neighbouring windows mostly share a bucket and travel as one
@@ -23,7 +23,8 @@ Windows are compared by 64-bit hashes of their words.
 Defined cases: null and empty texts have no words; rows with the same id are
 versions of one document, which do not shorten each other; a null id sorts after
 all others; a repeated row gets the same result twice; a window repeated within
-one document only is kept; an empty table gives no rows.
+one document only is kept; very long texts are read whole; columns other than
+the id and the text are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations

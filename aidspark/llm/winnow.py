@@ -26,8 +26,9 @@ document has before is marked there and not shuffled.
 Defined cases: null and empty texts have no lines; blank lines neither match nor
 separate, and stay; a text with fewer than ``run_lines`` lines is left alone; a
 null id sorts after all others; rows that repeat an id and text are one document
-and get the same result; an empty table gives no rows. Lines are compared by
-64-bit hashes.
+and get the same result; very long texts and lines are read whole; columns other
+than the id and the text pass through unread, whatever their names; an empty
+table gives no rows. Lines are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
