@@ -88,8 +88,9 @@ def _lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: f
 
 @dataclass(frozen=True)
 class Ratio:
-    """log P_toxic - log P_ordinary: ``pairs`` seen with either class, else the
-    sum of the context's and the word's share of the back-off."""
+    """log P_toxic - log P_ordinary: of ``pairs`` that either class has more often
+    than the discount takes off, else the sum of the context's and the word's
+    share of the back-off."""
     pairs: np.ndarray
     pair_value: np.ndarray
     words: np.ndarray
@@ -225,8 +226,10 @@ def fit_ratio(pairs: DataFrame, folds: tuple[int, ...], d: float = DISCOUNT) ->
                            .select("u", *[x for y in (0, 1) for x in (
                                F.greatest(F.col(f"m{y}"), F.lit(1)).alias(f"size{y}"),
                                F.when(F.col(f"m{y}") > 0, F.col(f"f{y}") / F.col(f"m{y}")).otherwise(1.0).alias(f"gamma{y}"))]), "contexts")
-    p = [1e-12 + F.greatest(F.col(f"c{y}") - d, F.lit(0.0)) / F.col(f"size{y}") + F.col(f"gamma{y}") * F.col(f"p{y}") for y in (0, 1)]
-    return Ratio(*_fetch(t.join(words, "w").join(contexts, "u").select("pair", (F.log(p[1]) - F.log(p[0])).cast("float"))),
+    p = [F.greatest(F.col(f"c{y}") - d, F.lit(0.0)) / F.col(f"size{y}") + F.col(f"gamma{y}") * F.col(f"p{y}") for y in (0, 1)]
+    # a pair of which the discount takes all in both classes has just what its word and its context give
+    kept = t.filter((F.col("c0") > d) | (F.col("c1") > d))
+    return Ratio(*_fetch(kept.join(words, "w").join(contexts, "u").select("pair", (F.log(p[1]) - F.log(p[0])).cast("float"))),
                  *_fetch(words.select("w", (F.log("p1") - F.log("p0")).cast("float"))),
                  *_fetch(contexts.select("u", (F.log("gamma1") - F.log("gamma0")).cast("float"))))
 

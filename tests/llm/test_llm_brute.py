@@ -233,8 +233,13 @@ def test_kneser_ney_fit_equals_the_formula(spark, d, folds):
     ratio = toxicity.fit_ratio(toxicity.count_pairs(table), folds, d)
     pair, word, context = kneser_ney_by_hand([[t for y, f, t in rows if y == k and f in folds] for k in (0, 1)], d)
     key = lambda u, w: int(toxicity._pair(np.array([code(u)], np.uint64), np.array([code(w)], np.uint64))[0])
-    for keys, values, want in ((ratio.pairs, ratio.pair_value, {key(u, w): v for (u, w), v in pair.items()}),
-                               (ratio.words, ratio.word_value, {code(w): v for w, v in word.items()}),
+    # pairs that are not held have what their word and their context give
+    held, of = dict(zip(ratio.pairs.tolist(), ratio.pair_value.tolist())), {"w": dict(zip(ratio.words.tolist(), ratio.word_value.tolist())),
+                                                                            "u": dict(zip(ratio.contexts.tolist(), ratio.context_value.tolist()))}
+    assert set(held) <= {key(u, w) for u, w in pair} and (d > 1 or held)
+    for (u, w), v in pair.items():
+        assert held.get(key(u, w), of["w"][code(w)] + of["u"][code(u)]) == pytest.approx(v, abs=1e-4)
+    for keys, values, want in ((ratio.words, ratio.word_value, {code(w): v for w, v in word.items()}),
                                (ratio.contexts, ratio.context_value, {code(u): v for u, v in context.items()})):
         assert keys.tolist() == sorted(want)
         assert np.allclose(values, [want[k] for k in keys.tolist()], atol=1e-4)
