@@ -60,21 +60,23 @@ def _clean_gates(df: DataFrame, path: str, stats: dict, rules: dict) -> list[tup
     return out
 
 
-def _mart_gates(spark: SparkSession, out_dir: str, report: dict, required: list[str], rules: dict) -> list[tuple[str, bool]]:
-    """Gates of the marts: tables that must be there, rows observed, columns and
-    keys of the written files."""
-    out = [(f"table {name}", name in report) for name in required]
-    for name, rule in rules.items():
-        if name not in report:
-            out.append((f"rules {name}", False))
-            continue
-        written = spark.read.parquet(f"{out_dir}/{name}")
-        if "min_rows" in rule:
-            out.append((f"min_rows {name}", report[name]["rows"] >= rule["min_rows"]))
-        if "required_columns" in rule:
-            out.append((f"required_columns {name}", set(rule["required_columns"]) <= set(written.columns)))
-        if "primary_key" in rule:
-            out.append((f"primary_key {name}", not Q.dq_primary_key(written, rule["primary_key"]).head(1)))
+def _gates_of_mart(spark: SparkSession, path: str, name: str, rows: int, rule: dict) -> list[tuple[str, bool]]:
+    """Gates of one written mart: rows observed, columns and key of its files."""
+    out, written = [], spark.read.parquet(path) if rule else None
+    if "min_rows" in rule:
+        out.append((f"min_rows {name}", rows >= rule["min_rows"]))
+    if "required_columns" in rule:
+        out.append((f"required_columns {name}", set(rule["required_columns"]) <= set(written.columns)))
+    if "primary_key" in rule:
+        out.append((f"primary_key {name}", not Q.dq_primary_key(written, rule["primary_key"]).head(1)))
+    return out
+
+
+def _mart_gates(marts: dict, required: list[str], rules: dict) -> list[tuple[str, bool]]:
+    """Tables that must be there, and the gates found as each mart was written."""
+    out = [(f"table {name}", name in marts) for name in required]
+    for name in rules:
+        out += marts[name]["gates"] if name in marts else [(f"rules {name}", False)]
     return out
 
 
@@ -132,7 +134,10 @@ def run_layers(spark: SparkSession, raw: DataFrame, out_dir: str,
     def one(name, fn, source):
         t = time.time()
         rows = _write_counted(fn(source), f"{out_dir}/{name}")["*"]
-        report["marts"][name] = {"rows": rows, "sec": round(time.time() - t, 3)}
+        sec = round(time.time() - t, 3)
+        # gated at once, beside the other marts' jobs
+        gates = _gates_of_mart(spark, f"{out_dir}/{name}", name, rows, (mart_rules or {}).get(name, {}))
+        report["marts"][name] = {"rows": rows, "sec": sec, "gates": gates}
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         if fail_on_error:
@@ -155,7 +160,7 @@ def run_layers(spark: SparkSession, raw: DataFrame, out_dir: str,
         for f in futures:
             f.result()
     report["mart_rows"] = sum(m["rows"] for m in report["marts"].values())
-    gates = _mart_gates(spark, out_dir, report["marts"], required_marts, mart_rules or {})
+    gates = _mart_gates(report["marts"], required_marts, mart_rules or {})
     report["mart_gates"] = gates
     report["mart_gates_failed"] = bad = [name for name, ok in gates if not ok]
     report["total_sec"] = round(time.time() - t0, 3)  # gates included
