@@ -10,7 +10,9 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from aidspark.operators import catalog as CT  # noqa: E402
 from aidspark.operators import joins as J  # noqa: E402
+from aidspark.operators import lattice as LT  # noqa: E402
 from aidspark.operators import marts as M  # noqa: E402
 from aidspark.operators.clean import clean_aid, clean_measure  # noqa: E402
 from aidspark.operators.dedup import dedup_keep_last  # noqa: E402
@@ -18,7 +20,9 @@ from aidspark.operators.analysis import q_instrument_share, q_top_grantors  # no
 from aidspark.operators.flatten import flatten_aid  # noqa: E402
 from aidspark.schemas import AID_DEDUP_KEY  # noqa: E402
 from aidspark.session import get_session, scratch_dir  # noqa: E402
+from aidspark.plans import bucketed as BK  # noqa: E402
 from aidspark.plans import storage as ST  # noqa: E402
+from aidspark.plans.yeartable import YearTable  # noqa: E402
 from aidspark.sources import standin as S  # noqa: E402
 from aidspark.sources import xml as X  # noqa: E402
 
@@ -37,6 +41,12 @@ NOTES = {
     "q_instrument_share": "One scan; the grand total is a window over the aggregated rows (one per "
                           "instrument type).",
     "q_top_grantors": "Year filter on the partition column prunes the scan to one folder.",
+    "mart_base": "One scan of the raw layer feeds the sets of all marts: Expand, partial aggregate map-side, one exchange.",
+    "mart_from_base": "The territory mart from the counted rows: the scan prunes to its set's folder.",
+    "year_of_lots": "A year of two lots: both are scanned, keep-last by key (map-side partial) merges them; a year of one "
+                    "lot is a plain scan.",
+    "bucketed_keep_last": "Grouping a bucketed table by its key: no exchange.",
+    "footer_counts": "Rows per year from file footers: PushedAggregation, no data page is read.",
     "xml_flatten": "Text scan -> record cut -> repair -> from_xml -> two posexplode_outer -> projection: "
                    "no exchange anywhere (narrow), and from_xml appears once.",
 }
@@ -49,6 +59,13 @@ def main(argv):
     ST.write_year_overwrite(S.aid_raw(spark, sf_dir), raw_path)
     raw = spark.read.parquet(raw_path)
     clean = clean_aid(raw)
+    base_path = scratch_dir(spark, "plans-base")
+    LT.base(clean).write.partitionBy(LT.SET).parquet(base_path)
+    base = spark.read.parquet(base_path)
+    table = YearTable(spark, scratch_dir(spark, "plans-lots"))
+    year = max(map(int, table.overwrite(raw)["years"]))
+    table.upsert(raw.where(raw["anno"] == year).limit(10))
+    bucketed = BK.write_bucketed(raw, "plans_bucketed", scratch_dir(spark, "plans-buckets"), AID_DEDUP_KEY, 8)
     xml_dir = None
     try:
         from aidspark.sources import xml_standin as XS
@@ -56,6 +73,11 @@ def main(argv):
     except Exception:  # noqa: BLE001
         pass
     frames = {
+        "mart_base": LT.base(clean),
+        "mart_from_base": LT.mart(M.mart_territorio, base),
+        "year_of_lots": table.read([year]),
+        "bucketed_keep_last": BK.keep_last(bucketed, AID_DEDUP_KEY, "titolo_misura"),
+        "footer_counts": CT.footer_plan(spark, raw_path),
         "mart_per_obiettivo": M.mart_per_obiettivo(clean),
         "mart_territorio": M.mart_territorio(clean),
         "mart_top_beneficiari": M.mart_top_beneficiari(clean),
