@@ -55,7 +55,6 @@ _NEXT = {"s": (_SYSTEM, None, None, None), "u": (_USER, _USER, None, _USER), "a"
 _ROLE = ("user", "user", "assistant", "user")
 _TO = (_USER, _USER, _PAIR, _USER)
 _LETTERS = "DIKR"
-_FAR = 1 << 60
 #: Costs to the end behind the last row: two inserts after a system turn, one after a user turn.
 _LAST = (0, 2 * INSERT, INSERT, 0)
 
