@@ -153,11 +153,11 @@ def footer_counts(spark: SparkSession, path: str) -> DataFrame:
     file footers and sizes from the file listing, so no data page is read. One
     row a year reaches the driver."""
     rows = {r["anno"]: r["righe"] for r in footer_plan(spark, path).collect()}
-    year = F.regexp_extract("path", r"/anno=(-?[0-9]+)/", 1).cast("int")
+    year = F.regexp_extract("path", r"/anno=(-?[0-9]+)/", 1).try_cast("int")  # null for rows without a year
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
              .select(year.alias("anno"), "length").groupBy("anno").agg(F.count("*").alias("n"), F.sum("length").alias("b")).collect())
     size = {r["anno"]: (r["n"], r["b"]) for r in files}
-    return spark.createDataFrame([(y, n, *size[y]) for y, n in rows.items()], "anno int, righe bigint, file bigint, byte bigint")
+    return spark.createDataFrame([(y, n, *size.get(y, (0, 0))) for y, n in rows.items()], "anno int, righe bigint, file bigint, byte bigint")
 
 
 def rows_written(spark: SparkSession, path: str) -> int:
