@@ -17,6 +17,10 @@ chunks of ``CHUNK`` ids, cut where a chunk ends as well.
 
 from __future__ import annotations
 
+import re
+import sys
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -41,6 +45,8 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 #: How the tokenizer splits a normalised text.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same for ASCII in lower case.
+PRETOKEN_ASCII = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -51,6 +57,14 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Ids as little-endian uint32; an array costs a tenth of numpy's on so few."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class ChunkIds(dict):
     """white-space-free chunk of text -> its ids as little-endian uint32 bytes.
 
@@ -58,7 +72,11 @@ class ChunkIds(dict):
     document's ids are the ids of its chunks one after the other. A chunk of
     printable letters below U+0180, where normalising is lower-casing, is split
     by the tokenizer's own pattern and its parts are looked up or merged by its
-    BPE model; any other chunk goes through the whole tokenizer."""
+    BPE model; any other chunk goes through the whole tokenizer. A chunk of ASCII
+    letters is one part, and printable ASCII stands for itself in the model.
+
+    When the memory is full, the chunks in it become the older half, from which
+    those that are met again come back; so common ones are never worked out anew."""
 
     LIMIT = 400_000
 
@@ -68,7 +86,9 @@ class ChunkIds(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.split = regex.compile(PRETOKEN).findall
+        self.split_ascii = re.compile(PRETOKEN_ASCII).findall
         self.letters = _byte_letters()
+        self.older: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
         # the short way holds for this kind of tokenizer only; others take the whole way
         probe = "It's 12 words, Caf\u00e9!"
@@ -76,26 +96,32 @@ class ChunkIds(dict):
             self.tokenizer.encode(probe, add_special_tokens=False).ids)
 
     def _short(self, text: str) -> bytes:
-        out = []
-        for part in self.split(text.lower()):
-            ids = self.parts.get(part)
+        text, plain, known, out = text.lower(), text.isascii(), self.parts, []
+        for part in (text,) if plain and text.isalpha() else (self.split_ascii if plain else self.split)(text):
+            ids = known.get(part)
             if ids is None:
-                if len(self.parts) >= self.LIMIT:
-                    self.parts.clear()
-                mapped = part.encode().decode("latin-1").translate(self.letters)
-                ids = self.parts[part] = np.array(
-                    [t.id for t in self.tokenizer.model.tokenize(mapped)], dtype="<u4").tobytes()
+                if len(known) >= self.LIMIT:
+                    known.clear()
+                ids = known[part] = self._merged(part, plain)
             out.append(ids)
-        return b"".join(out)
+        return out[0] if len(out) == 1 else b"".join(out)
+
+    def _merged(self, part: str, plain: bool) -> bytes:
+        mapped = part if plain else part.encode().decode("latin-1").translate(self.letters)
+        return _packed([t.id for t in self.tokenizer.model.tokenize(mapped)])
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.LIMIT:
+            self.older = dict(self)
             self.clear()
-        text = word.decode("utf-8", "replace")
-        if self.short and text.isprintable() and max(text) < "\u0180" and "\u0130" not in text and "<|" not in text:
-            ids = self._short(text)
-        else:
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        ids = self.older.get(word)
+        if ids is None:
+            text = word.decode("utf-8", "replace")
+            if self.short and text.isprintable() and "<|" not in text and (
+                    text.isascii() or max(text) < "\u0180" and "\u0130" not in text):
+                ids = self._short(text)
+            else:
+                ids = _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         self[word] = ids
         return ids
 
