@@ -234,10 +234,9 @@ def fit_ratio(pairs: DataFrame, folds: tuple[int, ...], d: float = DISCOUNT) ->
                  *_fetch(contexts.select("u", (F.log("gamma1") - F.log("gamma0")).cast("float"))))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label_col: str, train: Column | None,
-           docs_per_class: int, words_per_class: int) -> tuple[DataFrame, list[int]]:
-    """The bounded training sample (``y, fold, text``) and the numbers of all
-    training rows of each class."""
+def _sample(docs: DataFrame, labels: DataFrame, label_col: str, train: Column | None,
+            docs_per_class: int, words_per_class: int) -> tuple[DataFrame, list[int]]:
+    """The rows of ``sample`` with their whole texts."""
     rows = docs if train is None else docs.filter(train)
     known = rows.select("doc_id", "rid", "rhash").join(labels_by_id(labels, label_col), "doc_id")
     n = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -253,7 +252,15 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, train: Column | N
                                  "fold": F.pmod(F.row_number().over(each), F.lit(2)).cast("int")})
               .filter(F.coalesce("before", F.lit(0)) < words_per_class).select("rid", "rhash", "y", "fold"))
     return (docs.join(F.broadcast(chosen), ["rid", "rhash"]).dropDuplicates(["rid", "rhash"])
-            .withColumn("text", _spread(cap)("text")).select("y", "fold", "text"), [n.get(0, 0), n.get(1, 0)])
+            .select("y", "fold", "text"), [n.get(0, 0), n.get(1, 0)])
+
+
+def sample(docs: DataFrame, labels: DataFrame, label_col: str, train: Column | None,
+           docs_per_class: int, words_per_class: int) -> tuple[DataFrame, list[int]]:
+    """The bounded training sample (``y, fold, text``) and the numbers of all
+    training rows of each class."""
+    rows, n = _sample(docs, labels, label_col, train, docs_per_class, words_per_class)
+    return rows.withColumn("text", _spread(text_words(words_per_class))("text")), n
 
 
 def text_words(words_per_class: int) -> int:
@@ -305,22 +312,26 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def _hashed(batches):
-    hashes = TokenHash()
-    for batch in batches:
-        words = [tokens(t, hashes).tobytes() for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("y"), batch.column("fold"), pa.array(words, pa.binary())],
-                                         names=["y", "fold", "words"])
+def _hashed(cap: int):
+    """The words of each text's part in the sample. Pieces are cut here too: a second
+    Python step in the stage would hold a second worker for every task."""
+    def run(batches):
+        hashes = TokenHash()
+        for batch in batches:
+            words = [tokens(spread(t, cap), hashes).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("y"), batch.column("fold"), pa.array(words, pa.binary())],
+                                             names=["y", "fold", "words"])
+    return run
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str, train: Column | None = None,
         docs_per_class: int = DOCS_PER_CLASS, words_per_class: int = WORDS_PER_CLASS,
         id_col: str = "doc_id", text_col: str = "text") -> Model:
-    chosen, n = sample(keyed(docs, id_col, text_col), labels, label_col, train, docs_per_class, words_per_class)
+    chosen, n = _sample(keyed(docs, id_col, text_col), labels, label_col, train, docs_per_class, words_per_class)
     if min(n) == 0:
         k = len(FEATURES)
         return Model(None, np.array([0.0] * k + [np.log((n[1] + 1) / (n[0] + 1))]), np.zeros(k), np.ones(k))
-    hashed = materialize(chosen.mapInArrow(_hashed, "y int, fold int, words binary"), "toxic-sample")
+    hashed = materialize(chosen.mapInArrow(_hashed(text_words(words_per_class)), "y int, fold int, words binary"), "toxic-sample")
     pairs = count_pairs(hashed)
     # a few numbers of each of at most 2 * docs_per_class texts
     rows = [r for fold in (0, 1) for r in _features(hashed.filter(F.col("fold") == fold), fit_ratio(pairs, (1 - fold,)))]

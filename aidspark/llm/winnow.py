@@ -125,9 +125,11 @@ def dedup_lines(docs: DataFrame, run_lines: int = RUN_LINES, id_col: str = "doc_
         return pd.DataFrame([kept_lines(t or "", s, run_lines) for t, s in zip(text, starts)],
                             columns=["text", "n_lines", "n_removed"])
 
+    # not deterministic for the optimizer: a filter on the counts would else be moved
+    # below and cut every text a second time, in a second worker of each task
     runs = repeated_runs(docs, run_lines, id_col, text_col)
     done = (packed(docs, id_col, text_col).join(runs, ["rid", "rhash"], "left")
-            .withColumn("cut", cut(F.coalesce(F.col("row")[text_col].cast("string"), F.lit("")), "starts")))
+            .withColumn("cut", cut.asNondeterministic()(F.coalesce(F.col("row")[text_col].cast("string"), F.lit("")), "starts")))
     cols = [F.when(F.col("row")[c].isNotNull(), F.col("cut.text")).alias(c) if c == text_col else F.col("row")[c].alias(c)
             for c in docs.columns if c != "line_dedup"]
     return done.select(*cols, F.struct("cut.n_lines", "cut.n_removed").alias("line_dedup"))
@@ -248,9 +250,10 @@ def dedup_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS, id_col:
         return pd.DataFrame([kept_words(t or "", s, passage_words) for t, s in zip(text, starts)],
                             columns=["text", "n_words", "n_removed"])
 
+    # evaluated once, as in dedup_lines
     runs = repeated_passages(docs, passage_words, id_col, text_col)
     done = (packed(docs, id_col, text_col).join(runs, ["rid", "rhash"], "left")
-            .withColumn("cut", cut(F.coalesce(F.col("row")[text_col].cast("string"), F.lit("")), "starts")))
+            .withColumn("cut", cut.asNondeterministic()(F.coalesce(F.col("row")[text_col].cast("string"), F.lit("")), "starts")))
     cols = [F.when(F.col("row")[c].isNotNull(), F.col("cut.text")).alias(c) if c == text_col else F.col("row")[c].alias(c)
             for c in docs.columns if c != "passage_dedup"]
     return done.select(*cols, F.struct("cut.n_words", "cut.n_removed").alias("passage_dedup"))
