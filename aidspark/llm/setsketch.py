@@ -288,8 +288,10 @@ class _Links:
         p = self.percent
         regs = self.classes.select("cid", "registers")
         sized = pairs.filter((100 * F.col("na") >= p * F.col("nb")) & (100 * F.col("nb") >= p * F.col("na")))
-        likely = (sized.join(regs.toDF("a", "ra"), "a").join(regs.toDF("b", "rb"), "b")
-                  .mapInArrow(_likely(p, self.miss), "a long, b long"))
+        # written, as with broadcast sets both Python steps would share a stage and
+        # hold two workers for each task
+        likely = materialize(sized.join(regs.toDF("a", "ra"), "a").join(regs.toDF("b", "rb"), "b")
+                             .mapInArrow(_likely(p, self.miss), "a long, b long"), "likely")
         return (likely.join(self.sets.toDF("a", "sa"), "a").join(self.sets.toDF("b", "sb"), "b")
                 .select("a", "b", "sa", "sb").mapInArrow(_verify(p), "a long, b long"))
 
