@@ -323,8 +323,10 @@ def q_manifest_index(spark, sf_dir):
     """Previous index from the raw layer; the current run re-loads the years
     from INDEX_FROM_YEAR deduplicated; earlier years are carried over."""
     previous = CT.manifest_by_year(_raw(spark, sf_dir), STANDIN_COVERAGE)
-    current_rows = dedup_keep_last(_arrived(spark, sf_dir).where(F.col("anno") >= INDEX_FROM_YEAR),
-                                   AID_DEDUP_KEY, "_arrival")
+    # a struct of an aggregate keeps all its columns: only those that the manifest
+    # counts go through the sort and the shuffle of the deduplication
+    counted = _arrived(spark, sf_dir).select("anno", "mese", *AID_DEDUP_KEY, "_arrival")
+    current_rows = dedup_keep_last(counted.where(F.col("anno") >= INDEX_FROM_YEAR), AID_DEDUP_KEY, "_arrival")
     return CT.manifest_index(CT.manifest_by_year(current_rows, STANDIN_COVERAGE), previous)
 
 
