@@ -6,8 +6,11 @@ length-normalised sums: over the whole text, over its best short window, and of
 what the ratios have over 1, as a few words make a long text toxic. Both classes
 back off to the same distribution, the continuation counts of the pooled sample
 (and from there to a uniform one), so a word that a class never saw is judged
-by shared evidence and unknown words are neutral. A logistic, fitted on texts
-that the compared models did not see, turns these into a probability.
+by shared evidence and unknown words are neutral. The sample has two halves, each
+with models of its own; a logistic, fitted on the texts of each half by the models
+of the other, turns these sums into a probability. A text's sums are the means of
+those by both halves' models, as the logistic holds for models of a half: those
+of the whole sample trust its rare words more, and reject ordinary texts.
 
 The models are learned from a bounded sample of the labelled rows: at most
 ``docs_per_class`` texts and about ``words_per_class`` words of each class, taken
@@ -302,11 +305,18 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
 
 @dataclass(frozen=True)
 class Model:
-    ratio: Ratio | None
+    ratio: Ratio | None  # of one half of the sample
+    other: Ratio | None  # of the other half
     beta: np.ndarray    # of the standardised features, intercept last
     centre: np.ndarray
     scale: np.ndarray
 
+    def features(self, toks: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+        """Means of the features by both halves' models."""
+        if self.ratio is None:
+            return np.zeros((len(cuts), len(FEATURES)))
+        return (self.ratio.features(toks, cuts) + self.other.features(toks, cuts)) / 2
+
     def score(self, features: np.ndarray) -> np.ndarray:
         z = (features - self.centre) / self.scale @ self.beta[:-1] + self.beta[-1]
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
@@ -330,17 +340,18 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, train: Column | None
     chosen, n = _sample(keyed(docs, id_col, text_col), labels, label_col, train, docs_per_class, words_per_class)
     if min(n) == 0:
         k = len(FEATURES)
-        return Model(None, np.array([0.0] * k + [np.log((n[1] + 1) / (n[0] + 1))]), np.zeros(k), np.ones(k))
+        return Model(None, None, np.array([0.0] * k + [np.log((n[1] + 1) / (n[0] + 1))]), np.zeros(k), np.ones(k))
     hashed = materialize(chosen.mapInArrow(_hashed(text_words(words_per_class)), "y int, fold int, words binary"), "toxic-sample")
     pairs = count_pairs(hashed)
+    halves = [fit_ratio(pairs, (fold,)) for fold in (0, 1)]
     # a few numbers of each of at most 2 * docs_per_class texts
-    rows = [r for fold in (0, 1) for r in _features(hashed.filter(F.col("fold") == fold), fit_ratio(pairs, (1 - fold,)))]
+    rows = [r for fold in (0, 1) for r in _features(hashed.filter(F.col("fold") == fold), halves[1 - fold])]
     ys, x = np.array([r["y"] for r in rows], dtype=int), np.array([r["x"] for r in rows])
     share = np.array([n[k] / max(1, (ys == k).sum()) for k in (0, 1)])
     weight = share[ys] * len(ys) / share[ys].sum()
     centre, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
     beta = _logistic((x - centre) / scale, ys.astype(float), weight)
-    return Model(fit_ratio(pairs, (0, 1)), beta, centre, scale)
+    return Model(*halves, beta, centre, scale)
 
 
 def _features(hashed: DataFrame, ratio: Ratio) -> list:
@@ -370,7 +381,7 @@ def _score_few(model: Model, texts: list, hashes: TokenHash) -> tuple[np.ndarray
     toks = [tokens(t, hashes) for t in texts]
     flat = np.concatenate([np.empty(0, np.uint64), *toks])
     cuts = np.cumsum([len(t) for t in toks]).astype(np.int64)
-    x = model.ratio.features(flat, cuts) if model.ratio is not None else np.zeros((len(toks), len(FEATURES)))
+    x = model.features(flat, cuts)
     return x[:, 0], model.score(x)
 
 
